@@ -65,7 +65,7 @@ def parse_bde_date(text: Column | str) -> Column:
     month = F.regexp_extract(t, BDE_DATE_TEXT, 2)
     year = F.regexp_extract(t, BDE_DATE_TEXT, 3)
     iso = F.concat_ws("-", year, month, F.trim(day))
-    return F.when(t.rlike(BDE_DATE_TEXT) & (year != "0000"), F.try_to_date(iso, F.lit("yyyy-M-d")))
+    return F.when(t.rlike(BDE_DATE_TEXT) & (year != "0000"), F.try_to_date(iso, "yyyy-M-d"))
 
 
 def format_bde_date(d: Column | str) -> Column:

@@ -179,3 +179,93 @@ SQL: dict[str, str] = {
     "view_pib_trimestral": VIEW_PIB_TRIMESTRAL,
     "dashboard_long": DASHBOARD_LONG,
 }
+
+
+# ------------------------------------------------------------------- landing and payloads
+from obsflow.sources.landing_fixture import IGNORED_SHAPES, REJECT_CASES  # noqa: E402
+
+_CASES = "SELECT * FROM (VALUES " + ", ".join(f"({k}, {_lit(r)})" for k, r in REJECT_CASES) + ") AS t(k, reason)"
+_SHAPES = "SELECT * FROM (VALUES " + ", ".join(f"({_lit(s)})" for s in IGNORED_SHAPES) + ") AS t(shape)"
+
+LANDING_CTE = f"""ev AS ({OBS_EVENTS}),
+last AS (SELECT series_id, max(observation_date) AS last_day FROM ev GROUP BY 1),
+monthly AS (SELECT event_type || '.M' AS series_id, CAST(date_trunc('month', ts) AS DATE) AS observation_date,
+                   CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
+            FROM events GROUP BY 1, 2),
+cases AS ({_CASES}),
+shapes AS ({_SHAPES}),
+daily_files AS (SELECT 'raw/daily/' || series_id || '/' || strftime(observation_date, '%Y-%m-%d') || '.json' AS relative_path,
+                       day(observation_date) AS dom FROM ev),
+monthly_files AS (SELECT 'raw/monthly/' || series_id || '/' || strftime(observation_date, '%Y-%m') || '.json' AS relative_path FROM monthly),
+reject_files AS (SELECT 'raw/daily/' || l.series_id || '/' || strftime(l.last_day + c.k, '%Y-%m-%d') || '.json' AS relative_path, c.reason
+                 FROM last l CROSS JOIN cases c),
+ignored_files AS (SELECT replace(replace(s.shape, '{{s}}', l.series_id), '{{d}}', strftime(l.last_day, '%Y-%m-%d')) AS relative_path
+                  FROM last l CROSS JOIN shapes s),
+all_files AS (SELECT relative_path FROM daily_files UNION ALL SELECT relative_path FROM monthly_files
+              UNION ALL SELECT relative_path FROM reject_files UNION ALL SELECT relative_path FROM ignored_files),
+loaded AS (SELECT series_id, observation_date, value, status_code, frequency FROM ev
+           UNION ALL SELECT series_id, observation_date, value, 'OK', 'monthly' FROM monthly)"""
+
+_PATH_RE = r"^raw/(daily|monthly|quarterly)/([^/]+)/([^/]+)\.json$"
+
+SQL.update(
+    {
+        "landing_scan": f"WITH {LANDING_CTE} SELECT relative_path FROM all_files",
+        "landing_prefix_scan": f"WITH {LANDING_CTE} SELECT relative_path FROM all_files WHERE starts_with(relative_path, 'raw/monthly/')",
+        "landing_path_decode": f"""WITH {LANDING_CTE}
+SELECT relative_path, regexp_matches(relative_path, '{_PATH_RE}') AS on_pattern,
+       CASE WHEN regexp_matches(relative_path, '{_PATH_RE}') THEN regexp_extract(relative_path, '{_PATH_RE}', 1) END AS frequency,
+       CASE WHEN regexp_matches(relative_path, '{_PATH_RE}') THEN regexp_extract(relative_path, '{_PATH_RE}', 2) END AS series_id,
+       CASE WHEN regexp_matches(relative_path, '{_PATH_RE}') THEN regexp_extract(relative_path, '{_PATH_RE}', 3) END AS period_label
+FROM all_files""",
+        "payload_flatten": f"WITH {LANDING_CTE} SELECT * FROM loaded",
+        "payload_rejects": f"WITH {LANDING_CTE} SELECT relative_path, reason FROM reject_files WHERE reason IS NOT NULL",
+        "unparseable_counts": f"""WITH {LANDING_CTE}
+SELECT series_id, CAST(count(*) FILTER (WHERE value IS NULL AND day(observation_date) % 14 <> 0) AS BIGINT) AS unparseable_values
+FROM ev GROUP BY 1
+UNION ALL SELECT series_id, CAST(0 AS BIGINT) FROM monthly GROUP BY 1""",
+        "load_summary": f"""WITH {LANDING_CTE}
+SELECT (SELECT count(*) FROM daily_files) + (SELECT count(*) FROM monthly_files)
+         + (SELECT count(*) FROM reject_files WHERE reason IS NULL) AS files_scanned,
+       (SELECT count(*) FROM ignored_files) AS files_skipped,
+       (SELECT count(*) FROM reject_files WHERE reason IS NOT NULL) AS files_failed,
+       (SELECT count(*) FROM loaded) AS rows_extracted""",
+        "bulk_reload": f"WITH {LANDING_CTE} SELECT * FROM loaded",
+        "payload_roundtrip": f"SELECT series_id, observation_date, value, status_code, frequency FROM ({OBS_EVENTS}) q",
+        "value_coercion": r"""WITH r AS (
+  SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price, o_orderkey % 12 AS k FROM orders),
+raw AS (
+  SELECT o_orderkey, CASE k WHEN 0 THEN 'NA' WHEN 1 THEN ' ' || price || ' ' WHEN 2 THEN 'nan' WHEN 3 THEN ''
+    WHEN 4 THEN 'NULL' WHEN 5 THEN price || 'x' WHEN 6 THEN '+' || price WHEN 7 THEN replace(price, '.', ',')
+    WHEN 8 THEN price || 'e2' WHEN 9 THEN '1_' || price WHEN 10 THEN '-inf' ELSE price END AS raw FROM r)
+SELECT o_orderkey, raw,
+  CASE WHEN raw IS NULL OR trim(raw) = '' OR upper(trim(raw)) IN ('NA', 'NAN', 'NULL') THEN NULL
+       WHEN regexp_full_match(trim(raw), '[+-]?(?:[0-9](?:_?[0-9])*(?:\.(?:[0-9](?:_?[0-9])*)?)?|\.[0-9](?:_?[0-9])*)(?:[eE][+-]?[0-9](?:_?[0-9])*)?')
+         THEN CAST(replace(trim(raw), '_', '') AS DOUBLE)
+       WHEN regexp_full_match(lower(trim(raw)), '[+-]?(?:inf|infinity)')
+         THEN CASE WHEN starts_with(trim(raw), '-') THEN CAST('-inf' AS DOUBLE) ELSE CAST('inf' AS DOUBLE) END
+       WHEN regexp_full_match(lower(trim(raw)), '[+-]?nan') THEN CAST('nan' AS DOUBLE)
+  END AS value
+FROM raw""",
+        "upsert_observations": f"""WITH ev AS ({OBS_EVENTS})
+SELECT series_id, observation_date, value, status_code, frequency, TIMESTAMP '2026-01-01 00:00:00' AS ingested_at
+FROM ev WHERE day(observation_date) <= 14
+UNION ALL
+SELECT series_id, observation_date, value + 1, status_code, frequency, TIMESTAMP '2026-02-01 00:00:00'
+FROM ev WHERE day(observation_date) >= 15""",
+        "upsert_empty_noop": f"""WITH ev AS ({OBS_EVENTS})
+SELECT series_id, observation_date, value, status_code, frequency, TIMESTAMP '2026-01-01 00:00:00' AS ingested_at,
+       CAST(0 AS BIGINT) AS rows_sent
+FROM ev WHERE day(observation_date) <= 20""",
+        "landing_write_if_absent": f"""WITH {LANDING_CTE}
+SELECT relative_path, CASE WHEN dom <= 10 THEN 'skipped' ELSE 'written' END AS outcome FROM daily_files""",
+        "upsert_dim_series": f"""WITH obs AS ({OBSERVATIONS}), seed AS ({DIM_SEED_SQL}),
+src AS (SELECT DISTINCT series_id, frequency FROM obs WHERE frequency IN ('daily', 'quarterly'))
+SELECT series_id, 'Serie ' || series_id AS name, 'USD' AS unit, frequency, CAST(NULL AS VARCHAR) AS description,
+       TIMESTAMP '2026-02-01 00:00:00' AS updated_at FROM src
+UNION ALL
+SELECT * FROM seed WHERE series_id NOT IN (SELECT series_id FROM src)""",
+        "split_payload_by_day": f"""WITH d AS ({OBS_DAILY})
+SELECT series_id, strftime(observation_date, '%Y-%m-%d') AS period_label, observation_date, value, status_code FROM d""",
+    }
+)

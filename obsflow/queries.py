@@ -74,3 +74,200 @@ QUERIES: dict[str, Query] = {
     "view_pib_trimestral": q_view_pib_trimestral,
     "dashboard_long": q_dashboard_long,
 }
+
+
+# ---------------------------------------------------------------- landing and payloads
+from pyspark.sql import functions as F  # noqa: E402
+
+from obsflow.functions.scalars import coerce_value  # noqa: E402
+from obsflow.operators import payload as P  # noqa: E402
+from obsflow.operators.upsert import read_observations, upsert  # noqa: E402
+from obsflow.plans import load as L  # noqa: E402
+from obsflow.session import scratch_dir  # noqa: E402
+from obsflow.sources import landing as LZ  # noqa: E402
+from obsflow.sources import landing_fixture as LF  # noqa: E402
+
+ROW_COLUMNS = ["series_id", "observation_date", "value", "status_code", "frequency"]
+LOAD_1 = "2026-01-01 00:00:00"
+LOAD_2 = "2026-02-01 00:00:00"
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    configure(spark)
+    return LF.build_landing(spark, sf_dir)
+
+
+def q_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LZ.read_landing(spark, _landing(spark, sf_dir)).select("relative_path")
+
+
+def q_landing_prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LZ.read_landing(spark, _landing(spark, sf_dir), "raw/monthly/").select("relative_path")
+
+
+def q_landing_path_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scan = LZ.read_landing(spark, _landing(spark, sf_dir)).select("relative_path")
+    return LZ.decode_path(scan)
+
+
+def q_payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = L.parsed_files(spark, _landing(spark, sf_dir))
+    return L.load_rows(files, LOAD_1).select(*ROW_COLUMNS)
+
+
+def q_payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.rejects(L.parsed_files(spark, _landing(spark, sf_dir)))
+
+
+def q_unparseable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = L.parsed_files(spark, _landing(spark, sf_dir))
+    return L.unparseable_counts(L.load_rows(files, LOAD_1))
+
+
+def q_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.load_summary(L.parsed_files(spark, _landing(spark, sf_dir)))
+
+
+def q_bulk_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _landing(spark, sf_dir)
+    target = scratch_dir(spark, "observations")
+    # a stale copy of the first days, which the reload must overwrite
+    stale = A.obs_events(spark, sf_dir).where(F.dayofmonth("observation_date") <= 20)
+    stale = stale.withColumn("value", F.col("value") + 1000.0).withColumn("ingested_at", F.lit(LOAD_1).cast("timestamp"))
+    upsert(spark, target, stale)
+    L.bulk_reload(spark, root, target, ingested_at=LOAD_2)
+    return read_observations(spark, target).select(*ROW_COLUMNS)
+
+
+def q_payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    files = LZ.decode_path(LF.good_daily(spark, sf_dir))
+    return P.flatten_payloads(P.parse_payloads(files), LOAD_1).select(*ROW_COLUMNS)
+
+
+def q_value_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    o = A.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    k = F.col("o_orderkey") % 12
+    raw = (
+        F.when(k == 0, F.lit("NA"))
+        .when(k == 1, F.concat(F.lit(" "), price, F.lit(" ")))
+        .when(k == 2, F.lit("nan"))
+        .when(k == 3, F.lit(""))
+        .when(k == 4, F.lit("NULL"))
+        .when(k == 5, F.concat(price, F.lit("x")))
+        .when(k == 6, F.concat(F.lit("+"), price))
+        .when(k == 7, F.regexp_replace(price, "[.]", ","))
+        .when(k == 8, F.concat(price, F.lit("e2")))
+        .when(k == 9, F.concat(F.lit("1_"), price))
+        .when(k == 10, F.lit("-inf"))
+        .otherwise(price)
+    )
+    return o.select("o_orderkey", raw.alias("raw")).select("o_orderkey", "raw", coerce_value(F.col("raw")).alias("value"))
+
+
+def _events_target(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    ev = A.obs_events(spark, sf_dir)
+    target = scratch_dir(spark, "observations")
+    first = ev.where(F.dayofmonth("observation_date") <= 20).withColumn("ingested_at", F.lit(LOAD_1).cast("timestamp"))
+    upsert(spark, target, first)
+    return target, ev
+
+
+def q_upsert_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    target, ev = _events_target(spark, sf_dir)
+    second = (
+        ev.where(F.dayofmonth("observation_date") >= 15)
+        .withColumn("value", F.col("value") + 1.0)
+        .withColumn("ingested_at", F.lit(LOAD_2).cast("timestamp"))
+    )
+    upsert(spark, target, second)
+    return read_observations(spark, target)
+
+
+def q_upsert_empty_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    target, ev = _events_target(spark, sf_dir)
+    nothing = ev.where(F.col("observation_date") > F.lit("2100-01-01").cast("date"))
+    sent = upsert(spark, target, nothing)
+    return read_observations(spark, target).withColumn("rows_sent", F.lit(sent).cast("long"))
+
+
+def q_landing_write_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    root = scratch_dir(spark, "landing-write")
+    daily = LF.good_daily(spark, sf_dir)
+    first = daily.where(F.regexp_extract("relative_path", r"-([0-9]{2})\.json$", 1).cast("int") <= 10)
+    LZ.write_if_absent(spark, first, root)
+    return LZ.write_if_absent(spark, daily, root)
+
+
+def q_upsert_dim_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    target = scratch_dir(spark, "dim_series")
+    upsert(spark, target, _seed(spark), keys=["series_id"], columns=A.DIM_COLUMNS, partition_by_year=False, cluster_by=None)
+    series = A.observations(spark, sf_dir).where(F.col("frequency").isin("daily", "quarterly"))
+    source = series.select("series_id", "frequency").distinct().select(
+        "series_id",
+        F.concat(F.lit("Serie "), "series_id").alias("name"),
+        F.lit("USD").alias("unit"),
+        "frequency",
+        F.lit(None).cast("string").alias("description"),
+        F.lit(LOAD_2).cast("timestamp").alias("updated_at"),
+    )
+    upsert(spark, target, source, keys=["series_id"], columns=A.DIM_COLUMNS, order_by=["updated_at"], partition_by_year=False, cluster_by=None)
+    return spark.read.parquet(target).select(*A.DIM_COLUMNS)
+
+
+def q_split_payload_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    d = A.obs_daily(spark, sf_dir).withColumn("_year", F.year("observation_date"))
+    text = P.value_text(F.col("value"))
+    el = P.obs_element(F.col("observation_date"), text, F.col("status_code"))
+    per_year = d.groupBy("series_id", "_year").agg(F.sort_array(F.collect_list(F.struct("observation_date", el.alias("e")))).alias("xs"))
+    ordered = F.transform("xs", lambda x: x["e"])
+    first = F.element_at(ordered, 1)
+    dup = F.struct(first["indexDateString"].alias("indexDateString"), F.lit("ND").alias("statusCode"), F.lit("dup").alias("value"))
+    bad = F.struct(F.concat(F.lit("30-02-"), F.col("_year").cast("string")).alias("indexDateString"), F.lit("OK").alias("statusCode"), F.lit("1.00").alias("value"))
+    outside = F.struct(
+        F.concat(F.lit("31-12-"), (F.col("_year") - 1).cast("string")).alias("indexDateString"),
+        F.lit("OK").alias("statusCode"),
+        F.lit("9.99").alias("value"),
+    )
+    obs = F.concat(F.array(dup), ordered, F.array(bad, outside))
+    body = P.payload_body(F.lit(0), F.lit(LF.DESCRIPTION), F.col("series_id"), F.lit(None).cast("string"), obs)
+    yearly = P.parse_payloads(per_year.select("series_id", "_year", body.alias("body")))
+    days = P.split_by_day(yearly, "_year")
+    back = P.parse_payloads(days).select("series_id", "period_label", F.explode("payload.Series.Obs").alias("o"))
+    from obsflow.functions.scalars import parse_bde_date
+
+    return back.select(
+        "series_id",
+        "period_label",
+        parse_bde_date(F.col("o.indexDateString")).alias("observation_date"),
+        coerce_value(F.col("o.value")).alias("value"),
+        F.col("o.statusCode").alias("status_code"),
+    )
+
+
+QUERIES.update(
+    {
+        "landing_scan": q_landing_scan,
+        "landing_prefix_scan": q_landing_prefix_scan,
+        "landing_path_decode": q_landing_path_decode,
+        "payload_flatten": q_payload_flatten,
+        "payload_rejects": q_payload_rejects,
+        "unparseable_counts": q_unparseable_counts,
+        "load_summary": q_load_summary,
+        "bulk_reload": q_bulk_reload,
+        "payload_roundtrip": q_payload_roundtrip,
+        "value_coercion": q_value_coercion,
+        "upsert_observations": q_upsert_observations,
+        "upsert_empty_noop": q_upsert_empty_noop,
+        "landing_write_if_absent": q_landing_write_if_absent,
+        "upsert_dim_series": q_upsert_dim_series,
+        "split_payload_by_day": q_split_payload_by_day,
+    }
+)

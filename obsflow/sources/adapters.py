@@ -121,3 +121,4 @@ DIM_SEED = [
     ("RF-A", "Descuento medio, devueltos", "porcentaje", "monthly", "Descuento medio de partidas devueltas."),
 ]
 SEED_UPDATED_AT = "2026-01-01 00:00:00"
+DIM_COLUMNS = ["series_id", "name", "unit", "frequency", "description", "updated_at"]
