@@ -269,3 +269,189 @@ SELECT * FROM seed WHERE series_id NOT IN (SELECT series_id FROM src)""",
 SELECT series_id, strftime(observation_date, '%Y-%m-%d') AS period_label, observation_date, value, status_code FROM d""",
     }
 )
+
+
+# ---------------------------------------------------------------- calendars, plans, reports
+from obsflow.plans.reports import CADENCE_DAYS  # noqa: E402
+from obsflow.schema import DIM_FREQUENCY_ROWS  # noqa: E402
+
+
+def _label(freq: str, d: str) -> str:
+    return (
+        f"CASE {freq} WHEN 'daily' THEN strftime({d}, '%Y-%m-%d') WHEN 'monthly' THEN strftime({d}, '%Y-%m') "
+        f"ELSE strftime({d}, '%Y') || '-Q' || CAST(quarter({d}) AS VARCHAR) END"
+    )
+
+
+FREQ_VALUES = "(VALUES ('daily'), ('monthly'), ('quarterly')) AS f(frequency)"
+OBS_CTE = f"obs AS ({OBSERVATIONS})"
+BOUNDS = "bounds AS (SELECT min(observation_date) AS mn, max(observation_date) AS mx FROM obs)"
+CAT = "cat AS (SELECT DISTINCT series_id, frequency FROM obs)"
+LANDED = f"landed AS (SELECT DISTINCT series_id, {_label('frequency', 'observation_date')} AS period_label FROM obs WHERE status_code = 'OK')"
+AVAIL = f"avail AS (SELECT DISTINCT series_id, {_label('frequency', 'observation_date')} AS period_label FROM obs)"
+PLAN = """plan AS (
+  SELECT c.series_id, c.frequency, CAST(g.d AS DATE) AS first_date
+  FROM cat c, bounds b,
+       LATERAL (SELECT unnest(generate_series(
+                  CASE c.frequency WHEN 'daily' THEN CAST(b.mn AS TIMESTAMP)
+                                   WHEN 'monthly' THEN CAST(date_trunc('month', b.mn) AS TIMESTAMP)
+                                   ELSE CAST(date_trunc('quarter', b.mn) AS TIMESTAMP) END,
+                  CAST(b.mx AS TIMESTAMP),
+                  CASE c.frequency WHEN 'daily' THEN INTERVAL 1 DAY WHEN 'monthly' THEN INTERVAL 1 MONTH
+                                   ELSE INTERVAL 3 MONTH END)) AS d) g),
+planned AS (
+  SELECT series_id, frequency, first_date, """ + _label("frequency", "first_date") + """ AS period_label FROM plan),
+planned_paths AS (
+  SELECT *, 'raw/' || frequency || '/' || series_id || '/' || period_label || '.json' AS relative_path FROM planned)"""
+
+PREV_WINDOW = """CASE frequency WHEN 'daily' THEN as_of - 1
+            WHEN 'monthly' THEN CAST(date_trunc('month', as_of) - INTERVAL 1 MONTH AS DATE)
+            ELSE CAST(date_trunc('quarter', as_of) - INTERVAL 3 MONTH AS DATE) END"""
+PREV_LAST = """CASE frequency WHEN 'daily' THEN as_of - 1
+            WHEN 'monthly' THEN CAST(date_trunc('month', as_of) AS DATE) - 1
+            ELSE CAST(date_trunc('quarter', as_of) AS DATE) - 1 END"""
+
+_SEED = f"seed AS ({DIM_SEED_SQL})"
+_DIMF = "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(_lit(v) for v in r) + ")" for r in DIM_FREQUENCY_ROWS) + ") AS t(frequency, description, schedule_cron)"
+_CAD = "SELECT * FROM (VALUES " + ", ".join(f"({_lit(k)}, {v})" for k, v in CADENCE_DAYS.items()) + ") AS t(frequency, cadence_days)"
+
+
+def _win_sql(obs: str, cols: str) -> str:
+    return f"WITH obs AS ({obs}), base AS (SELECT series_id, observation_date, value AS v FROM obs WHERE {VALID})\nSELECT series_id, observation_date, v, {cols} FROM base"
+
+
+SQL.update(
+    {
+        "period_windows": f"""WITH runs AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS as_of FROM orders),
+rf AS (SELECT as_of, f.frequency FROM runs CROSS JOIN {FREQ_VALUES}),
+w AS (SELECT as_of, frequency, {PREV_WINDOW} AS first_date, {PREV_LAST} AS last_date FROM rf)
+SELECT as_of, frequency, first_date, last_date, {_label('frequency', 'first_date')} AS period_label FROM w""",
+        "calendar_days": f"""WITH q AS ({OBS_QUARTERLY}), b AS (SELECT series_id, min(observation_date) mn, max(observation_date) mx FROM q GROUP BY 1)
+SELECT series_id, CAST(unnest(generate_series(CAST(mn AS TIMESTAMP), CAST(mx AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day FROM b""",
+        "calendar_months": f"""WITH q AS ({OBS_DAILY}), b AS (SELECT series_id, min(observation_date) mn, max(observation_date) mx FROM q GROUP BY 1),
+m AS (SELECT series_id, CAST(unnest(generate_series(CAST(date_trunc('month', mn) AS TIMESTAMP), CAST(mx AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS first_date FROM b)
+SELECT series_id, first_date, last_day(first_date) AS last_date, strftime(first_date, '%Y-%m') AS period_label FROM m""",
+        "calendar_quarters": f"""WITH q AS ({OBS_DAILY}), b AS (SELECT series_id, min(observation_date) mn, max(observation_date) mx FROM q GROUP BY 1),
+m AS (SELECT series_id, CAST(unnest(generate_series(CAST(date_trunc('quarter', mn) AS TIMESTAMP), CAST(mx AS TIMESTAMP), INTERVAL 3 MONTH)) AS DATE) AS first_date FROM b)
+SELECT series_id, first_date, last_day(CAST(first_date + INTERVAL 2 MONTH AS DATE)) AS last_date,
+       strftime(first_date, '%Y') || '-Q' || CAST(quarter(first_date) AS VARCHAR) AS period_label FROM m""",
+        "calendar_year_chunks": f"""WITH q AS ({OBS_DAILY}), b AS (SELECT series_id, min(observation_date) mn, max(observation_date) mx FROM q GROUP BY 1),
+y AS (SELECT series_id, mn, mx, CAST(unnest(generate_series(year(mn), year(mx))) AS INTEGER) AS year FROM b)
+SELECT series_id, year, greatest(mn, make_date(year, 1, 1)) AS first_date, least(mx, make_date(year, 12, 31)) AS last_date FROM y""",
+        "trailing_range": f"""WITH {OBS_CTE}, b AS (SELECT series_id, max(observation_date) mx FROM obs GROUP BY 1)
+SELECT series_id, CAST(mx - INTERVAL 5 YEAR AS DATE) AS start_date, mx AS end_date FROM b""",
+        "landing_paths": f"""WITH {OBS_CTE}
+SELECT series_id, observation_date,
+       'raw/' || frequency || '/' || series_id || '/' || ({_label('frequency', 'observation_date')}) || '.json' AS relative_path FROM obs""",
+        "backfill_plan": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT}, {LANDED}, {PLAN}
+SELECT p.series_id, p.frequency, p.period_label, p.relative_path,
+       CASE WHEN l.series_id IS NULL THEN 'missing' ELSE 'landed' END AS status
+FROM planned_paths p LEFT JOIN landed l USING (series_id, period_label)""",
+        "missing_periods": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT}, {LANDED}, {PLAN}
+SELECT series_id, frequency, period_label, relative_path FROM planned_paths p
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.series_id = p.series_id AND l.period_label = p.period_label)""",
+        "landed_periods": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT}, {LANDED}, {PLAN}
+SELECT series_id, frequency, period_label, relative_path FROM planned_paths p
+WHERE EXISTS (SELECT 1 FROM landed l WHERE l.series_id = p.series_id AND l.period_label = p.period_label)""",
+        "backfill_dry_run": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT}, {PLAN}
+SELECT series_id, count(*) AS planned FROM planned GROUP BY 1""",
+        "backfill_outcomes": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT}, {LANDED}, {AVAIL}, {PLAN},
+s AS (SELECT p.*, CASE WHEN l.series_id IS NULL THEN 'missing' ELSE 'landed' END AS status,
+             a.series_id IS NOT NULL AS has_data,
+             CASE WHEN p.frequency = 'daily' THEN CAST(year(p.first_date) AS VARCHAR) ELSE p.period_label END AS chunk
+      FROM planned p LEFT JOIN landed l USING (series_id, period_label) LEFT JOIN avail a USING (series_id, period_label)),
+c AS (SELECT *, sum(CASE WHEN status = 'missing' THEN 1 ELSE 0 END) OVER (PARTITION BY series_id, chunk) AS chunk_missing FROM s),
+o AS (SELECT series_id, CASE WHEN status = 'landed' AND (frequency <> 'daily' OR chunk_missing = 0) THEN 'skipped'
+                             WHEN status = 'landed' THEN NULL
+                             WHEN has_data THEN 'written' ELSE 'empty' END AS outcome FROM c)
+SELECT series_id, count(*) FILTER (WHERE outcome = 'written') AS written, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+       count(*) FILTER (WHERE outcome = 'empty') AS empty, CAST(0 AS BIGINT) AS errors
+FROM o GROUP BY ROLLUP (series_id)""",
+        "run_summary": f"""WITH {OBS_CTE}, {CAT}, {LANDED}, {AVAIL},
+runs AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS as_of FROM orders),
+rf AS (SELECT as_of, f.frequency FROM runs CROSS JOIN {FREQ_VALUES}),
+w AS (SELECT as_of, frequency, {PREV_WINDOW} AS first_date FROM rf),
+t AS (SELECT w.as_of, w.frequency, c.series_id, {_label('w.frequency', 'w.first_date')} AS period_label FROM w JOIN cat c ON c.frequency = w.frequency),
+o AS (SELECT t.*, CASE WHEN l.series_id IS NOT NULL THEN 'skipped' WHEN a.series_id IS NOT NULL THEN 'written' ELSE 'empty' END AS outcome
+      FROM t LEFT JOIN landed l USING (series_id, period_label) LEFT JOIN avail a USING (series_id, period_label))
+SELECT as_of, frequency, max(period_label) AS period_label,
+       count(*) FILTER (WHERE outcome = 'written') AS processed, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+       coalesce(list_sort(list(series_id) FILTER (WHERE outcome = 'empty')), []) AS empty,
+       CAST([] AS STRUCT(series_id VARCHAR, error VARCHAR)[]) AS errors
+FROM o GROUP BY as_of, frequency""",
+        "catalog_flatten": f"""WITH {OBS_CTE}, {CAT}, {_SEED}
+SELECT c.series_id, coalesce(s.name, c.series_id) AS name, coalesce(s.unit, 'USD') AS unit, c.frequency,
+       coalesce(s.description, '') AS description
+FROM cat c LEFT JOIN seed s USING (series_id)""",
+        "catalog_by_frequency": f"""WITH {OBS_CTE}, {CAT}, {_SEED}
+SELECT c.series_id, coalesce(s.name, c.series_id) AS name, coalesce(s.unit, 'USD') AS unit, c.frequency,
+       coalesce(s.description, '') AS description
+FROM cat c LEFT JOIN seed s USING (series_id) WHERE c.frequency = 'monthly'""",
+        "dim_frequency": f"""WITH {OBS_CTE}, {CAT}, d AS ({_DIMF}), n AS (SELECT frequency, count(*) AS series FROM cat GROUP BY 1)
+SELECT d.frequency, d.description, d.schedule_cron, coalesce(n.series, 0) AS series FROM d LEFT JOIN n USING (frequency)""",
+        "load_inventory": f"""WITH {OBS_CTE}
+SELECT frequency, count(*) AS rows, max(observation_date) AS latest, max(ingested_at) AS last_load FROM obs GROUP BY frequency""",
+        "freshness_report": f"""WITH {OBS_CTE}, {_SEED}, {BOUNDS},
+latest AS (SELECT series_id, max(observation_date) AS latest_obs FROM obs GROUP BY 1)
+SELECT l.series_id, s.name, l.latest_obs, CAST(date_diff('day', l.latest_obs, (SELECT mx FROM bounds) + 1) AS INTEGER) AS days_stale
+FROM latest l LEFT JOIN seed s USING (series_id)""",
+        "series_coverage": f"""WITH {OBS_CTE}, {CAT}, {BOUNDS},
+n AS (SELECT series_id, count(*) AS observations FROM obs, bounds
+      WHERE observation_date BETWEEN bounds.mx - 90 AND bounds.mx GROUP BY 1)
+SELECT c.series_id, c.frequency, coalesce(n.observations, 0) AS observations,
+       CASE WHEN coalesce(n.observations, 0) > 0 THEN 'OK' ELSE 'EMPTY' END AS status
+FROM cat c LEFT JOIN n USING (series_id)""",
+        "error_counts": f"""WITH {LANDING_CTE}
+SELECT regexp_extract(relative_path, '{_PATH_RE}', 2) AS series_id, count(*) AS errors
+FROM reject_files WHERE reason IS NOT NULL GROUP BY 1""",
+        "alert_error_rate": """WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS events,
+                  count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, events, errors, errors / events AS error_rate
+FROM w WHERE errors / events > 0.2""",
+        "alert_silent_series": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT},
+checks AS (SELECT c.series_id, CAST(unnest(generate_series(CAST(b.mn AS TIMESTAMP), CAST(b.mx AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS check_date
+           FROM cat c, bounds b WHERE c.frequency = 'daily'),
+loads AS (SELECT DISTINCT series_id, CAST(ingested_at AS DATE) AS check_date FROM obs)
+SELECT series_id, check_date FROM checks
+WHERE NOT EXISTS (SELECT 1 FROM loads l WHERE l.series_id = checks.series_id AND l.check_date = checks.check_date)""",
+        "alert_stale_series": f"""WITH {OBS_CTE}, {BOUNDS}, cad AS ({_CAD}),
+latest AS (SELECT series_id, frequency, max(observation_date) AS latest_obs FROM obs GROUP BY 1, 2)
+SELECT l.series_id, l.frequency, l.latest_obs,
+       CAST(date_diff('day', l.latest_obs, (SELECT mx FROM bounds) + 1) AS INTEGER) AS days_since,
+       CAST(c.cadence_days + 3 AS INTEGER) AS allowed_days,
+       date_diff('day', l.latest_obs, (SELECT mx FROM bounds) + 1) > c.cadence_days + 3 AS stale
+FROM latest l LEFT JOIN cad c USING (frequency)""",
+        "win_abs_change": _win_sql(OBS_DAILY, f"v - LAG(v) OVER ({W}) AS change, LAG(v) OVER ({W}) AS previous"),
+        "win_pct_change": _win_sql(OBS_MONTHLY, f"{_pct_sql('v', 1, 2)} AS pct_change"),
+        "win_yoy_monthly": _win_sql(OBS_MONTHLY, f"{_pct_sql('v', 12, 2)} AS yoy_pct"),
+        "win_yoy_quarterly": _win_sql(OBS_QUARTERLY, f"{_pct_sql('v', 4, 2)} AS yoy_pct"),
+        "win_moving_avg": _win_sql(OBS_RATE, f"AVG(v) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg_7"),
+        "win_compound": _win_sql(
+            OBS_PCT,
+            f"""CASE WHEN SUM(CASE WHEN 1 + v / 100 <= 0 THEN 1 ELSE 0 END) OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) > 0 THEN NULL
+            ELSE ROUND((EXP(SUM(LN(GREATEST(1 + v / 100, 1e-300))) OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)) - 1) * 100, 4) END AS compound_12,
+       COUNT(*) OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS rows_in_window""",
+        ),
+        "win_change_point": _win_sql(
+            OBS_RATE,
+            f"""CASE WHEN LAG(v) OVER ({W}) IS NULL THEN NULL WHEN v > LAG(v) OVER ({W}) THEN 'alza'
+            WHEN v < LAG(v) OVER ({W}) THEN 'baja' ELSE 'sin_cambio' END AS movement""",
+        ),
+        "scalar_functions": f"""WITH d AS ({OBS_DAILY})
+SELECT series_id, observation_date,
+       value / NULLIF(day(observation_date) % 3 - 1, 0) AS safe_ratio,
+       ROUND(value / 7.0, 3) AS rounded,
+       ROUND(EXP(LN(value / 1e6)), 10) AS exp_ln,
+       COALESCE(value, -1.0) AS value_or_default,
+       CASE WHEN value > 200000 THEN 'high' WHEN value > 100000 THEN 'mid' ELSE 'low' END AS band,
+       CAST(year(observation_date) AS INTEGER) AS y, CAST(month(observation_date) AS INTEGER) AS m,
+       CAST(quarter(observation_date) AS INTEGER) AS q,
+       CAST(date_diff('day', observation_date, last_day(observation_date)) AS INTEGER) AS days_to_month_end,
+       upper(trim(status_code)) IN ('OK', 'ND') AS known_status,
+       observation_date AS parsed_date, strftime(observation_date, '%d-%m-%Y') AS bde_date,
+       regexp_extract(series_id, '^([0-9])-', 1) AS priority_digit,
+       strftime(observation_date, '%Y') || '-Q' || CAST(quarter(observation_date) AS VARCHAR) AS quarter_label,
+       last_day(observation_date) AS month_end
+FROM d""",
+    }
+)

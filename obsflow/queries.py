@@ -271,3 +271,323 @@ QUERIES.update(
         "split_payload_by_day": q_split_payload_by_day,
     }
 )
+
+
+# ---------------------------------------------------------------- calendars, plans, reports
+from obsflow.operators import windows as Wn  # noqa: E402
+from obsflow.functions import scalars as S  # noqa: E402
+from obsflow.plans import backfill as B  # noqa: E402
+from obsflow.plans import calendar as C  # noqa: E402
+from obsflow.plans import reports as R  # noqa: E402
+from obsflow.sources import catalog as CT  # noqa: E402
+
+def _freqs():
+    return F.array(F.lit("daily"), F.lit("monthly"), F.lit("quarterly"))
+
+
+def _bounds(df: DataFrame) -> tuple:
+    """(min, max) observation date — two scalars from a one-row aggregate."""
+    r = df.agg(F.min("observation_date"), F.max("observation_date")).first()
+    return r[0], r[1]
+
+
+def _catalog(obs: DataFrame) -> DataFrame:
+    return obs.select("series_id", "frequency").distinct()
+
+
+def _landed_paths(obs: DataFrame) -> DataFrame:
+    ok = obs.where(F.col("status_code") == "OK")
+    return ok.select(LZ.landing_path("frequency", "series_id", S.period_label("frequency", "observation_date")).alias("relative_path"))
+
+
+def _per_series_bounds(obs: DataFrame) -> DataFrame:
+    return obs.groupBy("series_id").agg(F.min("observation_date").alias("mn"), F.max("observation_date").alias("mx"))
+
+
+def q_period_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    runs = A.read_table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("as_of")).distinct()
+    w = runs.select("as_of", F.explode(_freqs()).alias("frequency")).withColumn("w", C.period_window("frequency", "as_of"))
+    return w.select("as_of", "frequency", "w.first_date", "w.last_date", "w.period_label")
+
+
+def q_calendar_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    b = _per_series_bounds(A.obs_quarterly(spark, sf_dir))
+    return b.select("series_id", F.explode(C.days("mn", "mx")).alias("day"))
+
+
+def q_calendar_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    b = _per_series_bounds(A.obs_daily(spark, sf_dir))
+    return b.select("series_id", F.inline(C.months("mn", "mx")))
+
+
+def q_calendar_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    b = _per_series_bounds(A.obs_daily(spark, sf_dir))
+    return b.select("series_id", F.inline(C.quarters("mn", "mx")))
+
+
+def q_calendar_year_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    b = _per_series_bounds(A.obs_daily(spark, sf_dir))
+    return b.select("series_id", F.inline(C.year_chunks("mn", "mx")))
+
+
+def q_trailing_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    b = _per_series_bounds(A.observations(spark, sf_dir))
+    r = C.trailing_years(F.date_add("mx", 1), 5)
+    return b.select("series_id", r["start_date"].alias("start_date"), r["end_date"].alias("end_date"))
+
+
+def q_landing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    obs = A.observations(spark, sf_dir)
+    label = S.period_label("frequency", "observation_date")
+    return obs.select("series_id", "observation_date", LZ.landing_path("frequency", "series_id", label).alias("relative_path"))
+
+
+def _plan_status(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    obs = A.observations(spark, sf_dir)
+    start, end = _bounds(obs)
+    planned = B.plan(_catalog(obs), start, end)
+    return planned, _landed_paths(obs), obs
+
+
+def q_backfill_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    planned, landed, _ = _plan_status(spark, sf_dir)
+    return B.with_status(planned, landed).select("series_id", "frequency", "period_label", "relative_path", "status")
+
+
+def q_missing_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    planned, landed, _ = _plan_status(spark, sf_dir)
+    return B.missing_periods(planned, landed).select("series_id", "frequency", "period_label", "relative_path")
+
+
+def q_landed_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    planned, landed, _ = _plan_status(spark, sf_dir)
+    return B.landed_periods(planned, landed).select("series_id", "frequency", "period_label", "relative_path")
+
+
+def q_backfill_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    planned, _, _ = _plan_status(spark, sf_dir)
+    return B.dry_run_counts(planned)
+
+
+def q_backfill_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    planned, landed, obs = _plan_status(spark, sf_dir)
+    return B.counters(B.outcomes(B.with_status(planned, landed), obs))
+
+
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    obs = A.observations(spark, sf_dir)
+    runs = A.read_table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("as_of")).distinct()
+    runs = runs.select("as_of", F.explode(_freqs()).alias("frequency"))
+    outs = B.ingest_outcomes(runs, _catalog(obs), _landed_paths(obs), obs)
+    return B.run_summary(outs)
+
+
+def _catalog_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog documents derived from the fact: one per series, names from the seed, plus
+    one document per frequency whose list is null (tolerated)."""
+    obs = A.observations(spark, sf_dir)
+    series = _catalog(obs)
+    named = series.join(F.broadcast(_seed(spark).select("series_id", "name", "unit", "description")), "series_id", "left")
+    entry = F.struct(
+        F.col("series_id").alias("id"),
+        F.coalesce("name", "series_id").alias("name"),
+        F.coalesce("unit", F.lit("USD")).alias("unit"),
+        F.col("description").alias("description"),
+    )
+    docs = named.select(F.create_map(F.col("frequency"), F.array(entry)).alias("series"))
+    nulls = series.select("frequency").distinct().select(
+        F.create_map(F.col("frequency"), F.lit(None).cast("array<struct<id:string,name:string,unit:string,description:string>>")).alias("series")
+    )
+    return docs.unionByName(nulls)
+
+
+def q_catalog_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return CT.flatten_catalog(_catalog_docs(spark, sf_dir))
+
+
+def q_catalog_by_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return CT.catalog_by_frequency(CT.flatten_catalog(_catalog_docs(spark, sf_dir)), "monthly")
+
+
+def q_dim_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    obs = A.observations(spark, sf_dir)
+    counts = _catalog(obs).groupBy("frequency").agg(F.count(F.lit(1)).cast("long").alias("series"))
+    return CT.dim_frequency(spark).join(counts, "frequency", "left").select(
+        "frequency", "description", "schedule_cron", F.coalesce("series", F.lit(0).cast("long")).alias("series")
+    )
+
+
+def q_load_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return R.load_inventory(A.observations(spark, sf_dir))
+
+
+def q_freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    obs = A.observations(spark, sf_dir)
+    _, end = _bounds(obs)
+    return R.freshness_report(obs, _seed(spark), F.date_add(F.lit(end), 1))
+
+
+def q_series_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    obs = A.observations(spark, sf_dir)
+    _, end = _bounds(obs)
+    return R.series_coverage(_catalog(obs), obs, F.date_sub(F.lit(end), 90), F.lit(end))
+
+
+def q_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = L.parsed_files(spark, _landing(spark, sf_dir))
+    outcomes = files.where("on_pattern").select("series_id", F.col("reject_reason").isNotNull().alias("failed"))
+    return R.error_counts(outcomes)
+
+
+def q_alert_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    ev = A.read_table(spark, sf_dir, "events")
+    return R.alert_error_rate(ev, "ts", F.col("event_type") == "error", 0.2)
+
+
+def q_alert_silent_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    obs = A.observations(spark, sf_dir)
+    start, end = _bounds(obs)
+    return R.alert_silent_series(_catalog(obs), obs, start, end)
+
+
+def q_alert_stale_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    obs = A.observations(spark, sf_dir)
+    _, end = _bounds(obs)
+    return R.alert_stale_series(spark, obs, F.date_add(F.lit(end), 1))
+
+
+def _win(obs: DataFrame, alias: str, *cols) -> DataFrame:
+    base = Wn.valid_observations(obs).select("series_id", "observation_date", F.col("value").alias(alias))
+    return base.select("series_id", "observation_date", alias, *cols)
+
+
+def q_win_abs_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    w = Wn.series_window()
+    return _win(A.obs_daily(spark, sf_dir), "v", Wn.abs_change("v", w).alias("change"), Wn.previous("v", w).alias("previous"))
+
+
+def q_win_pct_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    w = Wn.series_window()
+    return _win(A.obs_monthly(spark, sf_dir), "v", Wn.pct_change_over("v", w, 1, 2).alias("pct_change"))
+
+
+def q_win_yoy_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    w = Wn.series_window()
+    return _win(A.obs_monthly(spark, sf_dir), "v", Wn.pct_change_over("v", w, 12, 2).alias("yoy_pct"))
+
+
+def q_win_yoy_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    w = Wn.series_window()
+    return _win(A.obs_quarterly(spark, sf_dir), "v", Wn.pct_change_over("v", w, 4, 2).alias("yoy_pct"))
+
+
+def q_win_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    w = Wn.series_window()
+    return _win(A.obs_rate(spark, sf_dir), "v", Wn.moving_avg("v", w, 7).alias("moving_avg_7"))
+
+
+def q_win_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    w = Wn.series_window()
+    return _win(
+        A.obs_pct(spark, sf_dir),
+        "v",
+        Wn.compounded_growth("v", w, 12, 4).alias("compound_12"),
+        Wn.frame_rows(w, 12).alias("rows_in_window"),
+    )
+
+
+def q_win_change_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    w = Wn.series_window()
+    return _win(A.obs_rate(spark, sf_dir), "v", Wn.change_label("v", w).alias("movement"))
+
+
+def q_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    d = A.obs_daily(spark, sf_dir)
+    v, day = F.col("value"), F.col("observation_date")
+    text = S.format_bde_date(day)
+    return d.select(
+        "series_id",
+        "observation_date",
+        S.safe_div(v, F.dayofmonth(day) % 3 - 1).alias("safe_ratio"),
+        F.round(v / 7.0, 3).alias("rounded"),
+        F.round(F.exp(F.ln(v / 1e6)), 10).alias("exp_ln"),
+        F.coalesce(v, F.lit(-1.0)).alias("value_or_default"),
+        F.when(v > 200000, "high").when(v > 100000, "mid").otherwise("low").alias("band"),
+        F.year(day).cast("int").alias("y"),
+        F.month(day).cast("int").alias("m"),
+        F.quarter(day).cast("int").alias("q"),
+        F.date_diff(F.last_day(day), day).cast("int").alias("days_to_month_end"),
+        F.upper(F.trim(F.col("status_code"))).isin("OK", "ND").alias("known_status"),
+        S.parse_bde_date(text).alias("parsed_date"),
+        text.alias("bde_date"),
+        F.regexp_extract(F.col("series_id"), r"^([0-9])-", 1).alias("priority_digit"),
+        S.quarter_label(day).alias("quarter_label"),
+        F.last_day(day).alias("month_end"),
+    )
+
+
+QUERIES.update(
+    {
+        "period_windows": q_period_windows,
+        "calendar_days": q_calendar_days,
+        "calendar_months": q_calendar_months,
+        "calendar_quarters": q_calendar_quarters,
+        "calendar_year_chunks": q_calendar_year_chunks,
+        "trailing_range": q_trailing_range,
+        "landing_paths": q_landing_paths,
+        "backfill_plan": q_backfill_plan,
+        "missing_periods": q_missing_periods,
+        "landed_periods": q_landed_periods,
+        "backfill_dry_run": q_backfill_dry_run,
+        "backfill_outcomes": q_backfill_outcomes,
+        "run_summary": q_run_summary,
+        "catalog_flatten": q_catalog_flatten,
+        "catalog_by_frequency": q_catalog_by_frequency,
+        "dim_frequency": q_dim_frequency,
+        "load_inventory": q_load_inventory,
+        "freshness_report": q_freshness_report,
+        "series_coverage": q_series_coverage,
+        "error_counts": q_error_counts,
+        "alert_error_rate": q_alert_error_rate,
+        "alert_silent_series": q_alert_silent_series,
+        "alert_stale_series": q_alert_stale_series,
+        "win_abs_change": q_win_abs_change,
+        "win_pct_change": q_win_pct_change,
+        "win_yoy_monthly": q_win_yoy_monthly,
+        "win_yoy_quarterly": q_win_yoy_quarterly,
+        "win_moving_avg": q_win_moving_avg,
+        "win_compound": q_win_compound,
+        "win_change_point": q_win_change_point,
+        "scalar_functions": q_scalar_functions,
+    }
+)
