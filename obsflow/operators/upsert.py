@@ -29,18 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.schema import KEYS, OBSERVATION_COLUMNS
-from obsflow.session import scratch_dir
+from obsflow.session import has_data_files, scratch_dir
 
 YEAR = "obs_year"
 DEFAULT_ORDER = ("ingested_at", "modified_at", "period_label", "position")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 — resolves the listing only
-        return True
-    except Exception:  # noqa: BLE001 — missing path or no files yet
-        return False
+    """Whether a table has been written at ``path`` (filesystem check, no Spark job)."""
+    return has_data_files(path)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None) -> None:

@@ -455,3 +455,11 @@ SELECT series_id, observation_date,
 FROM d""",
     }
 )
+
+SQL.update(
+    {
+        "stream_incremental_load": f"WITH {LANDING_CTE} SELECT * FROM loaded",
+        "stream_replay_idempotent": f"WITH {LANDING_CTE} SELECT * FROM loaded",
+        "stream_poison_file": f"WITH {LANDING_CTE} SELECT relative_path, reason FROM reject_files WHERE reason IS NOT NULL",
+    }
+)

@@ -591,3 +591,46 @@ QUERIES.update(
         "scalar_functions": q_scalar_functions,
     }
 )
+
+
+# ---------------------------------------------------------------- streaming
+from obsflow.streaming.incremental import start_incremental_load  # noqa: E402
+
+
+def _stream_into(spark: SparkSession, root: str, target: str, quarantine: str, ingested_at: str) -> None:
+    q = start_incremental_load(
+        spark, root, target, scratch_dir(spark, "stream-checkpoint"), quarantine, ingested_at, max_files_per_trigger=64
+    )
+    q.awaitTermination()
+
+
+def q_stream_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _landing(spark, sf_dir)
+    target, quarantine = scratch_dir(spark, "observations"), scratch_dir(spark, "quarantine")
+    _stream_into(spark, root, target, quarantine, LOAD_1)
+    return read_observations(spark, target).select(*ROW_COLUMNS)
+
+
+def q_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _landing(spark, sf_dir)
+    target, quarantine = scratch_dir(spark, "observations"), scratch_dir(spark, "quarantine")
+    _stream_into(spark, root, target, quarantine, LOAD_1)
+    # a full replay under a fresh checkpoint: every file is delivered again
+    _stream_into(spark, root, target, quarantine, LOAD_2)
+    return read_observations(spark, target).select(*ROW_COLUMNS)
+
+
+def q_stream_poison_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _landing(spark, sf_dir)
+    target, quarantine = scratch_dir(spark, "observations"), scratch_dir(spark, "quarantine")
+    _stream_into(spark, root, target, quarantine, LOAD_1)
+    return spark.read.parquet(quarantine).select("relative_path", "reason")
+
+
+QUERIES.update(
+    {
+        "stream_incremental_load": q_stream_incremental_load,
+        "stream_replay_idempotent": q_stream_replay_idempotent,
+        "stream_poison_file": q_stream_poison_file,
+    }
+)

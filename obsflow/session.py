@@ -50,3 +50,35 @@ def _checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{_checkpoint_root(spark)}/obsflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(path: str) -> bool:
+    """Whether a file or folder exists at ``path`` (local path or filesystem URI)."""
+    import os
+    from urllib.parse import urlparse
+
+    parsed = urlparse(path)
+    if not (parsed.scheme and len(parsed.scheme) > 1) or parsed.scheme == "file":
+        return os.path.exists(parsed.path if parsed.scheme == "file" else path)
+    import pyarrow.fs as pafs
+
+    fs, p = pafs.FileSystem.from_uri(path)
+    return fs.get_file_info(p).type != pafs.FileType.NotFound
+
+
+def has_data_files(path: str) -> bool:
+    """Whether ``path`` holds a written table (a commit marker or any visible data file)."""
+    import os
+    from urllib.parse import urlparse
+
+    if not path_exists(path):
+        return False
+    parsed = urlparse(path)
+    if not (parsed.scheme and len(parsed.scheme) > 1) or parsed.scheme == "file":
+        local = parsed.path if parsed.scheme == "file" else path
+        return any(not n.startswith((".", "_")) or n == "_SUCCESS" for n in os.listdir(local))
+    import pyarrow.fs as pafs
+
+    fs, p = pafs.FileSystem.from_uri(path)
+    infos = fs.get_file_info(pafs.FileSelector(p, recursive=False))
+    return any(not i.base_name.startswith((".", "_")) or i.base_name == "_SUCCESS" for i in infos)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.schema import LANDING_PATH_PATTERN
-from obsflow.session import scratch_dir
+from obsflow.session import path_exists, scratch_dir
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
@@ -149,7 +149,7 @@ def write_if_absent(spark: SparkSession, payloads: DataFrame, root: str, partiti
     from a materialised table. Paths already present are skipped without a write.
     """
     payloads = payloads.select("relative_path", "body")
-    existing = list_landed(spark, root) if _exists(spark, root) else spark.createDataFrame([], "relative_path string")
+    existing = list_landed(spark, root) if path_exists(root) else spark.createDataFrame([], "relative_path string")
     present = payloads.join(existing.distinct(), "relative_path", "left_semi").select(
         "relative_path", F.lit("skipped").alias("outcome")
     )
@@ -159,14 +159,3 @@ def write_if_absent(spark: SparkSession, payloads: DataFrame, root: str, partiti
     out = scratch_dir(spark, "landing-outcomes")
     written.unionByName(present).write.parquet(out)
     return spark.read.parquet(out)
-
-
-def _exists(spark: SparkSession, root: str) -> bool:
-    parsed = urlparse(root)
-    if not (parsed.scheme and len(parsed.scheme) > 1) or parsed.scheme == "file":
-        return os.path.isdir(_root_path(root))
-    import pyarrow.fs as pafs
-
-    fs, path = pafs.FileSystem.from_uri(root)
-    return fs.get_file_info(path).type != pafs.FileType.NotFound
-
