@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsflow.operators.joins import bounded_broadcast
+from obsflow.operators.joins import MAX_BROADCAST_ROWS
 from obsflow.functions.scalars import period_label
 from obsflow.plans.calendar import period_window, periods
 from obsflow.sources.landing import landing_path
@@ -116,13 +116,30 @@ def counters(outs: DataFrame) -> DataFrame:
     )
 
 
+SALT_BUCKETS = 64
+
+
+def _runs_by_catalog(runs: DataFrame, catalog: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Every run paired with every catalog series of its frequency.
+
+    The join key has three values, so a shuffle join would send all daily pairs to one
+    task. A catalog within the broadcast bound is broadcast (no shuffle at all); a larger
+    one is salted: catalog rows get a bucket from their id, runs are replicated into every
+    bucket, and the join runs on (frequency, bucket).
+    """
+    if catalog.limit(max_rows + 1).count() <= max_rows:
+        return runs.join(F.broadcast(catalog), "frequency")
+    salted_cat = catalog.withColumn("_salt", F.pmod(F.xxhash64("series_id"), F.lit(SALT_BUCKETS)))
+    salted_runs = runs.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT_BUCKETS - 1).cast("long"))))
+    return salted_runs.join(salted_cat, ["frequency", "_salt"]).drop("_salt")
+
+
 def ingest_outcomes(runs: DataFrame, catalog: DataFrame, landed: DataFrame, available: DataFrame, fetch_errors: DataFrame | None = None) -> DataFrame:
     """The scheduled ingest: for each run ``(as_of, frequency)``, every catalog series of
     that frequency targets the previous period; landed → skipped, else written when the
     source has data, empty when not, error when the fetch fails."""
-    cat = bounded_broadcast(catalog.select("series_id", "frequency"))
     w = runs.select("as_of", "frequency", period_window("frequency", "as_of").alias("w"))
-    targets = w.join(cat, "frequency").select(
+    targets = _runs_by_catalog(w, catalog.select("series_id", "frequency")).select(
         "as_of",
         "frequency",
         "series_id",

@@ -599,7 +599,7 @@ from obsflow.streaming.incremental import start_incremental_load  # noqa: E402
 
 def _stream_into(spark: SparkSession, root: str, target: str, quarantine: str, ingested_at: str) -> None:
     q = start_incremental_load(
-        spark, root, target, scratch_dir(spark, "stream-checkpoint"), quarantine, ingested_at, max_files_per_trigger=64
+        spark, root, target, scratch_dir(spark, "stream-checkpoint"), quarantine, ingested_at, max_files_per_trigger=10_000
     )
     q.awaitTermination()
 
