@@ -21,7 +21,7 @@ INFINITY_TEXT = r"^[+-]?(?i:inf|infinity)$"
 NAN_TEXT = r"^[+-]?(?i:nan)$"
 # payload dates are day-month-year; day and month may have one digit (a day may also be a
 # blank followed by one digit), the year has exactly four
-BDE_DATE_TEXT = r"^(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])-(1[0-2]|0[1-9]|[1-9])-([0-9]{4})$"
+PAYLOAD_DATE_TEXT = r"^(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])-(1[0-2]|0[1-9]|[1-9])-([0-9]{4})$"
 # -----------------------------------------------------------------------------------------
 
 
@@ -58,17 +58,17 @@ def value_unparseable(raw: Column | str, value: Column | str) -> Column:
     return _c(value).isNull() & _c(raw).isNotNull() & (_c(raw) != "")
 
 
-def parse_bde_date(text: Column | str) -> Column:
+def parse_payload_date(text: Column | str) -> Column:
     """``DD-MM-YYYY`` text → date; wrong shape, impossible day or year 0 → NULL."""
     t = _c(text)
-    day = F.regexp_extract(t, BDE_DATE_TEXT, 1)
-    month = F.regexp_extract(t, BDE_DATE_TEXT, 2)
-    year = F.regexp_extract(t, BDE_DATE_TEXT, 3)
+    day = F.regexp_extract(t, PAYLOAD_DATE_TEXT, 1)
+    month = F.regexp_extract(t, PAYLOAD_DATE_TEXT, 2)
+    year = F.regexp_extract(t, PAYLOAD_DATE_TEXT, 3)
     iso = F.concat_ws("-", year, month, F.trim(day))
-    return F.when(t.rlike(BDE_DATE_TEXT) & (year != "0000"), F.try_to_date(iso, "yyyy-M-d"))
+    return F.when(t.rlike(PAYLOAD_DATE_TEXT) & (year != "0000"), F.try_to_date(iso, "yyyy-M-d"))
 
 
-def format_bde_date(d: Column | str) -> Column:
+def format_payload_date(d: Column | str) -> Column:
     return F.date_format(_c(d), "dd-MM-yyyy")
 
 

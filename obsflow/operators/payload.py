@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.functions.scalars import coerce_value, format_bde_date, parse_bde_date, value_unparseable
+from obsflow.functions.scalars import coerce_value, format_payload_date, parse_payload_date, value_unparseable
 from obsflow.schema import PAYLOAD
 
 # --- fixed values: reject reasons --------------------------------------------------------
@@ -40,7 +40,7 @@ def _date_missing(o: Column) -> Column:
 
 
 def _date_bad(o: Column) -> Column:
-    return parse_bde_date(o["indexDateString"]).isNull()
+    return parse_payload_date(o["indexDateString"]).isNull()
 
 
 def parse_payloads(files: DataFrame, body: str = "body") -> DataFrame:
@@ -82,7 +82,7 @@ def flatten_payloads(parsed: DataFrame, ingested_at: dt.datetime | str | Column
     value = coerce_value(raw)
     return exploded.select(
         "series_id",
-        parse_bde_date(F.col("o.indexDateString")).alias("observation_date"),
+        parse_payload_date(F.col("o.indexDateString")).alias("observation_date"),
         value.alias("value"),
         F.col("o.statusCode").alias("status_code"),
         "frequency",
@@ -107,7 +107,7 @@ def payload_body(codigo: Column, descripcion: Column, series_id: Column, descrip
 def obs_element(observation_date: Column, value_text: Column, status: Column) -> Column:
     """One payload observation, fields in sorted key order."""
     return F.struct(
-        format_bde_date(observation_date).alias("indexDateString"),
+        format_payload_date(observation_date).alias("indexDateString"),
         status.alias("statusCode"),
         value_text.alias("value"),
     )
@@ -134,7 +134,7 @@ def split_by_day(payloads: DataFrame, year: Column | str) -> DataFrame:
         F.col("payload.Series.seriesId").alias("_sid"),
         F.col("payload.Series.descripEsp").alias("_descrip"),
         F.posexplode("payload.Series.Obs").alias("_pos", "o"),
-    ).withColumn("_day", parse_bde_date(F.col("o.indexDateString")))
+    ).withColumn("_day", parse_payload_date(F.col("o.indexDateString")))
     kept = exploded.where(F.col("_day").isNotNull() & (F.year("_day") == F.col("_year")))
     last = kept.groupBy("series_id", "_year", "_day").agg(
         F.max_by(F.struct("_codigo", "_descripcion", "_sid", "_descrip", "o"), F.col("_pos")).alias("p")

@@ -448,7 +448,7 @@ SELECT series_id, observation_date,
        CAST(quarter(observation_date) AS INTEGER) AS q,
        CAST(date_diff('day', observation_date, last_day(observation_date)) AS INTEGER) AS days_to_month_end,
        upper(trim(status_code)) IN ('OK', 'ND') AS known_status,
-       observation_date AS parsed_date, strftime(observation_date, '%d-%m-%Y') AS bde_date,
+       observation_date AS parsed_date, strftime(observation_date, '%d-%m-%Y') AS payload_date,
        regexp_extract(series_id, '^([0-9])-', 1) AS priority_digit,
        strftime(observation_date, '%Y') || '-Q' || CAST(quarter(observation_date) AS VARCHAR) AS quarter_label,
        last_day(observation_date) AS month_end

@@ -241,12 +241,12 @@ def q_split_payload_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     yearly = P.parse_payloads(per_year.select("series_id", "_year", body.alias("body")))
     days = P.split_by_day(yearly, "_year")
     back = P.parse_payloads(days).select("series_id", "period_label", F.explode("payload.Series.Obs").alias("o"))
-    from obsflow.functions.scalars import parse_bde_date
+    from obsflow.functions.scalars import parse_payload_date
 
     return back.select(
         "series_id",
         "period_label",
-        parse_bde_date(F.col("o.indexDateString")).alias("observation_date"),
+        parse_payload_date(F.col("o.indexDateString")).alias("observation_date"),
         coerce_value(F.col("o.value")).alias("value"),
         F.col("o.statusCode").alias("status_code"),
     )
@@ -534,7 +534,7 @@ def q_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     d = A.obs_daily(spark, sf_dir)
     v, day = F.col("value"), F.col("observation_date")
-    text = S.format_bde_date(day)
+    text = S.format_payload_date(day)
     return d.select(
         "series_id",
         "observation_date",
@@ -548,8 +548,8 @@ def q_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.quarter(day).cast("int").alias("q"),
         F.date_diff(F.last_day(day), day).cast("int").alias("days_to_month_end"),
         F.upper(F.trim(F.col("status_code"))).isin("OK", "ND").alias("known_status"),
-        S.parse_bde_date(text).alias("parsed_date"),
-        text.alias("bde_date"),
+        S.parse_payload_date(text).alias("parsed_date"),
+        text.alias("payload_date"),
         F.regexp_extract(F.col("series_id"), r"^([0-9])-", 1).alias("priority_digit"),
         S.quarter_label(day).alias("quarter_label"),
         F.last_day(day).alias("month_end"),

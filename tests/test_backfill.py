@@ -68,10 +68,10 @@ def test_run_summary_lists(spark):
     cat = spark.createDataFrame([("A", "daily"), ("B", "daily"), ("C", "daily"), ("D", "daily"), ("M", "monthly")], "series_id string, frequency string")
     landed = spark.createDataFrame([("raw/daily/A/2026-07-13.json",)], "relative_path string")
     available = spark.createDataFrame([("B", "daily", D(2026, 7, 13)), ("D", "daily", D(2026, 7, 13))], "series_id string, frequency string, observation_date date")
-    errors = spark.createDataFrame([(D(2026, 7, 14), "D", "BDEError: -50")], "as_of date, series_id string, error string")
+    errors = spark.createDataFrame([(D(2026, 7, 14), "D", "SourceError: -50")], "as_of date, series_id string, error string")
     r = B.run_summary(B.ingest_outcomes(runs, cat, landed, available, errors)).first()
     assert (r.period_label, r.processed, r.skipped, r.empty) == ("2026-07-13", 1, 1, ["C"])
-    assert [(e.series_id, e.error) for e in r.errors] == [("D", "BDEError: -50")]
+    assert [(e.series_id, e.error) for e in r.errors] == [("D", "SourceError: -50")]
 
 
 def test_catalog_flatten_rules(spark):

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from obsflow.functions.scalars import coerce_value, parse_bde_date, quarter_label, safe_div, value_unparseable
+from obsflow.functions.scalars import coerce_value, parse_payload_date, quarter_label, safe_div, value_unparseable
 from obsflow.sources.landing import decode_path, landing_path
 
 VALUE_CASES = [
@@ -80,15 +80,15 @@ DATE_CASES = [
 
 
 @pytest.mark.parametrize("text,want", DATE_CASES)
-def test_bde_date(spark, text, want):
-    r = spark.createDataFrame([(text,)], "t string").select(parse_bde_date(F.col("t")).alias("d")).first()
+def test_payload_date(spark, text, want):
+    r = spark.createDataFrame([(text,)], "t string").select(parse_payload_date(F.col("t")).alias("d")).first()
     assert r.d == want
 
 
 PATH_CASES = [
-    ("raw/daily/F073.TCO.PRE.Z.D/2026-07-14.json", True, ("daily", "F073.TCO.PRE.Z.D", "2026-07-14")),
-    ("raw/monthly/F074.IPC.VAR.Z.Z.C.M/2026-06.json", True, ("monthly", "F074.IPC.VAR.Z.Z.C.M", "2026-06")),
-    ("raw/quarterly/F032.PIB/2026-Q2.json", True, ("quarterly", "F032.PIB", "2026-Q2")),
+    ("raw/daily/USD.OBS.D/2026-07-14.json", True, ("daily", "USD.OBS.D", "2026-07-14")),
+    ("raw/monthly/CPI.VAR.M/2026-06.json", True, ("monthly", "CPI.VAR.M", "2026-06")),
+    ("raw/quarterly/GDP.Q/2026-Q2.json", True, ("quarterly", "GDP.Q", "2026-Q2")),
     ("raw/weekly/X/2026-07-14.json", False, None),
     ("raw/daily/X/2026-07-14.txt", False, None),
     ("dead_letter/raw/daily/X/2026-07-14.json", False, None),
