@@ -463,3 +463,5 @@ SQL.update(
         "stream_poison_file": f"WITH {LANDING_CTE} SELECT relative_path, reason FROM reject_files WHERE reason IS NOT NULL",
     }
 )
+
+SQL["fact_scan"] = VALID_OBSERVATIONS

@@ -634,3 +634,31 @@ QUERIES.update(
         "stream_poison_file": q_stream_poison_file,
     }
 )
+
+
+# ---------------------------------------------------------------- stored fact table
+from obsflow.sources.observations import scan_observations  # noqa: E402
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_observations(spark: SparkSession, sf_dir: str) -> str:
+    """The consolidated fact written once (per folder and session) as the year-partitioned
+    observation table, through the upsert path."""
+    from obsflow.session import _checkpoint_root
+
+    key = (sf_dir.rstrip("/"), _checkpoint_root(spark))
+    if key not in _STORED:
+        path = scratch_dir(spark, "observations-table")
+        upsert(spark, path, A.observations(spark, sf_dir))
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def q_fact_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    path = stored_observations(spark, sf_dir)
+    return scan_observations(spark, path, valid_only=True).select("series_id", "observation_date", "value", "frequency")
+
+
+QUERIES["fact_scan"] = q_fact_scan

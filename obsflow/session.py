@@ -22,8 +22,6 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # upserts rewrite only the partitions they touch
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

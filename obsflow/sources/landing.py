@@ -7,7 +7,8 @@
 * ``list_landed`` lists paths without reading file bodies (binary-file scan, content
   column never requested).
 * ``write_if_absent`` writes payloads create-only: a path that already exists is skipped
-  (as is the loser of a concurrent create). Spark's writers cannot choose file names, so
+  (as is the loser of a concurrent create). A payload is written to a hidden temporary
+  name and published in one step, so readers never see a partial file. Spark's writers cannot choose file names, so
   this one step runs Python inside tasks: payloads are hash-partitioned by path and each
   task creates its own files. Outcomes are materialised once in the shared scratch area so
   that re-reading them never re-runs the writes.
@@ -16,6 +17,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,22 +119,32 @@ def _writer(root: str):
                 data = body.encode("utf-8")
                 if local:
                     full = f"{base}/{rel}"
-                    os.makedirs(os.path.dirname(full), exist_ok=True)
+                    folder, name = os.path.split(full)
+                    os.makedirs(folder, exist_ok=True)
+                    # write a hidden temporary file, then publish it with a hard link: the
+                    # link is atomic and fails if the name exists, so a concurrent writer or a
+                    # retried task never sees, nor leaves, a half-written payload
+                    tmp = os.path.join(folder, f".{name}.{uuid.uuid4().hex}.tmp")
+                    with open(tmp, "wb") as fh:
+                        fh.write(data)
                     try:
-                        # exclusive create: the loser of a concurrent create sees it exists
-                        with open(full, "xb") as fh:
-                            fh.write(data)
+                        os.link(tmp, full)
                         outcomes.append("written")
                     except FileExistsError:
                         outcomes.append("skipped")
+                    finally:
+                        os.unlink(tmp)
                 else:
                     full = f"{base_path}/{rel}"
                     if fs.get_file_info(full).type != pafs.FileType.NotFound:
                         outcomes.append("skipped")
                         continue
-                    fs.create_dir(full.rsplit("/", 1)[0], recursive=True)
-                    with fs.open_output_stream(full) as fh:
+                    folder, name = full.rsplit("/", 1)
+                    fs.create_dir(folder, recursive=True)
+                    tmp = f"{folder}/.{name}.{uuid.uuid4().hex}.tmp"
+                    with fs.open_output_stream(tmp) as fh:
                         fh.write(data)
+                    fs.move(tmp, full)
                     outcomes.append("written")
             yield pd.DataFrame({"relative_path": pdf["relative_path"], "outcome": outcomes})
 

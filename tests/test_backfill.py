@@ -97,3 +97,13 @@ def test_read_catalog_json(spark, tmp_path):
     p.write_text('{"series": {"daily": [{"id": "A", "name": "Dólar", "unit": "CLP"}], "quarterly": null}}', encoding="utf-8")
     rows = CT.flatten_catalog(CT.read_catalog(spark, str(p))).collect()
     assert [(r.series_id, r.name, r.description) for r in rows] == [("A", "Dólar", "")]
+
+
+def test_salted_run_pairing_equals_broadcast(spark):
+    runs = spark.createDataFrame([(D(2026, 7, 14), "daily"), (D(2026, 7, 14), "monthly"), (D(2026, 7, 15), "daily")], "as_of date, frequency string")
+    cat = spark.createDataFrame([(f"S{i}", "daily" if i % 3 else "monthly") for i in range(50)], "series_id string, frequency string")
+    plain = B._runs_by_catalog(runs, cat)
+    salted = B._runs_by_catalog(runs, cat, max_rows=0)  # forces the salted shuffle join
+    assert "BroadcastHashJoin" not in salted._jdf.queryExecution().executedPlan().toString()
+    assert sorted(plain.collect()) == sorted(salted.collect())
+    assert salted.count() == 2 * 33 + 17

@@ -85,3 +85,22 @@ def test_dimension_upsert_unpartitioned(spark, tmp_root):
     upsert(spark, tmp_root, new, keys=["series_id"], columns=cols, order_by=["updated_at"], partition_by_year=False, cluster_by=None)
     got = {r.series_id: (r.name, r.updated_at) for r in spark.read.parquet(tmp_root).collect()}
     assert got == {"A": ("a", T1), "B": ("b2", T2), "C": ("c", T2)}
+
+
+def test_stored_scan_prunes_partitions_and_pushes_filters(spark, tmp_root):
+    from obsflow.sources.observations import scan_observations
+
+    d = dt.date
+    rows = [("A", d(2023, 1, 1), 1.0, "OK", "daily", T1), ("A", d(2024, 1, 1), 2.0, "OK", "daily", T1), ("B", d(2024, 2, 1), None, "OK", "daily", T1)]
+    upsert(spark, tmp_root, _obs(spark, rows))
+    df = scan_observations(spark, tmp_root, series_ids=["A", "B"], first="2024-01-01", valid_only=True)
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(obs_year" in plan and "(obs_year#" in plan
+    assert "In(series_id, [A,B])" in plan and "EqualTo(status_code,OK)" in plan and "IsNotNull(value)" in plan
+    assert [(r.series_id, r.value) for r in df.collect()] == [("A", 2.0)]
