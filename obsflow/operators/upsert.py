@@ -7,14 +7,18 @@ upsert twice leaves the table as running it once.
 Plan, for a table partitioned by ``obs_year``:
 
 1. required-key guard (``raise_error`` inside the projection, no extra pass);
-2. source dedupe to one row per key, latest first by the given order columns
-   (``max_by`` — a partial aggregate, so duplicates collapse map-side);
-3. the deduped source is staged once in the shared scratch folder, partitioned by year
-   (this also cuts its lineage: the landing scan is never re-run);
-4. touched years are read from the staged partition listing (metadata only);
-5. the target's touched partitions (partition-pruned scan) minus the source keys
-   (``left_anti``), plus the source, are staged, laid out by year and series;
-6. the staged result replaces exactly those partitions (dynamic partition overwrite).
+2. one exchange by series, then the dedupe to one row per key, latest first by the given
+   order columns (``max_by``), sorted by year, series and date;
+3. the deduped source is staged once in the shared scratch folder, partitioned by year —
+   the only pass over the source, which also cuts its lineage (the landing scan or the
+   adapters never re-run); an empty source stops here and leaves the target untouched;
+4. first load: the staged files are copied to the target (no shuffle);
+5. otherwise the touched years come from the staged file listing; the target's touched
+   partitions (partition-pruned scan) minus the source keys (``left_anti``; the keys are
+   broadcast when their checked count is within the bound, so the large side is not
+   shuffled), plus the source, are staged;
+6. the staged result replaces exactly those partitions (dynamic partition overwrite,
+   applied at job commit).
 
 The result never reads and overwrites one path in the same job. Concurrent writers to one
 table are not supported. Returns the number of source rows sent (before dedupe).
@@ -22,12 +26,14 @@ table are not supported. Returns the number of source rows sent (before dedupe).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obsflow.operators.joins import MAX_BROADCAST_ROWS
 from obsflow.schema import KEYS, OBSERVATION_COLUMNS
 from obsflow.session import has_data_files, scratch_dir
 
@@ -73,12 +79,31 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], columns: Sequence[str], or
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def _layout(df: DataFrame, partitioned: bool, cluster: str | None) -> DataFrame:
-    """SNK-4: spread each year over tasks by series, sort within files by series and date."""
+def _sorted_layout(df: DataFrame, partitioned: bool) -> DataFrame:
+    """SNK-4: rows sorted by (year,) series and date inside each task, so every written
+    file is clustered by series (narrow row-group statistics for series filters)."""
+    order = ([YEAR] if partitioned else []) + [c for c in ("series_id", "observation_date") if c in df.columns]
+    return df.sortWithinPartitions(*order) if order else df
+
+
+def _write(df: DataFrame, path: str, partitioned: bool, mode: str = "error", dynamic: bool = False) -> None:
+    w = df.write.mode(mode)
     if partitioned:
-        keys = [YEAR] + ([cluster] if cluster else [])
-        return df.repartition(*keys).sortWithinPartitions(*keys, *(["observation_date"] if "observation_date" in df.columns else []))
-    return df.repartition(*([cluster] if cluster else [])) if cluster else df
+        w = w.partitionBy(YEAR)
+    if dynamic:
+        # only the partitions present in ``df`` are replaced, at job commit
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
+
+
+def _years_of(staged: DataFrame) -> list[int]:
+    """Partition values of a staged, year-partitioned table, from its file listing."""
+    found = set()
+    for f in staged.inputFiles():
+        m = re.search(rf"/{YEAR}=(-?[0-9]+)/", f)
+        if m:
+            found.add(int(m.group(1)))
+    return sorted(found)
 
 
 def upsert(
@@ -90,52 +115,58 @@ def upsert(
     order_by: Sequence[str] = DEFAULT_ORDER,
     partition_by_year: bool = True,
     cluster_by: str | None = "series_id",
+    compact: bool = False,
+    max_broadcast_keys: int = MAX_BROADCAST_ROWS,
 ) -> int:
-    """SNK-1/SNK-2: keyed upsert of ``source`` into the Parquet table at ``target``."""
+    """SNK-1/SNK-2: keyed upsert of ``source`` into the Parquet table at ``target``.
+
+    ``compact=True`` re-clusters the rewritten partitions with a shuffle by series (fewer,
+    larger files); by default rewritten files keep their order and no target row is
+    shuffled when the source keys fit the broadcast bound.
+    """
     keys, columns = list(keys), list(columns)
-    # SNK-11: nothing to load → no staging, no rewrite
-    if source.isEmpty():
-        return 0
+    part = partition_by_year
     sent = Observation("upsert_source")
     src = require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys)
+    if cluster_by:
+        # one exchange serves both the dedupe (clustered by a subset of its keys) and the
+        # file layout (a series' rows land in one task)
+        src = src.repartition(cluster_by)
     src = dedupe_latest(src, keys, columns, order_by)
-    if partition_by_year:
+    if part:
         src = src.withColumn(YEAR, F.year("observation_date"))
 
     staged_src = scratch_dir(spark, "upsert-source")
-    writer = src.write
-    if partition_by_year:
-        writer = writer.partitionBy(YEAR)
-    writer.parquet(staged_src)
+    _write(_sorted_layout(src, part), staged_src, part)
+    # SNK-11: nothing to load → nothing merged, target untouched
+    if not has_data_files(staged_src, marker_counts=False):
+        return 0
     rows_sent = int(sent.get["rows"])
     src = spark.read.parquet(staged_src)
 
     if not table_exists(spark, target):
-        out = _layout(src, partition_by_year, cluster_by).write.mode("overwrite")
-        if partition_by_year:
-            out = out.partitionBy(YEAR)
-        out.parquet(target)
+        # first load: a file-to-file copy of the staged, laid-out source
+        _write(src, target, part, mode="overwrite")
         return rows_sent
 
     old = spark.read.parquet(target)
-    if partition_by_year:
-        years = [r[0] for r in src.select(YEAR).distinct().collect()]  # partition listing only
-        old = old.where(F.col(YEAR).isin(years))
-    keep_cols = columns + ([YEAR] if partition_by_year else [])
-    kept = old.select(*keep_cols).join(src.select(*keys), keys, "left_anti")
+    if part:
+        old = old.where(F.col(YEAR).isin(_years_of(src)))  # partition pruning
+    keep_cols = columns + ([YEAR] if part else [])
+    src_keys = src.select(*keys)
+    if rows_sent <= max_broadcast_keys:
+        # the batch's keys are bounded (checked count): target rows stream through a
+        # map-side anti-join, no shuffle of the large side
+        src_keys = F.broadcast(src_keys)
+    kept = old.select(*keep_cols).join(src_keys, keys, "left_anti")
     merged = kept.unionByName(src.select(*keep_cols))
+    if compact and cluster_by:
+        merged = _sorted_layout(merged.repartition(*([YEAR] if part else []), cluster_by), part)
 
     staged = scratch_dir(spark, "upsert-merged")
-    w = _layout(merged, partition_by_year, cluster_by).write
-    if partition_by_year:
-        w = w.partitionBy(YEAR)
-    w.parquet(staged)
-
-    final = spark.read.parquet(staged).write.mode("overwrite")
-    if partition_by_year:
-        # only the partitions present in the staged result are replaced
-        final = final.option("partitionOverwriteMode", "dynamic").partitionBy(YEAR)
-    final.parquet(target)
+    _write(merged, staged, part)
+    # the target is never read and overwritten by one job: replace from the staged copy
+    _write(spark.read.parquet(staged), target, part, mode="overwrite", dynamic=part)
     return rows_sent
 
 

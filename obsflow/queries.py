@@ -61,7 +61,7 @@ def q_view_pib_trimestral(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dashboard_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return V.dashboard_long(A.observations(spark, sf_dir), _seed(spark))
+    return V.dashboard_long(_fact(spark, sf_dir), _seed(spark))
 
 
 QUERIES: dict[str, Query] = {
@@ -208,7 +208,7 @@ def q_upsert_dim_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     target = scratch_dir(spark, "dim_series")
     upsert(spark, target, _seed(spark), keys=["series_id"], columns=A.DIM_COLUMNS, partition_by_year=False, cluster_by=None)
-    series = A.observations(spark, sf_dir).where(F.col("frequency").isin("daily", "quarterly"))
+    series = _fact(spark, sf_dir).where(F.col("frequency").isin("daily", "quarterly"))
     source = series.select("series_id", "frequency").distinct().select(
         "series_id",
         F.concat(F.lit("Serie "), "series_id").alias("name"),
@@ -337,20 +337,20 @@ def q_calendar_year_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_trailing_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    b = _per_series_bounds(A.observations(spark, sf_dir))
+    b = _per_series_bounds(_fact(spark, sf_dir))
     r = C.trailing_years(F.date_add("mx", 1), 5)
     return b.select("series_id", r["start_date"].alias("start_date"), r["end_date"].alias("end_date"))
 
 
 def q_landing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    obs = A.observations(spark, sf_dir)
+    obs = _fact(spark, sf_dir)
     label = S.period_label("frequency", "observation_date")
     return obs.select("series_id", "observation_date", LZ.landing_path("frequency", "series_id", label).alias("relative_path"))
 
 
 def _plan_status(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    obs = A.observations(spark, sf_dir)
+    obs = _fact(spark, sf_dir)
     start, end = _bounds(obs)
     planned = B.plan(_catalog(obs), start, end)
     return planned, _landed_paths(obs), obs
@@ -388,7 +388,7 @@ def q_backfill_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    obs = A.observations(spark, sf_dir)
+    obs = _fact(spark, sf_dir)
     runs = A.read_table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("as_of")).distinct()
     runs = runs.select("as_of", F.explode(_freqs()).alias("frequency"))
     outs = B.ingest_outcomes(runs, _catalog(obs), _landed_paths(obs), obs)
@@ -398,7 +398,7 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _catalog_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog documents derived from the fact: one per series, names from the seed, plus
     one document per frequency whose list is null (tolerated)."""
-    obs = A.observations(spark, sf_dir)
+    obs = _fact(spark, sf_dir)
     series = _catalog(obs)
     named = series.join(F.broadcast(_seed(spark).select("series_id", "name", "unit", "description")), "series_id", "left")
     entry = F.struct(
@@ -426,7 +426,7 @@ def q_catalog_by_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dim_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    obs = A.observations(spark, sf_dir)
+    obs = _fact(spark, sf_dir)
     counts = _catalog(obs).groupBy("frequency").agg(F.count(F.lit(1)).cast("long").alias("series"))
     return CT.dim_frequency(spark).join(counts, "frequency", "left").select(
         "frequency", "description", "schedule_cron", F.coalesce("series", F.lit(0).cast("long")).alias("series")
@@ -435,19 +435,19 @@ def q_dim_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_load_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return R.load_inventory(A.observations(spark, sf_dir))
+    return R.load_inventory(_fact(spark, sf_dir))
 
 
 def q_freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    obs = A.observations(spark, sf_dir)
+    obs = _fact(spark, sf_dir)
     _, end = _bounds(obs)
     return R.freshness_report(obs, _seed(spark), F.date_add(F.lit(end), 1))
 
 
 def q_series_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    obs = A.observations(spark, sf_dir)
+    obs = _fact(spark, sf_dir)
     _, end = _bounds(obs)
     return R.series_coverage(_catalog(obs), obs, F.date_sub(F.lit(end), 90), F.lit(end))
 
@@ -466,14 +466,14 @@ def q_alert_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_alert_silent_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    obs = A.observations(spark, sf_dir)
+    obs = _fact(spark, sf_dir)
     start, end = _bounds(obs)
     return R.alert_silent_series(_catalog(obs), obs, start, end)
 
 
 def q_alert_stale_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    obs = A.observations(spark, sf_dir)
+    obs = _fact(spark, sf_dir)
     _, end = _bounds(obs)
     return R.alert_stale_series(spark, obs, F.date_add(F.lit(end), 1))
 
@@ -655,6 +655,11 @@ def stored_observations(spark: SparkSession, sf_dir: str) -> str:
     return _STORED[key]
 
 
+def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored observation table (built from the driver's tables on first use)."""
+    return scan_observations(spark, stored_observations(spark, sf_dir))
+
+
 def q_fact_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     path = stored_observations(spark, sf_dir)

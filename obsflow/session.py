@@ -64,8 +64,9 @@ def path_exists(path: str) -> bool:
     return fs.get_file_info(p).type != pafs.FileType.NotFound
 
 
-def has_data_files(path: str) -> bool:
-    """Whether ``path`` holds a written table (a commit marker or any visible data file)."""
+def has_data_files(path: str, marker_counts: bool = True) -> bool:
+    """Whether ``path`` holds a written table: any visible data file or partition folder,
+    or (when ``marker_counts``) a commit marker of an empty table."""
     import os
     from urllib.parse import urlparse
 
@@ -74,9 +75,9 @@ def has_data_files(path: str) -> bool:
     parsed = urlparse(path)
     if not (parsed.scheme and len(parsed.scheme) > 1) or parsed.scheme == "file":
         local = parsed.path if parsed.scheme == "file" else path
-        return any(not n.startswith((".", "_")) or n == "_SUCCESS" for n in os.listdir(local))
+        return any(not n.startswith((".", "_")) or (marker_counts and n == "_SUCCESS") for n in os.listdir(local))
     import pyarrow.fs as pafs
 
     fs, p = pafs.FileSystem.from_uri(path)
     infos = fs.get_file_info(pafs.FileSelector(p, recursive=False))
-    return any(not i.base_name.startswith((".", "_")) or i.base_name == "_SUCCESS" for i in infos)
+    return any(not i.base_name.startswith((".", "_")) or (marker_counts and i.base_name == "_SUCCESS") for i in infos)
