@@ -1,6 +1,6 @@
 """File-arrival incremental load with Structured Streaming.
 
-A file stream over the landing root (whole text per file, recursive) feeds
+A file stream over the landing root (one row per file, recursive) feeds
 ``foreachBatch``: decode the path, ignore off-pattern arrivals, parse and validate each
 payload, append rejected files to a quarantine table, flatten the rest and upsert them
 into the observation table. The checkpoint records which files were processed;
@@ -27,16 +27,19 @@ from obsflow.session import scratch_dir
 from obsflow.sources.landing import decode_path, relative_path
 
 
+_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
 def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """STR-1 source: one row per newly arrived file under ``root``."""
-    reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
+    reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(root.rstrip("/"))
     return raw.select(
-        relative_path(F.col("_metadata.file_path"), root).alias("relative_path"),
-        F.col("value").alias("body"),
-        F.col("_metadata.file_modification_time").alias("modified_at"),
+        relative_path(F.col("path"), root).alias("relative_path"),
+        F.col("content").cast("string").alias("body"),
+        F.col("modificationTime").alias("modified_at"),
     )
 
 

@@ -77,3 +77,15 @@ def test_stream_replay_and_poison(spark, tmp_root):
     _write(tmp_root, "raw/daily/A B/2026-07-20.json", _payload("20-07-2026", "7"))
     start_incremental_load(spark, tmp_root, target, ck, None, "2026-07-19 00:00:00").awaitTermination()
     assert read_observations(spark, target).where(F.col("value") == 7.0).count() == 1
+
+
+def test_zero_length_file_is_a_failed_load(spark, tmp_root):
+    _zone(tmp_root)
+    _write(tmp_root, "raw/daily/A B/2026-07-17.json", "")
+    files = L.parsed_files(spark, tmp_root)
+    assert [(r.relative_path, r.reason) for r in L.rejects(files).orderBy("relative_path").collect()] == [
+        ("raw/daily/A B/2026-07-15.json", "invalid_json"),
+        ("raw/daily/A B/2026-07-17.json", "invalid_json"),
+    ]
+    r = L.load_summary(files).first()
+    assert (r.files_scanned, r.files_skipped, r.files_failed, r.rows_extracted) == (3, 1, 2, 3)
