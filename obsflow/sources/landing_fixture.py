@@ -136,7 +136,7 @@ def ignored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def shape(t: str) -> Column:
         parts = []
-        for i, chunk in enumerate(t.replace("{d}", "\0d\0").replace("{s}", "\0s\0").split("\0")):
+        for chunk in t.replace("{d}", "\0d\0").replace("{s}", "\0s\0").split("\0"):
             if chunk == "d":
                 parts.append(d)
             elif chunk == "s":

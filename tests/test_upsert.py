@@ -4,7 +4,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from obsflow.operators.upsert import read_observations, upsert
 from obsflow.schema import OBSERVATIONS
