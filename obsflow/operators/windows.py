@@ -23,10 +23,13 @@ def valid_observations(obs: DataFrame) -> DataFrame:
     return obs.where((F.col("status_code") == VALID_STATUS) & F.col("value").isNotNull())
 
 
-def select_series(obs: DataFrame, series_ids: Sequence[str] | str | None) -> DataFrame:
-    """FLT-2: optional series selection (a partition-key filter, safe before windows)."""
+def select_series(obs: DataFrame, series_ids: Sequence[str] | str | Column | None) -> DataFrame:
+    """FLT-2: optional series selection — ids, or a predicate on the series (a
+    partition-key filter, so it is safe before windows and Catalyst pushes it down)."""
     if series_ids is None:
         return obs
+    if isinstance(series_ids, Column):
+        return obs.where(series_ids)
     ids = [series_ids] if isinstance(series_ids, str) else list(series_ids)
     return obs.where(F.col("series_id").isin(ids))
 

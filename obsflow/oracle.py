@@ -73,8 +73,18 @@ FROM (SELECT {sid} AS series_id, CAST(date_trunc('month', l_shipdate) AS DATE) A
 
 
 OBS_PCT = _pct()
+OBS_RATE_N = _gapped(
+    """SELECT o_orderpriority || '.N' AS series_id, CAST(o_orderdate AS DATE) AS observation_date,
+          CAST(COUNT(*) AS DOUBLE) AS v
+   FROM orders GROUP BY 1, 2""",
+    13,
+    10,
+)
+
 OBSERVATIONS = f"""{OBS_DAILY}
 UNION ALL
+{OBS_RATE_N}
+UNION ALL
 {_orders_by('month', 'monthly', '.M')}
 UNION ALL
 {_orders_by('quarter', 'quarterly', '.Q')}
@@ -87,6 +97,18 @@ DIM_SEED_SQL = "SELECT * FROM (VALUES " + ",\n  ".join(
 
 VALID = "status_code = 'OK' AND value IS NOT NULL"
 
+FAMILY = {
+    "daily_value": "frequency = 'daily' AND NOT ends_with(series_id, '.N')",
+    "daily_count": "ends_with(series_id, '.N')",
+    "monthly_value": "ends_with(series_id, '.M')",
+    "quarterly_value": "ends_with(series_id, '.Q')",
+    "monthly_pct": "starts_with(series_id, 'RF-')",
+}
+
+
+def _fam(name: str) -> str:
+    return f"SELECT * FROM ({OBSERVATIONS}) f WHERE {FAMILY[name]}"
+
 
 def _view(obs: str, body: str) -> str:
     return f"WITH obs AS ({obs}),\nbase AS (SELECT * FROM obs WHERE {VALID})\n{body}"
@@ -101,7 +123,7 @@ def _pct_sql(col: str, n: int, digits: int) -> str:
 
 
 VIEW_UF_DIARIA = _view(
-    OBS_DAILY,
+    _fam("daily_value"),
     f"""SELECT series_id, observation_date, value AS uf_clp,
        value - LAG(value) OVER ({W}) AS cambio_diario_clp,
        {_pct_sql('value', 1, 6)} AS variacion_pct
@@ -109,7 +131,7 @@ FROM base""",
 )
 
 VIEW_TIPO_CAMBIO = _view(
-    OBS_DAILY,
+    _fam("daily_value"),
     f"""SELECT series_id, observation_date, value AS clp_per_usd,
        value - LAG(value) OVER ({W}) AS cambio_diario_clp,
        {_pct_sql('value', 1, 4)} AS variacion_pct,
@@ -118,7 +140,7 @@ FROM base""",
 )
 
 VIEW_TPM = _view(
-    OBS_RATE,
+    _fam("daily_count"),
     f"""SELECT series_id, observation_date, value AS tpm_pct,
        value - LAG(value) OVER ({W}) AS cambio_pp,
        CASE WHEN LAG(value) OVER ({W}) IS NULL THEN NULL
@@ -129,7 +151,7 @@ FROM base""",
 )
 
 VIEW_IPC_MENSUAL = _view(
-    OBS_PCT,
+    _fam("monthly_pct"),
     f"""SELECT series_id, observation_date, value AS variacion_mensual_pct,
        CASE WHEN SUM(CASE WHEN 1 + value / 100 <= 0 THEN 1 ELSE 0 END)
                  OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) > 0 THEN NULL
@@ -140,7 +162,7 @@ FROM base""",
 )
 
 VIEW_IMACEC = _view(
-    OBS_MONTHLY,
+    _fam("monthly_value"),
     f"""SELECT series_id, observation_date, value AS imacec_indice,
        {_pct_sql('value', 12, 2)} AS variacion_12m_pct,
        {_pct_sql('value', 1, 2)} AS variacion_mensual_pct
@@ -148,7 +170,7 @@ FROM base""",
 )
 
 VIEW_PIB_TRIMESTRAL = _view(
-    OBS_QUARTERLY,
+    _fam("quarterly_value"),
     f"""SELECT series_id, observation_date,
        CAST(EXTRACT(YEAR FROM observation_date) AS INTEGER) AS anio,
        CAST(EXTRACT(QUARTER FROM observation_date) AS INTEGER) AS trimestre,

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.operators import windows as W
 from obsflow.operators.joins import lookup_join
 
-Series = Sequence[str] | str | None
+Series = Sequence[str] | str | Column | None
 
 
 def _base(obs: DataFrame, series_ids: Series, alias: str) -> DataFrame:

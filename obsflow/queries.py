@@ -31,32 +31,32 @@ def q_valid_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_view_uf_diaria(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return V.view_uf_diaria(A.obs_daily(spark, sf_dir))
+    return V.view_uf_diaria(_fact(spark, sf_dir), A.family("daily_value"))
 
 
 def q_view_tipo_cambio(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return V.view_tipo_cambio(A.obs_daily(spark, sf_dir))
+    return V.view_tipo_cambio(_fact(spark, sf_dir), A.family("daily_value"))
 
 
 def q_view_tpm(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return V.view_tpm(A.obs_rate(spark, sf_dir))
+    return V.view_tpm(_fact(spark, sf_dir), A.family("daily_count"))
 
 
 def q_view_ipc_mensual(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return V.view_ipc_mensual(A.obs_pct(spark, sf_dir))
+    return V.view_ipc_mensual(_fact(spark, sf_dir), A.family("monthly_pct"))
 
 
 def q_view_imacec(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return V.view_imacec(A.obs_monthly(spark, sf_dir))
+    return V.view_imacec(_fact(spark, sf_dir), A.family("monthly_value"))
 
 
 def q_view_pib_trimestral(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return V.view_pib_trimestral(A.obs_quarterly(spark, sf_dir))
+    return V.view_pib_trimestral(_fact(spark, sf_dir), A.family("quarterly_value"))
 
 
 def q_dashboard_long(spark: SparkSession, sf_dir: str) -> DataFrame:

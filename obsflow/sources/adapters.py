@@ -101,13 +101,29 @@ def obs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consolidated fact: daily, monthly and quarterly order series plus the
-    monthly percentage series, with ids made unique across frequencies."""
+    """The consolidated fact: daily order value and order count series, monthly and
+    quarterly order value series, and the monthly percentage series, with ids made unique
+    across families (suffix ``.N`` for counts, ``.M`` monthly, ``.Q`` quarterly, prefix
+    ``RF-`` for percentages)."""
     daily = obs_daily(spark, sf_dir)
+    rate = obs_rate(spark, sf_dir).withColumn("series_id", F.concat("series_id", F.lit(".N")))
     monthly = obs_monthly(spark, sf_dir).withColumn("series_id", F.concat("series_id", F.lit(".M")))
     quarterly = obs_quarterly(spark, sf_dir).withColumn("series_id", F.concat("series_id", F.lit(".Q")))
     pct = obs_pct(spark, sf_dir).withColumn("series_id", F.concat(F.lit("RF-"), "series_id"))
-    return daily.unionByName(monthly).unionByName(quarterly).unionByName(pct)
+    return daily.unionByName(rate).unionByName(monthly).unionByName(quarterly).unionByName(pct)
+
+
+# --- fixed values: series families of the consolidated fact, one per served view --------
+def family(name: str) -> Column:
+    """Selection predicate of a series family (on the series key, plus frequency)."""
+    sid = F.col("series_id")
+    return {
+        "daily_value": (F.col("frequency") == "daily") & ~sid.endswith(".N"),
+        "daily_count": sid.endswith(".N"),
+        "monthly_value": sid.endswith(".M"),
+        "quarterly_value": sid.endswith(".Q"),
+        "monthly_pct": sid.startswith("RF-"),
+    }[name]
 
 
 # --- fixture: dimension seed --------------------------------------------------------------
