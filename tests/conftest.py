@@ -22,6 +22,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="obsflow-warehouse-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -92,3 +92,15 @@ def test_register_views(spark):
     seed = spark.createDataFrame([], "series_id string, name string, unit string")
     names = V.register_views(obs, seed)
     assert "v_tipo_cambio" in names and spark.table("v_tipo_cambio").count() > 0
+
+
+def test_namespaces_and_pinned_views(spark):
+    V.ensure_namespaces(spark)
+    V.ensure_namespaces(spark)  # idempotent
+    names = {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+    assert {"raw", "analytics"} <= names
+    obs = A.obs_daily(spark, SF_SMALL)
+    seed = spark.createDataFrame([], "series_id string, name string, unit string")
+    V.register_views(obs, seed, {"v_uf_diaria": ["2-HIGH"], "v_tpm": F.col("series_id").startswith("1-")})
+    assert {r.series_id for r in spark.table("v_uf_diaria").select("series_id").distinct().collect()} == {"2-HIGH"}
+    assert {r.series_id for r in spark.table("v_tpm").select("series_id").distinct().collect()} == {"1-URGENT"}
