@@ -132,14 +132,17 @@ def upsert(
     """
     keys, columns = list(keys), list(columns)
     part = partition_by_year
-    sent = Observation("upsert_source")
-    src = require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys)
+    src = require_keys(source, keys)
     if part:
         src = src.withColumn(YEAR, F.year("observation_date"))
     if cluster_by:
         # one exchange serves both the dedupe (clustered by a subset of its keys) and the
         # file layout (a series' rows land in one task)
         src = src.repartition(cluster_by)
+    # counted after the exchange, in the writing stage, whose metric updates Spark applies
+    # once per partition even when tasks are retried
+    sent = Observation("upsert_source")
+    src = src.observe(sent, F.count(F.lit(1)).alias("rows"))
     src = dedupe_latest(src, keys, columns, order_by, leading=[YEAR] if part else [])
 
     staged_src = scratch_dir(spark, "upsert-source")
