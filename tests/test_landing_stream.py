@@ -88,3 +88,12 @@ def test_zero_length_file_is_invisible(spark, tmp_root):
     assert [(r.relative_path, r.reason) for r in L.rejects(files).collect()] == [("raw/daily/A B/2026-07-15.json", "invalid_json")]
     r = L.load_summary(files).first()
     assert (r.files_scanned, r.files_skipped, r.files_failed, r.rows_extracted) == (3, 1, 1, 3)
+
+
+def test_stream_batch_with_only_ignored_files(spark, tmp_root):
+    _write(tmp_root, "dead_letter/raw/daily/X/2026-07-14.json", _payload("14-07-2026", "1"))
+    _write(tmp_root, "raw/weekly/X/2026-07-14.json", _payload("14-07-2026", "1"))
+    target, quarantine = scratch_dir(spark, "obs"), scratch_dir(spark, "q")
+    start_incremental_load(spark, tmp_root, target, scratch_dir(spark, "ck"), quarantine, "2026-07-17 00:00:00").awaitTermination()
+    assert not os.path.exists(target)  # nothing loaded, table untouched
+    assert spark.read.parquet(quarantine).count() == 0
