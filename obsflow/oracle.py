@@ -487,3 +487,18 @@ SQL.update(
 )
 
 SQL["fact_scan"] = VALID_OBSERVATIONS
+
+SQL["backfill_execute"] = f"""WITH ev AS ({OBS_EVENTS}),
+b AS (SELECT min(observation_date) AS mn, max(observation_date) AS mx FROM ev),
+s AS (SELECT DISTINCT series_id FROM ev),
+days AS (SELECT s.series_id, CAST(unnest(generate_series(CAST(b.mn AS TIMESTAMP), CAST(b.mx + 6 AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM s, b),
+c AS (SELECT days.series_id, days.d,
+             EXISTS (SELECT 1 FROM ev WHERE ev.series_id = days.series_id AND ev.observation_date = days.d AND day(days.d) <= 10) AS landed,
+             EXISTS (SELECT 1 FROM ev WHERE ev.series_id = days.series_id AND ev.observation_date = days.d) AS has_data
+      FROM days),
+y AS (SELECT *, sum(CASE WHEN landed THEN 0 ELSE 1 END) OVER (PARTITION BY series_id, year(d)) AS chunk_missing FROM c),
+o AS (SELECT series_id, CASE WHEN landed AND chunk_missing = 0 THEN 'skipped' WHEN landed THEN NULL
+                             WHEN has_data THEN 'written' ELSE 'empty' END AS outcome FROM y)
+SELECT series_id, count(*) FILTER (WHERE outcome = 'written') AS written, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+       count(*) FILTER (WHERE outcome = 'empty') AS empty, CAST(0 AS BIGINT) AS errors
+FROM o GROUP BY ROLLUP (series_id)"""

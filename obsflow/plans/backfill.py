@@ -176,3 +176,36 @@ def run_summary(outs: DataFrame) -> DataFrame:
             F.collect_list(F.when(o == "error", F.struct(F.col("series_id"), F.col("error"))))
         ).alias("errors"),
     )
+
+
+def payloads_for_periods(source_obs: DataFrame, targets: DataFrame, description: str = "Success") -> DataFrame:
+    """One payload per target period holding the source's observations of that period
+    (one for a day, a month's for a month...), in date order: ``(relative_path, body)``.
+    A group is one series-period, so its size is bounded by the period length."""
+    from obsflow.operators.payload import obs_element, payload_body, value_text
+
+    labeled = source_obs.select(
+        "series_id",
+        period_label("frequency", "observation_date").alias("period_label"),
+        F.struct(
+            F.col("observation_date").alias("d"),
+            obs_element(F.col("observation_date"), value_text(F.col("value")), F.col("status_code")).alias("e"),
+        ).alias("x"),
+    )
+    per_period = labeled.groupBy("series_id", "period_label").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    joined = targets.select("series_id", "period_label", "relative_path").join(per_period, ["series_id", "period_label"])
+    body = payload_body(F.lit(0), F.lit(description), F.col("series_id"), F.lit(None).cast("string"), F.transform("xs", lambda x: x["e"]))
+    return joined.select("relative_path", body.alias("body"))
+
+
+def execute_backfill(spark, status: DataFrame, source_obs: DataFrame, landing_root: str, fetch_errors: DataFrame | None = None) -> DataFrame:
+    """Run a backfill: every missing period for which the source has data is written
+    create-only into the landing zone; the outcome rows are returned (a period whose file
+    appeared meanwhile becomes ``skipped``)."""
+    from obsflow.sources.landing import write_if_absent
+
+    outs = outcomes(status, source_obs, fetch_errors)
+    to_write = outs.where(F.col("outcome") == "written")
+    written = write_if_absent(spark, payloads_for_periods(source_obs, to_write), landing_root)
+    result = outs.join(written.withColumnRenamed("outcome", "_written"), "relative_path", "left")
+    return result.withColumn("outcome", F.coalesce(F.col("_written"), F.col("outcome"))).drop("_written")

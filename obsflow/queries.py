@@ -6,6 +6,7 @@ runs the library operator over them whole.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -667,3 +668,22 @@ def q_fact_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["fact_scan"] = q_fact_scan
+
+
+def q_backfill_execute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill over the event series: the first ten days are already landed, the rest of
+    the data range and six days beyond it are backfilled from the event observations."""
+    configure(spark)
+    ev = A.obs_events(spark, sf_dir)
+    start, end = _bounds(ev)
+    root = scratch_dir(spark, "backfill-landing")
+    pre = ev.where(F.dayofmonth("observation_date") <= 10)
+    LZ.write_if_absent(spark, LF.good_daily(spark, sf_dir).join(
+        pre.select(LZ.landing_path(F.lit("daily"), "series_id", F.date_format("observation_date", "yyyy-MM-dd")).alias("relative_path")),
+        "relative_path", "left_semi"), root)
+    planned = B.plan(ev.select("series_id", "frequency").distinct(), start, end + dt.timedelta(days=6))
+    status = B.with_status(planned, LZ.list_landed(spark, root))
+    return B.counters(B.execute_backfill(spark, status, ev, root))
+
+
+QUERIES["backfill_execute"] = q_backfill_execute

@@ -107,3 +107,23 @@ def test_salted_run_pairing_equals_broadcast(spark):
     assert "BroadcastHashJoin" not in salted._jdf.queryExecution().executedPlan().toString()
     assert sorted(plain.collect()) == sorted(salted.collect())
     assert salted.count() == 2 * 33 + 17
+
+
+def test_execute_backfill_lands_the_missing_periods(spark, tmp_root):
+    from obsflow.plans import load as L
+    from obsflow.sources import landing as LZ
+
+    src = spark.createDataFrame(
+        [("S1", "daily", D(2024, 1, 1), 1.0, "OK"), ("S1", "daily", D(2024, 1, 2), 2.0, "OK"), ("S1", "daily", D(2024, 1, 4), None, "ND"),
+         ("M1", "monthly", D(2024, 1, 1), 5.0, "OK")],
+        "series_id string, frequency string, observation_date date, value double, status_code string",
+    )
+    cat = src.select("series_id", "frequency").distinct()
+    planned = B.plan(cat, "2024-01-01", "2024-01-05")
+    first = B.counters(B.execute_backfill(spark, B.with_status(planned, spark.createDataFrame([], "relative_path string")), src, tmp_root))
+    assert {r.series_id: (r.written, r.skipped, r.empty) for r in first.collect()}[None] == (4, 0, 2)
+    rows = L.load_rows(L.parsed_files(spark, tmp_root)).select("series_id", "observation_date", "value", "status_code")
+    assert sorted(rows.collect()) == sorted(src.select("series_id", "observation_date", "value", "status_code").collect())
+    # a second run finds everything with data landed: nothing is written again
+    again = B.counters(B.execute_backfill(spark, B.with_status(planned, LZ.list_landed(spark, tmp_root)), src, tmp_root))
+    assert {r.series_id: (r.written, r.empty) for r in again.collect()}[None] == (0, 2)
