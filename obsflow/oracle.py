@@ -502,3 +502,24 @@ o AS (SELECT series_id, CASE WHEN landed AND chunk_missing = 0 THEN 'skipped' WH
 SELECT series_id, count(*) FILTER (WHERE outcome = 'written') AS written, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
        count(*) FILTER (WHERE outcome = 'empty') AS empty, CAST(0 AS BIGINT) AS errors
 FROM o GROUP BY ROLLUP (series_id)"""
+
+SQL["ingest_run"] = f"""WITH ev AS ({OBS_EVENTS}),
+monthly AS (SELECT event_type || '.M' AS series_id, CAST(date_trunc('month', ts) AS DATE) AS observation_date FROM events GROUP BY 1, 2),
+src AS (SELECT series_id, 'daily' AS frequency, observation_date FROM ev
+        UNION ALL SELECT series_id, 'monthly', observation_date FROM monthly),
+cat AS (SELECT DISTINCT series_id, frequency FROM src),
+avail AS (SELECT DISTINCT series_id, {_label('frequency', 'observation_date')} AS period_label FROM src),
+runs AS (SELECT DISTINCT observation_date + 1 AS as_of FROM ev),
+rf AS (SELECT as_of, f.frequency FROM runs CROSS JOIN (VALUES ('daily'), ('monthly')) AS f(frequency)),
+w AS (SELECT as_of, frequency, {PREV_WINDOW} AS first_date FROM rf),
+t AS (SELECT w.as_of, w.frequency, c.series_id, {_label('w.frequency', 'w.first_date')} AS period_label
+      FROM w JOIN cat c ON c.frequency = w.frequency),
+o AS (SELECT t.*, CASE WHEN a.series_id IS NULL THEN 'empty'
+                       WHEN row_number() OVER (PARTITION BY t.series_id, t.period_label ORDER BY t.as_of) = 1 THEN 'written'
+                       ELSE 'skipped' END AS outcome
+      FROM t LEFT JOIN avail a USING (series_id, period_label))
+SELECT as_of, frequency, max(period_label) AS period_label,
+       count(*) FILTER (WHERE outcome = 'written') AS processed, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+       coalesce(list_sort(list(series_id) FILTER (WHERE outcome = 'empty')), []) AS empty,
+       CAST([] AS STRUCT(series_id VARCHAR, error VARCHAR)[]) AS errors
+FROM o GROUP BY as_of, frequency"""

@@ -209,3 +209,29 @@ def execute_backfill(spark, status: DataFrame, source_obs: DataFrame, landing_ro
     written = write_if_absent(spark, payloads_for_periods(source_obs, to_write), landing_root)
     result = outs.join(written.withColumnRenamed("outcome", "_written"), "relative_path", "left")
     return result.withColumn("outcome", F.coalesce(F.col("_written"), F.col("outcome"))).drop("_written")
+
+
+def execute_ingest(
+    spark, runs: DataFrame, catalog: DataFrame, landing_root: str, source_obs: DataFrame, fetch_errors: DataFrame | None = None
+) -> DataFrame:
+    """Run scheduled ingests for every ``(as_of, frequency)`` in ``runs`` in one job: each
+    catalog series of the run's frequency gets the previous period's payload written
+    create-only when the source has data. Runs are settled in date order: when several
+    runs target one period, the earliest writes it and the later ones find it (``skipped``),
+    as consecutive scheduled runs would. Returns the per-run summary (``run_summary``)."""
+    from obsflow.sources.landing import list_landed, path_exists, write_if_absent
+
+    landed = list_landed(spark, landing_root) if path_exists(landing_root) else spark.createDataFrame([], "relative_path string")
+    outs = ingest_outcomes(runs, catalog, landed, source_obs, fetch_errors)
+    first = Window.partitionBy("relative_path").orderBy("as_of")
+    outs = outs.withColumn(
+        "outcome",
+        F.when((F.col("outcome") == "written") & (F.row_number().over(first) > 1), F.lit("skipped")).otherwise(F.col("outcome")),
+    )
+    to_write = outs.where(F.col("outcome") == "written").select("series_id", "period_label", "relative_path")
+    written = write_if_absent(spark, payloads_for_periods(source_obs, to_write), landing_root)
+    settled = outs.join(written.withColumnRenamed("outcome", "_written"), "relative_path", "left")
+    settled = settled.withColumn(
+        "outcome", F.when(F.col("outcome") == "written", F.coalesce(F.col("_written"), F.col("outcome"))).otherwise(F.col("outcome"))
+    )
+    return run_summary(settled.drop("_written"))

@@ -687,3 +687,21 @@ def q_backfill_execute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["backfill_execute"] = q_backfill_execute
+
+
+def q_ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scheduled ingests for every day of the event data (as of the next day), daily and
+    monthly, over the event series and their monthly totals, into a fresh landing zone."""
+    configure(spark)
+    daily = A.obs_events(spark, sf_dir).select("series_id", "frequency", "observation_date", "value", "status_code")
+    monthly = LF.monthly_rows(spark, sf_dir).select(
+        "series_id", F.lit("monthly").alias("frequency"), "observation_date", "value", F.lit("OK").alias("status_code")
+    )
+    source = daily.unionByName(monthly)
+    runs = daily.select(F.date_add("observation_date", 1).alias("as_of")).distinct()
+    runs = runs.select("as_of", F.explode(F.array(F.lit("daily"), F.lit("monthly"))).alias("frequency"))
+    catalog = source.select("series_id", "frequency").distinct()
+    return B.execute_ingest(spark, runs, catalog, scratch_dir(spark, "ingest-landing"), source)
+
+
+QUERIES["ingest_run"] = q_ingest_run
