@@ -595,7 +595,7 @@ QUERIES.update(
 
 
 # ---------------------------------------------------------------- streaming
-from obsflow.streaming.incremental import start_incremental_load  # noqa: E402
+from obsflow.streaming.incremental import read_quarantine, start_incremental_load  # noqa: E402
 
 
 def _stream_into(spark: SparkSession, root: str, target: str, quarantine: str, ingested_at: str) -> None:
@@ -625,7 +625,7 @@ def q_stream_poison_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landing(spark, sf_dir)
     target, quarantine = scratch_dir(spark, "observations"), scratch_dir(spark, "quarantine")
     _stream_into(spark, root, target, quarantine, LOAD_1)
-    return spark.read.parquet(quarantine).select("relative_path", "reason")
+    return read_quarantine(spark, quarantine).select("relative_path", "reason")
 
 
 QUERIES.update(

@@ -62,7 +62,8 @@ def process_batch(
         rejected = parsed.where(F.col("reject_reason").isNotNull()).select(
             "relative_path", F.col("reject_reason").alias("reason"), F.lit(batch_id).cast("long").alias("batch_id")
         )
-        rejected.write.mode("append").parquet(quarantine)
+        # one partition per micro-batch, overwritten on a retry of that batch: idempotent
+        rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine)
     stamp = F.current_timestamp() if ingested_at is None else F.lit(ingested_at).cast("timestamp")
     rows = flatten_payloads(parsed, stamp)
     return upsert(spark, target, rows.select(*OBSERVATION_COLUMNS, "modified_at", "period_label", "position"))
@@ -92,3 +93,15 @@ def start_incremental_load(
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+_QUARANTINE = "relative_path string, reason string, batch_id long"
+
+
+def read_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
+    """The quarantined files (``relative_path, reason, batch_id``); empty when none."""
+    from obsflow.session import has_data_files
+
+    if not has_data_files(quarantine, marker_counts=False):
+        return spark.createDataFrame([], _QUARANTINE)
+    return spark.read.parquet(quarantine).select("relative_path", "reason", F.col("batch_id").cast("long"))
