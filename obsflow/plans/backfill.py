@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from obsflow.operators.joins import MAX_BROADCAST_ROWS
 from obsflow.functions.scalars import period_label
 from obsflow.plans.calendar import period_window, periods
+from obsflow.session import materialize
 from obsflow.sources.landing import landing_path
 
 
@@ -204,7 +205,8 @@ def execute_backfill(spark, status: DataFrame, source_obs: DataFrame, landing_ro
     appeared meanwhile becomes ``skipped``)."""
     from obsflow.sources.landing import write_if_absent
 
-    outs = outcomes(status, source_obs, fetch_errors)
+    # decided once, before any file is written (re-evaluating after the write would see them)
+    outs = materialize(spark, outcomes(status, source_obs, fetch_errors), "backfill-outcomes")
     to_write = outs.where(F.col("outcome") == "written")
     written = write_if_absent(spark, payloads_for_periods(source_obs, to_write), landing_root)
     result = outs.join(written.withColumnRenamed("outcome", "_written"), "relative_path", "left")
@@ -219,15 +221,22 @@ def execute_ingest(
     create-only when the source has data. Runs are settled in date order: when several
     runs target one period, the earliest writes it and the later ones find it (``skipped``),
     as consecutive scheduled runs would. Returns the per-run summary (``run_summary``)."""
-    from obsflow.sources.landing import list_landed, path_exists, write_if_absent
+    from obsflow.sources.landing import existing_paths, write_if_absent
 
-    landed = list_landed(spark, landing_root) if path_exists(landing_root) else spark.createDataFrame([], "relative_path string")
+    # which targets are landed already: checked target by target, not by listing the zone
+    w = runs.select("as_of", "frequency", period_window("frequency", "as_of").alias("w"))
+    targets = _runs_by_catalog(w, catalog.select("series_id", "frequency")).select(
+        landing_path("frequency", "series_id", F.col("w.period_label")).alias("relative_path")
+    )
+    landed = existing_paths(spark, targets, landing_root)
     outs = ingest_outcomes(runs, catalog, landed, source_obs, fetch_errors)
     first = Window.partitionBy("relative_path").orderBy("as_of")
     outs = outs.withColumn(
         "outcome",
         F.when((F.col("outcome") == "written") & (F.row_number().over(first) > 1), F.lit("skipped")).otherwise(F.col("outcome")),
     )
+    # decided once, before any file is written (re-evaluating after the write would see them)
+    outs = materialize(spark, outs, "ingest-outcomes")
     to_write = outs.where(F.col("outcome") == "written").select("series_id", "period_label", "relative_path")
     written = write_if_absent(spark, payloads_for_periods(source_obs, to_write), landing_root)
     settled = outs.join(written.withColumnRenamed("outcome", "_written"), "relative_path", "left")

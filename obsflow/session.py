@@ -97,3 +97,11 @@ def has_data_files(path: str, marker_counts: bool = True) -> bool:
     fs, p = pafs.FileSystem.from_uri(path)
     infos = fs.get_file_info(pafs.FileSelector(p, recursive=False))
     return any(not i.base_name.startswith((".", "_")) or (marker_counts and i.base_name == "_SUCCESS") for i in infos)
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Write ``df`` once to a fresh scratch folder and read it back: fixes decisions that
+    later side effects would change on re-evaluation, and cuts the lineage."""
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

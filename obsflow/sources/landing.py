@@ -6,6 +6,7 @@
   anything off the anchored pattern is flagged and later ignored.
 * ``list_landed`` lists paths without reading file bodies (binary-file scan, content
   column never requested).
+* ``existing_paths`` checks given paths one by one inside tasks (cost follows the targets).
 * ``write_if_absent`` writes payloads create-only: a path that already exists is skipped
   (as is the loser of a concurrent create). A payload is written to a hidden temporary
   name and published in one step, so readers never see a partial file. Spark's writers cannot choose file names, so
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.schema import LANDING_PATH_PATTERN
-from obsflow.session import path_exists, scratch_dir
+from obsflow.session import path_exists, scratch_dir  # noqa: F401 (path_exists re-exported)
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
@@ -156,16 +157,44 @@ def write_if_absent(spark: SparkSession, payloads: DataFrame, root: str, partiti
     """SNK-8: create-only write of ``(relative_path, body)`` rows under ``root``.
 
     Returns ``(relative_path, outcome)`` with outcome ``written`` or ``skipped``, read back
-    from a materialised table. Paths already present are skipped without a write.
+    from a materialised table. Existence is decided by the writer itself, file by file, so
+    the cost follows the batch, never the size of the landing zone.
     """
     payloads = payloads.select("relative_path", "body")
-    existing = list_landed(spark, root) if path_exists(root) else spark.createDataFrame([], "relative_path string")
-    present = payloads.join(existing.distinct(), "relative_path", "left_semi").select(
-        "relative_path", F.lit("skipped").alias("outcome")
-    )
-    missing = payloads.join(existing.distinct(), "relative_path", "left_anti")
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    written = missing.repartition(n, "relative_path").mapInPandas(_writer(root), _OUTCOME)
+    written = payloads.repartition(n, "relative_path").mapInPandas(_writer(root), _OUTCOME)
     out = scratch_dir(spark, "landing-outcomes")
-    written.unionByName(present).write.parquet(out)
+    written.write.parquet(out)
     return spark.read.parquet(out)
+
+
+def _exists_check(root: str):
+    parsed = urlparse(root)
+    local = not (parsed.scheme and len(parsed.scheme) > 1) or parsed.scheme == "file"
+    base = _root_path(root) if local else root.rstrip("/")
+
+    def check(batches):
+        fs = None
+        if not local:
+            import pyarrow.fs as pafs
+
+            fs, base_path = pafs.FileSystem.from_uri(base)
+        for pdf in batches:
+            if local:
+                found = [os.path.isfile(f"{base}/{rel}") for rel in pdf["relative_path"]]
+            else:
+                infos = fs.get_file_info([f"{base_path}/{rel}" for rel in pdf["relative_path"]])
+                found = [i.type == pafs.FileType.File for i in infos]
+            yield pdf.assign(exists=found)
+
+    return check
+
+
+def existing_paths(spark: SparkSession, paths: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
+    """The subset of ``paths`` (``relative_path``) present under ``root``, checked path by
+    path inside tasks: for a handful of targets against a large landing zone this costs far
+    less than listing the zone."""
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    distinct = paths.select("relative_path").distinct().repartition(n, "relative_path")
+    checked = distinct.mapInPandas(_exists_check(root), "relative_path string, exists boolean")
+    return checked.where(F.col("exists")).select("relative_path")

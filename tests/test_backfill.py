@@ -127,3 +127,16 @@ def test_execute_backfill_lands_the_missing_periods(spark, tmp_root):
     # a second run finds everything with data landed: nothing is written again
     again = B.counters(B.execute_backfill(spark, B.with_status(planned, LZ.list_landed(spark, tmp_root)), src, tmp_root))
     assert {r.series_id: (r.written, r.empty) for r in again.collect()}[None] == (0, 2)
+
+
+def test_execute_ingest_writes_then_skips(spark, tmp_root):
+    runs = spark.createDataFrame([(D(2026, 7, 14), "daily"), (D(2026, 7, 15), "daily")], "as_of date, frequency string")
+    cat = spark.createDataFrame([("A", "daily"), ("B", "daily")], "series_id string, frequency string")
+    src = spark.createDataFrame(
+        [("A", "daily", D(2026, 7, 13), 1.5, "OK"), ("A", "daily", D(2026, 7, 14), 2.5, "OK")],
+        "series_id string, frequency string, observation_date date, value double, status_code string",
+    )
+    first = {r.as_of: (r.processed, r.skipped, r.empty) for r in B.execute_ingest(spark, runs, cat, tmp_root, src).collect()}
+    assert first == {D(2026, 7, 14): (1, 0, ["B"]), D(2026, 7, 15): (1, 0, ["B"])}
+    again = {r.as_of: (r.processed, r.skipped, r.empty) for r in B.execute_ingest(spark, runs, cat, tmp_root, src).collect()}
+    assert again == {D(2026, 7, 14): (0, 1, ["B"]), D(2026, 7, 15): (0, 1, ["B"])}
