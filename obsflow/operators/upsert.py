@@ -7,9 +7,9 @@ upsert twice leaves the table as running it once.
 Plan, for a table partitioned by ``obs_year``:
 
 1. required-key guard (``raise_error`` inside the projection, no extra pass);
-2. one exchange by series, then the dedupe to one row per key, latest first by the given
-   order columns (``row_number`` over year, series, date — it reuses the exchange, and its
-   sort is also the file layout: one exchange and one sort in all);
+2. the dedupe to one row per key, latest first by the given order columns (``max_by``,
+   pre-aggregated map-side so copies of a hot key collapse before the one exchange on the
+   key), then sorted by year, series and date for the file layout;
 3. the deduped source is staged once in the shared scratch folder, partitioned by year —
    the only pass over the source, which also cuts its lineage (the landing scan or the
    adapters never re-run); an empty source stops here and leaves the target untouched;
@@ -30,7 +30,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,20 +69,18 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def dedupe_latest(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str], leading: Sequence[str] = ()
-) -> DataFrame:
+def dedupe_latest(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the greatest ``order_by`` tuple wins (later load, later file, later
     position in the file; NULLs lose).
 
-    A ``row_number`` window partitioned by ``leading + keys``: when the input is already
-    hash-partitioned by a subset of those columns (the series) no exchange is added, and
-    the window's sort by (leading, keys, order) is also the file layout the writer needs.
+    An aggregate (``max_by``), so Spark pre-aggregates map-side: however many copies of
+    one key a source holds (a re-delivered series, a duplicated file), they collapse
+    inside each input task before the shuffle, and no task receives a hot key's copies.
     """
     order = [c for c in order_by if c in df.columns] or [c for c in columns if c not in keys][:1]
-    w = Window.partitionBy(*leading, *keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    out = [*leading, *keys, *[c for c in columns if c not in keys]]
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*out)
+    rest = [c for c in columns if c not in keys]
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 def _sorted_layout(df: DataFrame, partitioned: bool) -> DataFrame:
@@ -132,21 +130,16 @@ def upsert(
     """
     keys, columns = list(keys), list(columns)
     part = partition_by_year
-    src = require_keys(source, keys)
+    sent = Observation("upsert_source")
+    src = require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys)
+    # partial aggregation map-side, one exchange on the key, final aggregation
+    src = dedupe_latest(src, keys, columns, order_by)
     if part:
         src = src.withColumn(YEAR, F.year("observation_date"))
-    if cluster_by:
-        # one exchange serves both the dedupe (clustered by a subset of its keys) and the
-        # file layout (a series' rows land in one task)
-        src = src.repartition(cluster_by)
-    # counted after the exchange, in the writing stage, whose metric updates Spark applies
-    # once per partition even when tasks are retried
-    sent = Observation("upsert_source")
-    src = src.observe(sent, F.count(F.lit(1)).alias("rows"))
-    src = dedupe_latest(src, keys, columns, order_by, leading=[YEAR] if part else [])
+    src = _sorted_layout(src, part)
 
     staged_src = scratch_dir(spark, "upsert-source")
-    _write(_sorted_layout(src, part), staged_src, part)
+    _write(src, staged_src, part)
     # SNK-11: nothing to load → nothing merged, target untouched
     if not has_data_files(staged_src, marker_counts=False):
         return 0

@@ -185,7 +185,12 @@ def payloads_for_periods(source_obs: DataFrame, targets: DataFrame, description:
     A group is one series-period, so its size is bounded by the period length."""
     from obsflow.operators.payload import obs_element, payload_body, value_text
 
-    labeled = source_obs.select(
+    # one observation per series and date first (an aggregate, pre-aggregated map-side), so
+    # a period group holds at most one row per day whatever copies the source carries
+    unique = source_obs.groupBy("series_id", "observation_date").agg(
+        F.max(F.struct("frequency", "value", "status_code")).alias("o")
+    ).select("series_id", "observation_date", "o.frequency", "o.value", "o.status_code")
+    labeled = unique.select(
         "series_id",
         period_label("frequency", "observation_date").alias("period_label"),
         F.struct(

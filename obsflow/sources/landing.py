@@ -160,9 +160,12 @@ def write_if_absent(spark: SparkSession, payloads: DataFrame, root: str, partiti
     from a materialised table. Existence is decided by the writer itself, file by file, so
     the cost follows the batch, never the size of the landing zone.
     """
-    payloads = payloads.select("relative_path", "body")
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    written = payloads.repartition(n, "relative_path").mapInPandas(_writer(root), _OUTCOME)
+    # copies of one path collapse map-side (an aggregate) before the one exchange on the
+    # path; the smallest body of a path is the one offered to the writer
+    unique = payloads.groupBy("relative_path").agg(F.min("body").alias("body"))
+    if partitions:
+        unique = unique.repartition(partitions, "relative_path")
+    written = unique.mapInPandas(_writer(root), _OUTCOME)
     out = scratch_dir(spark, "landing-outcomes")
     written.write.parquet(out)
     return spark.read.parquet(out)

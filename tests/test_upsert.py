@@ -103,3 +103,33 @@ def test_stored_scan_prunes_partitions_and_pushes_filters(spark, tmp_root):
     assert "PartitionFilters: [isnotnull(obs_year" in plan and "(obs_year#" in plan
     assert "In(series_id, [A,B])" in plan and "EqualTo(status_code,OK)" in plan and "IsNotNull(value)" in plan
     assert [(r.series_id, r.value) for r in df.collect()] == [("A", 2.0)]
+
+
+def test_hot_duplicated_key_collapses_before_the_shuffle(spark, tmp_root):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from obsflow.operators.upsert import dedupe_latest
+    from obsflow.schema import KEYS, OBSERVATION_COLUMNS
+
+    # one key delivered 200,000 times (far more than all other keys together)
+    hot = spark.range(200_000).select(
+        F.lit("HOT").alias("series_id"), F.lit(dt.date(2024, 1, 1)).alias("observation_date"),
+        F.col("id").cast("double").alias("value"), F.lit("OK").alias("status_code"), F.lit("daily").alias("frequency"),
+        (F.lit(T1).cast("timestamp") + F.make_interval(secs=F.col("id").cast("int"))).alias("ingested_at"),
+    )
+    cold = spark.range(1000).select(
+        F.concat(F.lit("S"), F.col("id").cast("string")).alias("series_id"), F.lit(dt.date(2024, 1, 1)).alias("observation_date"),
+        F.lit(1.0).alias("value"), F.lit("OK").alias("status_code"), F.lit("daily").alias("frequency"), F.lit(T1).cast("timestamp").alias("ingested_at"),
+    )
+    src = hot.unionByName(cold)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        dedupe_latest(src, KEYS, OBSERVATION_COLUMNS, ["ingested_at"]).explain()
+    assert "partial_max_by" in buf.getvalue()  # map-side pre-aggregation
+    assert upsert(spark, tmp_root, src) == 201_000
+    got = read_observations(spark, tmp_root)
+    assert got.count() == 1001
+    assert got.where("series_id = 'HOT'").first().value == 199_999.0  # latest load wins
