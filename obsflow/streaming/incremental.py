@@ -78,9 +78,13 @@ def start_incremental_load(
     ingested_at: dt.datetime | str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 10_000,
 ) -> StreamingQuery:
-    """STR-1/2/3: start the stream; returns the running query (``awaitTermination`` it)."""
+    """STR-1/2/3: start the stream; returns the running query (``awaitTermination`` it).
+
+    ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` honours it and
+    drains the backlog in several batches), so a large backlog never becomes one job.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         process_batch(spark, batch, target, quarantine, ingested_at, batch_id)
