@@ -9,7 +9,8 @@ Layers:
 * ``streaming`` – file-arrival incremental load with Structured Streaming
 
 Everything is expressed with DataFrame / SQL primitives so that Catalyst plans it; the
-only Python that runs inside tasks is the create-only landing writer.
+only Python that runs inside tasks is the create-only landing writer and its per-path
+existence check.
 """
 
 from obsflow.session import configure, scratch_dir

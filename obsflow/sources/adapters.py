@@ -43,8 +43,10 @@ def _with_gaps(df: DataFrame, null_every: int, nd_every: int) -> DataFrame:
 
 
 def order_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact order value and order count per priority and order date: the one scan of
-    ``orders`` that every order-based adapter shares (Spark reuses its exchange)."""
+    """Exact order value and order count per priority and order date: the one aggregate
+    every order-based adapter derives from. (Each branch still scans ``orders``: pushed
+    filters and pruned columns make the branches differ, so Spark does not share the
+    exchange; the consolidated fact is built once and stored.)"""
     o = read_table(spark, sf_dir, "orders")
     return o.groupBy(
         F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("observation_date")
