@@ -69,7 +69,9 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def dedupe_latest(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def dedupe_latest(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str], leading: Sequence[str] = ()
+) -> DataFrame:
     """One row per key: the greatest ``order_by`` tuple wins (later load, later file, later
     position in the file; NULLs lose).
 
@@ -79,8 +81,10 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], columns: Sequence[str], or
     """
     order = [c for c in order_by if c in df.columns] or [c for c in columns if c not in keys][:1]
     rest = [c for c in columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    # ``leading`` columns derived from the key (the year of the date) group identically; put
+    # first, they make the sort-based aggregate emit rows already in file-layout order
+    picked = df.groupBy(*leading, *keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return picked.select(*leading, *keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 def _sorted_layout(df: DataFrame, partitioned: bool) -> DataFrame:
@@ -132,10 +136,11 @@ def upsert(
     part = partition_by_year
     sent = Observation("upsert_source")
     src = require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys)
-    # partial aggregation map-side, one exchange on the key, final aggregation
-    src = dedupe_latest(src, keys, columns, order_by)
+    # partial aggregation map-side, one exchange on the key, final aggregation; the layout
+    # sort below is then already satisfied and Spark drops it
     if part:
         src = src.withColumn(YEAR, F.year("observation_date"))
+    src = dedupe_latest(src, keys, columns, order_by, leading=[YEAR] if part else [])
     src = _sorted_layout(src, part)
 
     staged_src = scratch_dir(spark, "upsert-source")
