@@ -4,7 +4,8 @@ Semantics (a MERGE on the key): a source row whose key exists replaces the targe
 new key is inserted, target rows absent from the source are kept. Running the same
 upsert twice leaves the table as running it once.
 
-Plan, for a table partitioned by ``obs_year``:
+Plan, for a table partitioned by ``obs_year`` (or ``obs_month`` / ``obs_day``: the
+``granularity`` parameter; a daily load at scale should rewrite a month or a day):
 
 1. required-key guard (``raise_error`` inside the projection, no extra pass);
 2. the dedupe to one row per key, latest first by the given order columns (``max_by``,
@@ -27,6 +28,7 @@ table are not supported. Returns the number of source rows sent (before dedupe).
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Sequence
 
@@ -39,6 +41,32 @@ from obsflow.schema import KEYS, OBSERVATION_COLUMNS
 from obsflow.session import has_data_files, scratch_dir
 
 YEAR = "obs_year"
+MONTH = "obs_month"
+DAY = "obs_day"
+# partition granularity → (partition column, its value from the observation date). Year
+# partitions suit small tables; at scale a daily load should rewrite a month or a day, not
+# a year (a day partition of a 100 TB table still holds gigabytes).
+GRANULARITIES = {
+    "year": (YEAR, lambda d: F.year(d)),
+    "month": (MONTH, lambda d: F.year(d) * 100 + F.month(d)),
+    "day": (DAY, lambda d: d),
+}
+PARTITION_COLUMNS = (YEAR, MONTH, DAY)
+
+
+def partition_column(granularity: str | None) -> str | None:
+    if granularity is None:
+        return None
+    if granularity not in GRANULARITIES:
+        raise ValueError(f"granularity must be one of {sorted(GRANULARITIES)} or None")
+    return GRANULARITIES[granularity][0]
+
+
+def with_partition(df: DataFrame, granularity: str | None) -> DataFrame:
+    if granularity is None:
+        return df
+    name, expr = GRANULARITIES[granularity]
+    return df.withColumn(name, expr(F.col("observation_date")))
 DEFAULT_ORDER = ("ingested_at", "modified_at", "period_label", "position")
 
 
@@ -47,16 +75,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return has_data_files(path)
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None) -> None:
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType, granularity: str | None = None) -> None:
     """SNK-5: create an empty table at ``path`` if none exists."""
     if table_exists(spark, path):
         return
-    empty = spark.createDataFrame([], schema)
-    if partition_by == YEAR:
-        empty = empty.withColumn(YEAR, F.year("observation_date"))
+    empty = with_partition(spark.createDataFrame([], schema), granularity)
     writer = empty.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+    pcol = partition_column(granularity)
+    if pcol:
+        writer = writer.partitionBy(pcol)
     writer.parquet(path)
 
 
@@ -87,30 +114,31 @@ def dedupe_latest(
     return picked.select(*leading, *keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def _sorted_layout(df: DataFrame, partitioned: bool) -> DataFrame:
-    """SNK-4: rows sorted by (year,) series and date inside each task, so every written
+def _sorted_layout(df: DataFrame, pcol: str | None) -> DataFrame:
+    """SNK-4: rows sorted by (partition,) series and date inside each task, so every written
     file is clustered by series (narrow row-group statistics for series filters)."""
-    order = ([YEAR] if partitioned else []) + [c for c in ("series_id", "observation_date") if c in df.columns]
+    order = ([pcol] if pcol else []) + [c for c in ("series_id", "observation_date") if c in df.columns and c != pcol]
     return df.sortWithinPartitions(*order) if order else df
 
 
-def _write(df: DataFrame, path: str, partitioned: bool, mode: str = "error", dynamic: bool = False) -> None:
+def _write(df: DataFrame, path: str, pcol: str | None, mode: str = "error", dynamic: bool = False) -> None:
     w = df.write.mode(mode)
-    if partitioned:
-        w = w.partitionBy(YEAR)
+    if pcol:
+        w = w.partitionBy(pcol)
     if dynamic:
         # only the partitions present in ``df`` are replaced, at job commit
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
-def _years_of(staged: DataFrame) -> list[int]:
-    """Partition values of a staged, year-partitioned table, from its file listing."""
+def _partition_values(staged: DataFrame, pcol: str) -> list:
+    """Partition values of a staged, partitioned table, from its file listing."""
     found = set()
     for f in staged.inputFiles():
-        m = re.search(rf"/{YEAR}=(-?[0-9]+)/", f)
+        m = re.search(rf"/{pcol}=([^/]+)/", f)
         if m:
-            found.add(int(m.group(1)))
+            v = m.group(1)
+            found.add(dt.date.fromisoformat(v) if pcol == DAY else int(v))
     return sorted(found)
 
 
@@ -123,6 +151,7 @@ def upsert(
     order_by: Sequence[str] = DEFAULT_ORDER,
     partition_by_year: bool = True,
     cluster_by: str | None = "series_id",
+    granularity: str | None = "year",
     compact: bool = False,
     max_broadcast_keys: int = MAX_BROADCAST_ROWS,
 ) -> int:
@@ -133,18 +162,18 @@ def upsert(
     shuffled when the source keys fit the broadcast bound.
     """
     keys, columns = list(keys), list(columns)
-    part = partition_by_year
+    gran = granularity if partition_by_year else None
+    pcol = partition_column(gran)
     sent = Observation("upsert_source")
     src = require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys)
     # partial aggregation map-side, one exchange on the key, final aggregation; the layout
     # sort below is then already satisfied and Spark drops it
-    if part:
-        src = src.withColumn(YEAR, F.year("observation_date"))
-    src = dedupe_latest(src, keys, columns, order_by, leading=[YEAR] if part else [])
-    src = _sorted_layout(src, part)
+    src = with_partition(src, gran)
+    src = dedupe_latest(src, keys, columns, order_by, leading=[pcol] if pcol and pcol not in keys else [])
+    src = _sorted_layout(src, pcol)
 
     staged_src = scratch_dir(spark, "upsert-source")
-    _write(src, staged_src, part)
+    _write(src, staged_src, pcol)
     # SNK-11: nothing to load → nothing merged, target untouched
     if not has_data_files(staged_src, marker_counts=False):
         return 0
@@ -153,13 +182,13 @@ def upsert(
 
     if not table_exists(spark, target):
         # first load: a file-to-file copy of the staged, laid-out source
-        _write(src, target, part, mode="overwrite")
+        _write(src, target, pcol, mode="overwrite")
         return rows_sent
 
     old = spark.read.parquet(target)
-    if part:
-        old = old.where(F.col(YEAR).isin(_years_of(src)))  # partition pruning
-    keep_cols = columns + ([YEAR] if part else [])
+    if pcol:
+        old = old.where(F.col(pcol).isin(_partition_values(src, pcol)))  # partition pruning
+    keep_cols = columns + ([pcol] if pcol and pcol not in columns else [])
     src_keys = src.select(*keys)
     if rows_sent <= max_broadcast_keys:
         # the batch's keys are bounded (checked count): target rows stream through a
@@ -168,15 +197,15 @@ def upsert(
     kept = old.select(*keep_cols).join(src_keys, keys, "left_anti")
     merged = kept.unionByName(src.select(*keep_cols))
     if compact and cluster_by:
-        merged = _sorted_layout(merged.repartition(*([YEAR] if part else []), cluster_by), part)
+        merged = _sorted_layout(merged.repartition(*([pcol] if pcol else []), cluster_by), pcol)
 
     staged = scratch_dir(spark, "upsert-merged")
-    _write(merged, staged, part)
+    _write(merged, staged, pcol)
     # the target is never read and overwritten by one job: replace from the staged copy
-    _write(spark.read.parquet(staged), target, part, mode="overwrite", dynamic=part)
+    _write(spark.read.parquet(staged), target, pcol, mode="overwrite", dynamic=pcol is not None)
     return rows_sent
 
 
 def read_observations(spark: SparkSession, target: str) -> DataFrame:
-    """The observation table without its layout column."""
+    """The observation table without its partition column."""
     return spark.read.parquet(target).select(*OBSERVATION_COLUMNS)

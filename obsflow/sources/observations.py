@@ -1,7 +1,8 @@
 """Scan of the stored observation table with selection (SRC-7).
 
-The table is Parquet, partitioned by ``obs_year`` and sorted by series and date inside
-files. A date range becomes a partition filter on ``obs_year`` (directories are pruned
+The table is Parquet, partitioned by ``obs_year`` (or ``obs_month`` / ``obs_day``) and
+sorted by series and date inside files. A date range becomes a partition filter on that
+column (directories are pruned
 before any file is opened) plus a row filter on the date; series and status selections
 reach the Parquet reader as pushed filters and are checked against row-group statistics,
 which the series-sorted layout keeps narrow.
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.operators.upsert import YEAR
+from obsflow.operators.upsert import DAY, MONTH, YEAR
 from obsflow.schema import OBSERVATION_COLUMNS
 
 
@@ -28,12 +29,21 @@ def scan_observations(
     valid_only: bool = False,
 ) -> DataFrame:
     df = spark.read.parquet(path)
+    pcol = next((c for c in (YEAR, MONTH, DAY) if c in df.columns), None)
+
+    def part_value(d):
+        return {YEAR: F.year(d), MONTH: F.year(d) * 100 + F.month(d), DAY: d}[pcol]
+
     if first is not None:
         d = F.lit(str(first)).cast("date")
-        df = df.where((F.col(YEAR) >= F.year(d)) & (F.col("observation_date") >= d))
+        if pcol:
+            df = df.where(F.col(pcol) >= part_value(d))
+        df = df.where(F.col("observation_date") >= d)
     if last is not None:
         d = F.lit(str(last)).cast("date")
-        df = df.where((F.col(YEAR) <= F.year(d)) & (F.col("observation_date") <= d))
+        if pcol:
+            df = df.where(F.col(pcol) <= part_value(d))
+        df = df.where(F.col("observation_date") <= d)
     if series_ids is not None:
         df = df.where(F.col("series_id").isin(list(series_ids)))
     if valid_only:

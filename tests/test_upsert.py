@@ -133,3 +133,26 @@ def test_hot_duplicated_key_collapses_before_the_shuffle(spark, tmp_root):
     got = read_observations(spark, tmp_root)
     assert got.count() == 1001
     assert got.where("series_id = 'HOT'").first().value == 199_999.0  # latest load wins
+
+
+@pytest.mark.parametrize("granularity,column,untouched", [("month", "obs_month", "obs_month=202401"), ("day", "obs_day", "obs_day=2024-01-01")])
+def test_finer_partitions_rewrite_only_touched_ones(spark, tmp_root, granularity, column, untouched):
+    import contextlib
+    import io
+
+    from obsflow.sources.observations import scan_observations
+
+    d = dt.date
+    first = [("A", d(2024, 1, 1), 1.0, "OK", "daily", T1), ("A", d(2024, 2, 1), 1.0, "OK", "daily", T1)]
+    upsert(spark, tmp_root, _obs(spark, first), granularity=granularity)
+    folder = os.path.join(tmp_root, untouched)
+    before = {f: os.path.getmtime(os.path.join(folder, f)) for f in os.listdir(folder)}
+    upsert(spark, tmp_root, _obs(spark, [("A", d(2024, 2, 1), 2.0, "OK", "daily", T2), ("B", d(2024, 2, 2), 3.0, "OK", "daily", T2)]), granularity=granularity)
+    assert {f: os.path.getmtime(os.path.join(folder, f)) for f in os.listdir(folder)} == before
+    assert _table(spark, tmp_root) == {("A", d(2024, 1, 1)): (1.0, T1), ("A", d(2024, 2, 1)): (2.0, T2), ("B", d(2024, 2, 2)): (3.0, T2)}
+    df = scan_observations(spark, tmp_root, first="2024-02-01")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    assert f"PartitionFilters: [isnotnull({column}" in buf.getvalue()
+    assert df.count() == 2
