@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.operators.joins import MAX_BROADCAST_ROWS
-from obsflow.schema import KEYS, OBSERVATION_COLUMNS
-from obsflow.session import has_data_files, scratch_dir
+from obsflow.schema import KEYS, OBSERVATION_COLUMNS, OBSERVATIONS
+from obsflow.session import has_data_files, path_exists, scratch_dir
 
 YEAR = "obs_year"
 MONTH = "obs_month"
@@ -71,13 +71,14 @@ DEFAULT_ORDER = ("ingested_at", "modified_at", "period_label", "position")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table has been written at ``path`` (filesystem check, no Spark job)."""
-    return has_data_files(path)
+    """Whether the table at ``path`` holds data files (filesystem check, no Spark job); an
+    empty table (only a commit marker) counts as absent, so the next upsert is a first load."""
+    return has_data_files(path, marker_counts=False)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, granularity: str | None = None) -> None:
-    """SNK-5: create an empty table at ``path`` if none exists."""
-    if table_exists(spark, path):
+    """SNK-5: create an empty table at ``path`` if nothing is there yet."""
+    if path_exists(path):
         return
     empty = with_partition(spark.createDataFrame([], schema), granularity)
     writer = empty.write.mode("overwrite")
@@ -207,5 +208,7 @@ def upsert(
 
 
 def read_observations(spark: SparkSession, target: str) -> DataFrame:
-    """The observation table without its partition column."""
+    """The observation table without its partition column (empty when it holds no data)."""
+    if not has_data_files(target, marker_counts=False):
+        return spark.createDataFrame([], OBSERVATIONS)
     return spark.read.parquet(target).select(*OBSERVATION_COLUMNS)

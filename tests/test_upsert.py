@@ -156,3 +156,14 @@ def test_finer_partitions_rewrite_only_touched_ones(spark, tmp_root, granularity
         df.explain("formatted")
     assert f"PartitionFilters: [isnotnull({column}" in buf.getvalue()
     assert df.count() == 2
+
+
+def test_ensure_table_creates_once(spark, tmp_root):
+    from obsflow.operators.upsert import ensure_table
+
+    ensure_table(spark, tmp_root, OBSERVATIONS, granularity="year")
+    assert os.path.isdir(tmp_root)
+    assert read_observations(spark, tmp_root).count() == 0
+    upsert(spark, tmp_root, _obs(spark, [("A", dt.date(2024, 1, 1), 1.0, "OK", "daily", T1)]))
+    ensure_table(spark, tmp_root, OBSERVATIONS, granularity="year")  # existing table left alone
+    assert read_observations(spark, tmp_root).count() == 1
