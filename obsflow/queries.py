@@ -10,11 +10,26 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from obsflow.functions import scalars as S
+from obsflow.functions.scalars import coerce_value
+from obsflow.operators import payload as P
+from obsflow.operators import windows as Wn
+from obsflow.operators.upsert import read_observations, upsert
+from obsflow.plans import backfill as B
+from obsflow.plans import calendar as C
+from obsflow.plans import load as L
+from obsflow.plans import reports as R
 from obsflow.plans import views as V
-from obsflow.session import configure
+from obsflow.session import _checkpoint_root, configure, scratch_dir
 from obsflow.sources import adapters as A
+from obsflow.sources import catalog as CT
+from obsflow.sources import landing as LZ
+from obsflow.sources import landing_fixture as LF
 from obsflow.sources.catalog import dim_series_literal
+from obsflow.sources.observations import scan_observations
+from obsflow.streaming.incremental import read_quarantine, start_incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,10 +39,8 @@ def _seed(spark: SparkSession) -> DataFrame:
 
 
 def q_valid_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from obsflow.operators.windows import valid_observations
-
     configure(spark)
-    return valid_observations(A.observations(spark, sf_dir)).select("series_id", "observation_date", "value", "frequency")
+    return Wn.valid_observations(A.observations(spark, sf_dir)).select("series_id", "observation_date", "value", "frequency")
 
 
 def q_view_uf_diaria(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,15 +91,7 @@ QUERIES: dict[str, Query] = {
 
 
 # ---------------------------------------------------------------- landing and payloads
-from pyspark.sql import functions as F  # noqa: E402
 
-from obsflow.functions.scalars import coerce_value  # noqa: E402
-from obsflow.operators import payload as P  # noqa: E402
-from obsflow.operators.upsert import read_observations, upsert  # noqa: E402
-from obsflow.plans import load as L  # noqa: E402
-from obsflow.session import scratch_dir  # noqa: E402
-from obsflow.sources import landing as LZ  # noqa: E402
-from obsflow.sources import landing_fixture as LF  # noqa: E402
 
 ROW_COLUMNS = ["series_id", "observation_date", "value", "status_code", "frequency"]
 LOAD_1 = "2026-01-01 00:00:00"
@@ -242,12 +247,10 @@ def q_split_payload_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     yearly = P.parse_payloads(per_year.select("series_id", "_year", body.alias("body")))
     days = P.split_by_day(yearly, "_year")
     back = P.parse_payloads(days).select("series_id", "period_label", F.explode("payload.Series.Obs").alias("o"))
-    from obsflow.functions.scalars import parse_payload_date
-
     return back.select(
         "series_id",
         "period_label",
-        parse_payload_date(F.col("o.indexDateString")).alias("observation_date"),
+        S.parse_payload_date(F.col("o.indexDateString")).alias("observation_date"),
         coerce_value(F.col("o.value")).alias("value"),
         F.col("o.statusCode").alias("status_code"),
     )
@@ -275,12 +278,6 @@ QUERIES.update(
 
 
 # ---------------------------------------------------------------- calendars, plans, reports
-from obsflow.operators import windows as Wn  # noqa: E402
-from obsflow.functions import scalars as S  # noqa: E402
-from obsflow.plans import backfill as B  # noqa: E402
-from obsflow.plans import calendar as C  # noqa: E402
-from obsflow.plans import reports as R  # noqa: E402
-from obsflow.sources import catalog as CT  # noqa: E402
 
 def _freqs():
     return F.array(F.lit("daily"), F.lit("monthly"), F.lit("quarterly"))
@@ -595,7 +592,6 @@ QUERIES.update(
 
 
 # ---------------------------------------------------------------- streaming
-from obsflow.streaming.incremental import read_quarantine, start_incremental_load  # noqa: E402
 
 
 def _stream_into(spark: SparkSession, root: str, target: str, quarantine: str, ingested_at: str) -> None:
@@ -638,7 +634,6 @@ QUERIES.update(
 
 
 # ---------------------------------------------------------------- stored fact table
-from obsflow.sources.observations import scan_observations  # noqa: E402
 
 _STORED: dict[tuple[str, str], str] = {}
 
@@ -646,8 +641,6 @@ _STORED: dict[tuple[str, str], str] = {}
 def stored_observations(spark: SparkSession, sf_dir: str) -> str:
     """The consolidated fact written once (per folder and session) as the year-partitioned
     observation table, through the upsert path."""
-    from obsflow.session import _checkpoint_root
-
     key = (sf_dir.rstrip("/"), _checkpoint_root(spark))
     if key not in _STORED:
         path = scratch_dir(spark, "observations-table")
