@@ -57,8 +57,9 @@ def freshness_report(obs: DataFrame, dim_series: DataFrame, as_of: dt.date | str
 
 
 def series_coverage(catalog: DataFrame, obs: DataFrame, first: dt.date | str | Column, last: dt.date | str | Column) -> DataFrame:
-    """AGG-5: per catalog series, observations in [first, last] → OK (some) / EMPTY (none);
-    ``any_fail`` flags the run when a series failed outright (here: no catalog frequency)."""
+    """AGG-5: per catalog series, observations in [first, last] → OK (some) / EMPTY (none),
+    FAIL for a catalog row without a frequency. A run fails overall when any row is FAIL
+    (``coverage.where("status = 'FAIL'").isEmpty()`` is the exit check)."""
     window_obs = obs.where(F.col("observation_date").between(_date(first), _date(last)))
     counts = window_obs.groupBy("series_id").agg(F.count(F.lit(1)).cast("long").alias("observations"))
     joined = catalog.select("series_id", "frequency").join(counts, "series_id", "left")
