@@ -97,3 +97,19 @@ def test_stream_batch_with_only_ignored_files(spark, tmp_root):
     start_incremental_load(spark, tmp_root, target, scratch_dir(spark, "ck"), quarantine, "2026-07-17 00:00:00").awaitTermination()
     assert not os.path.exists(target)  # nothing loaded, table untouched
     assert read_quarantine(spark, quarantine).count() == 0
+
+
+def test_live_stream_picks_up_new_arrivals(spark, tmp_root):
+    _zone(tmp_root)
+    target = scratch_dir(spark, "obs")
+    q = start_incremental_load(
+        spark, tmp_root, target, scratch_dir(spark, "ck"), None, "2026-07-17 00:00:00", available_now=False, processing_time="1 second"
+    )
+    try:
+        q.processAllAvailable()
+        assert read_observations(spark, target).count() == 3
+        _write(tmp_root, "raw/daily/A B/2026-07-21.json", _payload("21-07-2026", "8"))
+        q.processAllAvailable()
+        assert read_observations(spark, target).where(F.col("value") == 8.0).count() == 1
+    finally:
+        q.stop()
