@@ -443,19 +443,19 @@ SELECT l.series_id, l.frequency, l.latest_obs,
        CAST(c.cadence_days + 3 AS INTEGER) AS allowed_days,
        date_diff('day', l.latest_obs, (SELECT mx FROM bounds) + 1) > c.cadence_days + 3 AS stale
 FROM latest l LEFT JOIN cad c USING (frequency)""",
-        "win_abs_change": _win_sql(OBS_DAILY, f"v - LAG(v) OVER ({W}) AS change, LAG(v) OVER ({W}) AS previous"),
-        "win_pct_change": _win_sql(OBS_MONTHLY, f"{_pct_sql('v', 1, 2)} AS pct_change"),
-        "win_yoy_monthly": _win_sql(OBS_MONTHLY, f"{_pct_sql('v', 12, 2)} AS yoy_pct"),
-        "win_yoy_quarterly": _win_sql(OBS_QUARTERLY, f"{_pct_sql('v', 4, 2)} AS yoy_pct"),
-        "win_moving_avg": _win_sql(OBS_RATE, f"AVG(v) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg_7"),
+        "win_abs_change": _win_sql(_fam("daily_value"), f"v - LAG(v) OVER ({W}) AS change, LAG(v) OVER ({W}) AS previous"),
+        "win_pct_change": _win_sql(_fam("monthly_value"), f"{_pct_sql('v', 1, 2)} AS pct_change"),
+        "win_yoy_monthly": _win_sql(_fam("monthly_value"), f"{_pct_sql('v', 12, 2)} AS yoy_pct"),
+        "win_yoy_quarterly": _win_sql(_fam("quarterly_value"), f"{_pct_sql('v', 4, 2)} AS yoy_pct"),
+        "win_moving_avg": _win_sql(_fam("daily_count"), f"AVG(v) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg_7"),
         "win_compound": _win_sql(
-            OBS_PCT,
+            _fam("monthly_pct"),
             f"""CASE WHEN SUM(CASE WHEN 1 + v / 100 <= 0 THEN 1 ELSE 0 END) OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) > 0 THEN NULL
             ELSE ROUND((EXP(SUM(LN(GREATEST(1 + v / 100, 1e-300))) OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)) - 1) * 100, 4) END AS compound_12,
        COUNT(*) OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS rows_in_window""",
         ),
         "win_change_point": _win_sql(
-            OBS_RATE,
+            _fam("daily_count"),
             f"""CASE WHEN LAG(v) OVER ({W}) IS NULL THEN NULL WHEN v > LAG(v) OVER ({W}) THEN 'alza'
             WHEN v < LAG(v) OVER ({W}) THEN 'baja' ELSE 'sin_cambio' END AS movement""",
         ),

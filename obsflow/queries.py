@@ -484,38 +484,38 @@ def _win(obs: DataFrame, alias: str, *cols) -> DataFrame:
 def q_win_abs_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(A.obs_daily(spark, sf_dir), "v", Wn.abs_change("v", w).alias("change"), Wn.previous("v", w).alias("previous"))
+    return _win(_fact(spark, sf_dir).where(A.family("daily_value")), "v", Wn.abs_change("v", w).alias("change"), Wn.previous("v", w).alias("previous"))
 
 
 def q_win_pct_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(A.obs_monthly(spark, sf_dir), "v", Wn.pct_change_over("v", w, 1, 2).alias("pct_change"))
+    return _win(_fact(spark, sf_dir).where(A.family("monthly_value")), "v", Wn.pct_change_over("v", w, 1, 2).alias("pct_change"))
 
 
 def q_win_yoy_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(A.obs_monthly(spark, sf_dir), "v", Wn.pct_change_over("v", w, 12, 2).alias("yoy_pct"))
+    return _win(_fact(spark, sf_dir).where(A.family("monthly_value")), "v", Wn.pct_change_over("v", w, 12, 2).alias("yoy_pct"))
 
 
 def q_win_yoy_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(A.obs_quarterly(spark, sf_dir), "v", Wn.pct_change_over("v", w, 4, 2).alias("yoy_pct"))
+    return _win(_fact(spark, sf_dir).where(A.family("quarterly_value")), "v", Wn.pct_change_over("v", w, 4, 2).alias("yoy_pct"))
 
 
 def q_win_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(A.obs_rate(spark, sf_dir), "v", Wn.moving_avg("v", w, 7).alias("moving_avg_7"))
+    return _win(_fact(spark, sf_dir).where(A.family("daily_count")), "v", Wn.moving_avg("v", w, 7).alias("moving_avg_7"))
 
 
 def q_win_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
     return _win(
-        A.obs_pct(spark, sf_dir),
+        _fact(spark, sf_dir).where(A.family("monthly_pct")),
         "v",
         Wn.compounded_growth("v", w, 12, 4).alias("compound_12"),
         Wn.frame_rows(w, 12).alias("rows_in_window"),
@@ -525,7 +525,7 @@ def q_win_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_win_change_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(A.obs_rate(spark, sf_dir), "v", Wn.change_label("v", w).alias("movement"))
+    return _win(_fact(spark, sf_dir).where(A.family("daily_count")), "v", Wn.change_label("v", w).alias("movement"))
 
 
 def q_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
