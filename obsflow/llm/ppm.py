@@ -3,12 +3,13 @@
 **Model.** A byte-context trie of order ``order``, held as sorted tables: for each length
 L = 1 ... order + 1 the byte strings whose share of all L-grams of the training texts is at
 least ``share``, with their counts over all training texts. So a length holds at most
-``1 / share`` entries whatever the corpus' size, which bounds the broadcast. Every text is
-led by ``order`` end marks (byte 0xFF, which UTF-8 never uses) and closed by one.
+``1 / share`` entries whatever the corpus' size, which bounds the broadcast. A context also
+keeps the total of all its symbols, known or not. Every text is led by ``order`` end marks (byte 0xFF, which UTF-8 never uses) and closed by one.
 
 **Score.** From the longest known context: a symbol seen there costs
-count / (total + distinct); otherwise the escape distinct / (total + distinct) is paid
-(method C) and the context is shortened by its first byte. Symbols that the longer context
+count / (total + distinct); otherwise the escape is paid and the context is shortened by
+its first byte. The escape is method C's, distinct / (total + distinct), with the counts of
+symbols that the table left out added above the line. Symbols that the longer context
 knew are excluded from the shorter one's counts. The tables are closed under shortening,
 so the longer context's symbols are always a subset of the shorter one's, and what
 exclusion leaves is a function of the longer context alone; it is kept with it. Past the
@@ -41,8 +42,8 @@ _U = np.uint64
 class Settings:
     """``share`` bounds the trie: at most ``1 / share`` strings of each length."""
 
-    order: int = 4
-    share: float = 4e-6
+    order: int = 5
+    share: float = 1e-6
 
 
 def gram_codes(data: np.ndarray, off: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,11 +78,14 @@ def _count(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordB
 @dataclass(frozen=True)
 class Trie:
     """``grams[L]`` and ``counts[L]``: the known strings of length L + 1 in code order, the
-    lowest byte last. Lookups of contexts go to strings one shorter."""
+    lowest byte last; ``contexts[L]`` and ``totals[L]``: contexts of length L in code order,
+    each that a known string has among them, and the counts of all their symbols."""
 
     order: int
     grams: tuple[np.ndarray, ...]
     counts: tuple[np.ndarray, ...]
+    contexts: tuple[np.ndarray, ...]
+    totals: tuple[np.ndarray, ...]
 
 
 class Scorer:
@@ -91,34 +95,32 @@ class Scorer:
 
     def __init__(self, trie: Trie) -> None:
         self.trie = trie
-        self.contexts, self.total, self.distinct, self.left, self.gone = [], [], [], [], []
-        for length in range(trie.order + 1):  # contexts of this length
+        # of each context: the counts and number of its known symbols and the counts of the
+        # others; then the same of the next shorter context without this one's symbols
+        self.contexts, self.seen, self.distinct, self.other = [], [], [], []
+        self.seen_left, self.distinct_left = [], []
+        for length in range(trie.order + 1):
             gram, count = trie.grams[length], trie.counts[length].astype(np.float64)
-            context = gram >> _U(8)
-            known, start = np.unique(context, return_index=True)
-            cut = np.r_[start, len(gram)].astype(np.int64)
-            total = np.add.reduceat(count, start) if len(start) else np.zeros(0)
-            distinct = np.diff(cut).astype(np.float64)
+            known, start = np.unique(gram >> _U(8), return_index=True)
+            seen = np.add.reduceat(count, start) if len(start) else np.zeros(0)
+            distinct = np.diff(np.r_[start, len(gram)]).astype(np.float64)
+            total = trie.totals[length][np.searchsorted(trie.contexts[length], known)]
             self.contexts.append(known)
-            self.total.append(total)
+            self.seen.append(seen)
             self.distinct.append(distinct)
+            self.other.append(total - seen)
             if length and len(gram):
-                # what a context's symbols take from the next shorter context
-                lower = self._at(trie.grams[length - 1], gram & _U((1 << (8 * length)) - 1))
-                taken = np.add.reduceat(trie.counts[length - 1].astype(np.float64)[lower], start)
-                parent = self._at(self.contexts[length - 1], known & _U((1 << (8 * (length - 1))) - 1))
-                self.left.append(self.total[length - 1][parent] - taken)
-                self.gone.append(self.distinct[length - 1][parent] - distinct)
+                shorter = np.searchsorted(trie.grams[length - 1], gram & _U((1 << (8 * length)) - 1))
+                taken = np.add.reduceat(trie.counts[length - 1].astype(np.float64)[shorter], start)
+                parent = np.searchsorted(self.contexts[length - 1], known & _U((1 << (8 * (length - 1))) - 1))
+                self.seen_left.append(self.seen[length - 1][parent] - taken)
+                self.distinct_left.append(self.distinct[length - 1][parent] - distinct)
             else:
-                self.left.append(np.zeros(len(known)))
-                self.gone.append(np.zeros(len(known)))
+                self.seen_left.append(np.zeros(len(known)))
+                self.distinct_left.append(np.zeros(len(known)))
         self.keys = np.full(1 << self.CACHE_BITS, (1 << 64) - 1, _U)
         self.values = np.zeros(1 << self.CACHE_BITS)
 
-    @staticmethod
-    def _at(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        return np.searchsorted(table, keys)
-
     @staticmethod
     def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Positions, -1 where absent."""
@@ -136,20 +138,19 @@ class Scorer:
             here = open_ & (context >= 0)
             at, up = context[here], above[here]
             first = up < 0
-            if length < trie.order and len(self.left[length + 1]):
-                total = np.where(first, self.total[length][at], self.left[length + 1][np.maximum(up, 0)])
-                distinct = np.where(first, self.distinct[length][at], self.gone[length + 1][np.maximum(up, 0)])
+            if length < trie.order and len(self.seen_left[length + 1]):
+                seen = np.where(first, self.seen[length][at], self.seen_left[length + 1][np.maximum(up, 0)])
+                distinct = np.where(first, self.distinct[length][at], self.distinct_left[length + 1][np.maximum(up, 0)])
             else:
-                total, distinct = self.total[length][at], self.distinct[length][at]
+                seen, distinct = self.seen[length][at], self.distinct[length][at]
+            escape = distinct + self.other[length][at]
             gram = self._find(trie.grams[length], codes[here] & _U((1 << (8 * (length + 1))) - 1))
-            seen = gram >= 0
-            rows = np.flatnonzero(here)
-            hit = rows[seen]
-            score[hit] += np.log10(trie.counts[length][gram[seen]] / (total[seen] + distinct[seen]))
+            rows, known = np.flatnonzero(here), gram >= 0
+            hit = rows[known]
+            score[hit] += np.log10(trie.counts[length][gram[known]] / (seen + escape)[known])
             open_[hit] = False
-            miss, rest = rows[~seen], distinct[~seen] > 0
-            out = total[~seen] + distinct[~seen]
-            score[miss[rest]] += np.log10(distinct[~seen][rest] / out[rest])
+            leave = ~known & (escape > 0)
+            score[rows[leave]] += np.log10((escape / np.maximum(seen + escape, 1))[leave])
             above[:] = np.where(context >= 0, context, -1)
         known = len(trie.grams[0])
         score[open_] -= np.log10(max(SYMBOLS - known, 1))
@@ -179,16 +180,18 @@ def train(spark: SparkSession, docs: DataFrame, settings: Settings | None = None
     counted = texts.mapInArrow(partial(_count, order=s.order), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     counted = materialize(spark, counted, "ppm-grams")
     total = counted.agg(F.sum("n")).first()[0] or 0
-    grams, counts = [], []
+    grams, counts, contexts, totals = [], [], [], []
     for length in range(1, s.order + 2):
         mask = (1 << (8 * length)) - 1
         table = counted.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-        table = table.where(F.col("n") >= max(1.0, s.share * total)).toArrow()  # at most 1 / share rows
-        gram, n = (table.column(c).to_numpy() for c in ("gram", "n"))
-        order = np.argsort(gram)
-        grams.append(gram[order].astype(_U))
-        counts.append(n[order])
-    return Trie(s.order, tuple(grams), tuple(counts))
+        above = table.groupBy(F.shiftright("gram", 8).alias("gram")).agg(F.sum("n").alias("n"))
+        for frame, codes, sums in ((table, grams, counts), (above, contexts, totals)):
+            got = frame.where(F.col("n") >= max(1.0, s.share * total)).toArrow()  # at most 1 / share rows
+            code, n = (got.column(c).to_numpy() for c in ("gram", "n"))
+            order = np.argsort(code)
+            codes.append(code[order].astype(_U))
+            sums.append(n[order])
+    return Trie(s.order, tuple(grams), tuple(counts), tuple(contexts), tuple(totals))
 
 
 def text_scores(column: pa.Array, scorer: Scorer) -> Iterator[np.ndarray]:
