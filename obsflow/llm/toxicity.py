@@ -32,12 +32,12 @@ PREFIX = 5
 class Settings:
     sample: int = 6000
     bits: int = 20
-    terms: int = 4096
+    terms: int = 2048
     least_chi2: float = 15.0
     factors: int = 8
-    epochs: int = 250
-    rate: float = 0.05
-    l2: float = 2e-4
+    epochs: int = 100
+    rate: float = 0.1
+    l2: float = 5e-5
     seed: int = 7
 
 
@@ -59,8 +59,12 @@ class Machine:
 
 
 def _sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
-    total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
-    return total[off[1:]] - total[off[:-1]]
+    """Sums of the runs of rows that ``off`` cuts; empty runs give zero."""
+    out = np.zeros((len(off) - 1, *values.shape[1:]))
+    full = np.flatnonzero(off[1:] > off[:-1])
+    if len(full):
+        out[full] = np.add.reduceat(values, off[full], axis=0)
+    return out
 
 
 def text_terms(column: pa.Array, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -94,14 +98,15 @@ def _descend(flat: np.ndarray, off: np.ndarray, y: np.ndarray, weight: np.ndarra
     first, second = [np.zeros_like(x) for x in theta], [np.zeros_like(x) for x in theta]
     by_term = np.argsort(flat, kind="stable")
     cut = np.searchsorted(flat[by_term], np.arange(len(ids) + 1))
+    row = row[by_term]
     total = weight.sum()
     for t in range(1, s.epochs + 1):
         model = Machine(s.bits, ids, float(theta[0][0]), theta[1], theta[2])
         err = weight * (_sigmoid(model.raw(flat, off)) - y) / total
         pooled = _sums(theta[2][flat], off)
-        each = err[row][by_term]
-        gv = _sums((err[:, None] * pooled)[row][by_term], cut) - theta[2] * _sums(each, cut)[:, None]
-        grads = [np.array([err.sum()]), _sums(each, cut) + s.l2 * theta[1], gv + s.l2 * theta[2]]
+        gw = _sums(err[row], cut)
+        gv = _sums((err[:, None] * pooled)[row], cut) - theta[2] * gw[:, None]
+        grads = [np.array([err.sum()]), gw + s.l2 * theta[1], gv + s.l2 * theta[2]]
         for k, g in enumerate(grads):
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
