@@ -34,3 +34,21 @@ def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -
             yield batch.filter(pa.array(keep(batch)))
 
     return docs.mapInArrow(apply, docs.schema)
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Regroup sorted batches so that no run of equal values of ``names`` is cut."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if all(held[0].column(c)[0] == batch.column(c)[-1] for c in names):
+            continue  # one run so far
+        table = pa.Table.from_batches(held).combine_chunks()
+        last = np.logical_and.reduce([table.column(c).to_numpy() == table.column(c)[-1].as_py() for c in names])
+        cut = int(np.argmax(last))
+        yield table.slice(0, cut).combine_chunks()
+        held = table.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -3,15 +3,16 @@
 1. One pass over the texts gives every row its shingle set's size and 128-bit fingerprint,
    band keys, and a signature of one byte per MinHash. Rows with equal sets become one
    node (their smallest id) through a map-side combined aggregate.
-2. Rows are dealt by band key. A bucket over ``BLOCK`` nodes is split into blocks, and
-   each pair of blocks is a group of its own, so no task holds more than two blocks.
-   Inside a group the signatures are compared a batch of hashes at a time, and a pair
-   leaves once the posterior probability that its similarity reaches the threshold falls
-   below ``miss``.
-3. Survivors are verified exactly on full shingle sets. Small buckets hand on all
-   survivors. Large ones first hand on a maximum spanning forest; once those links are
-   known, they hand on every survivor between different components. So each survivor is
-   either verified or already inside one component, and no group is expanded to pairs.
+2. Rows are dealt by band key. Inside a bucket the signatures are compared a batch of
+   hashes at a time, and a pair leaves once the posterior probability that its similarity
+   reaches the threshold falls below ``miss``. A pair that shares several bands is compared
+   in the first only.
+3. Survivors are verified exactly on full shingle sets. Buckets of up to ``SMALL`` nodes
+   hand on their survivors as pairs, which are joined with the sets. Larger buckets are
+   split into blocks of at most about ``BLOCK`` nodes and ``BLOCK_SHINGLES`` shingles; each
+   pair of blocks is a group of its own whose rows bring their sets, verifies its survivors
+   in place and hands on only a star of every component it finds. So no large group is
+   expanded to pairs, and every survivor is verified.
 4. Components are found by distributed star contraction.
 
 Shingles are compared as 64-bit hashes. Two different shingles of one pair of texts
@@ -26,16 +27,17 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.llm.components import connected_components
 from obsflow.llm.minhash import least_matches, signature
-from obsflow.llm.arrow import prepare
+from obsflow.llm.arrow import prepare, whole_runs
 from obsflow.llm.textops import LOWER, NOT_BLANK, mix, shingles, span_hash, text_slices, words
 from obsflow.session import materialize
 
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
 SMALL = 16
 
 
@@ -112,87 +114,108 @@ def _survivors(sig: np.ndarray, left: np.ndarray, right: np.ndarray, floors: tup
     return live, count
 
 
-def _forest(left: np.ndarray, right: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """Positions of a maximum spanning forest, by union-find over descending weights."""
-    parent = list(range(n))
-    keep = []
-    for e in np.argsort(-weight, kind="stable").tolist():
-        a, b = int(left[e]), int(right[e])
-        while parent[a] != a:
-            parent[a] = a = parent[parent[a]]
-        while parent[b] != b:
-            parent[b] = b = parent[parent[b]]
-        if a != b:
-            parent[b] = a
-            keep.append(e)
-    return np.array(keep, np.int64)
-
-
-def _compare(batches: Iterator[pa.RecordBatch], s: Settings, forest: bool) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of each run of equal (key, i, j); rows arrive sorted by these."""
-    floors, names = s.floors(), ["a", "b"]
-
-    def emit(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=names)
-
-    def groups(block: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, i, j, side, node, comp = (block.column(c).to_numpy() for c in ("key", "i", "j", "side", "node", "comp"))
-        sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint8).reshape(len(key), s.hashes)
-        new = np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
-        start = np.flatnonzero(new)
-        size = np.diff(np.r_[start, len(key)])
-        group = np.cumsum(new) - 1
-        brief = size[group] <= SMALL
-        for lag in range(1, int(size[size <= SMALL].max(initial=1))):
-            left = np.flatnonzero(brief[:-lag] & (group[:-lag] == group[lag:]))
-            left = left[(comp[left] != comp[left + lag]) & ((side[left] != side[left + lag]) | (i[left] == j[left]))]
+def _first_meeting(keys: np.ndarray, left: np.ndarray, right: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Whether the pairs share no band before ``band``."""
+    same = keys[left] == keys[right]
+    return same.argmax(axis=1) == band
+
+
+def _signatures(rows: pa.Table) -> np.ndarray:
+    column = rows.column("sig").to_pylist()
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
+
+
+def _bands(rows: pa.Table, s: Settings) -> np.ndarray:
+    return rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, s.bands)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    """Surviving pairs of buckets of at most ``SMALL`` nodes; rows arrive sorted by key."""
+    floors = s.floors()
+    for rows in whole_runs(batches, ["key"]):
+        key, band, node = (rows.column(c).to_numpy() for c in ("key", "band", "node"))
+        sig, keys = _signatures(rows), _bands(rows, s)
+        size = np.diff(np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)])
+        for lag in range(1, int(size.max())):
+            left = np.flatnonzero((key[:-lag] == key[lag:]) & (node[:-lag] != node[lag:]))
+            left = left[_first_meeting(keys, left, left + lag, band[left])]
             live, _ = _survivors(sig, left, left + lag, floors, s.batch)
             if len(live):
-                yield emit(node[left[live]], node[left[live] + lag])
-        for g in np.flatnonzero(size > SMALL):
-            span = np.arange(start[g], start[g] + size[g])
-            first = span[side[span] == 0]
-            second = span[side[span] == 1] if i[start[g]] != j[start[g]] else first
+                a, b = node[left[live]], node[left[live] + lag]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Intersection sizes of pairs of sorted sets."""
+    size = np.array([len(x) for x in sets])
+    _, rank = np.unique(np.concatenate(sets), return_inverse=True)
+    wide = np.int64(rank.max() + 1)
+    at = np.concatenate([[0], np.cumsum(size)])
+    held = np.repeat(np.arange(len(sets)), size) * wide + rank  # ascending, for the sets are sorted
+    out = np.zeros(len(left), np.int64)
+    step = max(1, (4 << 20) // int(size.max()))
+    for k in range(0, len(left), step):
+        x, y = left[k : k + step], right[k : k + step]
+        n = size[x]
+        cut = np.cumsum(n) - n
+        want = rank[np.repeat(at[x], n) + np.arange(n.sum()) - np.repeat(cut, n)] + np.repeat(y, n) * wide
+        found = held[np.minimum(np.searchsorted(held, want), len(held) - 1)] == want
+        out[k : k + step] = np.add.reduceat(found, cut)
+    return out
+
+
+def _stars(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    """Verified links of large buckets: each node of a group's component and its smallest
+    node. Rows arrive sorted by (key, i, j)."""
+    floors = s.floors()
+    for rows in whole_runs(batches, ["key", "i", "j"]):
+        key, i, j, side, band, node = (rows.column(c).to_numpy() for c in ("key", "i", "j", "side", "band", "node"))
+        start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        for a, b in zip(start, np.r_[start[1:], len(key)], strict=True):
+            part = rows.slice(a, b - a)
+            sig, keys = _signatures(part), _bands(part, s)
+            first = np.flatnonzero(side[a:b] == 0)
+            second = first if i[a] == j[a] else np.flatnonzero(side[a:b] == 1)
             got = []
-            for at in range(0, len(first), 64):
-                left, right = np.repeat(first[at : at + 64], len(second)), np.tile(second, len(first[at : at + 64]))
-                fit = (comp[left] != comp[right]) & ((left < right) | (i[start[g]] != j[start[g]]))
+            for k in range(0, len(first), 64):
+                left, right = np.repeat(first[k : k + 64], len(second)), np.tile(second, len(first[k : k + 64]))
+                fit = (left < right) if i[a] == j[a] else np.ones(len(left), bool)
                 left, right = left[fit], right[fit]
-                live, count = _survivors(sig, left, right, floors, s.batch)
-                got.append((left[live], right[live], count))
-            left, right, count = (np.concatenate(x) for x in zip(*got, strict=True))
-            if forest and len(left):
-                keep = _forest(left - start[g], right - start[g], count, int(size[g]))
-                left, right = left[keep], right[keep]
-            if len(left):
-                yield emit(node[left], node[right])
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        table = pa.Table.from_batches(held).combine_chunks()
-        tail = [table.column(c)[-1].as_py() for c in ("key", "i", "j")]
-        open_ = np.logical_and.reduce([table.column(c).to_numpy() == v for c, v in zip(("key", "i", "j"), tail, strict=True)])
-        cut = int(np.argmax(open_))  # the last run may go on in the next batch
-        if cut:
-            yield from groups(table.slice(0, cut).combine_chunks())
-        held = table.slice(cut).to_batches()
-    if held:
-        yield from groups(pa.Table.from_batches(held).combine_chunks())
-
-
-def _candidates(members: DataFrame, s: Settings, forest: bool) -> DataFrame:
-    """``(a, b)`` for members ``(key, node, comp, sig, blocks)``."""
+                live, _ = _survivors(sig, left, right, floors, s.batch)
+                left, right = left[live], right[live]
+                fresh = _first_meeting(keys, left, right, np.full(len(left), band[a]))
+                got.append((left[fresh], right[fresh]))
+            left, right = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in zip(*got, strict=True))
+            if not len(left):
+                continue
+            sets = [np.frombuffer(x, np.uint64) for x in part.column("set").to_pylist()]
+            size = np.array([len(x) for x in sets])
+            fit = 100 * np.minimum(size[left], size[right]) >= s.percent * np.maximum(size[left], size[right])
+            left, right = left[fit], right[fit]
+            common = _common(sets, left, right) if len(left) else np.zeros(0, np.int64)
+            linked = 100 * common >= s.percent * (size[left] + size[right] - common)
+            left, right = left[linked], right[linked]
+            label = node[a:b].copy()
+            while len(left):  # the smallest node among linked ones, until nothing changes
+                low = label.copy()
+                np.minimum.at(low, left, label[right])
+                np.minimum.at(low, right, label[left])
+                if (low == label).all():
+                    break
+                label = low
+            moved = label != node[a:b]
+            yield pa.RecordBatch.from_arrays([pa.array(node[a:b][moved]), pa.array(label[moved])], names=["a", "b"])
+
+
+def _dealt(members: DataFrame, s: Settings) -> DataFrame:
+    """A row for each block pair (i, j) of its bucket that a member belongs to."""
     own = F.pmod(F.xxhash64("node", F.lit(s.seed)), F.col("blocks"))
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "key", "node", "comp", "sig",
-        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
+    out = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    out = out.select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "band", "node", "sig", "bands", "set",
     )
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(partial(_compare, s=s, forest=forest), "a long, b long").distinct()
+    return out.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -233,24 +256,20 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settin
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(spark, linkable.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("node")), "minhash-nodes")
     first = nodes.join(linkable.withColumnRenamed("doc_id", "node"), ["node", "fp1", "fp2", "n_shingles"]).dropDuplicates(["node", "fp1", "fp2"])
-    in_band = first.select("node", "sig", F.explode("bands").alias("key"))
-    size = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = in_band.join(size, "key").select("key", "node", "sig", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"), "n")
-    members = materialize(spark, members, "minhash-members")
-    wanted = members.select("node").distinct()
+    first = first.select("node", "n_shingles", "sig", "bands")
+    in_band = first.select("node", "n_shingles", "sig", "bands", F.posexplode("bands").alias("band", "key"))
+    size = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("long")
+    members = materialize(spark, in_band.join(size.select("key", "n", blocks.alias("blocks")), "key").drop("n_shingles"), "minhash-members")
+    small = members.where(F.col("n") <= SMALL).select("key", "band", "node", "sig", "bands").repartition("key").sortWithinPartitions("key")
+    pairs = materialize(spark, small.mapInArrow(partial(_pairs, s=s), "a long, b long").distinct(), "minhash-pairs")
+    large = members.where(F.col("n") > SMALL)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
     texts = docs.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi").select("node", "text")
     sets = materialize(spark, texts.mapInArrow(partial(_sets, k=s.shingle), "node long, set binary").where("length(set) > 0"), "minhash-sets")
-
-    links = materialize(spark, _verified(_candidates(members.withColumn("comp", F.col("node")), s, True), sets, s).distinct(), "minhash-links")
+    stars = _dealt(large.join(sets, "node"), s).mapInArrow(partial(_stars, s=s), "a long, b long")
+    links = materialize(spark, _verified(pairs, sets, s).unionByName(stars), "minhash-links")
     comps = materialize(spark, connected_components(spark, links), "minhash-components")
-    large = members.where(F.col("n") > SMALL)
-    named = large.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-    split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    open_ = materialize(spark, named.join(split, "key", "left_semi"), "minhash-open")
-    if not open_.isEmpty():
-        more = _verified(_candidates(open_, s, False), sets, s)
-        links = materialize(spark, links.unionByName(more).distinct(), "minhash-links")
-        comps = materialize(spark, connected_components(spark, links), "minhash-components")
 
     named = nodes.join(comps, "node", "left").select("fp1", "fp2", F.col("n_shingles").alias("size"), F.coalesce("component", "node").alias("component"))
     rows = signed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "fp1", "fp2")
