@@ -36,7 +36,7 @@ from obsflow.llm.arrow import prepare, whole_runs
 from obsflow.llm.textops import LOWER, NOT_BLANK, mix, shingles, span_hash, text_slices, words
 from obsflow.session import materialize
 
-BLOCK = 512
+BLOCK = 2048
 BLOCK_SHINGLES = 1 << 20
 SMALL = 16
 
