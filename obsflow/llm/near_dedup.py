@@ -256,18 +256,19 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settin
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(spark, linkable.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("node")), "minhash-nodes")
     first = nodes.join(linkable.withColumnRenamed("doc_id", "node"), ["node", "fp1", "fp2", "n_shingles"]).dropDuplicates(["node", "fp1", "fp2"])
-    first = first.select("node", "n_shingles", "sig", "bands")
-    in_band = first.select("node", "n_shingles", "sig", "bands", F.posexplode("bands").alias("band", "key"))
+    first = materialize(spark, first.select("node", "n_shingles", "sig", "bands"), "minhash-first")
+    in_band = first.select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
     size = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("long")
     members = materialize(spark, in_band.join(size.select("key", "n", blocks.alias("blocks")), "key").drop("n_shingles"), "minhash-members")
-    small = members.where(F.col("n") <= SMALL).select("key", "band", "node", "sig", "bands").repartition("key").sortWithinPartitions("key")
+    signatures = first.select("node", "sig", "bands")  # travels only for members of shared buckets
+    small = members.where(F.col("n") <= SMALL).join(signatures, "node").select("key", "band", "node", "sig", "bands").repartition("key").sortWithinPartitions("key")
     pairs = materialize(spark, small.mapInArrow(partial(_pairs, s=s), "a long, b long").distinct(), "minhash-pairs")
     large = members.where(F.col("n") > SMALL)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
     texts = docs.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi").select("node", "text")
     sets = materialize(spark, texts.mapInArrow(partial(_sets, k=s.shingle), "node long, set binary").where("length(set) > 0"), "minhash-sets")
-    stars = _dealt(large.join(sets, "node"), s).mapInArrow(partial(_stars, s=s), "a long, b long")
+    stars = _dealt(large.join(signatures, "node").join(sets, "node"), s).mapInArrow(partial(_stars, s=s), "a long, b long")
     links = materialize(spark, _verified(pairs, sets, s).unionByName(stars), "minhash-links")
     comps = materialize(spark, connected_components(spark, links), "minhash-components")
 
