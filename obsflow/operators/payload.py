@@ -30,7 +30,7 @@ MISSING_DATE = "missing_date"
 BAD_DATE = "bad_date"
 # -------------------------------------------------------------------------------------------
 
-_JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+_JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}
 _SCALAR_OR_ARRAY = r"^(\[.*\]|\".*\"|true|false|null|-?[0-9][0-9.eE+-]*)$"
 
 
@@ -45,9 +45,9 @@ def _date_bad(o: Column) -> Column:
 
 def parse_payloads(files: DataFrame, body: str = "body") -> DataFrame:
     """ETL-1/2/6: add ``payload`` (parsed struct) and ``reject_reason`` (NULL = accepted)."""
-    text = F.trim(F.col(body))
-    as_object = F.from_json(F.col(body), "map<string,string>")
-    parsed = F.from_json(F.col(body), PAYLOAD, _JSON_OPTIONS)
+    text = F.regexp_replace(F.col(body), r"^[\s\uFEFF]+|\s+$", "")  # a byte order mark and blank ends are no error
+    as_object = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
+    parsed = F.from_json(text, PAYLOAD, _JSON_OPTIONS)
     df = files.withColumn("payload", parsed).withColumn("_object", as_object)
     obs = F.col("payload.Series.Obs")
     reason = (

@@ -55,7 +55,7 @@ def landing_path(frequency: Column | str, series_id: Column | str, period_label:
         cond = p.isNull() | (p == "")
         missing = cond if missing is None else (missing | cond)
     path = F.concat(F.lit("raw/"), parts[0], F.lit("/"), parts[1], F.lit("/"), parts[2], F.lit(".json"))
-    return F.when(missing, F.raise_error(F.lit("frequency, series_id, and period_label are all required"))).otherwise(path)
+    return F.when(missing, F.raise_error(F.lit("a landing path needs a frequency, a series id and a period label"))).otherwise(path)
 
 
 def read_landing(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:

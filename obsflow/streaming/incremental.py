@@ -33,6 +33,8 @@ _BINARY_FILE = "path string, modificationTime timestamp, length long, content bi
 def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """STR-1 source: one row per newly arrived file under ``root``."""
     reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE).option("recursiveFileLookup", True)
+    # every arrival counts, however old its time stamp (the source's default skips files over 7 days)
+    reader = reader.option("maxFileAge", "36500d")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(root.rstrip("/"))
