@@ -31,6 +31,7 @@ BAD_DATE = "bad_date"
 # -------------------------------------------------------------------------------------------
 
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}
+_EMPTY = ("[]", "{}", "")
 _SCALAR_OR_ARRAY = r"^(\[.*\]|\".*\"|true|false|null|-?[0-9][0-9.eE+-]*)$"
 
 
@@ -43,17 +44,27 @@ def _date_bad(o: Column) -> Column:
     return parse_payload_date(o["indexDateString"]).isNull()
 
 
+def _document(body: Column) -> Column:
+    """The body without a byte order mark and blank ends, which are no error."""
+    return F.regexp_replace(body, r"^[\s\uFEFF]+|\s+$", "")
+
+
 def parse_payloads(files: DataFrame, body: str = "body") -> DataFrame:
     """ETL-1/2/6: add ``payload`` (parsed struct) and ``reject_reason`` (NULL = accepted)."""
-    text = F.regexp_replace(F.col(body), r"^[\s\uFEFF]+|\s+$", "")  # a byte order mark and blank ends are no error
-    as_object = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
+    text = _document(F.col(body))
+    # inside brackets a second document or junk after the first one is an error, not a tail left unread
+    inside = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    as_object = F.when(F.size(inside) == 1, F.get(inside, 0))
     parsed = F.from_json(text, PAYLOAD, _JSON_OPTIONS)
     df = files.withColumn("payload", parsed).withColumn("_object", as_object)
     obs = F.col("payload.Series.Obs")
+    # an empty list, object or text in place of the series or its observations holds no rows
+    empty_series = F.try_element_at("_object", F.lit("Series")).isin(*_EMPTY)
+    no_rows = F.coalesce(empty_series, F.lit(False)) | F.coalesce(F.get_json_object(text, "$.Series.Obs").isin(*_EMPTY), F.lit(False))
     reason = (
         F.when(F.col("_object").isNull() & F.regexp_replace(text, r"\s+", " ").rlike(_SCALAR_OR_ARRAY), F.lit(NOT_OBJECT))
         .when(F.col("_object").isNull() | ~text.endswith("}"), F.lit(INVALID_JSON))
-        .when(F.col("payload._corrupt").isNotNull(), F.lit(BAD_STRUCTURE))
+        .when(F.col("payload._corrupt").isNotNull() & ~no_rows, F.lit(BAD_STRUCTURE))
         .when(F.coalesce(F.col("payload.Codigo") != 0, F.lit(True)), F.lit(BAD_CODIGO))
         .when(F.coalesce(F.exists(obs, _date_missing), F.lit(False)), F.lit(MISSING_DATE))
         .when(F.coalesce(F.exists(obs, _date_bad), F.lit(False)), F.lit(BAD_DATE))
@@ -114,40 +125,41 @@ def obs_element(observation_date: Column, value_text: Column, status: Column) ->
 
 
 def value_text(value: Column) -> Column:
-    """A double as payload text with two decimals (NULL stays NULL)."""
-    return value.cast("decimal(18,2)").cast("string")
+    """A double as the shortest payload text that reads back as the same double (NULL stays NULL)."""
+    return value.cast("double").cast("string")
 
 
-def split_by_day(payloads: DataFrame, year: Column | str) -> DataFrame:
+def split_by_day(payloads: DataFrame, year: Column | str, body: str = "body") -> DataFrame:
     """CAL-10: a payload spanning a year → one payload per day with the same envelope.
 
+    The split works on the document itself, so every field of the envelope and of the
+    observation, known or not, keeps its value and type; keys are sorted at every level.
     Rows whose date does not parse are dropped (not the file, FLT-5); days outside
     ``year`` are dropped (FLT-4); for a date listed twice the last one wins. Input rows are
-    ``(series_id, <year>, payload)`` with ``payload`` parsed by ``parse_payloads``.
+    ``(series_id, <year>, body)``; a body that is no JSON document yields no rows.
     """
     y = F.col(year) if isinstance(year, str) else year
-    exploded = payloads.select(
+    doc = F.try_parse_json(_document(F.col(body)))
+    exploded = payloads.select("series_id", y.alias("_year"), doc.alias("_doc")).select(
         "series_id",
-        y.alias("_year"),
-        F.col("payload.Codigo").alias("_codigo"),
-        F.col("payload.Descripcion").alias("_descripcion"),
-        F.col("payload.Series.seriesId").alias("_sid"),
-        F.col("payload.Series.descripEsp").alias("_descrip"),
-        F.posexplode("payload.Series.Obs").alias("_pos", "o"),
-    ).withColumn("_day", parse_payload_date(F.col("o.indexDateString")))
-    kept = exploded.where(F.col("_day").isNotNull() & (F.year("_day") == F.col("_year")))
-    last = kept.groupBy("series_id", "_year", "_day").agg(
-        F.max_by(F.struct("_codigo", "_descripcion", "_sid", "_descrip", "o"), F.col("_pos")).alias("p")
+        "_year",
+        F.try_variant_get("_doc", "$", "map<string,variant>").alias("_top"),
+        F.try_variant_get("_doc", "$.Series", "map<string,variant>").alias("_series"),
+        F.posexplode(F.try_variant_get("_doc", "$.Series.Obs", "array<variant>")).alias("_pos", "_obs"),
     )
-    element = F.struct(
-        F.col("p.o.indexDateString").alias("indexDateString"),
-        F.col("p.o.statusCode").alias("statusCode"),
-        F.col("p.o.value").alias("value"),
-    )
-    codigo = F.col("p._codigo")
+    dated = exploded.withColumn("_day", parse_payload_date(F.try_variant_get("_obs", "$.indexDateString", "string")))
+    kept = dated.where(F.col("_day").isNotNull() & (F.year("_day") == F.col("_year")))
+    last = kept.groupBy("series_id", "_year", "_day").agg(F.max_by(_one_day(), F.col("_pos")).alias("body"))
     return last.select(
-        "series_id",
-        F.date_format("_day", "yyyy-MM-dd").alias("period_label"),
-        F.col("_day").alias("observation_date"),
-        payload_body(codigo, F.col("p._descripcion"), F.col("p._sid"), F.col("p._descrip"), F.array(element)).alias("body"),
+        "series_id", F.date_format("_day", "yyyy-MM-dd").alias("period_label"), F.col("_day").alias("observation_date"), "body"
     )
+
+
+def _one_day() -> Column:
+    """The document around one observation."""
+
+    def replaced(fields: str, name: str, value: Column) -> Column:
+        others = F.map_filter(fields, lambda k, _: k != name)
+        return F.to_variant_object(F.map_concat(others, F.create_map(F.lit(name), value)))
+
+    return F.to_json(replaced("_top", "Series", replaced("_series", "Obs", F.to_variant_object(F.array("_obs")))))

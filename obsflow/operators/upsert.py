@@ -76,6 +76,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return has_data_files(path, marker_counts=False)
 
 
+def stored_granularity(spark: SparkSession, path: str) -> str | None:
+    """The granularity an existing table at ``path`` is partitioned by, if any."""
+    if not table_exists(spark, path):
+        return None
+    columns = spark.read.parquet(path).columns
+    return next((g for g, (name, _) in GRANULARITIES.items() if name in columns), None)
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, granularity: str | None = None) -> None:
     """SNK-5: create an empty table at ``path`` if nothing is there yet."""
     if path_exists(path):
@@ -158,12 +166,14 @@ def upsert(
 ) -> int:
     """SNK-1/SNK-2: keyed upsert of ``source`` into the Parquet table at ``target``.
 
+    ``granularity`` lays out a new table; an existing partitioned table keeps its layout.
+
     ``compact=True`` re-clusters the rewritten partitions with a shuffle by series (fewer,
     larger files); by default rewritten files keep their order and no target row is
     shuffled when the source keys fit the broadcast bound.
     """
     keys, columns = list(keys), list(columns)
-    gran = granularity if partition_by_year else None
+    gran = (stored_granularity(spark, target) or granularity) if partition_by_year else None
     pcol = partition_column(gran)
     sent = Observation("upsert_source")
     src = require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys)

@@ -255,7 +255,7 @@ SELECT (SELECT count(*) FROM daily_files) + (SELECT count(*) FROM monthly_files)
        (SELECT count(*) FROM reject_files WHERE reason IS NOT NULL) AS files_failed,
        (SELECT count(*) FROM loaded) AS rows_extracted""",
         "bulk_reload": f"WITH {LANDING_CTE} SELECT * FROM loaded",
-        "payload_roundtrip": f"SELECT series_id, observation_date, value, status_code, frequency FROM ({OBS_EVENTS}) q",
+        "payload_roundtrip": f"SELECT series_id, observation_date, value / 7 AS value, status_code, frequency FROM ({OBS_EVENTS}) q",
         "value_coercion": r"""WITH r AS (
   SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price, o_orderkey % 12 AS k FROM orders),
 raw AS (
@@ -280,17 +280,17 @@ FROM ev WHERE day(observation_date) >= 15""",
         "upsert_empty_noop": f"""WITH ev AS ({OBS_EVENTS})
 SELECT series_id, observation_date, value, status_code, frequency, TIMESTAMP '2026-01-01 00:00:00' AS ingested_at,
        CAST(0 AS BIGINT) AS rows_sent
-FROM ev WHERE day(observation_date) <= 20""",
+FROM ev""",
         "landing_write_if_absent": f"""WITH {LANDING_CTE}
 SELECT relative_path, CASE WHEN dom <= 10 THEN 'skipped' ELSE 'written' END AS outcome FROM daily_files""",
         "upsert_dim_series": f"""WITH obs AS ({OBSERVATIONS}), seed AS ({DIM_SEED_SQL}),
-src AS (SELECT DISTINCT series_id, frequency FROM obs WHERE frequency IN ('daily', 'quarterly'))
+src AS (SELECT DISTINCT series_id, frequency FROM obs)
 SELECT series_id, 'Serie ' || series_id AS name, 'USD' AS unit, frequency, CAST(NULL AS VARCHAR) AS description,
        TIMESTAMP '2026-02-01 00:00:00' AS updated_at FROM src
 UNION ALL
 SELECT * FROM seed WHERE series_id NOT IN (SELECT series_id FROM src)""",
         "split_payload_by_day": f"""WITH d AS ({OBS_DAILY})
-SELECT series_id, strftime(observation_date, '%Y-%m-%d') AS period_label, observation_date, value, status_code FROM d""",
+SELECT series_id, strftime(observation_date, '%Y-%m-%d') AS period_label, observation_date, value / 7 AS value, status_code FROM d""",
     }
 )
 
@@ -443,11 +443,11 @@ SELECT l.series_id, l.frequency, l.latest_obs,
        CAST(c.cadence_days + 3 AS INTEGER) AS allowed_days,
        date_diff('day', l.latest_obs, (SELECT mx FROM bounds) + 1) > c.cadence_days + 3 AS stale
 FROM latest l LEFT JOIN cad c USING (frequency)""",
-        "win_abs_change": _win_sql(_fam("daily_value"), f"v - LAG(v) OVER ({W}) AS change, LAG(v) OVER ({W}) AS previous"),
-        "win_pct_change": _win_sql(_fam("monthly_value"), f"{_pct_sql('v', 1, 2)} AS pct_change"),
+        "win_abs_change": _win_sql(OBSERVATIONS, f"v - LAG(v) OVER ({W}) AS change, LAG(v) OVER ({W}) AS previous"),
+        "win_pct_change": _win_sql(OBSERVATIONS, f"{_pct_sql('v', 1, 2)} AS pct_change"),
         "win_yoy_monthly": _win_sql(_fam("monthly_value"), f"{_pct_sql('v', 12, 2)} AS yoy_pct"),
         "win_yoy_quarterly": _win_sql(_fam("quarterly_value"), f"{_pct_sql('v', 4, 2)} AS yoy_pct"),
-        "win_moving_avg": _win_sql(_fam("daily_count"), f"AVG(v) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg_7"),
+        "win_moving_avg": _win_sql(OBSERVATIONS, f"AVG(v) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_avg_7"),
         "win_compound": _win_sql(
             _fam("monthly_pct"),
             f"""CASE WHEN SUM(CASE WHEN 1 + v / 100 <= 0 THEN 1 ELSE 0 END) OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) > 0 THEN NULL
@@ -455,9 +455,7 @@ FROM latest l LEFT JOIN cad c USING (frequency)""",
        COUNT(*) OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS rows_in_window""",
         ),
         "win_change_point": _win_sql(
-            _fam("daily_count"),
-            f"""CASE WHEN LAG(v) OVER ({W}) IS NULL THEN NULL WHEN v > LAG(v) OVER ({W}) THEN 'alza'
-            WHEN v < LAG(v) OVER ({W}) THEN 'baja' ELSE 'sin_cambio' END AS movement""",
+            OBSERVATIONS, f"CASE sign(v - LAG(v) OVER ({W})) WHEN 1 THEN 'alza' WHEN -1 THEN 'baja' WHEN 0 THEN 'sin_cambio' END AS movement"
         ),
         "scalar_functions": f"""WITH d AS ({OBS_DAILY})
 SELECT series_id, observation_date,

@@ -182,24 +182,29 @@ def run_summary(outs: DataFrame) -> DataFrame:
 def payloads_for_periods(source_obs: DataFrame, targets: DataFrame, description: str = "Success") -> DataFrame:
     """One payload per target period holding the source's observations of that period
     (one for a day, a month's for a month...), in date order: ``(relative_path, body)``.
-    A group is one series-period, so its size is bounded by the period length."""
+    A group is one series-period, so its size is bounded by the period length. Of several
+    source rows of one series and date the last wins: by ``ingested_at``, ``modified_at`` and
+    ``position`` as far as the source has them (equal ones by their content)."""
     from obsflow.operators.payload import obs_element, payload_body, value_text
 
+    keys = ["series_id", "period_label"]
+    order = [c for c in ("ingested_at", "modified_at", "position") if c in source_obs.columns]
+    wanted = source_obs.withColumn("period_label", period_label("frequency", "observation_date"))
+    wanted = wanted.join(targets.select(*keys).distinct(), keys, "left_semi")
     # one observation per series and date first (an aggregate, pre-aggregated map-side), so
     # a period group holds at most one row per day whatever copies the source carries
-    unique = source_obs.groupBy("series_id", "observation_date").agg(
-        F.max(F.struct("frequency", "value", "status_code")).alias("o")
-    ).select("series_id", "observation_date", "o.frequency", "o.value", "o.status_code")
+    row = F.struct("value", "status_code")
+    unique = wanted.groupBy(*keys, "observation_date").agg(F.max_by(row, F.struct(*order, "value", "status_code")).alias("o"))
+    unique = unique.select(*keys, "observation_date", "o.value", "o.status_code")
     labeled = unique.select(
-        "series_id",
-        period_label("frequency", "observation_date").alias("period_label"),
+        *keys,
         F.struct(
             F.col("observation_date").alias("d"),
             obs_element(F.col("observation_date"), value_text(F.col("value")), F.col("status_code")).alias("e"),
         ).alias("x"),
     )
-    per_period = labeled.groupBy("series_id", "period_label").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    joined = targets.select("series_id", "period_label", "relative_path").join(per_period, ["series_id", "period_label"])
+    per_period = labeled.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    joined = targets.select(*keys, "relative_path").join(per_period, keys)
     body = payload_body(F.lit(0), F.lit(description), F.col("series_id"), F.lit(None).cast("string"), F.transform("xs", lambda x: x["e"]))
     return joined.select("relative_path", body.alias("body"))
 

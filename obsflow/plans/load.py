@@ -16,9 +16,8 @@ from obsflow.sources.landing import decode_path, read_landing
 def parsed_files(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:
     """Every scanned file with its decoded path; payloads parsed only for on-pattern files."""
     files = decode_path(read_landing(spark, root, prefix))
-    return parse_payloads(files.where("on_pattern")).unionByName(
-        files.where(~F.col("on_pattern")), allowMissingColumns=True
-    )
+    parsed = parse_payloads(files.withColumn("_document", F.when(F.col("on_pattern"), F.col("body"))), "_document")
+    return parsed.withColumn("reject_reason", F.when(F.col("on_pattern"), F.col("reject_reason"))).drop("_document")
 
 
 def load_rows(files: DataFrame, ingested_at: dt.datetime | str | Column | None = None) -> DataFrame:
@@ -60,13 +59,16 @@ def bulk_reload(
     prefix: str | None = None,
     ingested_at: dt.datetime | str | None = None,
     dry_run: bool = False,
+    granularity: str | None = "year",
 ) -> int:
     """ETL-11 / SET-1: every file under the root in one scan, one upsert.
 
     Returns rows sent to the upsert (0 when nothing was extracted); a dry run transforms
-    everything and returns the row count without writing.
+    everything and returns the row count without writing. ``granularity`` lays out a new
+    table; an existing one keeps its layout.
     """
     rows = load_rows(parsed_files(spark, root, prefix), ingested_at)
     if dry_run:
         return rows.count()
-    return upsert(spark, target, rows.select(*OBSERVATION_COLUMNS, "modified_at", "period_label", "position"))
+    rows = rows.select(*OBSERVATION_COLUMNS, "modified_at", "period_label", "position")
+    return upsert(spark, target, rows, granularity=granularity)

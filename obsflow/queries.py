@@ -147,7 +147,7 @@ def q_bulk_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    files = LZ.decode_path(LF.good_daily(spark, sf_dir))
+    files = LZ.decode_path(LF.good_daily(spark, sf_dir, divisor=7))  # values of many decimals
     return P.flatten_payloads(P.parse_payloads(files), LOAD_1).select(*ROW_COLUMNS)
 
 
@@ -173,17 +173,13 @@ def q_value_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", raw.alias("raw")).select("o_orderkey", "raw", coerce_value(F.col("raw")).alias("value"))
 
 
-def _events_target(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+def q_upsert_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that overlap: the first days of every month, then the later ones."""
+    configure(spark)
     ev = A.obs_events(spark, sf_dir)
     target = scratch_dir(spark, "observations")
     first = ev.where(F.dayofmonth("observation_date") <= 20).withColumn("ingested_at", F.lit(LOAD_1).cast("timestamp"))
     upsert(spark, target, first)
-    return target, ev
-
-
-def q_upsert_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    target, ev = _events_target(spark, sf_dir)
     second = (
         ev.where(F.dayofmonth("observation_date") >= 15)
         .withColumn("value", F.col("value") + 1.0)
@@ -195,7 +191,9 @@ def q_upsert_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_upsert_empty_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    target, ev = _events_target(spark, sf_dir)
+    ev = A.obs_events(spark, sf_dir)
+    target = scratch_dir(spark, "observations")
+    upsert(spark, target, ev.withColumn("ingested_at", F.lit(LOAD_1).cast("timestamp")))
     nothing = ev.where(F.col("observation_date") > F.lit("2100-01-01").cast("date"))
     sent = upsert(spark, target, nothing)
     return read_observations(spark, target).withColumn("rows_sent", F.lit(sent).cast("long"))
@@ -214,8 +212,7 @@ def q_upsert_dim_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     target = scratch_dir(spark, "dim_series")
     upsert(spark, target, _seed(spark), keys=["series_id"], columns=A.DIM_COLUMNS, partition_by_year=False, cluster_by=None)
-    series = _fact(spark, sf_dir).where(F.col("frequency").isin("daily", "quarterly"))
-    source = series.select("series_id", "frequency").distinct().select(
+    source = _fact(spark, sf_dir).select("series_id", "frequency").distinct().select(
         "series_id",
         F.concat(F.lit("Serie "), "series_id").alias("name"),
         F.lit("USD").alias("unit"),
@@ -230,7 +227,7 @@ def q_upsert_dim_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_split_payload_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     d = A.obs_daily(spark, sf_dir).withColumn("_year", F.year("observation_date"))
-    text = P.value_text(F.col("value"))
+    text = P.value_text(F.col("value") / 7)
     el = P.obs_element(F.col("observation_date"), text, F.col("status_code"))
     per_year = d.groupBy("series_id", "_year").agg(F.sort_array(F.collect_list(F.struct("observation_date", el.alias("e")))).alias("xs"))
     ordered = F.transform("xs", lambda x: x["e"])
@@ -484,13 +481,13 @@ def _win(obs: DataFrame, alias: str, *cols) -> DataFrame:
 def q_win_abs_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(_fact(spark, sf_dir).where(A.family("daily_value")), "v", Wn.abs_change("v", w).alias("change"), Wn.previous("v", w).alias("previous"))
+    return _win(_fact(spark, sf_dir), "v", Wn.abs_change("v", w).alias("change"), Wn.previous("v", w).alias("previous"))
 
 
 def q_win_pct_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(_fact(spark, sf_dir).where(A.family("monthly_value")), "v", Wn.pct_change_over("v", w, 1, 2).alias("pct_change"))
+    return _win(_fact(spark, sf_dir), "v", Wn.pct_change_over("v", w, 1, 2).alias("pct_change"))
 
 
 def q_win_yoy_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -508,7 +505,7 @@ def q_win_yoy_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_win_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(_fact(spark, sf_dir).where(A.family("daily_count")), "v", Wn.moving_avg("v", w, 7).alias("moving_avg_7"))
+    return _win(_fact(spark, sf_dir), "v", Wn.moving_avg("v", w, 7).alias("moving_avg_7"))
 
 
 def q_win_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -525,7 +522,7 @@ def q_win_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_win_change_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     w = Wn.series_window()
-    return _win(_fact(spark, sf_dir).where(A.family("daily_count")), "v", Wn.change_label("v", w).alias("movement"))
+    return _win(_fact(spark, sf_dir), "v", Wn.change_label("v", w).alias("movement"))
 
 
 def q_scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,9 +18,11 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from urllib.parse import urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,16 +64,22 @@ def read_landing(spark: SparkSession, root: str, prefix: str | None = None) -> D
     """SRC-1/SRC-2: one row per object under ``root`` (optionally under ``root/prefix``).
 
     A prefix ending in ``/`` names a folder; otherwise it matches names that start with it,
-    like an object-store key prefix.
+    like an object-store key prefix. A prefix without objects gives no rows.
     """
     base = root.rstrip("/")
     if prefix:
-        target = f"{base}/{prefix.rstrip('/')}" if prefix.endswith("/") else f"{base}/{prefix}*"
+        literal = re.sub(r"([\\*?{}\[\]])", r"\\\1", prefix)  # a key prefix is text, not a glob
+        target = f"{base}/{literal.rstrip('/')}" if prefix.endswith("/") else f"{base}/{literal}*"
     else:
         target = base
     # binaryFile reads each small file in one call: about 8x faster than a whole-text scan
     # on KB-sized payloads. Like every Spark file scan it skips zero-length files.
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target)
+    try:
+        raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target)
+    except AnalysisException as e:
+        if not prefix or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "relative_path string, body string, modified_at timestamp")
     return raw.select(
         relative_path(F.col("path"), root).alias("relative_path"),
         F.col("content").cast("string").alias("body"),

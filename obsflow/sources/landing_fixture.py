@@ -67,8 +67,8 @@ def _body(series: Column, obs: Column, codigo: Column | None = None) -> Column:
     )
 
 
-def good_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = A.obs_events(spark, sf_dir)
+def good_daily(spark: SparkSession, sf_dir: str, divisor: int = 1) -> DataFrame:
+    ev = A.obs_events(spark, sf_dir).withColumn("value", F.col("value") / divisor)
     el = obs_element(F.col("observation_date"), _daily_value_text(), F.col("status_code"))
     return ev.select(
         landing_path(F.lit("daily"), F.col("series_id"), F.date_format("observation_date", "yyyy-MM-dd")).alias(

@@ -2,7 +2,7 @@
 
 A file stream over the landing root (one row per file, recursive) feeds
 ``foreachBatch``: decode the path, ignore off-pattern arrivals, parse and validate each
-payload, append rejected files to a quarantine table, flatten the rest and upsert them
+payload, log the verdicts in a quarantine table, flatten the rest and upsert them
 into the observation table. The checkpoint records which files were processed;
 the sink is idempotent, so a replay (a new checkpoint over the same files) or a retried
 micro-batch leaves one row per key. ``trigger(availableNow=True)`` drains what is there
@@ -52,6 +52,7 @@ def process_batch(
     quarantine: str | None,
     ingested_at: dt.datetime | str | None,
     batch_id: int,
+    granularity: str | None = "year",
 ) -> int:
     """One micro-batch: STR-5 skip off-pattern, STR-4 quarantine rejects, STR-1 upsert."""
     files = decode_path(batch).where(F.col("on_pattern"))
@@ -61,14 +62,21 @@ def process_batch(
     parsed.write.parquet(staged)
     parsed = spark.read.parquet(staged)
     if quarantine:
-        rejected = parsed.where(F.col("reject_reason").isNotNull()).select(
-            "relative_path", F.col("reject_reason").alias("reason"), F.lit(batch_id).cast("long").alias("batch_id")
+        # the query's id is the same after a restart from its checkpoint and differs for every other stream
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        judged = parsed.select(
+            "relative_path",
+            F.col("reject_reason").alias("reason"),
+            F.current_timestamp().alias("judged_at"),
+            F.lit(run).alias("run_id"),
+            F.lit(batch_id).cast("long").alias("batch_id"),
         )
-        # one partition per micro-batch, overwritten on a retry of that batch: idempotent
-        rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine)
+        # one partition per stream and micro-batch, overwritten on a retry of that batch: idempotent
+        judged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(quarantine)
     stamp = F.current_timestamp() if ingested_at is None else F.lit(ingested_at).cast("timestamp")
     rows = flatten_payloads(parsed, stamp)
-    return upsert(spark, target, rows.select(*OBSERVATION_COLUMNS, "modified_at", "period_label", "position"))
+    rows = rows.select(*OBSERVATION_COLUMNS, "modified_at", "period_label", "position")
+    return upsert(spark, target, rows, granularity=granularity)
 
 
 def start_incremental_load(
@@ -81,6 +89,7 @@ def start_incremental_load(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = 10_000,
+    granularity: str | None = "year",
 ) -> StreamingQuery:
     """STR-1/2/3: start the stream; returns the running query (``awaitTermination`` it).
 
@@ -89,7 +98,7 @@ def start_incremental_load(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, target, quarantine, ingested_at, batch_id)
+        process_batch(spark, batch, target, quarantine, ingested_at, batch_id, granularity)
 
     writer = landing_stream(spark, root, max_files_per_trigger).writeStream.foreachBatch(each).option(
         "checkpointLocation", checkpoint
@@ -105,9 +114,16 @@ _QUARANTINE = "relative_path string, reason string, batch_id long"
 
 
 def read_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
-    """The quarantined files (``relative_path, reason, batch_id``); empty when none."""
+    """The quarantined files (``relative_path, reason, batch_id``); empty when none.
+
+    The folder logs every stream's verdict on every file, accepted ones with a null reason.
+    The latest verdict of a path counts: a file that was mended and loaded is no longer listed.
+    """
     from obsflow.session import has_data_files
 
     if not has_data_files(quarantine, marker_counts=False):
         return spark.createDataFrame([], _QUARANTINE)
-    return spark.read.parquet(quarantine).select("relative_path", "reason", F.col("batch_id").cast("long"))
+    log = spark.read.parquet(quarantine)
+    verdict = F.struct("reason", F.col("batch_id").cast("long").alias("batch_id"))
+    latest = log.groupBy("relative_path").agg(F.max_by(verdict, F.struct("judged_at", "batch_id", "run_id")).alias("v"))
+    return latest.select("relative_path", "v.reason", "v.batch_id").where("reason is not null")

@@ -140,3 +140,11 @@ def test_execute_ingest_writes_then_skips(spark, tmp_root):
     assert first == {D(2026, 7, 14): (1, 0, ["B"]), D(2026, 7, 15): (1, 0, ["B"])}
     again = {r.as_of: (r.processed, r.skipped, r.empty) for r in B.execute_ingest(spark, runs, cat, tmp_root, src).collect()}
     assert again == {D(2026, 7, 14): (0, 1, ["B"]), D(2026, 7, 15): (0, 1, ["B"])}
+
+
+def test_payloads_keep_the_last_duplicate_and_every_decimal(spark):
+    rows = [("S", "daily", dt.date(2026, 7, 14), 9.0, "ND", 1), ("S", "daily", dt.date(2026, 7, 14), 1.23456, "OK", 2), ("T", "daily", dt.date(2026, 7, 14), 5.0, "OK", 1)]
+    source = spark.createDataFrame(rows, "series_id string, frequency string, observation_date date, value double, status_code string, position int")
+    targets = spark.createDataFrame([("S", "2026-07-14", "raw/daily/S/2026-07-14.json")], "series_id string, period_label string, relative_path string")
+    out = B.payloads_for_periods(source, targets).collect()
+    assert len(out) == 1 and '"statusCode":"OK","value":"1.23456"' in out[0].body

@@ -113,3 +113,29 @@ def test_live_stream_picks_up_new_arrivals(spark, tmp_root):
         assert read_observations(spark, target).where(F.col("value") == 8.0).count() == 1
     finally:
         q.stop()
+
+
+def test_quarantine_forgets_a_mended_file_and_keeps_other_streams(spark, tmp_root):
+    good = '{"Codigo": 0, "Series": {"Obs": [{"indexDateString": "14-07-2026", "value": "1", "statusCode": "OK"}]}}'
+    write = lambda name, body: (os.makedirs(f"{tmp_root}/raw/daily/{name}", exist_ok=True), open(f"{tmp_root}/raw/daily/{name}/2026-07-14.json", "w").write(body))
+    target, quarantine = scratch_dir(spark, "obs"), scratch_dir(spark, "q")
+    write("A", "oops")
+    write("B", "oops")
+    start_incremental_load(spark, tmp_root, target, scratch_dir(spark, "ck"), quarantine).awaitTermination()
+    listed = lambda: sorted(r.relative_path for r in read_quarantine(spark, quarantine).collect())
+    assert listed() == ["raw/daily/A/2026-07-14.json", "raw/daily/B/2026-07-14.json"]
+    write("A", good)
+    start_incremental_load(spark, tmp_root, target, scratch_dir(spark, "ck"), quarantine, granularity="day").awaitTermination()
+    assert listed() == ["raw/daily/B/2026-07-14.json"]
+    # the new table took the day layout, and a later load of another setting keeps it
+    assert "obs_day" in spark.read.parquet(target).columns
+    assert L.bulk_reload(spark, tmp_root, target, prefix="raw/daily/A/") == 1
+    assert "obs_day" in spark.read.parquet(target).columns and read_observations(spark, target).count() == 1
+
+
+def test_prefix_without_objects_and_with_glob_characters(spark, tmp_root):
+    os.makedirs(f"{tmp_root}/raw/daily/A", exist_ok=True)
+    open(f"{tmp_root}/raw/daily/A/2026-07-14.json", "w").write("{}")
+    assert LZ.read_landing(spark, tmp_root, "raw/weekly/").count() == 0
+    assert LZ.read_landing(spark, tmp_root, "raw/daily/[A]/").count() == 0
+    assert LZ.read_landing(spark, tmp_root, "raw/daily/A").count() == 1

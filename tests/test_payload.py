@@ -44,6 +44,10 @@ def test_flatten_good_payload(spark):
 REJECTS = [
     ("not json", "invalid_json"),
     ('{"Codigo": 0} trailing', "invalid_json"),
+    ('{"Codigo": 0}{"Codigo": 0}', "invalid_json"),
+    ('{"Codigo": 0}, {"Codigo": 0}', "invalid_json"),
+    ('{"Codigo": 0} junk }', "invalid_json"),
+    ("{'Codigo': 0}", "invalid_json"),
     ("[1, 2]", "not_object"),
     ('"text"', "not_object"),
     ('{"Codigo": -5, "Descripcion": "bad"}', "bad_codigo"),
@@ -71,6 +75,23 @@ def test_empty_or_missing_obs_is_accepted_without_rows(spark):
     parsed = P.parse_payloads(_files(spark, bodies))
     assert [r.reject_reason for r in parsed.collect()] == [None, None, None]
     assert P.flatten_payloads(parsed).count() == 0
+    bodies = ['{"Codigo": 0, "Series": []}', '{"Codigo": 0, "Series": ""}', '{"Codigo": 0, "Series": {"Obs": {}}}', '{"Codigo": 7, "Series": []}']
+    parsed = P.parse_payloads(_files(spark, bodies))
+    assert [r.reject_reason for r in parsed.collect()] == [None, None, None, "bad_codigo"]
+    assert P.flatten_payloads(parsed).count() == 0
+
+
+def test_blank_ends_and_byte_order_mark_are_accepted(spark):
+    body = json.dumps(GOOD)
+    parsed = P.parse_payloads(_files(spark, [body + "\n", body + "\r\n\t", "\ufeff" + body]))
+    assert [r.reject_reason for r in parsed.collect()] == [None, None, None]
+    assert P.flatten_payloads(parsed).count() == 9
+
+
+def test_value_text_is_lossless(spark):
+    values = [1.23456, 0.0049, 1e17, float("inf"), -2.5e-7, 0.1 + 0.2]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [float(r.t) for r in df.select(P.value_text(df.v).alias("t")).collect()] == values
 
 
 def test_serialise_then_flatten_round_trip(spark):
@@ -107,6 +128,11 @@ def test_split_by_day(spark):
     first = json.loads(out[0].body)
     assert first["Series"]["Obs"] == [{"indexDateString": "01-02-2026", "statusCode": "OK", "value": "3"}]
     assert first["Descripcion"] == "Success" and first["Series"]["descripEsp"] == "Serie de prueba"
+    # fields the engine does not know, numbers and nulls come through as they are
+    yearly["Extra"], yearly["Nada"], yearly["Series"]["escala"] = {"b": [1, 2.5], "a": True}, None, 3
+    yearly["Series"]["Obs"] = [{"indexDateString": "01-02-2026", "value": 1.23456, "statusCode": "OK", "nota": "x"}]
+    df = spark.createDataFrame([("S1", 2026, json.dumps(yearly)), ("S2", 2026, "oops")], "series_id string, y int, body string")
+    assert [json.loads(r.body) for r in P.split_by_day(df, "y").collect()] == [yearly]
     empty = spark.createDataFrame([("S1", 2026, '{"Codigo": 0, "Series": {"Obs": []}}')], "series_id string, y int, body string")
     assert P.split_by_day(P.parse_payloads(empty), "y").count() == 0
 
