@@ -25,12 +25,25 @@ from obsflow.session import materialize
 from obsflow.sources.landing import landing_path
 
 
+FREQUENCIES = ("daily", "monthly", "quarterly")
+
+
 def _date(v: dt.date | str | Column) -> Column:
     return v if isinstance(v, Column) else F.lit(str(v)).cast("date")
 
 
-def plan(catalog: DataFrame, start: dt.date | str | Column, end: dt.date | str | Column) -> DataFrame:
-    """CAL-11: one row per (series, period of its frequency) within [start, end]."""
+def plan(
+    catalog: DataFrame, start: dt.date | str | Column, end: dt.date | str | Column, frequency: str | None = None
+) -> DataFrame:
+    """CAL-11: one row per (series, period of its frequency) within [start, end], for the
+    series of one ``frequency`` only if given. Fixed dates in the wrong order and an unknown
+    frequency are errors."""
+    if not isinstance(start, Column) and not isinstance(end, Column) and str(start) > str(end):
+        raise ValueError(f"the range starts on {start}, after its end {end}")
+    if frequency is not None:
+        if frequency not in FREQUENCIES:
+            raise ValueError(f"frequency must be one of {FREQUENCIES}")
+        catalog = catalog.where(F.col("frequency") == frequency)
     p = catalog.select("series_id", "frequency", F.explode(periods("frequency", _date(start), _date(end))).alias("p"))
     return p.select(
         "series_id",

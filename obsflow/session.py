@@ -54,6 +54,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         # unset (unit tests, ad-hoc local sessions): make a private folder once
         root = tempfile.mkdtemp(prefix="obsflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -4,8 +4,9 @@ The table is Parquet, partitioned by ``obs_year`` (or ``obs_month`` / ``obs_day`
 sorted by series and date inside files. A date range becomes a partition filter on that
 column (directories are pruned
 before any file is opened) plus a row filter on the date; series and status selections
-reach the Parquet reader as pushed filters and are checked against row-group statistics,
-which the series-sorted layout keeps narrow.
+reach the Parquet reader as pushed filters and are checked against row-group statistics.
+A key hash deals each series over all files of a partition, so these skip row groups only
+where a file holds several.
 """
 
 from __future__ import annotations

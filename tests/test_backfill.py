@@ -148,3 +148,13 @@ def test_payloads_keep_the_last_duplicate_and_every_decimal(spark):
     targets = spark.createDataFrame([("S", "2026-07-14", "raw/daily/S/2026-07-14.json")], "series_id string, period_label string, relative_path string")
     out = B.payloads_for_periods(source, targets).collect()
     assert len(out) == 1 and '"statusCode":"OK","value":"1.23456"' in out[0].body
+
+
+def test_plan_refuses_a_reversed_range_and_takes_one_frequency(spark):
+    catalog = spark.createDataFrame([("S", "daily"), ("M", "monthly")], "series_id string, frequency string")
+    with pytest.raises(ValueError):
+        B.plan(catalog, dt.date(2026, 2, 1), dt.date(2026, 1, 1))
+    with pytest.raises(ValueError):
+        B.plan(catalog, dt.date(2026, 1, 1), dt.date(2026, 2, 1), "weekly")
+    rows = B.plan(catalog, dt.date(2026, 1, 1), dt.date(2026, 2, 1), "monthly").collect()
+    assert {r.series_id for r in rows} == {"M"}

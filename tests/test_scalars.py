@@ -114,7 +114,7 @@ def test_landing_path_builder(spark):
     assert df.select(landing_path("f", "s", "p").alias("x")).first().x == "raw/daily/S1/2026-07-14.json"
     for bad in [("", "S1", "x"), ("daily", None, "x"), ("daily", "S1", "")]:
         df = spark.createDataFrame([bad], "f string, s string, p string")
-        with pytest.raises(Exception, match="all required"):
+        with pytest.raises(Exception, match="needs a frequency, a series id and a period label"):
             df.select(landing_path("f", "s", "p")).collect()
 
 
