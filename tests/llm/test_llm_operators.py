@@ -187,6 +187,20 @@ def test_lm_scoring_base(spark):
     assert all(r["train_tokens"] == total and r["score"] < 0 for r in got)
 
 
+@pytest.mark.parametrize(("order", "share"), [(5, 0.02), (2, 0.05), (5, 1e-9)])
+def test_lm_scoring_keeps_every_string(spark, order, share):
+    from obsflow.llm import ppm
+    from tests.llm.test_llm_text import _brute_ppm
+
+    rng = random.Random(6)
+    train = ["".join(rng.choice("aab cé") for _ in range(60)) for _ in range(12)] + [None, "once upon"]
+    asked = [*train[:3], "once upon", "zzz abc", "", None, "é aab" * 9]
+    settings = lm_scoring.Settings(ppm=ppm.Settings(order, share))
+    got = lm_scoring.score_texts(spark, _docs(spark, list(enumerate(asked))), _docs(spark, list(enumerate(train))), settings).collect()
+    want = {i: _brute_ppm([x or "" for x in train], t or "", order, 0) for i, t in enumerate(asked)}
+    assert len(got) == len(want) and all(abs(r["score"] - want[r["doc_id"]]) < 1e-9 for r in got)
+
+
 def test_decontamination(spark, monkeypatch):
     item = "alpha beta gamma delta eps zeta eta theta iota kappa lambda mu"
     bench = spark.createDataFrame([(10, item), (9, "Short item"), (8, None), (None, item), (10, item), (7, "alpha " * 10)], "item_id long, text string")
