@@ -176,6 +176,8 @@ def _stars(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Record
             sig, keys = _signatures(part), _bands(part, s)
             first = np.flatnonzero(side[a:b] == 0)
             second = first if i[a] == j[a] else np.flatnonzero(side[a:b] == 1)
+            if not len(first) or not len(second):  # a block without a node holds no pair
+                continue
             got = []
             for k in range(0, len(first), 64):
                 left, right = np.repeat(first[k : k + 64], len(second)), np.tile(second, len(first[k : k + 64]))

@@ -68,6 +68,14 @@ def test_near_dedup_equals_brute_force(spark, monkeypatch, small):
         assert r["component_id"] == want.get(r["doc_id"]) and r["kept"] == (r["doc_id"] is None or want[r["doc_id"]] == r["doc_id"])
 
 
+def test_near_dedup_with_blocks_that_hold_no_node(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 2)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 100)
+    rows = _mutants()[:20]
+    got = near_dedup.near_duplicate_groups(spark, _docs(spark, rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == _components(rows, 3, 85)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (101, 100), (None, 3)]
     got = components.connected_components(spark, spark.createDataFrame(edges, "a long, b long"))
