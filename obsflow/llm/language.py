@@ -6,7 +6,9 @@ geometric mean of the numbers either contains: a normalised blended-spectrum pre
 kernel. A Nystrom map through ``landmarks`` sample texts turns it into features, and one
 ridge regression for each language against the rest is solved on a bounded sample of
 about ``sample`` labelled texts a language. Texts are scored in blocks: presence matrix
-times landmark matrix, then times the regression's coefficients.
+times landmark matrix, then times the regression's coefficients. A text of more than
+``PIECE`` bytes, whose n-grams would fill the columns, is scored in even pieces of the whole
+text, and their margins are averaged.
 """
 
 from __future__ import annotations
@@ -17,14 +19,14 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm.arrow import prepare, filter_rows
+from obsflow.llm.arrow import prepare
 from obsflow.llm.textops import LOWER, text_slices
 
 UNKNOWN = "und"
+PIECE = 16 << 10
 _FOLD = LOWER.copy()
 _FOLD[: ord("a")] = 32
 _FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -61,27 +63,42 @@ class Classifier:
         return kernel @ self.coef
 
 
+def _blocks(data: np.ndarray, off: np.ndarray, longest: int, width: int, rows: int) -> Iterator[np.ndarray]:
+    shift = np.uint32(32 - int(width).bit_length() + 1)
+    for a in range(0, len(off) - 1, rows):
+        b = min(a + rows, len(off) - 1)
+        part = _FOLD[data[off[a] : off[b]]].astype(np.uint32)
+        cut = off[a : b + 1] - off[a]
+        row = np.repeat(np.arange(b - a, dtype=np.int64), np.diff(cut))
+        out = np.zeros((b - a) * width, bool)
+        code = np.zeros(len(part), np.uint32)
+        for n in range(1, longest + 1):
+            m = len(part) - n + 1
+            if m <= 0:
+                break
+            code = (code[:m] << np.uint32(8)) | part[n - 1 :]
+            slot = ((code + np.uint32(n * 0x01000193)) * np.uint32(2654435761)) >> shift
+            inside = row[:m] == row[n - 1 :]
+            out[(row[:m] * width + slot)[inside]] = True
+        yield out.reshape(b - a, width)
+
+
 def presence(column: pa.Array, longest: int, width: int, rows: int = 256) -> Iterator[np.ndarray]:
     """Boolean matrices (at most ``rows`` texts by ``width``), in row order."""
-    shift = np.uint32(32 - int(width).bit_length() + 1)
-    for first, last, data, off in text_slices(column):
-        folded = _FOLD[data].astype(np.uint32)
-        for a in range(0, last - first, rows):
-            b = min(a + rows, last - first)
-            part = folded[off[a] : off[b]]
-            cut = off[a : b + 1] - off[a]
-            row = np.repeat(np.arange(b - a, dtype=np.int64), np.diff(cut))
-            out = np.zeros((b - a) * width, bool)
-            code = np.zeros(len(part), np.uint32)
-            for n in range(1, longest + 1):
-                m = len(part) - n + 1
-                if m <= 0:
-                    break
-                code = (code[:m] << np.uint32(8)) | part[n - 1 :]
-                slot = ((code + np.uint32(n * 0x01000193)) * np.uint32(2654435761)) >> shift
-                inside = row[:m] == row[n - 1 :]
-                out[(row[:m] * width + slot)[inside]] = True
-            yield out.reshape(b - a, width)
+    for _, _, data, off in text_slices(column):
+        yield from _blocks(data, off, longest, width, rows)
+
+
+def text_margins(column: pa.Array, model: Classifier, rows: int = 256) -> Iterator[np.ndarray]:
+    """Matrices (texts by languages), in row order; long texts are the mean of their pieces."""
+    for _, _, data, off in text_slices(column):
+        size = np.diff(off)
+        pieces = np.maximum(1, -(-size // PIECE))
+        head = np.cumsum(pieces) - pieces
+        text = np.repeat(np.arange(len(size)), pieces)
+        cut = np.r_[off[text] + size[text] * (np.arange(len(text)) - head[text]) // pieces[text], off[-1]]
+        margins = np.concatenate([model.margins(x) for x in _blocks(data, cut, model.longest, model.width, rows)])
+        yield np.add.reduceat(margins, head, axis=0) / pieces[:, None]
 
 
 def _pack(batches: Iterator[pa.RecordBatch], longest: int, width: int) -> Iterator[pa.RecordBatch]:
@@ -130,8 +147,8 @@ def fit(spark: SparkSession, docs: DataFrame, settings: Settings | None = None)
 def _apply(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         best, sure = [], []
-        for block in presence(batch.column("text"), model.longest, model.width):
-            margin = model.margins(block) * model.sharpness
+        for margin in text_margins(batch.column("text"), model):
+            margin = margin * model.sharpness
             p = np.exp(margin - margin.max(axis=1, keepdims=True))
             best.append(margin.argmax(axis=1))
             sure.append(p.max(axis=1) / p.sum(axis=1))
@@ -154,15 +171,8 @@ def predict(spark: SparkSession, docs: DataFrame, model: Classifier) -> DataFram
 
 
 def known(spark: SparkSession, docs: DataFrame, model: Classifier) -> DataFrame:
-    """The rows of ``docs`` in a known language, with all their columns. A row goes if its
-    text is null or has no letter, or if the regressions of all languages speak against it
-    (no margin above zero)."""
+    """The rows of ``docs`` that ``predict`` gives a language, with all their columns: a row
+    goes if its text is null or has no letter, or if the classifier knows no language."""
     prepare(spark)
-
-    def keep(batch: pa.RecordBatch) -> np.ndarray:
-        text = batch.column("text")
-        lettered = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
-        margins = [model.margins(b).max(axis=1, initial=-1.0) for b in presence(text, model.longest, model.width)]
-        return lettered & (np.concatenate([*margins, np.zeros(0)]) > 0)
-
-    return filter_rows(docs, keep)
+    text = F.col("text").cast("string")
+    return docs.where(F.coalesce(text.rlike(r"\p{L}"), F.lit(False)) & F.lit(bool(model.languages)))

@@ -125,6 +125,19 @@ def test_language(spark):
     assert language.known(spark, docs, model).count() == len(rows) + 1
 
 
+def test_language_of_short_and_megabyte_texts(spark):
+    sf = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text is not null and lang is not null")
+    model = language.fit(spark, sf)
+    rows = [(i, t, None) for i, t in enumerate(["A.\nAll rights reserved.", "Avec.", "Re.", "x"])]
+    for lang in ("de", "en", "es", "fr"):
+        joined = " ".join(r["text"] for r in sf.where(F.col("lang") == lang).orderBy("doc_id").select("text").limit(3000).collect())
+        rows += [(10 + len(rows), (joined * 4)[:size], lang) for size in (800_000, 1_600_000)]
+    docs = spark.createDataFrame([*rows, (900, None, None), (901, "12 !?", None)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(spark, docs, model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows if lang)
+    assert {r["doc_id"] for r in language.known(spark, docs, model).collect()} == {i for i, _, _ in rows}
+
+
 def test_license_scan(spark):
     text = license_scan.TEMPLATES["mit-grant"]
     rows = [(1, "Foo. Released under the MIT License. bar"), (2, "x " * 500 + text + " y" * 500), (3, text[: len(text) // 3]), (4, None), (5, ""), (5, "RELEASED under the MIT license"), (None, text)]
