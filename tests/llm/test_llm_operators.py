@@ -193,6 +193,21 @@ def test_lattice_equals_brute_force(spark, monkeypatch):
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (501, 502, 503, 504, 505, None))
 
 
+def test_lattice_recall_near_the_threshold(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=(2, 1500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    c = rng.uniform(0.901, 0.92, (1500, 1))
+    x = np.concatenate([a, c * a + np.sqrt(1 - c * c) * b / np.linalg.norm(b, axis=1, keepdims=True)])
+    links = np.triu(x @ x.T >= 0.9, 1).sum()
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = lattice.near_duplicate_vectors(spark, rows).agg(F.sum("n_links")).first()[0] / 2
+    assert links == 1500 and 0.98 * links <= found <= links
+
+
 def test_lm_scoring_base(spark):
     rows = [(i, t) for i, t in enumerate(["a b a", "B c", None, "", "a z", "q " * 40]) ] + [(None, "a"), (2, "b b")]
     train = rows[:4]
