@@ -248,8 +248,8 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settin
 
     Only ``doc_id`` and ``text`` are read; other columns never matter. A null, empty or
     blank text has an empty set and links with nothing. A row without an id takes no part
-    and returns with a null component, kept. Repeated ids are one document: its rows share
-    a component. An empty table gives an empty result.
+    and returns with a null component, kept. Rows that repeat an id are grouped each by its own
+    text. An empty table gives an empty result.
     """
     s = settings or Settings()
     prepare(spark)

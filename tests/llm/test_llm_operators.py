@@ -280,3 +280,20 @@ def test_pipeline_stages(spark):
     label = _components([(r["doc_id"], r["text"]) for r in docs.collect()], 5, 80)
     assert sorted(kept) == sorted({*label.values()})
     assert P.run(spark, sf).agg(F.max("length")).first()[0] <= 2048
+
+
+def test_pipeline_drops_rows_not_ids(spark, tmp_root):
+    import corpus_pipeline as P
+
+    item = "alpha beta gamma delta eps zeta eta theta iota kappa lambda mu"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_root}/benchmark.parquet")
+    a, b, c = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
+    docs = _docs(spark, [(3, a), (5, a), (5, b), (7, c), (7, c), (None, c), (None, None), (8, item), (8, "clean words"), (None, item)])
+    kept = P.drop_near_duplicates(spark, docs, tmp_root)
+    assert kept.columns == docs.columns
+    want = [(3, a), (5, b), (7, c), (8, "clean words"), (8, item), (None, None)]
+    order = lambda rows: sorted(rows, key=str)
+    assert order((r["doc_id"], r["text"]) for r in kept.collect()) == order(want)
+    clean = P.drop_contaminated(spark, docs, tmp_root)
+    assert clean.columns == docs.columns
+    assert order((r["doc_id"], r["text"]) for r in clean.collect()) == order([(3, a), (5, a), (5, b), (7, c), (7, c), (None, c), (None, None), (8, "clean words")])
