@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm import chat, dac, decontam, language, lattice, license_scan, lm_scoring, near_dedup, packing, toxicity
+from obsflow.llm import chat, conversation_repair, dac, decontam, hard_negatives, language, lattice, license_scan, lm_scoring, mixing, near_dedup, packing, toxicity
+from obsflow.operators.joins import bounded_broadcast
 from obsflow.session import materialize, scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -84,6 +85,42 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(spark, formatted)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults dealt by a checksum of conversation and turn."""
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    name = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    fate = F.crc32(name.cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), fate.alias("fate")).where("fate <> 0")
+    hurt = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.explode(F.sequence(F.lit(1), F.when(F.col("fate") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"), hurt.alias("text"), times.alias("time")).drop("time")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair(spark, damaged(turns))
+    hashes = conversation_repair.digests(spark, repaired.rows).withColumnRenamed("conv_id", "h")
+    told = repaired.conversations.withColumnRenamed("conv_id", "t")
+    every = turns.select("conv_id").distinct()
+    every = every.join(told, F.col("conv_id").eqNullSafe(F.col("t")), "left").join(hashes, F.col("conv_id").eqNullSafe(F.col("h")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(spark, rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(spark, table(spark, sf_dir, "documents"))
+    sources = mixed.sources.select("rank", F.col("size").alias("source_size"), "target")
+    rows = mixed.rows.join(bounded_broadcast(sources), "rank").join(mixing.taken(mixed), "key", "left")
+    return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,6 +140,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_token_ids,
         op10_chat_format,
+        op11_conversation_repair,
+        op12_hard_negatives,
+        op13_source_mixing,
         pipeline,
     )
 }

@@ -99,10 +99,115 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM s GROUP BY conv_id
 """
 
+_CRC32 = """xor(list_reduce(list_transform(range(1, len(k) + 1), lambda i: ascii(k[i])::BIGINT), lambda c, b:
+    list_reduce(range(8), lambda d, _: xor(d >> 1, (d & 1) * 3988292384), xor(c, b)), 4294967295), 4294967295)"""
+
+
+def _least(*choices: str) -> str:
+    """The cheapest of (cost, audit) structs, ties by audit."""
+    return f"list_sort(list_filter([{', '.join(choices)}], lambda x: x IS NOT NULL))[1]"
+
+
+def _edit(letter: str, cost: str, state: str) -> str:
+    return f"{{'c': {cost} + {state}.c, 'a': '{letter}' || {state}.a}}"
+
+
+_TO = {0: 2, 1: 2, 2: 3, 3: 2}
+_KEEPS = {0: "CASE g WHEN 's' THEN q1 WHEN 'u' THEN q2 END", 1: "CASE g WHEN 'u' THEN q2 END", 2: "CASE g WHEN 'a' THEN q3 END", 3: "CASE g WHEN 'u' THEN q2 END"}
+_ROW_EDITS = ", ".join(
+    _least(
+        _edit("D", "2", f"q{s}"),
+        f"CASE WHEN fault IN ('', 'truncated') THEN {_edit('R', '1 + late', f'q{to}')} END",
+        f"CASE WHEN fault IN ('', 'truncated') AND ({_KEEPS[s]}) IS NOT NULL THEN {_edit('K', 'late', f'({_KEEPS[s]})')} END",
+    )
+    + f" AS b{s}"
+    for s, to in _TO.items()
+)
+_ONE_INSERT = ", ".join(_least(f"b{s}", _edit("I", "5", f"b{to}")) + f" AS i{s}" for s, to in _TO.items())
+_TWO_INSERTS = ", ".join(_least(f"i{s}", _edit("I", "5", f"i{to}")) + f" AS q{s}" for s, to in _TO.items())
+
+OP11 = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations
+), fated AS (SELECT *, {_CRC32} % 20 AS fate FROM keyed),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text), copy) AS i, left(role, 1) AS g,
+    NOT regexp_matches(text, '[^ 	-]') AS empty, NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut
+  FROM hurt
+), r AS (
+  SELECT *, CASE WHEN empty THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN cut THEN 'truncated' ELSE '' END AS fault,
+    lag(g) OVER (PARTITION BY conv_id ORDER BY i) || g AS pair
+  FROM numbered
+), told AS (
+  SELECT conv_id, max(i) AS n, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM r GROUP BY conv_id
+), best(conv_id, i, q0, q1, q2, q3) AS (
+  SELECT conv_id, n, {{'c': 0::BIGINT, 'a': ''}}, {{'c': 10::BIGINT, 'a': 'II'}}, {{'c': 5::BIGINT, 'a': 'I'}}, {{'c': 0::BIGINT, 'a': ''}} FROM told
+  UNION ALL
+  SELECT conv_id, i, {_TWO_INSERTS} FROM (
+    SELECT conv_id, i, {_ONE_INSERT} FROM (
+      SELECT conv_id, i, {_ROW_EDITS} FROM (
+        SELECT b.conv_id, b.i - 1 AS i, q0, q1, q2, q3, g, fault, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS late
+        FROM best b JOIN r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i
+      )
+    )
+  )
+), audits AS (SELECT conv_id, q0.c AS cost, q0.a AS audit FROM best WHERE i = 0),
+edits AS (
+  SELECT conv_id, k, audit[k] AS e, k - len(replace(left(audit, k), 'I', '')) AS added, k - len(replace(left(audit, k), 'D', '')) AS dropped
+  FROM (SELECT *, unnest(range(1, len(audit) + 1)) AS k FROM audits)
+), lines AS (
+  SELECT e.conv_id, e.k, e.e, e.k - e.dropped AS place, r.role, r.g, r.text
+  FROM edits e LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.i = e.k - e.added AND e.e <> 'I' WHERE e.e <> 'D'
+), headed AS (
+  SELECT *, max(CASE WHEN place = 1 AND e = 'K' AND g = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS headed FROM lines
+), fixed AS (
+  SELECT conv_id, sha256(string_agg((CASE WHEN e = 'K' THEN role WHEN (place - headed) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || (CASE WHEN e = 'I' THEN '' ELSE text END), chr(10) ORDER BY k)) AS h
+  FROM headed GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(t.gaps, 0)::BIGINT AS gaps, coalesce(t.blank, 0)::BIGINT AS blank, coalesce(t.duplicate, 0)::BIGINT AS duplicate,
+  coalesce(t.truncated, 0)::BIGINT AS truncated, coalesce(t.illegal, 0)::BIGINT AS illegal, coalesce(a.cost, 0)::BIGINT AS cost,
+  coalesce(a.audit, '') AS audit, coalesce(f.h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN fixed f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+OP12 = """
+WITH v AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.k AS ak, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, b.k, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.k <> b.k AND len(a.e) = len(b.e)
+), positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY ak ORDER BY score DESC, vec_id, k) <= 5
+), negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.ak, p.k ORDER BY n.score DESC, n.vec_id, n.k) AS r,
+    n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN scored n ON n.ak = p.ak AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, r::INTEGER AS rank, negative_id, positive_score, negative_score FROM negatives WHERE r <= 3
+"""
+
 SQL = {
     "op1_minhash_near_dedup": OP1,
     "op4_license_scan": OP4,
     "op6_embedding_near_dedup": OP6,
     "op8_benchmark_decontamination": OP8,
     "op10_chat_format": OP10,
+    "op11_conversation_repair": OP11,
+    "op12_hard_negatives": OP12,
 }
