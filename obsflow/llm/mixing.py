@@ -19,6 +19,7 @@ up to n = 256, and beyond it they fail with a chance below 2^-96.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,8 @@ from obsflow.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 WALK = 32
-_CHUNK = 1 << 16
+_CHUNK = 1 << 14
+_TASK, _TASKS = 1 << 18, 20_000  # draws made in a task, tasks at most
 _ROUNDS = 4
 
 
@@ -102,7 +104,8 @@ def _slots(sources: DataFrame, s: Settings) -> DataFrame:
     n_draws = sources.agg(F.coalesce(F.sum("draws"), F.lit(0))).first()[0]
     some = sources.where("draws > 0").select("rank", "n_blocks", "draws", "first_draw")
     chunks = some.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(draws - 1) div {_CHUNK}"))))
-    chunks = chunks.repartition("rank", "chunk")  # a source of any size is spread over tasks
+    # a source of any size is spread over tasks; the number is given, as the chunks' rows are few and small
+    chunks = chunks.repartition(min(ceil(n_draws / _TASK) + 1, _TASKS), "rank", "chunk")
     j = F.explode(F.sequence(F.col("chunk") * _CHUNK, F.least("draws", (F.col("chunk") + 1) * _CHUNK) - 1))
     drawn = chunks.select("rank", "n_blocks", "first_draw", j.alias("j")).withColumn("pass", F.expr("j div n_blocks"))
     place = permuted(F.col("first_draw") + F.col("j"), F.lit(n_draws).cast("long"), F.lit(s.seed))
@@ -143,7 +146,8 @@ def taken(mixed: Mix) -> DataFrame:
     """``(key, taken)``: the words that the mixture takes of each row, repeats counted; rows
     that it leaves out are not listed."""
     uses = mixed.slots.groupBy("rank", "block").agg(F.count(F.lit(1)).alias("uses"))
-    met = mixed.pieces.join(uses, ["rank", "block"])
+    # both sides are far larger than the tables they are made from, so Spark's guess of their size would broadcast them
+    met = mixed.pieces.hint("merge").join(uses, ["rank", "block"])
     return met.groupBy("key").agg(F.sum(F.col("length") * F.col("uses")).alias("taken"))
 
 
@@ -168,8 +172,8 @@ def mixed_blocks(spark: SparkSession, docs: DataFrame, settings: Settings | None
             F.when(i == 0, F.slice("words", 1, head.cast("int"))).otherwise(F.slice("words", (head + (i - 1) * s.block + 1).cast("int"), s.block)).alias("words"),
         ),
     )
-    cut = spans.join(words, "key").select("rank", F.inline(parts))
+    cut = spans.hint("merge").join(words, "key").select("rank", F.inline(parts))
     blocks = cut.groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("begin", "words"))).alias("parts"))  # at most `block` words
     blocks = blocks.select("rank", "block", F.array_join(F.flatten("parts.words"), " ").alias("text"))
     named = mixed.slots.join(bounded_broadcast(mixed.sources.select("rank", "source")), "rank")
-    return named.join(blocks, ["rank", "block"]).select("shard", "slot", "source", "block", "pass", "text")
+    return named.hint("merge").join(blocks, ["rank", "block"]).select("shard", "slot", "source", "block", "pass", "text")

@@ -117,7 +117,7 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(spark, table(spark, sf_dir, "documents"))
     sources = mixed.sources.select("rank", F.col("size").alias("source_size"), "target")
-    rows = mixed.rows.join(bounded_broadcast(sources), "rank").join(mixing.taken(mixed), "key", "left")
+    rows = mixed.rows.join(bounded_broadcast(sources), "rank").hint("merge").join(mixing.taken(mixed), "key", "left")
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
