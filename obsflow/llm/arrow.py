@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
+from contextlib import suppress
+from functools import partial
 from pathlib import Path
 
 import numpy as np
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 _BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def prepare(spark: SparkSession, limit: int = 16 << 20) -> None:
+def prepare(spark: SparkSession, limit: int = 8 << 20) -> None:
     """Ready a session for Arrow functions of this package: batches are closed at ``limit``
     bytes, unless the session sets a limit of its own, and workers started by the session
     look for the package where the driver found it (on a cluster it is installed or given
@@ -26,6 +29,21 @@ def prepare(spark: SparkSession, limit: int = 16 << 20) -> None:
         spark.conf.set(_BYTES, str(limit))
 
 
+def _trimmed(batches: Iterator[pa.RecordBatch], fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+    try:
+        yield from fn(batches)
+    finally:
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # the C library of most Linux systems; others give memory back by themselves
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``fn``, giving freed memory back to the system at the end of a task: workers are reused,
+    and what each operator's largest task once took would add up in them."""
+    return partial(_trimmed, fn=fn)
+
+
 def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
     """The rows of ``docs``, all columns, where ``keep`` gives true; nothing is shuffled."""
 
@@ -33,7 +51,7 @@ def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -
         for batch in batches:
             yield batch.filter(pa.array(keep(batch)))
 
-    return docs.mapInArrow(apply, docs.schema)
+    return docs.mapInArrow(tidy(apply), docs.schema)
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.arrow import prepare
+from obsflow.llm.arrow import prepare, tidy
 from obsflow.llm.tokens import UnitTokenizer, ids_array
 
 MAGIC = b"DAC1"
@@ -105,7 +105,11 @@ _STORED = "part long, number long, first long, n_docs long, n_ids long, image bi
 
 
 def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    tokenizer = UnitTokenizer.of(path)
+    with UnitTokenizer.for_task(path) as tokenizer:
+        yield from _written(batches, tokenizer, end_id)
+
+
+def _written(batches: Iterator[pa.RecordBatch], tokenizer: UnitTokenizer, end_id: int) -> Iterator[pa.RecordBatch]:
     part, number, before = TaskContext.get().partitionId(), 0, 0
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
@@ -146,7 +150,7 @@ def write_store(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str,
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(partial(_write, path=tokenizer, end_id=end_id), _STORED).write.parquet(path)
+    ordered.mapInArrow(tidy(partial(_write, path=tokenizer, end_id=end_id)), _STORED).write.parquet(path)
 
 
 def _bases(spark: SparkSession, path: str) -> DataFrame:
@@ -172,7 +176,7 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     prepare(spark)
     stored = spark.read.schema(_STORED).parquet(path).select("part", "first", "image")
     placed = stored.join(F.broadcast(_bases(spark, path)), "part").select((F.col("base") + F.col("first")).alias("begin"), "image")
-    return placed.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids binary")
+    return placed.mapInArrow(tidy(_read), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,4 +200,4 @@ def random_access(spark: SparkSession, path: str, positions: DataFrame) -> DataF
     hits = asked.join(pages, "page").where("position >= begin and position < end")
     grouped = hits.groupBy("part", "number", "begin", "page").agg(F.collect_list("position").alias("at"))  # at most 2**16 a group
     images = spark.read.schema(_STORED).parquet(path).select("part", "number", "image")
-    return grouped.join(images, ["part", "number"]).select("at", "begin", "image").mapInArrow(_lookup, "position long, token_id long")
+    return grouped.join(images, ["part", "number"]).select("at", "begin", "image").mapInArrow(tidy(_lookup), "position long, token_id long")

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.arrow import prepare
+from obsflow.llm.arrow import prepare, tidy
 from obsflow.llm.textops import ALNUM, LOWER, span_hash, text_slices, words
 from obsflow.session import materialize
 
@@ -61,7 +61,7 @@ def item_windows(benchmark: DataFrame, size: int = 10) -> DataFrame:
     """``(item_id, terms)``: every run of ``size`` words of each item, or all words of a
     shorter one. Items without id or words give none; repeated windows are given once."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
-    return items.mapInArrow(partial(_windows, size=size), "item_id long, terms array<long>").distinct()
+    return items.mapInArrow(tidy(partial(_windows, size=size)), "item_id long, terms array<long>").distinct()
 
 
 def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,12 +105,12 @@ def build_index(spark: SparkSession, docs: DataFrame, windows: DataFrame) -> Dat
     """Write the positional index of ``docs(doc_id, text)`` for the terms of ``windows`` to
     the shared scratch folder and return it, one row for each row of ``docs``."""
     prepare(spark)
-    found = windows.select("terms").mapInArrow(_bitmap, "bit long").distinct().toArrow().column("bit").to_numpy()  # at most 2**24
+    found = windows.select("terms").mapInArrow(tidy(_bitmap), "bit long").distinct().toArrow().column("bit").to_numpy()  # at most 2**24
     bits = np.zeros(1 << _BITS, bool)
     bits[found] = True
     bitmap = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialize(spark, texts.mapInArrow(partial(_index, bitmap=bitmap), _INDEXED), "postings")
+    return materialize(spark, texts.mapInArrow(tidy(partial(_index, bitmap=bitmap)), _INDEXED), "postings")
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +207,7 @@ def search(spark: SparkSession, index: DataFrame, windows: DataFrame, slop: int
     rarest term of a loose occurrence (``proximity``)."""
     windows = materialize(spark, windows, "windows")
     blocks = max(1, -(-windows.count() // BLOCK))
-    counts = materialize(spark, index.select("terms", "ends").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")), "term-counts")
+    counts = materialize(spark, index.select("terms", "ends").mapInArrow(tidy(_frequencies), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")), "term-counts")
     parts = []
     for b in range(blocks):
         part = windows.where(F.pmod(F.xxhash64("item_id", "terms"), F.lit(blocks)) == b)
@@ -227,7 +227,7 @@ def search(spark: SparkSession, index: DataFrame, windows: DataFrame, slop: int
         share = np.where(term[at] == matrix, n[at], 0) if len(term) else np.zeros_like(matrix)
         order = np.argsort(np.where(real, share, np.iinfo(np.int64).max), axis=1, kind="stable")
         shared = spark.sparkContext.broadcast((rows.column("item_id").to_numpy(), matrix, sizes, order))
-        parts.append(index.mapInArrow(partial(_intersect, shared=shared, slop=slop), "row long, item_id long, start long, end long, kind string"))
+        parts.append(index.mapInArrow(tidy(partial(_intersect, shared=shared, slop=slop)), "row long, item_id long, start long, end long, kind string"))
     out = parts[0]
     for more in parts[1:]:
         out = out.unionByName(more)

@@ -19,14 +19,17 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm.arrow import prepare
+from obsflow.llm.arrow import filter_rows, prepare, tidy
 from obsflow.llm.textops import LOWER, text_slices
 
 UNKNOWN = "und"
+LETTER = r"\p{L}"
 PIECE = 16 << 10
+LONGEST_CLASS = PIECE.bit_length() - 1
 _FOLD = LOWER.copy()
 _FOLD[: ord("a")] = 32
 _FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -53,14 +56,17 @@ class Classifier:
     languages: tuple[str, ...]
     marks: np.ndarray  # landmarks as columns, each divided by the root of its n-gram count
     coef: np.ndarray
+    root: np.ndarray  # from kernel values to the coordinates of the Nystrom map
     longest: int
     width: int
     sharpness: float
 
-    def margins(self, presence: np.ndarray) -> np.ndarray:
+    def measures(self, presence: np.ndarray) -> np.ndarray:
+        """The margins of all languages and, last, the share of the text's kernel norm that
+        the landmarks explain: low for texts unlike any that were learned from."""
         size = np.sqrt(np.maximum(presence.sum(axis=1, dtype=np.float64), 1.0))
         kernel = (presence.astype(np.float32) @ self.marks) / size[:, None]
-        return kernel @ self.coef
+        return np.c_[kernel @ self.coef, ((kernel @ self.root) ** 2).sum(axis=1)]
 
 
 def _blocks(data: np.ndarray, off: np.ndarray, longest: int, width: int, rows: int) -> Iterator[np.ndarray]:
@@ -89,16 +95,22 @@ def presence(column: pa.Array, longest: int, width: int, rows: int = 256) -> Ite
         yield from _blocks(data, off, longest, width, rows)
 
 
-def text_margins(column: pa.Array, model: Classifier, rows: int = 256) -> Iterator[np.ndarray]:
-    """Matrices (texts by languages), in row order; long texts are the mean of their pieces."""
+def text_measures(column: pa.Array, model: Classifier, rows: int = 256) -> Iterator[np.ndarray]:
+    """``measures`` of texts, in row order; long texts have the mean of their pieces."""
     for _, _, data, off in text_slices(column):
         size = np.diff(off)
         pieces = np.maximum(1, -(-size // PIECE))
         head = np.cumsum(pieces) - pieces
         text = np.repeat(np.arange(len(size)), pieces)
         cut = np.r_[off[text] + size[text] * (np.arange(len(text)) - head[text]) // pieces[text], off[-1]]
-        margins = np.concatenate([model.margins(x) for x in _blocks(data, cut, model.longest, model.width, rows)])
-        yield np.add.reduceat(margins, head, axis=0) / pieces[:, None]
+        found = np.concatenate([model.measures(x) for x in _blocks(data, cut, model.longest, model.width, rows)])
+        yield np.add.reduceat(found, head, axis=0) / pieces[:, None]
+
+
+def text_margins(column: pa.Array, model: Classifier, rows: int = 256) -> Iterator[np.ndarray]:
+    """Matrices (texts by languages), in row order."""
+    for found in text_measures(column, model, rows):
+        yield found[:, :-1]
 
 
 def _pack(batches: Iterator[pa.RecordBatch], longest: int, width: int) -> Iterator[pa.RecordBatch]:
@@ -117,12 +129,12 @@ def fit(spark: SparkSession, docs: DataFrame, settings: Settings | None = None)
     rows = rows.where("doc_id is not null and text is not null and lang is not null")
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(s.languages).collect()
     if not counts:
-        return Classifier((), np.zeros((s.width, 0), np.float32), np.zeros((0, 0)), s.longest, s.width, s.sharpness)
+        return Classifier((), np.zeros((s.width, 0), np.float32), np.zeros((0, 0)), np.zeros((0, 0)), s.longest, s.width, s.sharpness)
     # each row is taken by a hash of its id, at the rate that its language's count asks for
     rate = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, s.sample / r["n"]))])
     spread = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = rows.where(spread < F.try_element_at(rate, F.col("lang")))
-    packed = picked.mapInArrow(partial(_pack, longest=s.longest, width=s.width), "doc_id long, lang string, bits binary")
+    packed = picked.mapInArrow(tidy(partial(_pack, longest=s.longest, width=s.width)), "doc_id long, lang string, bits binary")
     got = packed.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "bits").limit(s.limit).collect()
     bits = np.unpackbits(np.frombuffer(b"".join(bytes(r["bits"]) for r in got), np.uint8).reshape(len(got), s.width // 8), axis=1).astype(np.float32)
     names = tuple(sorted({r["lang"] for r in got}))
@@ -141,7 +153,7 @@ def fit(spark: SparkSession, docs: DataFrame, settings: Settings | None = None)
     target = np.where(truth[:, None] == np.arange(len(names)), 1.0, -1.0)
     share = 1.0 / np.bincount(truth, minlength=len(names))[truth]
     gram = phi.T @ (phi * share[:, None]) + s.ridge * len(names) * np.eye(phi.shape[1])
-    return Classifier(names, marks, root @ np.linalg.solve(gram, phi.T @ (target * share[:, None])), s.longest, s.width, s.sharpness)
+    return Classifier(names, marks, root @ np.linalg.solve(gram, phi.T @ (target * share[:, None])), root, s.longest, s.width, s.sharpness)
 
 
 def _apply(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.RecordBatch]:
@@ -163,16 +175,68 @@ def predict(spark: SparkSession, docs: DataFrame, model: Classifier) -> DataFram
     ids may be null or repeat; an empty table gives an empty result."""
     prepare(spark)
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(text.rlike(LETTER), F.lit(False)).alias("lettered"))
     if not model.languages:
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    scored = rows.mapInArrow(partial(_apply, model=model), "doc_id long, lettered boolean, best string, sure double")
+    scored = rows.mapInArrow(tidy(partial(_apply, model=model)), "doc_id long, lettered boolean, best string, sure double")
     return scored.select("doc_id", F.when(F.col("lettered"), F.col("best")).otherwise(UNKNOWN).alias("lang_pred"), F.when(F.col("lettered"), F.col("sure")).otherwise(0.0).alias("score"))
 
 
-def known(spark: SparkSession, docs: DataFrame, model: Classifier) -> DataFrame:
-    """The rows of ``docs`` that ``predict`` gives a language, with all their columns: a row
-    goes if its text is null or has no letter, or if the classifier knows no language."""
+def _measure(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = np.concatenate([*text_measures(batch.column("text"), model), np.zeros((0, len(model.languages) + 1))])
+        columns = [pa.array(length_class(batch.column("text"))), pa.array(found[:, :-1].max(axis=1)), pa.array(found[:, -1])]
+        yield pa.RecordBatch.from_arrays(columns, names=["length", "margin", "explained"])
+
+
+def length_class(column: pa.Array) -> np.ndarray:
+    """Binary logarithms of the texts' bytes; beyond a piece all lengths are scored alike."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.minimum(np.log2(np.maximum(size, 1)).astype(np.int64), LONGEST_CLASS)
+
+
+def calibrate(spark: SparkSession, docs: DataFrame, model: Classifier, loss: float = 0.001, slack: float = 0.15) -> np.ndarray:
+    """Cut-offs (margin, explained share) for each length class, from the lettered, labelled rows
+    of ``docs(text, lang)``: half of their median margin, and the explained share that all but
+    ``loss`` of them reach, less ``slack`` of it for texts a little unlike those. A class
+    without such rows takes the lower cut-offs of its neighbours that have some; texts
+    shorter than all of them are not cut off."""
     prepare(spark)
+    cutoffs = np.full((LONGEST_CLASS + 1, 2), -np.inf)
+    if not model.languages:
+        return cutoffs
     text = F.col("text").cast("string")
-    return docs.where(F.coalesce(text.rlike(r"\p{L}"), F.lit(False)) & F.lit(bool(model.languages)))
+    rows = docs.where("lang is not null").select(text.alias("text")).where(F.col("text").rlike(LETTER))
+    measured = rows.mapInArrow(tidy(partial(_measure, model=model)), "length long, margin double, explained double")
+    # one row a length class; rows beyond the approximation's accuracy only move a cut-off by that share
+    limits = [F.percentile_approx(c, share, 100_000).alias(c) for c, share in (("margin", 0.5), ("explained", loss))]
+    got = {r["length"]: (r["margin"] / 2, r["explained"] * (1 - slack)) for r in measured.groupBy("length").agg(*limits).collect()}
+    for k in range(LONGEST_CLASS + 1):
+        below, above = max((x for x in got if x <= k), default=None), min((x for x in got if x >= k), default=None)
+        if below is not None:
+            cutoffs[k] = np.minimum(got[below], got[below if above is None else above])
+    return cutoffs
+
+
+def known(spark: SparkSession, docs: DataFrame, model: Classifier, cutoffs: np.ndarray) -> DataFrame:
+    """The rows of ``docs`` in a language that the classifier learned, with all their columns.
+
+    Every text is scored. A row goes if its text is null or has no letter, if the classifier
+    knows no language, or if both its best margin and its explained share are below the
+    ``cutoffs`` (of ``calibrate``) of its length: it is near no language, and unlike all that
+    was learned from. A text of several known languages has low margins, but is explained. Rows are decided one by one, so repeated rows and ids fare
+    alike; an empty table gives an empty result.
+    """
+    prepare(spark)
+    if not model.languages:
+        return docs.where("false")
+    text = F.col("text").cast("string")
+    lettered = docs.where(F.coalesce(text.rlike(LETTER), F.lit(False)))
+
+    def keep(batch: pa.RecordBatch) -> np.ndarray:
+        column = batch.column("text").cast(pa.string())
+        found = np.concatenate([*text_measures(column, model), np.zeros((0, len(model.languages) + 1))])
+        least = cutoffs[length_class(column)]
+        return (found[:, :-1].max(axis=1) >= least[:, 0]) | (found[:, -1] >= least[:, 1])
+
+    return filter_rows(lettered, keep)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm.arrow import prepare
+from obsflow.llm.arrow import prepare, tidy
 from obsflow.llm.components import connected_components
 from obsflow.llm.textops import mix
 from obsflow.session import materialize
@@ -208,12 +208,12 @@ def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, settings: Se
     element = vectors.schema["embedding"].dataType.elementType.simpleString()
     kind = "<f4" if element == "float" else "<f8"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{'float' if kind == '<f4' else 'double'}>").alias("embedding"))
-    coded = rows.mapInArrow(partial(_encode, kind=kind), "vec_id long, vec binary")
+    coded = rows.mapInArrow(tidy(partial(_encode, kind=kind)), "vec_id long, vec binary")
     coded = materialize(spark, coded.withColumn("f1", F.xxhash64("vec")).withColumn("f2", F.xxhash64(F.lit(s.seed), "vec")), "vectors")
     real = coded.where("vec is not null and vec_id is not null")
     nodes = real.groupBy("f1", "f2").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
     first = real.withColumnRenamed("vec_id", "node").join(nodes, ["f1", "f2", "node"]).dropDuplicates(["f1", "f2", "node"])
-    dealt = materialize(spark, first.select("node", "copies", "vec").mapInArrow(partial(_deal, kind=kind, s=s), "node long, copies long, vec binary, keys array<long>"), "cells")
+    dealt = materialize(spark, first.select("node", "copies", "vec").mapInArrow(tidy(partial(_deal, kind=kind, s=s)), "node long, copies long, vec binary, keys array<long>"), "cells")
     at = dealt.select("node", "copies", "vec", F.posexplode("keys").alias("slot", "key"))
     own = (F.col("slot") % (1 + s.probes) == 0).cast("int")
     full = at.select("key", own.alias("own")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).where("n > 1 and own = 1")
@@ -225,7 +225,7 @@ def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, settings: Se
         F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"), "slot", "node", "copies", "vec",
     )
     met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    found = materialize(spark, met.mapInArrow(partial(_link, kind=kind, s=s), "node long, label long, n long"), "vector-links")
+    found = materialize(spark, met.mapInArrow(tidy(partial(_link, kind=kind, s=s)), "node long, label long, n long"), "vector-links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     comps = connected_components(spark, found.select(F.col("node").alias("a"), F.col("label").alias("b")))
     named = nodes.join(counts, "node", "left").join(comps, "node", "left").select(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.llm import ppm
-from obsflow.llm.arrow import prepare
+from obsflow.llm.arrow import prepare, tidy
 from obsflow.llm.textops import LOWER, NOT_BLANK, span_hash, text_slices, words
 from obsflow.session import materialize
 
@@ -98,7 +98,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: DataFrame, setti
     s = settings or Settings()
     prepare(spark)
     learn = training.select(F.col("text").cast("string").alias("text"))
-    counts = materialize(spark, learn.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+    counts = materialize(spark, learn.mapInArrow(tidy(_count), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     ends = learn.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = (sums["n"] or 0) + ends, sums["v"] + (1 if ends else 0)
@@ -108,7 +108,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: DataFrame, setti
     strings = ppm.count(spark, learn, s.ppm)
     shared = spark.sparkContext.broadcast((word[order], count[order].astype(float), ppm.frequent(strings, s.ppm)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = materialize(spark, texts.mapInArrow(partial(_score, shared=shared), _SCORED), "lm-scored")
+    scored = materialize(spark, texts.mapInArrow(tidy(partial(_score, shared=shared)), _SCORED), "lm-scored")
     pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     found = pairs.join(counts, "word").groupBy("row").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_logs"))
     asked = scored.select("row", F.explode(F.arrays_zip("grams", "gram_times")).alias("x")).select("row", F.col("x.grams").alias("gram"), F.col("x.gram_times").alias("times"))

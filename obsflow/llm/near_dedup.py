@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from obsflow.llm.components import connected_components
 from obsflow.llm.minhash import least_matches, signature
-from obsflow.llm.arrow import prepare, whole_runs
+from obsflow.llm.arrow import prepare, tidy, whole_runs
 from obsflow.llm.textops import LOWER, NOT_BLANK, mix, shingles, span_hash, text_slices, words
 from obsflow.session import materialize
 
@@ -153,7 +153,7 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     at = np.concatenate([[0], np.cumsum(size)])
     held = np.repeat(np.arange(len(sets)), size) * wide + rank  # ascending, for the sets are sorted
     out = np.zeros(len(left), np.int64)
-    step = max(1, (4 << 20) // int(size.max()))
+    step = max(1, (1 << 20) // int(size.max()))
     for k in range(0, len(left), step):
         x, y = left[k : k + step], right[k : k + step]
         n = size[x]
@@ -179,8 +179,8 @@ def _stars(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Record
             if not len(first) or not len(second):  # a block without a node holds no pair
                 continue
             got = []
-            for k in range(0, len(first), 64):
-                left, right = np.repeat(first[k : k + 64], len(second)), np.tile(second, len(first[k : k + 64]))
+            for k in range(0, len(first), 16):
+                left, right = np.repeat(first[k : k + 16], len(second)), np.tile(second, len(first[k : k + 16]))
                 fit = (left < right) if i[a] == j[a] else np.ones(len(left), bool)
                 left, right = left[fit], right[fit]
                 live, _ = _survivors(sig, left, right, floors, s.batch)
@@ -240,7 +240,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(partial(_confirm, percent=s.percent), "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(partial(_confirm, percent=s.percent)), "a long, b long")
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -254,7 +254,7 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settin
     s = settings or Settings()
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialize(spark, docs.mapInArrow(partial(_sign, s=s), _SIGNED), "minhash-signed")
+    signed = materialize(spark, docs.mapInArrow(tidy(partial(_sign, s=s)), _SIGNED), "minhash-signed")
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(spark, linkable.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("node")), "minhash-nodes")
     first = nodes.join(linkable.withColumnRenamed("doc_id", "node"), ["node", "fp1", "fp2", "n_shingles"]).dropDuplicates(["node", "fp1", "fp2"])
@@ -265,12 +265,12 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settin
     members = materialize(spark, in_band.join(size.select("key", "n", blocks.alias("blocks")), "key").drop("n_shingles"), "minhash-members")
     signatures = first.select("node", "sig", "bands")  # travels only for members of shared buckets
     small = members.where(F.col("n") <= SMALL).join(signatures, "node").select("key", "band", "node", "sig", "bands").repartition("key").sortWithinPartitions("key")
-    pairs = materialize(spark, small.mapInArrow(partial(_pairs, s=s), "a long, b long").distinct(), "minhash-pairs")
+    pairs = materialize(spark, small.mapInArrow(tidy(partial(_pairs, s=s)), "a long, b long").distinct(), "minhash-pairs")
     large = members.where(F.col("n") > SMALL)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
     texts = docs.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi").select("node", "text")
-    sets = materialize(spark, texts.mapInArrow(partial(_sets, k=s.shingle), "node long, set binary").where("length(set) > 0"), "minhash-sets")
-    stars = _dealt(large.join(signatures, "node").join(sets, "node"), s).mapInArrow(partial(_stars, s=s), "a long, b long")
+    sets = materialize(spark, texts.mapInArrow(tidy(partial(_sets, k=s.shingle)), "node long, set binary").where("length(set) > 0"), "minhash-sets")
+    stars = _dealt(large.join(signatures, "node").join(sets, "node"), s).mapInArrow(tidy(partial(_stars, s=s)), "a long, b long")
     links = materialize(spark, _verified(pairs, sets, s).unionByName(stars), "minhash-links")
     comps = materialize(spark, connected_components(spark, links), "minhash-components")
 

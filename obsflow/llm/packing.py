@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm.arrow import prepare
+from obsflow.llm.arrow import prepare, tidy
 from obsflow.llm.tokens import UnitTokenizer, ids_array
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -36,7 +36,11 @@ def cut_lengths(n: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    tokenizer = UnitTokenizer.of(path)
+    with UnitTokenizer.for_task(path) as tokenizer:
+        yield from _packed(batches, tokenizer, capacity, end_id)
+
+
+def _packed(batches: Iterator[pa.RecordBatch], tokenizer: UnitTokenizer, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     sequence = TaskContext.get().partitionId() << 36
     waiting: pa.Table | None = None
 
@@ -100,4 +104,4 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = 2
         raise ValueError("capacity must be a power of two")
     prepare(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(partial(_pack, path=tokenizer, capacity=capacity, end_id=end_id), SCHEMA)
+    return texts.mapInArrow(tidy(partial(_pack, path=tokenizer, capacity=capacity, end_id=end_id)), SCHEMA)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm.arrow import prepare, whole_runs
+from obsflow.llm.arrow import prepare, tidy, whole_runs
 from obsflow.llm.textops import text_slices
 from obsflow.session import materialize
 
@@ -212,7 +212,7 @@ def count(spark: SparkSession, docs: DataFrame, s: Settings) -> DataFrame:
     written to the shared scratch folder; null counts as empty."""
     prepare(spark)
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    counted = texts.mapInArrow(partial(_count, order=s.order), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(tidy(partial(_count, order=s.order)), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return materialize(spark, counted, "ppm-grams")
 
 
@@ -267,7 +267,7 @@ def exact_scores(spark: SparkSession, counted: DataFrame, asked: DataFrame, s: S
     key = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * near)) - 1))
     rows = counted.select("gram", "n").unionByName(asked.select("gram", F.lit(0).cast("long").alias("n")))
     rows = rows.withColumn("key", key).repartition("key").sortWithinPartitions("key")
-    return rows.mapInArrow(partial(_exact, shared=shared, order=s.order, near=near), "gram long, score double")
+    return rows.mapInArrow(tidy(partial(_exact, shared=shared, order=s.order, near=near)), "gram long, score double")
 
 
 def text_scores(column: pa.Array, scorer: Scorer) -> Iterator[np.ndarray]:

@@ -3,7 +3,7 @@
 The file's own rules drop white space and never merge across it, nor across the border
 between a letter or digit and a full stop or comma. So a text is cut at these borders,
 each distinct unit of a slice is encoded once by the library, and a text's ids are the
-concatenation of its units' ids. Encoded units stay in a bounded cache of the worker.
+concatenation of its units' ids. Encoded units stay in a cache of ``CACHE_BYTES`` until the task ends.
 Lower-casing units first is safe because the file's normaliser lower-cases too; units with
 a ``|`` (which spells special tokens) are left as they are.
 """
@@ -13,14 +13,15 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 
 from obsflow.llm.textops import LOWER, NOT_BLANK, span_hash, text_slices
 
-CACHE_UNITS = 3_000_000
-TEXT_BYTES = 6 << 20
+CACHE_BYTES = 24 << 20
+TEXT_BYTES = 3 << 20
 _JOIN = 400
 
 _ALNUM = np.zeros(256, bool)
@@ -80,6 +81,16 @@ class UnitTokenizer:
         self.at = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
+    @classmethod
+    @contextmanager
+    def for_task(cls, path: str) -> Iterator[UnitTokenizer]:
+        """The worker's instance; what it has cached goes when the task is done."""
+        tokenizer = cls.of(path)
+        try:
+            yield tokenizer
+        finally:
+            tokenizer._forget()
+
     @classmethod
     def of(cls, path: str) -> UnitTokenizer:
         if path not in cls._open:
@@ -135,7 +146,7 @@ class UnitTokenizer:
             for u in np.unique(np.searchsorted(start, pipes, "right") - 1).tolist():
                 low[start[u] : end[u]] = data[start[u] : end[u]]
             keys, where, each = np.unique(span_hash(low, start, end), return_index=True, return_inverse=True)
-            if len(self.keys) + len(keys) > CACHE_UNITS:
+            if 24 * (len(self.keys) + len(keys)) + self.pool.nbytes > CACHE_BYTES:
                 self._forget()
             new = np.flatnonzero(self._slots(keys) < 0)
             if len(new):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm.arrow import prepare, filter_rows
+from obsflow.llm.arrow import filter_rows, prepare, tidy
 from obsflow.llm.textops import ALNUM, LOWER, span_hash, text_slices, words
 from obsflow.session import materialize
 
@@ -135,7 +135,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, settings: Setti
     chosen = picks[0].unionByName(picks[1])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")  # at most 2 * sample ids
-    rows = materialize(spark, rows.mapInArrow(partial(_features, bits=s.bits), "doc_id long, toxic int, terms array<long>"), "toxic-sample")
+    rows = materialize(spark, rows.mapInArrow(tidy(partial(_features, bits=s.bits)), "doc_id long, toxic int, terms array<long>"), "toxic-sample")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return constant
@@ -177,7 +177,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Machine) -> DataFrame:
     null or repeat; an empty table gives an empty result."""
     prepare(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = texts.mapInArrow(partial(_apply, model=model), "doc_id long, score double")
+    scored = texts.mapInArrow(tidy(partial(_apply, model=model)), "doc_id long, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

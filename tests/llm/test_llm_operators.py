@@ -7,7 +7,9 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,7 +124,41 @@ def test_language(spark):
     got = {r["doc_id"]: r for r in language.predict(spark, docs, model).collect()}
     assert all(got[i]["lang_pred"] == k for i, _, k in rows) and got[None]["lang_pred"] == "cc"
     assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (900, 901, 902))
-    assert language.known(spark, docs, model).count() == len(rows) + 1
+    cutoffs = language.calibrate(spark, docs, model)
+    assert language.known(spark, docs, model, cutoffs).count() == len(rows) + 1
+    assert language.known(spark, docs.limit(0), model, language.calibrate(spark, docs.limit(0), model)).count() == 0
+    nothing = language.fit(spark, docs.limit(0))
+    assert language.known(spark, docs, nothing, language.calibrate(spark, docs, nothing)).count() == 0
+
+
+def test_language_kernel_equals_its_definition():
+    """The kernel counts the n-grams that two texts share, here by sets."""
+    texts = ["abc abd", "bcd aab", "xyz xyy", "yzz zzx", "abd bca xyz"]
+
+    def grams(t):
+        b = bytes(c if 97 <= c < 123 or c > 127 else 32 for c in t.lower().encode())
+        return {b[i : i + n] for n in (1, 2, 3, 4) for i in range(len(b) - n + 1)}
+
+    held = np.concatenate(list(language.presence(pa.array(texts), 4, 1 << 20)))
+    got = held.astype(int) @ held.T.astype(int)
+    assert got.tolist() == [[len(grams(a) & grams(b)) for b in texts] for a in texts]
+
+
+def test_language_stage_rejects_what_it_has_not_learned(spark):
+    sf = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text is not null")
+    learn = sf.where("doc_id % 5 <> 0")
+    model = language.fit(spark, learn)
+    cutoffs = language.calibrate(spark, learn, model)
+    russian = "не было в этом городе человека который бы знал как все произошло и почему она ушла тогда из дома без слов "
+    finnish = "ei ole olemassa mitään syytä miksi hän lähti kotoa silloin kun kaikki muut olivat vielä nukkumassa yöllä talossa "
+    foreign = [(1, russian), (2, russian * 30), (3, russian * 20000), (4, finnish * 20), (5, finnish * 9000), (6, "x q z z z " * 20)]
+    mixed = " ".join(r["text"] for r in sf.where("lang = 'de'").limit(3).collect() + sf.where("lang = 'fr'").limit(3).collect())
+    kept = [(10, mixed), (11, mixed + russian), (12, "Avec."), (13, "Re."), (14, "The end of the")]
+    docs = spark.createDataFrame([*foreign, *kept, (20, None), (21, "12 !?"), (11, mixed)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in language.known(spark, docs, model, cutoffs).collect()) == [10, 11, 11, 12, 13, 14]
+    held = sf.where("doc_id % 5 = 0").where(F.col("text").rlike(language.LETTER))
+    n = held.count()
+    assert n > 1500 and language.known(spark, held, model, cutoffs).count() >= 0.999 * n
 
 
 def test_language_of_short_and_megabyte_texts(spark):
@@ -135,7 +171,8 @@ def test_language_of_short_and_megabyte_texts(spark):
     docs = spark.createDataFrame([*rows, (900, None, None), (901, "12 !?", None)], "doc_id long, text string, lang string")
     got = {r["doc_id"]: r["lang_pred"] for r in language.predict(spark, docs, model).collect()}
     assert all(got[i] == lang for i, _, lang in rows if lang)
-    assert {r["doc_id"] for r in language.known(spark, docs, model).collect()} == {i for i, _, _ in rows}
+    cutoffs = language.calibrate(spark, sf, model)
+    assert {r["doc_id"] for r in language.known(spark, docs, model, cutoffs).collect()} == {i for i, _, _ in rows}
 
 
 def test_license_scan(spark):
