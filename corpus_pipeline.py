@@ -43,9 +43,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no known language (null texts and texts without a letter) go."""
-    model = language.fit(spark, docs.where(learnable(5, 0)))
-    return language.known(spark, docs, model)
+    """Documents in no learned language go (and null texts and texts without a letter): those near
+    no language by their margins and explained less than learnable texts of their length.
+    Ids may be null or repeat, rows are decided one by one; an empty table stays empty."""
+    learn = docs.where(learnable(5, 0))
+    model = language.fit(spark, learn)
+    return language.known(spark, docs, model, language.calibrate(spark, learn, model))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
