@@ -4,10 +4,10 @@ A text's terms are its distinct lower-cased words and, for longer words, their f
 bytes, hashed to ``2**bits`` buckets. The machine scores
 ``w0 + sum w_i + sum_{i<j} <v_i, v_j>`` over the terms present, so a pair of terms can
 count more (or less) than the sum of both. It is fitted on a bounded sample of labelled
-rows: at most ``sample`` rows of each label, in the order of a hash of the id, weighted
-back to the labels' true shares. Only terms whose presence depends on the label
-(chi-square of at least ``least_chi2`` over the sample, the ``terms`` strongest) get
-parameters; others score zero.
+rows: at most ``sample`` ids of each label, in the order of a hash of the id, one row an
+id, weighted back to the labels' true shares. Every term that at least ``least_share`` of
+the sample's rows hold has parameters, whatever their labels: a term that tells nothing
+alone may tell much together with another.
 """
 
 from __future__ import annotations
@@ -32,12 +32,13 @@ PREFIX = 5
 class Settings:
     sample: int = 6000
     bits: int = 20
-    terms: int = 2048
-    least_chi2: float = 15.0
+    least_share: float = 0.0025
     factors: int = 8
-    epochs: int = 100
-    rate: float = 0.1
-    l2: float = 5e-5
+    batch: int = 256
+    epochs: int = 250
+    tolerance: float = 0.01
+    rate: float = 1.0
+    l2: float = 1e-6
     seed: int = 7
 
 
@@ -82,36 +83,86 @@ def text_terms(column: pa.Array, bits: int) -> Iterator[tuple[np.ndarray, np.nda
 
 def _features(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [flat[off[i] : off[i + 1]] for flat, off in text_terms(batch.column("text"), bits) for i in range(len(off) - 1)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "toxic", "terms"])
+        rows = [flat[off[i] : off[i + 1]].astype(np.int32) for flat, off in text_terms(batch.column("text"), bits) for i in range(len(off) - 1)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms"])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
+@dataclass
+class _Batch:
+    """Some rows, with their entries also ordered by term."""
+
+    flat: np.ndarray
+    off: np.ndarray
+    y: np.ndarray
+    weight: np.ndarray
+
+    def __post_init__(self) -> None:
+        by_term = np.argsort(self.flat, kind="stable")
+        self.row = np.repeat(np.arange(len(self.y), dtype=np.int32), np.diff(self.off))[by_term]
+        self.terms, head = np.unique(self.flat[by_term], return_index=True)
+        self.cut = np.r_[head, len(self.row)]
+
+    def gradient(self, model: Machine, scale: np.ndarray, l2: float) -> tuple[float, np.ndarray]:
+        """Of the weighted mean logistic loss by w0, and by each of the batch's terms (a column
+        for w, then those of v), whose parameters are held over their ``scale``."""
+        pooled = _sums(model.v[self.flat], self.off)
+        err = self.weight * (_sigmoid(model.raw(self.flat, self.off)) - self.y) / self.weight.sum()
+        held = np.c_[model.w[self.terms], model.v[self.terms]]
+        gw = _sums(err[self.row], self.cut)
+        gv = _sums((err[:, None] * pooled)[self.row], self.cut) - held[:, 1:] * gw[:, None]
+        own = scale[self.terms][:, None]
+        return float(err.sum()), np.c_[gw, gv] * own + l2 * held / own
+
+
+def _batches(flat: np.ndarray, off: np.ndarray, y: np.ndarray, weight: np.ndarray, size: int, rng: np.random.Generator) -> list[_Batch]:
+    order = rng.permutation(len(y))
+    out = []
+    for k in range(0, len(y), size):
+        rows = np.sort(order[k : k + size])
+        own = np.diff(off)[rows]
+        cut = np.concatenate([[0], np.cumsum(own)])
+        at = np.repeat(off[rows] - cut[:-1], own) + np.arange(cut[-1])
+        out.append(_Batch(flat[at], cut, y[rows], weight[rows]))
+    return out
+
+
 def _descend(flat: np.ndarray, off: np.ndarray, y: np.ndarray, weight: np.ndarray, ids: np.ndarray, s: Settings) -> Machine:
-    """Full-batch Adam on the weighted logistic loss."""
+    """Adam over batches of rows on the weighted logistic loss, a term being moved when a
+    batch holds it. A term's parameters are learned over the root of its share of the rows,
+    whatever their labels, so rare terms are bound closer to zero. Steps shrink by the epoch;
+    the descent ends when an epoch's mean gradient is at most ``tolerance`` of the longest one."""
     rng = np.random.default_rng(s.seed)
-    row = np.repeat(np.arange(len(y)), np.diff(off))
-    theta = [np.zeros(1), np.zeros(len(ids)), rng.normal(0, 0.02, (len(ids), s.factors))]
-    first, second = [np.zeros_like(x) for x in theta], [np.zeros_like(x) for x in theta]
-    by_term = np.argsort(flat, kind="stable")
-    cut = np.searchsorted(flat[by_term], np.arange(len(ids) + 1))
-    row = row[by_term]
-    total = weight.sum()
-    for t in range(1, s.epochs + 1):
-        model = Machine(s.bits, ids, float(theta[0][0]), theta[1], theta[2])
-        err = weight * (_sigmoid(model.raw(flat, off)) - y) / total
-        pooled = _sums(theta[2][flat], off)
-        gw = _sums(err[row], cut)
-        gv = _sums((err[:, None] * pooled)[row], cut) - theta[2] * gw[:, None]
-        grads = [np.array([err.sum()]), gw + s.l2 * theta[1], gv + s.l2 * theta[2]]
-        for k, g in enumerate(grads):
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.999 * second[k] + 0.001 * g * g
-            theta[k] = theta[k] - s.rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
-    return Machine(s.bits, ids, float(theta[0][0]), theta[1], theta[2])
+    scale = np.sqrt(np.bincount(flat, minlength=len(ids)) / max(len(y), 1)).astype(np.float32)
+    batches = _batches(flat, off, y, weight, s.batch, rng)
+    w0, held = 0.0, np.zeros((len(ids), 1 + s.factors), np.float32)
+    held[:, 1:] = rng.normal(0, 0.02, (len(ids), s.factors))
+    first, second, moves = np.zeros_like(held), np.zeros_like(held), np.zeros(len(ids), np.int32)
+    first0 = second0 = 0.0
+    t, longest = 0, 0.0
+    for epoch in range(1, s.epochs + 1):
+        rate = s.rate / np.sqrt(epoch)
+        mean0, mean = 0.0, np.zeros_like(held)
+        for k in rng.permutation(len(batches)):
+            b = batches[k]
+            g0, g = b.gradient(Machine(s.bits, ids, w0, held[:, 0], held[:, 1:]), scale, s.l2)
+            mean0, t = mean0 + g0 / len(batches), t + 1
+            mean[b.terms] += g / len(batches)
+            first0, second0 = 0.9 * first0 + 0.1 * g0, 0.999 * second0 + 0.001 * g0 * g0
+            w0 -= rate * (first0 / (1 - 0.9**t)) / ((second0 / (1 - 0.999**t)) ** 0.5 + 1e-8)
+            moves[b.terms] += 1
+            n = moves[b.terms].astype(np.float32)[:, None]
+            m, q = 0.9 * first[b.terms] + 0.1 * g, 0.999 * second[b.terms] + 0.001 * g * g
+            first[b.terms], second[b.terms] = m, q
+            held[b.terms] -= rate * scale[b.terms][:, None] * (m / (1 - 0.9**n)) / (np.sqrt(q / (1 - 0.999**n)) + 1e-8)
+        length = (mean0**2 + float((mean**2).sum())) ** 0.5
+        longest = max(longest, length)
+        if length <= s.tolerance * longest:
+            break
+    return Machine(s.bits, ids, w0, held[:, 0].copy(), held[:, 1:].copy())
 
 
 def _positions(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -123,7 +174,8 @@ def _positions(ids: np.ndarray, bits: int) -> np.ndarray:
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Machine:
     """Fit on ``labels(doc_id, toxic)`` joined with ``docs``; callers pass only rows that may
     be learned from. A document labelled both ways counts as toxic; null labels are left
-    out. Without both labels the machine is a constant."""
+    out; of rows that repeat an id one is taken, by a hash of its text. Without both labels
+    the machine is a constant; texts without terms teach it only its constant."""
     s = settings or Settings()
     prepare(spark)
     truth = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -134,34 +186,32 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, settings: Setti
     picks = [truth.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample) for y in (0, 1)]
     chosen = picks[0].unionByName(picks[1])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")  # at most 2 * sample ids
-    rows = materialize(spark, rows.mapInArrow(tidy(partial(_features, bits=s.bits)), "doc_id long, toxic int, terms array<long>"), "toxic-sample")
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(n) < 2:
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # at most 2 * sample ids, a row each
+    terms = rows.mapInArrow(tidy(partial(_features, bits=s.bits)), "doc_id long, toxic int, terms array<int>")
+    held = materialize(spark, terms, "toxic-sample").orderBy("doc_id").toArrow()
+    y = held.column("toxic").to_numpy().astype(float)
+    n = {c: float((y == c).sum()) for c in (0, 1)}
+    if not n[0] or not n[1]:
         return constant
-    n0, n1 = float(n[0]), float(n[1])
-    seen = rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").cast("double").alias("k1"), F.sum(1 - F.col("toxic")).cast("double").alias("k0"))
-    a, b = F.col("k1"), F.col("k0")
-    c, d = F.lit(n1) - a, F.lit(n0) - b
-    chi2 = F.pow(a * d - b * c, 2) * (n0 + n1) / (n1 * n0 * (a + b) * F.greatest(c + d, F.lit(0.5)))
-    best = seen.select("term", chi2.alias("chi2")).where(F.col("chi2") >= s.least_chi2).orderBy(F.desc("chi2"), "term").limit(s.terms)
-    ids = np.array(sorted(r["term"] for r in best.collect()), np.int64)
-    wanted = [int(x) for x in ids]
-    kept = rows.select("doc_id", "toxic", F.array_intersect("terms", F.lit(wanted).cast("array<long>")).alias("terms")).orderBy("doc_id").collect()
-    table = _positions(ids, s.bits)
-    flat = table[np.array([t for r in kept for t in r["terms"]], np.int64)]
-    off = np.concatenate([[0], np.cumsum([len(r["terms"]) for r in kept])]).astype(np.int64)
-    y = np.array([r["toxic"] for r in kept], float)
-    weight = np.where(y == 1, share[1] / n1, share[0] / n0)
-    return _descend(flat, off, y, weight, ids, s)
+    lists = held.column("terms").combine_chunks()
+    flat, off = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    rows_with = np.bincount(flat, minlength=1 << s.bits)
+    ids = np.flatnonzero(rows_with >= max(1, s.least_share * len(y)))
+    at, off = _known(flat, off, _positions(ids, s.bits))
+    return _descend(at, off, y, np.where(y == 1, share[1] / n[1], share[0] / n[0]), ids, s)
+
+
+def _known(flat: np.ndarray, off: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The terms that have parameters, by their places among them."""
+    at = table[flat]
+    known = at >= 0
+    return at[known], np.concatenate([[0], np.cumsum(known)])[off]
 
 
 def _scores(column: pa.Array, model: Machine, table: np.ndarray) -> np.ndarray:
     out = [np.zeros(0)]
     for flat, off in text_terms(column, model.bits):
-        at = table[flat]
-        known = at >= 0
-        out.append(_sigmoid(model.raw(at[known], np.concatenate([[0], np.cumsum(known)])[off])))
+        out.append(_sigmoid(model.raw(*_known(flat, off, table))))
     return np.concatenate(out)
 
 
@@ -182,6 +232,15 @@ def score(spark: SparkSession, docs: DataFrame, model: Machine) -> DataFrame:
 
 
 def clean(spark: SparkSession, docs: DataFrame, model: Machine) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    """The rows of ``docs`` that are not predicted toxic, with all their columns. Null and empty
+    texts stay or go as texts without terms; repeated rows fare alike; texts of any type are
+    read as strings; an empty table gives an empty result."""
     prepare(spark)
-    return filter_rows(docs, lambda batch: _scores(batch.column("text"), model, _positions(model.ids, model.bits)) < 0.5)
+    tables: list[np.ndarray] = []  # one a task
+
+    def keep(batch: pa.RecordBatch) -> np.ndarray:
+        if not tables:
+            tables.append(_positions(model.ids, model.bits))
+        return _scores(batch.column("text").cast(pa.string()), model, tables[0]) < 0.5
+
+    return filter_rows(docs, keep)

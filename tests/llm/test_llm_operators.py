@@ -1,6 +1,7 @@
 """The operators in Spark on small tables: nulls, empty and long texts, ties, repeats, extra
 columns, empty tables, and brute-force results."""
 
+import itertools
 import math
 import random
 import re
@@ -116,6 +117,58 @@ def test_toxicity_learns_an_interaction(spark):
     assert toxicity.clean(spark, docs, model).columns == docs.columns
 
 
+def test_toxicity_learns_what_no_single_word_tells(spark):
+    """Toxic with exactly one of two words: each word alone is as often toxic as not."""
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(1200):
+        one, other = rng.random() < 0.5, rng.random() < 0.5
+        words = [f"w{rng.randrange(40)}" for _ in range(8)] + ["first"] * one + ["second"] * other
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(one != other)))
+    docs = _docs(spark, [*rows, *[rows[0]] * 50, (rows[1][0], "another text of the id")])
+    model = toxicity.fit(spark, docs, spark.createDataFrame(labels[:1000], "doc_id long, toxic int"))
+    got = {(r["doc_id"], r["text"]): r["predicted"] for r in docs.join(toxicity.score(spark, docs, model).distinct(), "doc_id").collect()}
+    assert sum(got[i, t] == y for (i, t), (_, y) in zip(rows[1000:], labels[1000:], strict=True)) >= 190
+    kept = toxicity.clean(spark, docs.withColumn("_row_key", F.lit(1)), model)
+    wrong = {i for (i, t) in rows if got[i, t] == 0} ^ {r["doc_id"] for r in kept.collect() if r["doc_id"] != rows[1][0]}
+    assert wrong <= {rows[1][0]} and "_row_key" in kept.columns
+    assert toxicity.clean(spark, docs.limit(0), model).count() == 0
+
+
+def test_toxicity_score_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(5)
+    machine = toxicity.Machine(8, np.arange(30), 0.3, rng.normal(size=30), rng.normal(size=(30, 4)))
+    rows = [rng.choice(30, size=n, replace=False) for n in (0, 1, 2, 7, 30)]
+    got = machine.raw(np.concatenate(rows).astype(int), np.cumsum([0, *map(len, rows)]))
+    for r, score in zip(rows, got, strict=True):
+        pairs = sum(float(machine.v[a] @ machine.v[b]) for k, a in enumerate(r) for b in r[:k])
+        assert score == pytest.approx(0.3 + sum(machine.w[i] for i in r) + pairs)
+
+
+def test_toxicity_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(3)
+    rows = [np.sort(rng.choice(6, size=n, replace=False)) for n in (2, 3, 1, 5, 0)]
+    flat, off = np.concatenate(rows).astype(int), np.cumsum([0, *map(len, rows)])
+    y, weight, scale = np.array([0.0, 1, 1, 0, 1]), np.array([1.0, 2, 1, 1, 3]), rng.uniform(0.5, 1, 6)
+    held, w0, l2 = rng.normal(size=(6, 3)), 0.2, 0.01
+
+    def loss(h, c):
+        raw = toxicity.Machine(8, np.arange(6), c, h[:, 0], h[:, 1:]).raw(flat, off)
+        return (weight * (np.log1p(np.exp(raw)) - y * raw)).sum() / weight.sum() + l2 / 2 * ((h / scale[:, None]) ** 2).sum()
+
+    batch = toxicity._Batch(flat, off, y, weight)
+    g0, g = batch.gradient(toxicity.Machine(8, np.arange(6), w0, held[:, 0], held[:, 1:]), scale, l2)
+    assert g0 == pytest.approx((loss(held, w0 + 1e-6) - loss(held, w0 - 1e-6)) / 2e-6, abs=1e-6)
+    for i, j in itertools.product(range(len(batch.terms)), range(3)):
+        up, down = held.copy(), held.copy()
+        up[batch.terms[i], j] += 1e-6
+        down[batch.terms[i], j] -= 1e-6
+        # parameters are held over their scale, so a step of one moves the parameter by the scale
+        assert g[i, j] == pytest.approx((loss(up, w0) - loss(down, w0)) / 2e-6 * scale[batch.terms[i]], abs=1e-6)
+
+
 def test_language(spark):
     said = {"aa": "lorem ipsum dolor sit amet ", "bb": "zwölf boxkämpfer jagen viktor quer ", "cc": "съешь же ещё этих мягких булок "}
     rows = [(i, t * (1 + i % 3), k) for i, (k, t) in enumerate(list(said.items()) * 20)]
