@@ -8,19 +8,19 @@ Plan, for a table partitioned by ``obs_year`` (or ``obs_month`` / ``obs_day``: t
 ``granularity`` parameter; a daily load at scale should rewrite a month or a day):
 
 1. required-key guard (``raise_error`` inside the projection, no extra pass);
-2. the dedupe to one row per key, latest first by the given order columns (``max_by``,
-   pre-aggregated map-side so copies of a hot key collapse before the one exchange on the
-   key), then sorted by year, series and date for the file layout;
-3. the deduped source is staged once in the shared scratch folder, partitioned by year —
-   the only pass over the source, which also cuts its lineage (the landing scan or the
-   adapters never re-run); an empty source stops here and leaves the target untouched;
-4. first load: the staged files are copied to the target (no shuffle);
-5. otherwise the touched years come from the staged file listing; the target's touched
-   partitions (partition-pruned scan) minus the source keys (``left_anti``; the keys are
-   broadcast when their checked count is within the bound, so the large side is not
-   shuffled), plus the source, are staged;
+2. the dedupe to one row per key, latest first by the given order columns (``row_number``
+   with a group limit below the one exchange on the key, so copies of a hot key collapse
+   in their input tasks);
+3. the deduped source is staged once in the shared scratch folder — the only pass over the
+   source, which also cuts its lineage (the landing scan or the adapters never re-run); an
+   empty source stops here and leaves the target untouched;
+4. first load: the staged rows are dealt to ranges of (partition, series), sorted and written;
+5. otherwise the target's touched partitions (partition-pruned scan) minus the source keys
+   (``left_anti``; the keys are broadcast when their checked count is within the bound, so
+   the large side is not shuffled), plus the clustered source, are staged;
 6. the staged result replaces exactly those partitions (dynamic partition overwrite,
-   applied at job commit).
+   applied at job commit). ``sources.tables`` holds the same upsert for catalog tables, which
+   writes once and switches the partitions' locations.
 
 The result never reads and overwrites one path in the same job. Concurrent writers to one
 table are not supported. Returns the number of source rows sent (before dedupe).
@@ -28,11 +28,9 @@ table are not supported. Returns the number of source rows sent (before dedupe).
 
 from __future__ import annotations
 
-import datetime as dt
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,32 +104,56 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dedupe_latest(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str], leading: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str], partition: str | None = None
 ) -> DataFrame:
     """One row per key: the greatest ``order_by`` tuple wins (later load, later file, later
     position in the file; NULLs lose).
 
-    An aggregate (``max_by``), so Spark pre-aggregates map-side: however many copies of
-    one key a source holds (a re-delivered series, a duplicated file), they collapse
-    inside each input task before the shuffle, and no task receives a hot key's copies.
+    ``row_number() = 1``: Spark puts a group limit below the exchange, so however many copies
+    of one key a source holds (a re-delivered series, a duplicated file), each input task
+    hands on one row of it, and no task receives a hot key's copies.
     """
-    order = [c for c in order_by if c in df.columns] or [c for c in columns if c not in keys][:1]
-    rest = [c for c in columns if c not in keys]
-    # ``leading`` columns derived from the key (the year of the date) group identically; put
-    # first, they make the sort-based aggregate emit rows already in file-layout order
-    picked = df.groupBy(*leading, *keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return picked.select(*leading, *keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    order = [c for c in order_by if c in df.columns]
+    if not order:
+        raise ValueError(f"none of the columns {list(order_by)} that tell the later row is there")
+    # rows are sorted by key below and above the exchange: a hash in front settles almost every
+    # comparison by one number, where keys that begin alike would be compared byte by byte
+    latest = Window.partitionBy("_hash", *keys).orderBy(*(F.col(c).desc_nulls_last() for c in order))
+    picked = df.withColumn("_hash", F.xxhash64(*keys)).withColumn("_copy", F.row_number().over(latest)).where(F.col("_copy") == 1)
+    extra = [partition] if partition and partition not in keys and partition not in columns else []
+    return picked.select(*extra, *keys, *[c for c in columns if c not in keys])
+
+
+#: Several row groups a file, so that a series filter can skip some of them by their least and
+#: greatest series, and Bloom filters for row groups whose series are not in a dictionary.
+LAYOUT_OPTIONS = {
+    "parquet.block.size": str(8 << 20),
+    "parquet.bloom.filter.enabled#series_id": "true",
+    "parquet.bloom.filter.expected.ndv#series_id": "50000",
+}
+
+
+def _layout_order(df: DataFrame, pcol: str | None) -> list[str]:
+    return ([pcol] if pcol else []) + [c for c in ("series_id", "observation_date") if c in df.columns and c != pcol]
 
 
 def _sorted_layout(df: DataFrame, pcol: str | None) -> DataFrame:
-    """SNK-4: rows sorted by (partition,) series and date inside each task, so every written
-    file is clustered by series (narrow row-group statistics for series filters)."""
-    order = ([pcol] if pcol else []) + [c for c in ("series_id", "observation_date") if c in df.columns and c != pcol]
+    """Rows sorted by (partition,) series and date inside each task."""
+    order = _layout_order(df, pcol)
     return df.sortWithinPartitions(*order) if order else df
 
 
+def clustered_layout(df: DataFrame, pcol: str | None) -> DataFrame:
+    """SNK-4: rows dealt to ranges of (partition, series) with sampled bounds and sorted in them,
+    so each file of a partition holds the rows of its own few series."""
+    order = [c for c in _layout_order(df, pcol) if c != "observation_date" or pcol == DAY]
+    return _sorted_layout(df.repartitionByRange(*order), pcol) if order else df
+
+
 def _write(df: DataFrame, path: str, pcol: str | None, mode: str = "error", dynamic: bool = False) -> None:
     w = df.write.mode(mode)
+    if "series_id" in df.columns:
+        w = w.options(**LAYOUT_OPTIONS)
     if pcol:
         w = w.partitionBy(pcol)
     if dynamic:
@@ -141,14 +163,33 @@ def _write(df: DataFrame, path: str, pcol: str | None, mode: str = "error", dyna
 
 
 def _partition_values(staged: DataFrame, pcol: str) -> list:
-    """Partition values of a staged, partitioned table, from its file listing."""
-    found = set()
-    for f in staged.inputFiles():
-        m = re.search(rf"/{pcol}=([^/]+)/", f)
-        if m:
-            v = m.group(1)
-            found.add(dt.date.fromisoformat(v) if pcol == DAY else int(v))
-    return sorted(found)
+    """The partitions that a staged source touches."""
+    return sorted(r[0] for r in staged.select(pcol).distinct().collect())
+
+
+def stage_source(
+    spark: SparkSession, source: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str], granularity: str | None
+) -> tuple[DataFrame, int] | None:
+    """The source with required keys, one row a key, written once to the shared scratch folder
+    (the only pass over it, which also cuts its lineage), and the number of rows sent; None
+    for an empty source (SNK-11)."""
+    pcol = partition_column(granularity)
+    sent = Observation("upsert_source")
+    src = with_partition(require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys), granularity)
+    src = dedupe_latest(src, keys, columns, order_by, pcol)
+    path = scratch_dir(spark, "upsert-source")
+    src.write.parquet(path)
+    staged = spark.read.parquet(path)
+    # a plan that is found empty at run time reports no count, so the staged rows are asked first
+    return None if staged.isEmpty() else (staged, int(sent.get["rows"]))
+
+
+def without_keys(old: DataFrame, src: DataFrame, keys: Sequence[str], rows_sent: int, max_broadcast_keys: int) -> DataFrame:
+    """The rows of ``old`` whose key ``src`` does not hold. The batch's keys are broadcast when
+    their checked count is within the bound: target rows stream through a map-side
+    anti-join, and the large side is not shuffled."""
+    src_keys = src.select(*keys)
+    return old.join(F.broadcast(src_keys) if rows_sent <= max_broadcast_keys else src_keys, list(keys), "left_anti")
 
 
 def upsert(
@@ -169,51 +210,36 @@ def upsert(
     ``granularity`` lays out a new table; an existing partitioned table keeps its layout.
 
     ``compact=True`` re-clusters the rewritten partitions with a shuffle by series (fewer,
-    larger files); by default rewritten files keep their order and no target row is
-    shuffled when the source keys fit the broadcast bound.
+    larger files); by default rewritten files keep their ranges and no target row is
+    shuffled when the source keys fit the broadcast bound. One of the ``order_by`` columns
+    must be there to tell the later of two rows of a key.
     """
     keys, columns = list(keys), list(columns)
     gran = (stored_granularity(spark, target) or granularity) if partition_by_year else None
     pcol = partition_column(gran)
-    sent = Observation("upsert_source")
-    src = require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys)
-    # partial aggregation map-side, one exchange on the key, final aggregation; the layout
-    # sort below is then already satisfied and Spark drops it
-    src = with_partition(src, gran)
-    src = dedupe_latest(src, keys, columns, order_by, leading=[pcol] if pcol and pcol not in keys else [])
-    src = _sorted_layout(src, pcol)
-
-    staged_src = scratch_dir(spark, "upsert-source")
-    _write(src, staged_src, pcol)
-    # SNK-11: nothing to load → nothing merged, target untouched
-    if not has_data_files(staged_src, marker_counts=False):
+    staged = stage_source(spark, source, keys, columns, order_by, gran)
+    if staged is None:
         return 0
-    rows_sent = int(sent.get["rows"])
-    src = spark.read.parquet(staged_src)
+    src, rows_sent = staged
 
     if not table_exists(spark, target):
-        # first load: a file-to-file copy of the staged, laid-out source
-        _write(src, target, pcol, mode="overwrite")
+        _write(clustered_layout(src, pcol), target, pcol, mode="overwrite")
         return rows_sent
 
     old = spark.read.parquet(target)
     if pcol:
         old = old.where(F.col(pcol).isin(_partition_values(src, pcol)))  # partition pruning
     keep_cols = columns + ([pcol] if pcol and pcol not in columns else [])
-    src_keys = src.select(*keys)
-    if rows_sent <= max_broadcast_keys:
-        # the batch's keys are bounded (checked count): target rows stream through a
-        # map-side anti-join, no shuffle of the large side
-        src_keys = F.broadcast(src_keys)
-    kept = old.select(*keep_cols).join(src_keys, keys, "left_anti")
-    merged = kept.unionByName(src.select(*keep_cols))
+    kept = without_keys(old.select(*keep_cols), src, keys, rows_sent, max_broadcast_keys)
     if compact and cluster_by:
-        merged = _sorted_layout(merged.repartition(*([pcol] if pcol else []), cluster_by), pcol)
+        merged = clustered_layout(kept.unionByName(src.select(*keep_cols)), pcol)
+    else:  # rows of the target stay in the ranges that their files hold
+        merged = _sorted_layout(kept.unionByName(clustered_layout(src.select(*keep_cols), pcol)), pcol)
 
-    staged = scratch_dir(spark, "upsert-merged")
-    _write(merged, staged, pcol)
+    staged_merge = scratch_dir(spark, "upsert-merged")
+    _write(merged, staged_merge, pcol)
     # the target is never read and overwritten by one job: replace from the staged copy
-    _write(spark.read.parquet(staged), target, pcol, mode="overwrite", dynamic=pcol is not None)
+    _write(_sorted_layout(spark.read.parquet(staged_merge), pcol), target, pcol, mode="overwrite", dynamic=pcol is not None)
     return rows_sent
 
 

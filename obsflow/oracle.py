@@ -144,13 +144,9 @@ FROM base""",
 
 VIEW_TPM = _view(
     _fam("daily_count"),
-    f"""SELECT series_id, observation_date, value AS tpm_pct,
-       value - LAG(value) OVER ({W}) AS cambio_pp,
-       CASE WHEN LAG(value) OVER ({W}) IS NULL THEN NULL
-            WHEN value > LAG(value) OVER ({W}) THEN 'alza'
-            WHEN value < LAG(value) OVER ({W}) THEN 'baja'
-            ELSE 'sin_cambio' END AS movimiento
-FROM base""",
+    f"""SELECT series_id, observation_date, tpm_pct, tpm_pct - before AS cambio_pp,
+       ['baja', 'sin_cambio', 'alza'][CAST(sign(tpm_pct - before) AS INTEGER) + 2] AS movimiento
+FROM (SELECT series_id, observation_date, value AS tpm_pct, LAG(value) OVER ({W}) AS before FROM base)""",
 )
 
 VIEW_IPC_MENSUAL = _view(

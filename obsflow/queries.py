@@ -211,7 +211,7 @@ def q_landing_write_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_upsert_dim_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     target = scratch_dir(spark, "dim_series")
-    upsert(spark, target, _seed(spark), keys=["series_id"], columns=A.DIM_COLUMNS, partition_by_year=False, cluster_by=None)
+    upsert(spark, target, _seed(spark), keys=["series_id"], columns=A.DIM_COLUMNS, order_by=["updated_at"], partition_by_year=False, cluster_by=None)
     source = _fact(spark, sf_dir).select("series_id", "frequency").distinct().select(
         "series_id",
         F.concat(F.lit("Serie "), "series_id").alias("name"),

@@ -5,8 +5,9 @@ sorted by series and date inside files. A date range becomes a partition filter
 column (directories are pruned
 before any file is opened) plus a row filter on the date; series and status selections
 reach the Parquet reader as pushed filters and are checked against row-group statistics.
-A key hash deals each series over all files of a partition, so these skip row groups only
-where a file holds several.
+Files are ranges of series with several row groups each, so a series selection opens the
+row groups of that series and skips the rest. A table that was made but not loaded yet
+gives no rows, with the same schema.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.operators.upsert import DAY, MONTH, YEAR
-from obsflow.schema import OBSERVATION_COLUMNS
+from obsflow.schema import OBSERVATION_COLUMNS, OBSERVATIONS
+from obsflow.session import has_data_files, path_exists
 
 
 def scan_observations(
@@ -29,7 +31,9 @@ def scan_observations(
     last: dt.date | str | None = None,
     valid_only: bool = False,
 ) -> DataFrame:
-    df = spark.read.parquet(path)
+    if path_exists(path) and not has_data_files(path, marker_counts=False):
+        return spark.createDataFrame([], OBSERVATIONS)  # a table that was made but not loaded yet
+    df = spark.read.schema(OBSERVATIONS).parquet(path)  # partition columns are added from the folders
     pcol = next((c for c in (YEAR, MONTH, DAY) if c in df.columns), None)
 
     def part_value(d):
