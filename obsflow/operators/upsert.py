@@ -8,13 +8,12 @@ Plan, for a table partitioned by ``obs_year`` (or ``obs_month`` / ``obs_day``: t
 ``granularity`` parameter; a daily load at scale should rewrite a month or a day):
 
 1. required-key guard (``raise_error`` inside the projection, no extra pass);
-2. the dedupe to one row per key, latest first by the given order columns (``row_number``
-   with a group limit below the one exchange on the key, so copies of a hot key collapse
-   in their input tasks);
-3. the deduped source is staged once in the shared scratch folder — the only pass over the
-   source, which also cuts its lineage (the landing scan or the adapters never re-run); an
-   empty source stops here and leaves the target untouched;
-4. first load: the staged rows are dealt to ranges of (partition, series), sorted and written;
+2. the source is staged once in the shared scratch folder — the only pass over it, which
+   also cuts its lineage; an empty source stops here and leaves the target untouched;
+3. one exchange to ranges of (partition, series) with sampled bounds finds the latest row of
+   each key by the given order columns and lays the rows out; where one series' copies are
+   counted to be too many for a task, they collapse below an exchange of their own first;
+4. first load: the sorted ranges are written;
 5. otherwise the target's touched partitions (partition-pruned scan) minus the source keys
    (``left_anti``; the keys are broadcast when their checked count is within the bound, so
    the large side is not shuffled), plus the clustered source, are staged;
@@ -29,6 +28,7 @@ table are not supported. Returns the number of source rows sent (before dedupe).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -103,6 +103,13 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def _order_columns(df: DataFrame, order_by: Sequence[str]) -> list[str]:
+    order = [c for c in order_by if c in df.columns]
+    if not order:
+        raise ValueError(f"none of the columns {list(order_by)} that tell the later row is there")
+    return order
+
+
 def dedupe_latest(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str], partition: str | None = None
 ) -> DataFrame:
@@ -113,9 +120,7 @@ def dedupe_latest(
     of one key a source holds (a re-delivered series, a duplicated file), each input task
     hands on one row of it, and no task receives a hot key's copies.
     """
-    order = [c for c in order_by if c in df.columns]
-    if not order:
-        raise ValueError(f"none of the columns {list(order_by)} that tell the later row is there")
+    order = _order_columns(df, order_by)
     # rows are sorted by key below and above the exchange: a hash in front settles almost every
     # comparison by one number, where keys that begin alike would be compared byte by byte
     latest = Window.partitionBy("_hash", *keys).orderBy(*(F.col(c).desc_nulls_last() for c in order))
@@ -162,34 +167,64 @@ def _write(df: DataFrame, path: str, pcol: str | None, mode: str = "error", dyna
     w.parquet(path)
 
 
-def _partition_values(staged: DataFrame, pcol: str) -> list:
-    """The partitions that a staged source touches."""
-    return sorted(r[0] for r in staged.select(pcol).distinct().collect())
+class Staged(NamedTuple):
+    """A source written once to the shared scratch folder: the only pass over it, which also
+    cuts its lineage (the landing scan or the adapters never re-run)."""
+
+    rows: DataFrame
+    rows_sent: int
+    partitions: list
+    latest: DataFrame  # one row a key, in clustered files' order
+
+
+#: Rows of one series and partition that a task may sort; beyond it copies are collapsed first.
+HOT_ROWS = 4_000_000
 
 
 def stage_source(
     spark: SparkSession, source: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str], granularity: str | None
-) -> tuple[DataFrame, int] | None:
-    """The source with required keys, one row a key, written once to the shared scratch folder
-    (the only pass over it, which also cuts its lineage), and the number of rows sent; None
-    for an empty source (SNK-11)."""
+) -> Staged | None:
+    """Stage the source with its required keys; None if it is empty (SNK-11).
+
+    The latest row of each key is found where the clustered layout puts it: one exchange to
+    ranges of (partition, series) serves both. Rows of one series and partition are counted
+    first; where copies make them more than a task should hold, they are collapsed by
+    ``dedupe_latest``, below its exchange, before the ranges are dealt.
+    """
     pcol = partition_column(granularity)
     sent = Observation("upsert_source")
-    src = with_partition(require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys), granularity)
-    src = dedupe_latest(src, keys, columns, order_by, pcol)
+    wanted = [*keys, *[c for c in columns if c not in keys], *[c for c in order_by if c in source.columns and c not in columns and c not in keys]]
+    src = require_keys(source.observe(sent, F.count(F.lit(1)).alias("rows")), keys).select(*wanted)
     path = scratch_dir(spark, "upsert-source")
-    src.write.parquet(path)
+    with_partition(src, granularity).write.parquet(path)
     staged = spark.read.parquet(path)
-    # a plan that is found empty at run time reports no count, so the staged rows are asked first
-    return None if staged.isEmpty() else (staged, int(sent.get["rows"]))
-
-
-def without_keys(old: DataFrame, src: DataFrame, keys: Sequence[str], rows_sent: int, max_broadcast_keys: int) -> DataFrame:
+    near = [*([pcol] if pcol else []), *[k for k in keys if k != "observation_date"]]
+    part = F.collect_set(pcol) if pcol else F.array()
+    # a plan that is found empty at run time reports no count, so the staged rows are asked
+    held = staged.groupBy(*near).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), part.alias("partitions")).first()
+    if held["most"] is None:
+        return None
+    if held["most"] > HOT_ROWS:
+        collapsed = scratch_dir(spark, "upsert-collapsed")
+        dedupe_latest(staged, keys, columns, order_by, pcol).write.parquet(collapsed)
+        latest = clustered_layout(spark.read.parquet(collapsed), pcol)
+    else:
+        order = _order_columns(staged, order_by)
+        first = Window.partitionBy(*near, *[k for k in keys if k not in near]).orderBy(*(F.col(c).desc_nulls_last() for c in order))
+        ranges = staged.repartitionByRange(*near) if near else staged
+        # a row without an earlier one of its key
+        latest = ranges.withColumn("_earlier", F.lag(F.lit(1)).over(first)).where("_earlier IS NULL")
+        extra = [pcol] if pcol and pcol not in columns else []
+        latest = _sorted_layout(latest.select(*extra, *keys, *[c for c in columns if c not in keys]), pcol)
+    return Staged(staged, int(sent.get["rows"]), sorted(held["partitions"]), latest)
+
+
+def without_keys(old: DataFrame, src: Staged, keys: Sequence[str], max_broadcast_keys: int) -> DataFrame:
     """The rows of ``old`` whose key ``src`` does not hold. The batch's keys are broadcast when
     their checked count is within the bound: target rows stream through a map-side
     anti-join, and the large side is not shuffled."""
-    src_keys = src.select(*keys)
-    return old.join(F.broadcast(src_keys) if rows_sent <= max_broadcast_keys else src_keys, list(keys), "left_anti")
+    src_keys = src.rows.select(*keys)
+    return old.join(F.broadcast(src_keys) if src.rows_sent <= max_broadcast_keys else src_keys, list(keys), "left_anti")
 
 
 def upsert(
@@ -217,30 +252,28 @@ def upsert(
     keys, columns = list(keys), list(columns)
     gran = (stored_granularity(spark, target) or granularity) if partition_by_year else None
     pcol = partition_column(gran)
-    staged = stage_source(spark, source, keys, columns, order_by, gran)
-    if staged is None:
+    src = stage_source(spark, source, keys, columns, order_by, gran)
+    if src is None:
         return 0
-    src, rows_sent = staged
 
     if not table_exists(spark, target):
-        _write(clustered_layout(src, pcol), target, pcol, mode="overwrite")
-        return rows_sent
+        _write(src.latest, target, pcol, mode="overwrite")
+        return src.rows_sent
 
     old = spark.read.parquet(target)
     if pcol:
-        old = old.where(F.col(pcol).isin(_partition_values(src, pcol)))  # partition pruning
+        old = old.where(F.col(pcol).isin(src.partitions))  # partition pruning
     keep_cols = columns + ([pcol] if pcol and pcol not in columns else [])
-    kept = without_keys(old.select(*keep_cols), src, keys, rows_sent, max_broadcast_keys)
-    if compact and cluster_by:
-        merged = clustered_layout(kept.unionByName(src.select(*keep_cols)), pcol)
-    else:  # rows of the target stay in the ranges that their files hold
-        merged = _sorted_layout(kept.unionByName(clustered_layout(src.select(*keep_cols), pcol)), pcol)
+    kept = without_keys(old.select(*keep_cols), src, keys, max_broadcast_keys)
+    merged = kept.unionByName(src.latest.select(*keep_cols))
+    # rows of the target stay in the ranges that their files hold, unless they are dealt anew
+    merged = clustered_layout(merged, pcol) if compact and cluster_by else _sorted_layout(merged, pcol)
 
     staged_merge = scratch_dir(spark, "upsert-merged")
     _write(merged, staged_merge, pcol)
     # the target is never read and overwritten by one job: replace from the staged copy
     _write(_sorted_layout(spark.read.parquet(staged_merge), pcol), target, pcol, mode="overwrite", dynamic=pcol is not None)
-    return rows_sent
+    return src.rows_sent
 
 
 def read_observations(spark: SparkSession, target: str) -> DataFrame:

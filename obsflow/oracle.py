@@ -9,7 +9,7 @@ from __future__ import annotations
 from obsflow.plans.reports import CADENCE_DAYS
 from obsflow.schema import DIM_FREQUENCY_ROWS
 from obsflow.sources.adapters import DIM_SEED, SEED_UPDATED_AT
-from obsflow.sources.landing_fixture import IGNORED_SHAPES, REJECT_CASES
+from obsflow.sources.landing_fixture import IGNORED_SHAPES, NAME_PREFIX, REJECT_CASES
 
 
 def _lit(v) -> str:
@@ -204,7 +204,7 @@ SQL: dict[str, str] = {
 
 # ------------------------------------------------------------------- landing and payloads
 
-_CASES = "SELECT * FROM (VALUES " + ", ".join(f"({k}, {_lit(r)})" for k, r in REJECT_CASES) + ") AS t(k, reason)"
+_CASES = "SELECT * FROM (VALUES " + ", ".join(f"({k}, {_lit(r)}, {_lit(NAME_PREFIX.get(k, ''))})" for k, r in REJECT_CASES) + ") AS t(k, reason, mark)"
 _SHAPES = "SELECT * FROM (VALUES " + ", ".join(f"({_lit(s)})" for s in IGNORED_SHAPES) + ") AS t(shape)"
 
 LANDING_CTE = f"""ev AS ({OBS_EVENTS}),
@@ -217,7 +217,7 @@ shapes AS ({_SHAPES}),
 daily_files AS (SELECT 'raw/daily/' || series_id || '/' || strftime(observation_date, '%Y-%m-%d') || '.json' AS relative_path,
                        day(observation_date) AS dom FROM ev),
 monthly_files AS (SELECT 'raw/monthly/' || series_id || '/' || strftime(observation_date, '%Y-%m') || '.json' AS relative_path FROM monthly),
-reject_files AS (SELECT 'raw/daily/' || l.series_id || '/' || strftime(l.last_day + c.k, '%Y-%m-%d') || '.json' AS relative_path, c.reason
+reject_files AS (SELECT 'raw/daily/' || l.series_id || '/' || c.mark || strftime(l.last_day + c.k, '%Y-%m-%d') || '.json' AS relative_path, c.reason
                  FROM last l CROSS JOIN cases c),
 ignored_files AS (SELECT replace(replace(s.shape, '{{s}}', l.series_id), '{{d}}', strftime(l.last_day, '%Y-%m-%d')) AS relative_path
                   FROM last l CROSS JOIN shapes s),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsflow.operators.joins import bounded_broadcast, lookup_join
@@ -73,9 +73,12 @@ def error_counts(load_outcomes: DataFrame) -> DataFrame:
     return load_outcomes.where(F.col("failed")).groupBy("series_id").agg(F.count(F.lit(1)).cast("long").alias("errors"))
 
 
-def alert_error_rate(events: DataFrame, ts: str, is_error: Column, threshold: float = 0.2, width: str = "1 hour") -> DataFrame:
-    """AGG-7: tumbling windows whose error share exceeds ``threshold``."""
-    per = events.groupBy(F.window(ts, width).alias("w")).agg(
+def alert_error_rate(events: DataFrame, ts: str, is_error: Column, threshold: float = 0.2, width: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """AGG-7: windows of ``width`` whose error share exceeds ``threshold``. With ``slide`` the
+    windows start every ``slide``, so a burst across a full hour is seen as well; each event
+    counts in width / slide windows, before any exchange. On a stream with a watermark on
+    ``ts`` (append or update mode) a window is told once its time has passed."""
+    per = events.groupBy(F.window(ts, width, slide or width).alias("w")).agg(
         F.count(F.lit(1)).cast("long").alias("events"), F.count_if(is_error).cast("long").alias("errors")
     )
     rate = F.col("errors") / F.col("events")
@@ -84,6 +87,20 @@ def alert_error_rate(events: DataFrame, ts: str, is_error: Column, threshold: fl
     ).where(rate > threshold)
 
 
+def silent_intervals(catalog: DataFrame, loads: DataFrame, since: dt.datetime | str | Column, until: dt.datetime | str | Column, hours: int = 24) -> DataFrame:
+    """AGG-8: the spans of more than ``hours`` hours in [since, until] in which a daily series
+    received no load. ``loads(series_id, loaded_at)`` are the load instants; each is compared
+    with the next one of its series (``lead``), so the rows are loads and never series x days.
+    A daily series without any load is silent throughout."""
+    start, end = (v if isinstance(v, Column) else F.lit(str(v)).cast("timestamp") for v in (since, until))
+    daily = catalog.where(F.col("frequency") == "daily").select("series_id").distinct()
+    seen = loads.select("series_id", F.col("loaded_at").cast("timestamp").alias("loaded_at")).where(F.col("loaded_at").between(start, end)).distinct()
+    marks = seen.join(daily, "series_id", "left_semi").unionByName(daily.select("series_id", start.alias("loaded_at")))
+    following = F.lead("loaded_at").over(Window.partitionBy("series_id").orderBy("loaded_at"))
+    spans = marks.select("series_id", F.col("loaded_at").alias("silent_from"), F.coalesce(following, end).alias("silent_until"))
+    return spans.where(F.unix_micros("silent_until") - F.unix_micros("silent_from") > hours * 3_600_000_000)
+
+
 def alert_silent_series(catalog: DataFrame, obs: DataFrame, start: dt.date | str | Column, end: dt.date | str | Column) -> DataFrame:
     """AGG-8: for each day of [start, end], the daily series that received no load that
     day. Days are generated per series (``explode``), then anti-joined with the loads."""

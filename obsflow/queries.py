@@ -592,9 +592,7 @@ QUERIES.update(
 
 
 def _stream_into(spark: SparkSession, root: str, target: str, quarantine: str, ingested_at: str) -> None:
-    q = start_incremental_load(
-        spark, root, target, scratch_dir(spark, "stream-checkpoint"), quarantine, ingested_at, max_files_per_trigger=10_000
-    )
+    q = start_incremental_load(spark, root, target, scratch_dir(spark, "stream-checkpoint"), quarantine, ingested_at)
     q.awaitTermination()
 
 

@@ -4,8 +4,7 @@
   file (its bytes decoded as UTF-8), keeping the path relative to the root.
 * ``decode_path`` splits a relative path into ``(frequency, series_id, period_label)``;
   anything off the anchored pattern is flagged and later ignored.
-* ``list_landed`` lists paths without reading file bodies (binary-file scan, content
-  column never requested).
+* ``list_landed`` lists paths without reading bodies; both list in tasks (``sources.objects``).
 * ``existing_paths`` checks given paths one by one inside tasks (cost follows the targets).
 * ``write_if_absent`` writes payloads create-only: a path that already exists is skipped
   (as is the loser of a concurrent create). A payload is written to a hidden temporary
@@ -18,17 +17,16 @@
 from __future__ import annotations
 
 import os
-import re
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.schema import LANDING_PATH_PATTERN
-from obsflow.session import path_exists, scratch_dir  # noqa: F401 (path_exists re-exported)
+from obsflow.session import path_exists, scratch_dir
+from obsflow.sources.objects import list_objects, read_bodies
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
@@ -64,27 +62,12 @@ def read_landing(spark: SparkSession, root: str, prefix: str | None = None) -> D
     """SRC-1/SRC-2: one row per object under ``root`` (optionally under ``root/prefix``).
 
     A prefix ending in ``/`` names a folder; otherwise it matches names that start with it,
-    like an object-store key prefix. A prefix without objects gives no rows.
+    like an object-store key prefix. A prefix without objects gives no rows. Zero-length objects
+    and names that start with ``_`` or ``.`` are objects like any other.
     """
-    base = root.rstrip("/")
-    if prefix:
-        literal = re.sub(r"([\\*?{}\[\]])", r"\\\1", prefix)  # a key prefix is text, not a glob
-        target = f"{base}/{literal.rstrip('/')}" if prefix.endswith("/") else f"{base}/{literal}*"
-    else:
-        target = base
-    # binaryFile reads each small file in one call: about 8x faster than a whole-text scan
-    # on KB-sized payloads. Like every Spark file scan it skips zero-length files.
-    try:
-        raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target)
-    except AnalysisException as e:
-        if not prefix or e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "relative_path string, body string, modified_at timestamp")
-    return raw.select(
-        relative_path(F.col("path"), root).alias("relative_path"),
-        F.col("content").cast("string").alias("body"),
-        F.col("modificationTime").alias("modified_at"),
-    )
+    if not prefix and not path_exists(root):
+        raise FileNotFoundError(f"no landing zone at {root}")
+    return read_bodies(spark, list_objects(spark, root, prefix), root)
 
 
 def decode_path(df: DataFrame, col: str = "relative_path") -> DataFrame:
@@ -103,11 +86,10 @@ def decode_path(df: DataFrame, col: str = "relative_path") -> DataFrame:
 
 def list_landed(spark: SparkSession, root: str) -> DataFrame:
     """Relative paths of every object under ``root``, without reading their bodies."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root.rstrip("/"))
-    return files.select(relative_path(F.col("path"), root).alias("relative_path"))
+    return list_objects(spark, root).select("relative_path")
 
 
-def _writer(root: str):
+def _writer(root: str, replace: bool = False):
     parsed = urlparse(root)
     local = not (parsed.scheme and len(parsed.scheme) > 1) or parsed.scheme == "file"
     base = _root_path(root) if local else root.rstrip("/")
@@ -134,6 +116,10 @@ def _writer(root: str):
                     tmp = os.path.join(folder, f".{name}.{uuid.uuid4().hex}.tmp")
                     with open(tmp, "wb") as fh:
                         fh.write(data)
+                    if replace:
+                        os.replace(tmp, full)
+                        outcomes.append("rewritten")
+                        continue
                     try:
                         os.link(tmp, full)
                         outcomes.append("written")
@@ -143,7 +129,7 @@ def _writer(root: str):
                         os.unlink(tmp)
                 else:
                     full = f"{base_path}/{rel}"
-                    if fs.get_file_info(full).type != pafs.FileType.NotFound:
+                    if not replace and fs.get_file_info(full).type != pafs.FileType.NotFound:
                         outcomes.append("skipped")
                         continue
                     folder, name = full.rsplit("/", 1)
@@ -152,7 +138,7 @@ def _writer(root: str):
                     with fs.open_output_stream(tmp) as fh:
                         fh.write(data)
                     fs.move(tmp, full)
-                    outcomes.append("written")
+                    outcomes.append("rewritten" if replace else "written")
             yield pd.DataFrame({"relative_path": pdf["relative_path"], "outcome": outcomes})
 
     return write
@@ -179,6 +165,15 @@ def write_if_absent(spark: SparkSession, payloads: DataFrame, root: str, partiti
     return spark.read.parquet(out)
 
 
+def rewrite(spark: SparkSession, payloads: DataFrame, root: str) -> DataFrame:
+    """Correct landed objects in place: ``(relative_path, body)`` rows replace what their paths
+    hold, each at once. A stream of the zone takes the new generation again."""
+    unique = payloads.groupBy("relative_path").agg(F.min("body").alias("body"))
+    out = scratch_dir(spark, "landing-rewrites")
+    unique.mapInPandas(_writer(root, replace=True), _OUTCOME).write.parquet(out)
+    return spark.read.parquet(out)
+
+
 def _exists_check(root: str):
     parsed = urlparse(root)
     local = not (parsed.scheme and len(parsed.scheme) > 1) or parsed.scheme == "file"

@@ -34,7 +34,11 @@ REJECT_CASES = [
     (6, "missing_date"),
     (7, "invalid_json"),  # valid object followed by trailing text
     (8, "bad_structure"),
+    (9, "invalid_json"),  # a zero-length object
+    (10, "invalid_json"),  # an object whose name starts with _
+    (11, "invalid_json"),  # and one whose name starts with .
 ]
+NAME_PREFIX = {10: "_", 11: "."}
 IGNORED_SHAPES = [
     "raw/weekly/{s}/{d}.json",
     "raw/daily/{s}/{d}.txt",
@@ -121,9 +125,12 @@ def reject_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 6, _body(s, F.array(good_el, no_date)))
         .when(k == 7, F.concat(_body(s, F.array(good_el)), F.lit(" trailing")))
         .when(k == 8, F.lit('{"Codigo": 0, "Descripcion": "Success", "Series": "unavailable"}'))
+        .when(k == 9, F.lit(""))
+        .otherwise(F.lit("{"))
     )
+    mark = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in NAME_PREFIX.items() for x in kv]), k), F.lit(""))
     return per.select(
-        landing_path(F.lit("daily"), s, F.date_format(day, "yyyy-MM-dd")).alias("relative_path"),
+        landing_path(F.lit("daily"), s, F.concat(mark, F.date_format(day, "yyyy-MM-dd"))).alias("relative_path"),
         body.alias("body"),
         F.col("c.reason").alias("reason"),
     )

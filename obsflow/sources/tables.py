@@ -27,7 +27,6 @@ from obsflow.operators.upsert import (
     DEFAULT_ORDER,
     LAYOUT_OPTIONS,
     PARTITION_COLUMNS,
-    _partition_values,
     clustered_layout,
     partition_column,
     stage_source,
@@ -100,25 +99,23 @@ def upsert_table(
     keys, columns = list(keys), list(columns)
     gran = _granularity(spark, name)
     pcol = partition_column(gran)
-    staged = stage_source(spark, source, keys, columns, order_by, gran)
-    if staged is None:
+    src = stage_source(spark, source, keys, columns, order_by, gran)
+    if src is None:
         return 0
-    src, rows_sent = staged
     cols = columns + ([pcol] if pcol else [])
     old = spark.table(name).select(*cols)
-    values = _partition_values(src, pcol) if pcol else []
     if pcol:
-        old = old.where(F.col(pcol).isin(values))
-    merged = without_keys(old, src, keys, rows_sent, max_broadcast_keys).unionByName(src.select(*cols))
+        old = old.where(F.col(pcol).isin(src.partitions))
+    merged = without_keys(old, src, keys, max_broadcast_keys).unionByName(src.latest.select(*cols))
     folder = _fresh(spark, name)
     writer = clustered_layout(merged, pcol).write
     if "series_id" in columns:
         writer = writer.options(**LAYOUT_OPTIONS)
     if pcol:
         writer.partitionBy(pcol).parquet(folder)
-        _switch_partitions(spark, name, pcol, folder, values)
+        _switch_partitions(spark, name, pcol, folder, src.partitions)
     else:
         writer.parquet(folder)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
         spark.sql(f"REFRESH TABLE {name}")
-    return rows_sent
+    return src.rows_sent

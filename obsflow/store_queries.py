@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow import oracle as O
+from obsflow.operators.upsert import ensure_table, read_observations
 from obsflow.plans import reports as R
 from obsflow.plans.served import create_views
 from obsflow.plans.views import ensure_namespaces
@@ -16,9 +17,11 @@ from obsflow.schema import DIM_FREQUENCY, DIM_SERIES, DIM_SERIES_COLUMNS, OBSERV
 from obsflow.session import configure, scratch_dir
 from obsflow.sources import adapters as A
 from obsflow.sources import catalog as CT
+from obsflow.sources import landing_fixture as LF
+from obsflow.sources.landing import rewrite, write_if_absent
 from obsflow.sources.observations import scan_observations
 from obsflow.sources.tables import create_table, replace_table, upsert_table
-from obsflow.operators.upsert import ensure_table
+from obsflow.streaming.incremental import start_incremental_load
 
 _TABLES: dict[tuple[str, str], str] = {}
 _PINNED = {"v_tipo_cambio": "frequency = 'daily' AND NOT endswith(series_id, '.N')", "v_tpm": "endswith(series_id, '.N')"}
@@ -97,7 +100,40 @@ def q_empty_table_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.series_coverage(_catalog(_fact(spark, sf_dir)), scan_observations(spark, path), "1990-01-01", "2100-01-01")
 
 
+def q_alert_error_rate_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that start every five minutes."""
+    configure(spark)
+    events = A.read_table(spark, sf_dir, "events")
+    return R.alert_error_rate(events, "ts", F.col("event_type") == "error", 0.25, slide="5 minutes")
+
+
+def q_silent_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event types as daily series, their events as load instants."""
+    configure(spark)
+    events = A.read_table(spark, sf_dir, "events")
+    loads = events.select(F.col("event_type").alias("series_id"), F.col("ts").alias("loaded_at"))
+    bounds = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    catalog = loads.select("series_id").distinct().withColumn("frequency", F.lit("daily"))
+    return R.silent_intervals(catalog, loads, F.lit(bounds["a"]), F.lit(bounds["b"]), hours=2)
+
+
+def q_stream_rewritten_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream drains the zone; a third of the payloads are rewritten in place with other values;
+    the stream, restarted from its checkpoint, takes those again."""
+    configure(spark)
+    root, target, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "observations"), scratch_dir(spark, "checkpoint")
+    write_if_absent(spark, LF.good_daily(spark, sf_dir), root)
+    start_incremental_load(spark, root, target, checkpoint, ingested_at=LOAD_1).awaitTermination()
+    mended = LF.good_daily(spark, sf_dir, divisor=2).where(F.regexp_extract("relative_path", r"-([0-9]{2})\.json$", 1).cast("int") % 3 == 0)
+    rewrite(spark, mended, root)
+    start_incremental_load(spark, root, target, checkpoint, ingested_at=LOAD_2).awaitTermination()
+    return read_observations(spark, target)
+
+
 QUERIES = {
+    "alert_error_rate_sliding": q_alert_error_rate_sliding,
+    "silent_intervals": q_silent_intervals,
+    "stream_rewritten_file": q_stream_rewritten_file,
     "analytics_tipo_cambio": q_analytics_tipo_cambio,
     "analytics_tpm": q_analytics_tpm,
     "analytics_dashboard": q_analytics_dashboard,
@@ -109,6 +145,16 @@ QUERIES = {
 
 _IDS = ", ".join("'" + i + "'" for i in _SCAN["series_ids"])
 SQL = {
+    "alert_error_rate_sliding": """WITH starts AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * unnest(range(12))) AS window_start, event_type FROM events
+), w AS (SELECT window_start, count(*) AS events, count(*) FILTER (WHERE event_type = 'error') AS errors FROM starts GROUP BY 1)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, events, errors, errors / events AS error_rate FROM w WHERE errors / events > 0.25""",
+    "silent_intervals": """WITH b AS (SELECT min(ts) AS a, max(ts) AS b FROM events),
+marks AS (SELECT event_type AS series_id, ts FROM events UNION ALL SELECT DISTINCT event_type, b.a FROM events, b),
+spans AS (SELECT series_id, ts AS silent_from, coalesce(lead(ts) OVER (PARTITION BY series_id ORDER BY ts), (SELECT b FROM b)) AS silent_until FROM (SELECT DISTINCT series_id, ts FROM marks) m)
+SELECT series_id, silent_from, silent_until FROM spans WHERE silent_until - silent_from > INTERVAL 2 HOUR""",
+    "stream_rewritten_file": f"""SELECT series_id, observation_date, CASE WHEN day(observation_date) % 3 = 0 THEN value / 2 ELSE value END AS value, status_code, frequency,
+  CASE WHEN day(observation_date) % 3 = 0 THEN TIMESTAMP '{LOAD_2}' ELSE TIMESTAMP '{LOAD_1}' END AS ingested_at FROM ({O.OBS_EVENTS}) e""",
     "analytics_tipo_cambio": O.SQL["view_tipo_cambio"],
     "analytics_tpm": O.SQL["view_tpm"],
     "analytics_dashboard": O.SQL["dashboard_long"],

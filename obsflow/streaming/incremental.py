@@ -1,6 +1,6 @@
 """File-arrival incremental load with Structured Streaming.
 
-A file stream over the landing root (one row per file, recursive) feeds
+A stream of finalised objects over the landing root (``sources.objects``) feeds
 ``foreachBatch``: decode the path, ignore off-pattern arrivals, parse and validate each
 payload, log the verdicts in a quarantine table, flatten the rest and upsert them
 into the observation table. The checkpoint records which files were processed;
@@ -8,8 +8,8 @@ the sink is idempotent, so a replay (a new checkpoint over the same files) or a
 micro-batch leaves one row per key. ``trigger(availableNow=True)`` drains what is there
 and stops, which is what a scheduled run wants; a processing-time trigger keeps it live.
 
-An object rewritten in place keeps its path and is not re-read by the file source (it
-remembers paths); landing is create-only, and a bulk reload covers manual rewrites.
+An object rewritten in place has a new generation and comes again. The checkpoint holds one
+number, the generation up to which objects were processed.
 """
 
 from __future__ import annotations
@@ -24,30 +24,20 @@ from obsflow.operators.payload import flatten_payloads, parse_payloads
 from obsflow.operators.upsert import upsert
 from obsflow.schema import OBSERVATION_COLUMNS
 from obsflow.session import scratch_dir
-from obsflow.sources.landing import decode_path, relative_path
+from obsflow.sources.landing import decode_path
+from obsflow.sources.objects import object_stream, read_bodies
 
 
-_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
-
-
-def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """STR-1 source: one row per newly arrived file under ``root``."""
-    reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE).option("recursiveFileLookup", True)
-    # every arrival counts, however old its time stamp (the source's default skips files over 7 days)
-    reader = reader.option("maxFileAge", "36500d")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.load(root.rstrip("/"))
-    return raw.select(
-        relative_path(F.col("path"), root).alias("relative_path"),
-        F.col("content").cast("string").alias("body"),
-        F.col("modificationTime").alias("modified_at"),
-    )
+def landing_stream(spark: SparkSession, root: str, settle: float = 2.0) -> DataFrame:
+    """STR-1 source: one row for each object under ``root`` and each of its generations, without
+    its body (``read_bodies`` reads those in tasks)."""
+    return object_stream(spark, root, settle)
 
 
 def process_batch(
     spark: SparkSession,
     batch: DataFrame,
+    root: str,
     target: str,
     quarantine: str | None,
     ingested_at: dt.datetime | str | None,
@@ -55,8 +45,8 @@ def process_batch(
     granularity: str | None = "year",
 ) -> int:
     """One micro-batch: STR-5 skip off-pattern, STR-4 quarantine rejects, STR-1 upsert."""
-    files = decode_path(batch).where(F.col("on_pattern"))
-    parsed = parse_payloads(files)
+    arrived = decode_path(batch).where(F.col("on_pattern")).select("relative_path", "modified_us")
+    parsed = parse_payloads(decode_path(read_bodies(spark, arrived, root)))
     # the batch feeds two branches (rejects, rows): parse it once into the shared scratch area
     staged = scratch_dir(spark, f"stream-batch-{batch_id}")
     parsed.write.parquet(staged)
@@ -88,19 +78,22 @@ def start_incremental_load(
     ingested_at: dt.datetime | str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files_per_trigger: int | None = 10_000,
+    max_files_per_trigger: int | None = None,
     granularity: str | None = "year",
+    settle: float = 2.0,
 ) -> StreamingQuery:
     """STR-1/2/3: start the stream; returns the running query (``awaitTermination`` it).
 
-    ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` honours it and
-    drains the backlog in several batches), so a large backlog never becomes one job.
+    A batch is all that was finalised since the one before; its rows are names, bodies are
+    read in tasks. So a backlog of any size drains as one distributed load that rewrites
+    each touched partition once. ``max_files_per_trigger`` is taken for earlier callers and
+    has no effect, as batches need no bound.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, target, quarantine, ingested_at, batch_id, granularity)
+        process_batch(spark, batch, root, target, quarantine, ingested_at, batch_id, granularity)
 
-    writer = landing_stream(spark, root, max_files_per_trigger).writeStream.foreachBatch(each).option(
+    writer = landing_stream(spark, root, settle).writeStream.foreachBatch(each).option(
         "checkpointLocation", checkpoint
     )
     if available_now:

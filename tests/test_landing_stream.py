@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from obsflow.operators.upsert import read_observations
@@ -79,15 +81,96 @@ def test_stream_replay_and_poison(spark, tmp_root):
     assert read_observations(spark, target).where(F.col("value") == 7.0).count() == 1
 
 
-def test_zero_length_file_is_invisible(spark, tmp_root):
-    # documented divergence: Spark's file scans skip zero-length files, so an empty payload
-    # is neither loaded nor counted (the reference counts it as failed JSON)
+def test_zero_length_and_hidden_objects_are_objects(spark, tmp_root):
     _zone(tmp_root)
     _write(tmp_root, "raw/daily/A B/2026-07-17.json", "")
+    _write(tmp_root, "raw/daily/A B/_2026-07-18.json", _payload("18-07-2026", "4"))
+    _write(tmp_root, "raw/daily/.hidden/2026-07-19.json", _payload("19-07-2026", "5"))
+    _write(tmp_root, "_SUCCESS", "")
+    _write(tmp_root, "raw/daily/A B/.x.json." + "0" * 32 + ".tmp", "half a payl")  # of a writer at work: not there yet
     files = L.parsed_files(spark, tmp_root)
-    assert [(r.relative_path, r.reason) for r in L.rejects(files).collect()] == [("raw/daily/A B/2026-07-15.json", "invalid_json")]
+    bad = ["raw/daily/A B/2026-07-15.json", "raw/daily/A B/2026-07-17.json"]
+    assert sorted((r.relative_path, r.reason) for r in L.rejects(files).collect()) == [(p, "invalid_json") for p in bad]
     r = L.load_summary(files).first()
-    assert (r.files_scanned, r.files_skipped, r.files_failed, r.rows_extracted) == (3, 1, 1, 3)
+    assert (r.files_scanned, r.files_skipped, r.files_failed, r.rows_extracted) == (5, 2, 2, 5)
+    target, quarantine = scratch_dir(spark, "obs"), scratch_dir(spark, "q")
+    start_incremental_load(spark, tmp_root, target, scratch_dir(spark, "ck"), quarantine).awaitTermination()
+    assert read_observations(spark, target).count() == 5
+    assert sorted(r.relative_path for r in read_quarantine(spark, quarantine).collect()) == bad
+
+
+@pytest.mark.parametrize("shares", [1, 3, 16])
+def test_every_object_is_listed_in_one_share(tmp_path, shares):
+    from obsflow.sources.objects import _lister
+
+    listed, _, _ = _lister()
+    names = ["a.json", "raw/b", "raw/daily/c.json", "raw/daily/S/1.json", "raw/daily/S/x/y/2.json", "raw/daily/T/_3", "raw/weekly/.h/4", "raw/daily/[S]*/5 ä+%20.json"]
+    for n in names:
+        _write(str(tmp_path), n, n)
+    os.makedirs(tmp_path / "raw/empty/folder")
+    for prefix in ("", "raw/", "raw/daily/S", "raw/daily/S/", "raw/daily/[", "nothing/", "raw/daily/S/1.json"):
+        got = sorted(path for i in range(shares) for path, *_ in listed(str(tmp_path), prefix, i, shares))
+        assert got == sorted(n for n in names if n.startswith(prefix))
+
+
+def test_a_rewritten_object_comes_again_after_a_restart(spark, tmp_root):
+    _zone(tmp_root)
+    target, checkpoint = scratch_dir(spark, "obs"), scratch_dir(spark, "ck")
+    load = lambda stamp: start_incremental_load(spark, tmp_root, target, checkpoint, None, stamp).awaitTermination()
+    load("2026-07-17 00:00:00")
+    before = {(r.series_id, r.observation_date): (r.value, str(r.ingested_at)) for r in read_observations(spark, target).collect()}
+    load("2026-07-18 00:00:00")  # nothing new: nothing is loaded again
+    assert {(r.series_id, r.observation_date): (r.value, str(r.ingested_at)) for r in read_observations(spark, target).collect()} == before
+    body = spark.createDataFrame([("raw/daily/A B/2026-07-14.json", _payload("14-07-2026", "41"))], "relative_path string, body string")
+    assert [r.outcome for r in LZ.rewrite(spark, body, tmp_root).collect()] == ["rewritten"]
+    load("2026-07-19 00:00:00")
+    after = {(r.series_id, r.observation_date): (r.value, str(r.ingested_at)) for r in read_observations(spark, target).collect()}
+    changed = {k for k in after if after[k] != before.get(k)}
+    assert len(changed) == 1 and after[changed.pop()] == (41.0, "2026-07-19 00:00:00") and len(after) == len(before)
+
+
+def test_a_backlog_of_years_rewrites_each_partition_once(spark, tmp_root):
+    for year in range(2020, 2026):
+        for month in range(1, 13):
+            _write(tmp_root, f"raw/daily/S/{year}-{month:02d}-03.json", _payload(f"03-{month:02d}-{year}", "1"))
+    target, checkpoint = scratch_dir(spark, "obs"), scratch_dir(spark, "ck")
+    start_incremental_load(spark, tmp_root, target, checkpoint, max_files_per_trigger=8).awaitTermination()
+    local = target.removeprefix("file:")
+    files = [f for _, _, names in os.walk(local) for f in names if f.endswith(".parquet")]
+    assert len(files) == 6 and len({f.split("-", 2)[2].split(".")[0] for f in files}) == 1  # one write job made them all
+    assert read_observations(spark, target).count() == 72
+
+
+def test_silent_intervals_and_sliding_error_rate(spark):
+    import datetime as dt
+
+    from obsflow.plans import reports as R
+
+    t = lambda h, m=0: dt.datetime(2026, 1, 1) + dt.timedelta(hours=h, minutes=m)
+    loads = spark.createDataFrame([("A", t(1)), ("A", t(1)), ("A", t(30)), ("B", t(0)), ("B", t(24)), ("B", t(48)), ("X", t(5)), ("M", t(3))], "series_id string, loaded_at timestamp")
+    catalog = spark.createDataFrame([("A", "daily"), ("B", "daily"), ("C", "daily"), ("M", "monthly"), ("A", "daily")], "series_id string, frequency string")
+    got = {(r.series_id, r.silent_from, r.silent_until) for r in R.silent_intervals(catalog, loads, t(0), t(48)).collect()}
+    assert got == {("A", t(1), t(30)), ("C", t(0), t(48))}
+    # nothing but errors from 00:30 to 01:30: each full hour stays at the threshold, the hour between does not
+    rows = [(t(0, m), m >= 30) for m in range(0, 60, 5)] + [(t(1, m), m < 30) for m in range(0, 60, 5)]
+    events = spark.createDataFrame(rows, "ts timestamp, bad boolean")
+    assert R.alert_error_rate(events, "ts", F.col("bad"), 0.5).count() == 0
+    sliding = R.alert_error_rate(events, "ts", F.col("bad"), 0.9, slide="5 minutes").collect()
+    assert (t(0, 30), 1.0) in {(r.window_start, r.error_rate) for r in sliding}
+
+
+def test_sliding_error_rate_on_a_stream(spark, tmp_root):
+    import datetime as dt
+
+    from obsflow.plans import reports as R
+
+    t = lambda m: dt.datetime(2026, 1, 1) + dt.timedelta(minutes=m)
+    spark.createDataFrame([(t(m), 30 <= m < 90) for m in range(0, 300, 5)], "ts timestamp, bad boolean").write.parquet(tmp_root)
+    stream = spark.readStream.schema("ts timestamp, bad boolean").parquet(tmp_root).withWatermark("ts", "10 minutes")
+    out = R.alert_error_rate(stream, "ts", F.col("bad"), 0.9, slide="5 minutes")
+    q = out.writeStream.format("memory").queryName("late_alerts").outputMode("append").option("checkpointLocation", scratch_dir(spark, "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert {r.window_start for r in spark.table("late_alerts").collect()} >= {t(30)}
 
 
 def test_stream_batch_with_only_ignored_files(spark, tmp_root):

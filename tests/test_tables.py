@@ -63,6 +63,18 @@ def test_files_are_ranges_of_series_and_scans_skip_the_rest(spark, tmp_root, mon
     assert scan_observations(spark, tmp_root).where("value >= 5").count() == 600 * 40
 
 
+@pytest.mark.parametrize("hot", [4_000_000, 50])
+def test_copies_of_a_series_collapse_to_the_latest_rows(spark, tmp_root, monkeypatch, hot):
+    monkeypatch.setattr(U, "HOT_ROWS", hot)
+    rows = _many(spark, 5, 40)
+    copies = rows.where("series_id = 'S000003'").select(*rows.columns, F.explode(F.sequence(F.lit(1), F.lit(300))).alias("c"))
+    late = copies.withColumn("ingested_at", F.col("ingested_at") + F.make_interval(secs="c")).withColumn("value", F.col("c").cast("double")).drop("c")
+    gone = copies.withColumn("ingested_at", F.lit(None).cast("timestamp")).withColumn("value", F.lit(-1.0)).drop("c")
+    assert U.upsert(spark, tmp_root, rows.unionByName(late).unionByName(gone)) == 5 * 40 + 2 * 300 * 40
+    got = scan_observations(spark, tmp_root)
+    assert got.count() == 200 and {r["value"] for r in got.where("series_id = 'S000003'").collect()} == {300.0}
+
+
 def test_a_table_without_rows_is_readable(spark, tmp_root):
     for gran in (None, "year", "day"):
         path = f"{tmp_root}-{gran}"

@@ -66,7 +66,7 @@ def main() -> int:
 
     target2 = scratch_dir(spark, "scale-obs-stream")
     t0 = time.perf_counter()
-    start_incremental_load(spark, root, target2, scratch_dir(spark, "scale-ck"), scratch_dir(spark, "scale-q"), "2026-01-01 00:00:00", max_files_per_trigger=20_000).awaitTermination()
+    start_incremental_load(spark, root, target2, scratch_dir(spark, "scale-ck"), scratch_dir(spark, "scale-q"), "2026-01-01 00:00:00").awaitTermination()
     out["stream_sec"] = round(time.perf_counter() - t0, 2)
     out["stream_rows"] = read_observations(spark, target2).count()
     for k in ("write", "bulk_reload", "stream"):
