@@ -95,12 +95,12 @@ def _sign(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordB
             sig.append((full >> np.uint32(24)).astype(np.uint8).tobytes())
             keys.append(key.astype(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(size), pa.array(fp[:, 0]), pa.array(fp[:, 1]), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "fp1", "fp2", "sig", "bands"],
+            [batch.column("row"), batch.column("doc_id"), pa.array(size), pa.array(fp[:, 0]), pa.array(fp[:, 1]), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+            names=["row", "doc_id", "n_shingles", "fp1", "fp2", "sig", "bands"],
         )
 
 
-_SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, sig binary, bands array<long>"
+_SIGNED = "row long, doc_id long, n_shingles long, fp1 long, fp2 long, sig binary, bands array<long>"
 
 
 def _survivors(sig: np.ndarray, left: np.ndarray, right: np.ndarray, floors: tuple[int, ...], batch: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,11 +253,13 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settin
     """
     s = settings or Settings()
     prepare(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialize(spark, docs.mapInArrow(tidy(partial(_sign, s=s)), _SIGNED), "minhash-signed")
+    # nodes are named by a row of theirs: ids may repeat under different texts
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = materialize(spark, rows, "minhash-rows")
+    signed = materialize(spark, rows.mapInArrow(tidy(partial(_sign, s=s)), _SIGNED), "minhash-signed")
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
-    nodes = materialize(spark, linkable.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("node")), "minhash-nodes")
-    first = nodes.join(linkable.withColumnRenamed("doc_id", "node"), ["node", "fp1", "fp2", "n_shingles"]).dropDuplicates(["node", "fp1", "fp2"])
+    nodes = materialize(spark, linkable.groupBy("fp1", "fp2", "n_shingles").agg(F.min("row").alias("node"), F.min("doc_id").alias("id")), "minhash-nodes")
+    first = nodes.select("node").join(linkable.withColumnRenamed("row", "node"), "node")
     first = materialize(spark, first.select("node", "n_shingles", "sig", "bands"), "minhash-first")
     in_band = first.select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
     size = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
@@ -268,15 +270,17 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settin
     pairs = materialize(spark, small.mapInArrow(tidy(partial(_pairs, s=s)), "a long, b long").distinct(), "minhash-pairs")
     large = members.where(F.col("n") > SMALL)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
-    texts = docs.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi").select("node", "text")
+    texts = rows.withColumnRenamed("row", "node").join(wanted, "node", "left_semi").select("node", "text")
     sets = materialize(spark, texts.mapInArrow(tidy(partial(_sets, k=s.shingle)), "node long, set binary").where("length(set) > 0"), "minhash-sets")
     stars = _dealt(large.join(signatures, "node").join(sets, "node"), s).mapInArrow(tidy(partial(_stars, s=s)), "a long, b long")
     links = materialize(spark, _verified(pairs, sets, s).unionByName(stars), "minhash-links")
     comps = materialize(spark, connected_components(spark, links), "minhash-components")
 
-    named = nodes.join(comps, "node", "left").select("fp1", "fp2", F.col("n_shingles").alias("size"), F.coalesce("component", "node").alias("component"))
-    rows = signed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "fp1", "fp2")
-    joined = rows.join(named, (rows.fp1 == named.fp1) & (rows.fp2 == named.fp2) & (rows.n_shingles == named["size"]))
+    found = nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = found.groupBy("component").agg(F.min("id").alias("least"))
+    named = found.join(least, "component").select("fp1", "fp2", F.col("n_shingles").alias("size"), F.col("least").alias("component"))
+    signed_rows = signed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "fp1", "fp2")
+    joined = signed_rows.join(named, (signed_rows.fp1 == named.fp1) & (signed_rows.fp2 == named.fp2) & (signed_rows.n_shingles == named["size"]))
     alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
     out = joined.select("doc_id", "n_shingles", "component").unionByName(alone)
     return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))

@@ -71,6 +71,16 @@ def test_near_dedup_equals_brute_force(spark, monkeypatch, small):
         assert r["component_id"] == want.get(r["doc_id"]) and r["kept"] == (r["doc_id"] is None or want[r["doc_id"]] == r["doc_id"])
 
 
+def test_near_dedup_of_ids_that_repeat_under_different_texts(spark):
+    a = [f"a{i}" for i in range(60)]
+    b = [f"b{i}" for i in range(60)]
+    near = lambda w: " ".join([*w[:-1], "else"])
+    rows = [(4, " ".join(a)), (4, " ".join(b)), (9, near(a)), (2, near(b)), (4, " ".join(a)), (7, "alone here now"), (7, " ".join(b)), (None, " ".join(b))]
+    got = near_dedup.near_duplicate_groups(spark, _docs(spark, rows)).collect()
+    by = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_shingles"], r["component_id"] or -1) for r in got)
+    assert by == [(False, 2, 58, 2), (False, 4, 58, 2), (False, 4, 58, 4), (False, 4, 58, 4), (False, 7, 1, 7), (False, 7, 58, 2), (False, 9, 58, 4), (True, 0, 58, -1)]
+
+
 def test_near_dedup_with_blocks_that_hold_no_node(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL", 2)
     monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 100)
