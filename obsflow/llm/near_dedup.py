@@ -243,19 +243,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(tidy(partial(_confirm, percent=s.percent)), "a long, b long")
 
 
-def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+def near_duplicate_groups(spark: SparkSession, docs: DataFrame, settings: Settings | None = None, keyed: bool = False) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row for each row of ``docs``.
 
     Only ``doc_id`` and ``text`` are read; other columns never matter. A null, empty or
     blank text has an empty set and links with nothing. A row without an id takes no part
     and returns with a null component, kept. Rows that repeat an id are grouped each by its own
-    text. An empty table gives an empty result.
+    text. An empty table gives an empty result. ``keyed`` says that ``docs`` is a written table
+    whose ids are all different and not null, which then need not be written again.
     """
     s = settings or Settings()
     prepare(spark)
     # nodes are named by a row of theirs: ids may repeat under different texts
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = materialize(spark, rows, "minhash-rows")
+    row = F.col("doc_id").cast("long") if keyed else F.monotonically_increasing_id()
+    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if not keyed:
+        rows = materialize(spark, rows, "minhash-rows")
     signed = materialize(spark, rows.mapInArrow(tidy(partial(_sign, s=s)), _SIGNED), "minhash-signed")
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(spark, linkable.groupBy("fp1", "fp2", "n_shingles").agg(F.min("row").alias("node"), F.min("doc_id").alias("id")), "minhash-nodes")
