@@ -54,7 +54,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group stays, one of the smallest id (null last)."""
     keyed = _keyed(spark, docs, "near-duplicates")
-    groups = near_dedup.near_duplicate_groups(spark, _texts(keyed), NEAR).select("doc_id", "component_id")
+    groups = near_dedup.near_duplicate_groups(spark, _texts(keyed), NEAR, keyed=True).select("doc_id", "component_id")
     groups = materialize(spark, groups.join(keyed.select(F.col(ROW).alias("doc_id"), F.col("doc_id").alias("id")), "doc_id"), "groups")
     first = F.min(F.struct(F.col("id").isNull(), "id", "doc_id")).getField("doc_id").alias("first")
     kept = groups.groupBy("component_id").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1")
