@@ -207,6 +207,9 @@ SQL: dict[str, str] = {
 _CASES = "SELECT * FROM (VALUES " + ", ".join(f"({k}, {_lit(r)}, {_lit(NAME_PREFIX.get(k, ''))})" for k, r in REJECT_CASES) + ") AS t(k, reason, mark)"
 _SHAPES = "SELECT * FROM (VALUES " + ", ".join(f"({_lit(s)})" for s in IGNORED_SHAPES) + ") AS t(shape)"
 
+# the two load stamps of the queries
+LOAD_1, LOAD_2 = "TIMESTAMP '2026-01-01 00:00:00'", "TIMESTAMP '2026-02-01 00:00:00'"
+
 LANDING_CTE = f"""ev AS ({OBS_EVENTS}),
 last AS (SELECT series_id, max(observation_date) AS last_day FROM ev GROUP BY 1),
 monthly AS (SELECT event_type || '.M' AS series_id, CAST(date_trunc('month', ts) AS DATE) AS observation_date,
@@ -238,7 +241,7 @@ SELECT relative_path, regexp_matches(relative_path, '{_PATH_RE}') AS on_pattern,
        CASE WHEN regexp_matches(relative_path, '{_PATH_RE}') THEN regexp_extract(relative_path, '{_PATH_RE}', 2) END AS series_id,
        CASE WHEN regexp_matches(relative_path, '{_PATH_RE}') THEN regexp_extract(relative_path, '{_PATH_RE}', 3) END AS period_label
 FROM all_files""",
-        "payload_flatten": f"WITH {LANDING_CTE} SELECT * FROM loaded",
+        "payload_flatten": f"WITH {LANDING_CTE} SELECT *, {LOAD_1} AS ingested_at FROM loaded",
         "payload_rejects": f"WITH {LANDING_CTE} SELECT relative_path, reason FROM reject_files WHERE reason IS NOT NULL",
         "unparseable_counts": f"""WITH {LANDING_CTE}
 SELECT series_id, CAST(count(*) FILTER (WHERE value IS NULL AND day(observation_date) % 14 <> 0) AS BIGINT) AS unparseable_values
@@ -250,8 +253,8 @@ SELECT (SELECT count(*) FROM daily_files) + (SELECT count(*) FROM monthly_files)
        (SELECT count(*) FROM ignored_files) AS files_skipped,
        (SELECT count(*) FROM reject_files WHERE reason IS NOT NULL) AS files_failed,
        (SELECT count(*) FROM loaded) AS rows_extracted""",
-        "bulk_reload": f"WITH {LANDING_CTE} SELECT * FROM loaded",
-        "payload_roundtrip": f"SELECT series_id, observation_date, value / 7 AS value, status_code, frequency FROM ({OBS_EVENTS}) q",
+        "bulk_reload": f"WITH {LANDING_CTE} SELECT *, {LOAD_2} AS ingested_at FROM loaded",
+        "payload_roundtrip": f"SELECT series_id, observation_date, value / 7 AS value, status_code, frequency, {LOAD_1} AS ingested_at FROM ({OBS_EVENTS}) q",
         "value_coercion": r"""WITH r AS (
   SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price, o_orderkey % 12 AS k FROM orders),
 raw AS (
@@ -329,6 +332,9 @@ PREV_LAST = """CASE frequency WHEN 'daily' THEN as_of - 1
             WHEN 'monthly' THEN CAST(date_trunc('month', as_of) AS DATE) - 1
             ELSE CAST(date_trunc('quarter', as_of) AS DATE) - 1 END"""
 
+FAILING = """failing AS (SELECT day(ts) AS day, 'SourceError: ' || count(*) FILTER (WHERE event_type = 'error') || ' of ' || count(*) AS error
+  FROM events GROUP BY 1 HAVING 5 * count(*) FILTER (WHERE event_type = 'error') > count(*))"""
+
 _SEED = f"seed AS ({DIM_SEED_SQL})"
 _DIMF = "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(_lit(v) for v in r) + ")" for r in DIM_FREQUENCY_ROWS) + ") AS t(frequency, description, schedule_cron)"
 _CAD = "SELECT * FROM (VALUES " + ", ".join(f"({_lit(k)}, {v})" for k, v in CADENCE_DAYS.items()) + ") AS t(frequency, cadence_days)"
@@ -338,6 +344,23 @@ def _win_sql(obs: str, cols: str) -> str:
     return f"WITH obs AS ({obs}), base AS (SELECT series_id, observation_date, value AS v FROM obs WHERE {VALID})\nSELECT series_id, observation_date, v, {cols} FROM base"
 
 
+_COVERAGE = f"""WITH {OBS_CTE}, {CAT}, {BOUNDS}, {FAILING},
+n AS (SELECT series_id, count(*) AS observations FROM obs, bounds
+      WHERE observation_date BETWEEN bounds.mx - 90 AND bounds.mx GROUP BY 1),
+cov AS (SELECT c.series_id, c.frequency, CASE WHEN f.day IS NULL THEN coalesce(n.observations, 0) ELSE 0 END AS observations,
+       CASE WHEN f.day IS NOT NULL THEN 'FAIL' WHEN n.observations > 0 THEN 'OK' ELSE 'EMPTY' END AS status, f.error
+FROM cat c LEFT JOIN n USING (series_id) LEFT JOIN failing f ON f.day = (1 + length(c.series_id)) % 31)"""
+
+_RUN_OUTCOMES = f"""WITH {OBS_CTE}, {CAT}, {LANDED}, {AVAIL}, {FAILING},
+runs AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS as_of FROM orders),
+rf AS (SELECT as_of, f.frequency FROM runs CROSS JOIN {FREQ_VALUES}),
+w AS (SELECT as_of, frequency, {PREV_WINDOW} AS first_date FROM rf),
+t AS (SELECT w.as_of, w.frequency, c.series_id, {_label('w.frequency', 'w.first_date')} AS period_label FROM w JOIN cat c ON c.frequency = w.frequency),
+o AS (SELECT t.*, f.error, CASE WHEN l.series_id IS NOT NULL THEN 'skipped' WHEN f.day IS NOT NULL THEN 'error'
+                       WHEN a.series_id IS NOT NULL THEN 'written' ELSE 'empty' END AS outcome
+      FROM t LEFT JOIN landed l USING (series_id, period_label) LEFT JOIN avail a USING (series_id, period_label)
+      LEFT JOIN failing f ON f.day = (day(t.as_of) + length(t.series_id)) % 31)"""
+
 SQL.update(
     {
         "period_windows": f"""WITH runs AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS as_of FROM orders),
@@ -373,30 +396,32 @@ SELECT series_id, frequency, period_label, relative_path FROM planned_paths p
 WHERE EXISTS (SELECT 1 FROM landed l WHERE l.series_id = p.series_id AND l.period_label = p.period_label)""",
         "backfill_dry_run": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT}, {PLAN}
 SELECT series_id, count(*) AS planned FROM planned GROUP BY 1""",
-        "backfill_outcomes": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT}, {LANDED}, {AVAIL}, {PLAN},
+        "backfill_dry_run_counters": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT}, {PLAN}, n AS (SELECT series_id, count(*) AS written FROM planned GROUP BY 1)
+SELECT series_id, written, 0 * written AS skipped, 0 * written AS empty, 0 * written AS errors
+FROM (SELECT * FROM n UNION ALL SELECT NULL, CAST(sum(written) AS BIGINT) FROM n) t""",
+        "backfill_outcomes": f"""WITH {OBS_CTE}, {BOUNDS}, {CAT}, {LANDED}, {AVAIL}, {PLAN}, {FAILING},
 s AS (SELECT p.*, CASE WHEN l.series_id IS NULL THEN 'missing' ELSE 'landed' END AS status,
              a.series_id IS NOT NULL AS has_data,
              CASE WHEN p.frequency = 'daily' THEN CAST(year(p.first_date) AS VARCHAR) ELSE p.period_label END AS chunk
       FROM planned p LEFT JOIN landed l USING (series_id, period_label) LEFT JOIN avail a USING (series_id, period_label)),
-c AS (SELECT *, sum(CASE WHEN status = 'missing' THEN 1 ELSE 0 END) OVER (PARTITION BY series_id, chunk) AS chunk_missing FROM s),
-o AS (SELECT series_id, CASE WHEN status = 'landed' AND (frequency <> 'daily' OR chunk_missing = 0) THEN 'skipped'
-                             WHEN status = 'landed' THEN NULL
+c AS (SELECT *, sum(CASE WHEN status = 'missing' THEN 1 ELSE 0 END) OVER (PARTITION BY series_id, chunk) AS chunk_missing,
+             (length(series_id) + year(first_date) + CASE WHEN frequency = 'daily' THEN 0 ELSE month(first_date) END) % 31 IN (SELECT day FROM failing) AS failed FROM s),
+o AS (SELECT series_id, chunk, CASE WHEN status = 'landed' AND (frequency <> 'daily' OR chunk_missing = 0) THEN 'skipped'
+                             WHEN status = 'landed' THEN NULL WHEN failed THEN 'error'
                              WHEN has_data THEN 'written' ELSE 'empty' END AS outcome FROM c)
 SELECT series_id, count(*) FILTER (WHERE outcome = 'written') AS written, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
-       count(*) FILTER (WHERE outcome = 'empty') AS empty, CAST(0 AS BIGINT) AS errors
+       count(*) FILTER (WHERE outcome = 'empty') AS empty, count(DISTINCT (series_id, chunk)) FILTER (WHERE outcome = 'error') AS errors
 FROM o GROUP BY ROLLUP (series_id)""",
-        "run_summary": f"""WITH {OBS_CTE}, {CAT}, {LANDED}, {AVAIL},
-runs AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS as_of FROM orders),
-rf AS (SELECT as_of, f.frequency FROM runs CROSS JOIN {FREQ_VALUES}),
-w AS (SELECT as_of, frequency, {PREV_WINDOW} AS first_date FROM rf),
-t AS (SELECT w.as_of, w.frequency, c.series_id, {_label('w.frequency', 'w.first_date')} AS period_label FROM w JOIN cat c ON c.frequency = w.frequency),
-o AS (SELECT t.*, CASE WHEN l.series_id IS NOT NULL THEN 'skipped' WHEN a.series_id IS NOT NULL THEN 'written' ELSE 'empty' END AS outcome
-      FROM t LEFT JOIN landed l USING (series_id, period_label) LEFT JOIN avail a USING (series_id, period_label))
+        "run_summary": f"""{_RUN_OUTCOMES}
 SELECT as_of, frequency, max(period_label) AS period_label,
        count(*) FILTER (WHERE outcome = 'written') AS processed, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
        coalesce(list_sort(list(series_id) FILTER (WHERE outcome = 'empty')), []) AS empty,
-       CAST([] AS STRUCT(series_id VARCHAR, error VARCHAR)[]) AS errors
+       coalesce(list(series_id || ': ' || error ORDER BY series_id) FILTER (WHERE outcome = 'error'), []) AS errors
 FROM o GROUP BY as_of, frequency""",
+        "run_lists": f"""{_RUN_OUTCOMES},
+r AS (SELECT *, (row_number() OVER (PARTITION BY as_of, frequency, outcome ORDER BY series_id) - 1) // 4 AS chunk FROM o WHERE outcome IN ('empty', 'error'))
+SELECT as_of, frequency, outcome, CAST(chunk AS BIGINT) AS chunk, list(series_id ORDER BY series_id) AS ids,
+       list(CASE WHEN outcome = 'error' THEN error ELSE '' END ORDER BY series_id) AS errors FROM r GROUP BY 1, 2, 3, 4""",
         "catalog_flatten": f"""WITH {OBS_CTE}, {CAT}, {_SEED}
 SELECT c.series_id, coalesce(s.name, c.series_id) AS name, coalesce(s.unit, 'USD') AS unit, c.frequency,
        coalesce(s.description, '') AS description
@@ -413,12 +438,10 @@ SELECT frequency, count(*) AS rows, max(observation_date) AS latest, max(ingeste
 latest AS (SELECT series_id, max(observation_date) AS latest_obs FROM obs GROUP BY 1)
 SELECT l.series_id, s.name, l.latest_obs, CAST(date_diff('day', l.latest_obs, (SELECT mx FROM bounds) + 1) AS INTEGER) AS days_stale
 FROM latest l LEFT JOIN seed s USING (series_id)""",
-        "series_coverage": f"""WITH {OBS_CTE}, {CAT}, {BOUNDS},
-n AS (SELECT series_id, count(*) AS observations FROM obs, bounds
-      WHERE observation_date BETWEEN bounds.mx - 90 AND bounds.mx GROUP BY 1)
-SELECT c.series_id, c.frequency, coalesce(n.observations, 0) AS observations,
-       CASE WHEN coalesce(n.observations, 0) > 0 THEN 'OK' ELSE 'EMPTY' END AS status
-FROM cat c LEFT JOIN n USING (series_id)""",
+        "series_coverage": f"{_COVERAGE} SELECT * FROM cov",
+        "coverage_state": f"""{_COVERAGE}
+SELECT count(*) AS series, count(*) FILTER (WHERE status = 'OK') AS ok, count(*) FILTER (WHERE status = 'EMPTY') AS empty,
+       count(*) FILTER (WHERE status = 'FAIL') AS failed, count(*) FILTER (WHERE status = 'FAIL') = 0 AS passed FROM cov""",
         "error_counts": f"""WITH {LANDING_CTE}
 SELECT regexp_extract(relative_path, '{_PATH_RE}', 2) AS series_id, count(*) AS errors
 FROM reject_files WHERE reason IS NOT NULL GROUP BY 1""",
@@ -474,15 +497,15 @@ FROM d""",
 
 SQL.update(
     {
-        "stream_incremental_load": f"WITH {LANDING_CTE} SELECT * FROM loaded",
-        "stream_replay_idempotent": f"WITH {LANDING_CTE} SELECT * FROM loaded",
+        "stream_incremental_load": f"WITH {LANDING_CTE} SELECT *, {LOAD_1} AS ingested_at FROM loaded",
+        "stream_replay_idempotent": f"WITH {LANDING_CTE} SELECT *, {LOAD_2} AS ingested_at FROM loaded",
         "stream_poison_file": f"WITH {LANDING_CTE} SELECT relative_path, reason FROM reject_files WHERE reason IS NOT NULL",
     }
 )
 
 SQL["fact_scan"] = VALID_OBSERVATIONS
 
-SQL["backfill_execute"] = f"""WITH ev AS ({OBS_EVENTS}),
+SQL["backfill_execute"] = f"""WITH ev AS ({OBS_EVENTS}), {FAILING},
 b AS (SELECT min(observation_date) AS mn, max(observation_date) AS mx FROM ev),
 s AS (SELECT DISTINCT series_id FROM ev),
 days AS (SELECT s.series_id, CAST(unnest(generate_series(CAST(b.mn AS TIMESTAMP), CAST(b.mx + 6 AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM s, b),
@@ -490,14 +513,15 @@ c AS (SELECT days.series_id, days.d,
              EXISTS (SELECT 1 FROM ev WHERE ev.series_id = days.series_id AND ev.observation_date = days.d AND day(days.d) <= 10) AS landed,
              EXISTS (SELECT 1 FROM ev WHERE ev.series_id = days.series_id AND ev.observation_date = days.d) AS has_data
       FROM days),
-y AS (SELECT *, sum(CASE WHEN landed THEN 0 ELSE 1 END) OVER (PARTITION BY series_id, year(d)) AS chunk_missing FROM c),
-o AS (SELECT series_id, CASE WHEN landed AND chunk_missing = 0 THEN 'skipped' WHEN landed THEN NULL
+y AS (SELECT *, sum(CASE WHEN landed THEN 0 ELSE 1 END) OVER (PARTITION BY series_id, year(d)) AS chunk_missing,
+             (length(series_id) + year(d)) % 31 IN (SELECT day FROM failing) AS failed FROM c),
+o AS (SELECT series_id, year(d) AS chunk, CASE WHEN landed AND chunk_missing = 0 THEN 'skipped' WHEN landed THEN NULL WHEN failed THEN 'error'
                              WHEN has_data THEN 'written' ELSE 'empty' END AS outcome FROM y)
 SELECT series_id, count(*) FILTER (WHERE outcome = 'written') AS written, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
-       count(*) FILTER (WHERE outcome = 'empty') AS empty, CAST(0 AS BIGINT) AS errors
+       count(*) FILTER (WHERE outcome = 'empty') AS empty, count(DISTINCT (series_id, chunk)) FILTER (WHERE outcome = 'error') AS errors
 FROM o GROUP BY ROLLUP (series_id)"""
 
-SQL["ingest_run"] = f"""WITH ev AS ({OBS_EVENTS}),
+SQL["ingest_run"] = f"""WITH ev AS ({OBS_EVENTS}), {FAILING},
 monthly AS (SELECT event_type || '.M' AS series_id, CAST(date_trunc('month', ts) AS DATE) AS observation_date FROM events GROUP BY 1, 2),
 src AS (SELECT series_id, 'daily' AS frequency, observation_date FROM ev
         UNION ALL SELECT series_id, 'monthly', observation_date FROM monthly),
@@ -508,12 +532,12 @@ rf AS (SELECT as_of, f.frequency FROM runs CROSS JOIN (VALUES ('daily'), ('month
 w AS (SELECT as_of, frequency, {PREV_WINDOW} AS first_date FROM rf),
 t AS (SELECT w.as_of, w.frequency, c.series_id, {_label('w.frequency', 'w.first_date')} AS period_label
       FROM w JOIN cat c ON c.frequency = w.frequency),
-o AS (SELECT t.*, CASE WHEN a.series_id IS NULL THEN 'empty'
-                       WHEN row_number() OVER (PARTITION BY t.series_id, t.period_label ORDER BY t.as_of) = 1 THEN 'written'
-                       ELSE 'skipped' END AS outcome
-      FROM t LEFT JOIN avail a USING (series_id, period_label))
+x AS (SELECT t.*, f.error, CASE WHEN f.day IS NOT NULL THEN 'error' WHEN a.series_id IS NULL THEN 'empty' ELSE 'written' END AS outcome
+      FROM t LEFT JOIN avail a USING (series_id, period_label) LEFT JOIN failing f ON f.day = (day(t.as_of) + length(t.series_id)) % 31),
+o AS (SELECT * REPLACE (CASE WHEN outcome = 'written' AND row_number() OVER (PARTITION BY series_id, period_label, outcome ORDER BY as_of) > 1
+                             THEN 'skipped' ELSE outcome END AS outcome) FROM x)
 SELECT as_of, frequency, max(period_label) AS period_label,
        count(*) FILTER (WHERE outcome = 'written') AS processed, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
        coalesce(list_sort(list(series_id) FILTER (WHERE outcome = 'empty')), []) AS empty,
-       CAST([] AS STRUCT(series_id VARCHAR, error VARCHAR)[]) AS errors
+       coalesce(list(series_id || ': ' || error ORDER BY series_id) FILTER (WHERE outcome = 'error'), []) AS errors
 FROM o GROUP BY as_of, frequency"""

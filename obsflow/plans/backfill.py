@@ -8,14 +8,15 @@
   landed, ``written`` when the source has data, ``empty`` when it has none, ``error`` when
   the fetch for that chunk failed — and the additive counters per series plus a total.
 * ``ingest_outcomes`` / ``run_summary``: the scheduled ingest (previous period per
-  run date) and its summary with the sorted lists of empty and failed series.
+  run date) and its summary with the sorted lists of empty and failed series;
+  ``run_lists`` gives the lists in bounded chunks.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsflow.operators.joins import MAX_BROADCAST_ROWS
@@ -60,6 +61,15 @@ def dry_run_counts(planned: DataFrame) -> DataFrame:
     return planned.groupBy("series_id").agg(F.count(F.lit(1)).cast("long").alias("planned"))
 
 
+def dry_run_counters(planned: DataFrame) -> DataFrame:
+    """CAL-12 in the shape of ``counters``, with the total row (series_id NULL): a dry run counts
+    every planned period as one it would write, and nothing as skipped, empty or failed."""
+    nothing = F.lit(0).cast("long")
+    return planned.rollup("series_id").agg(
+        F.count(F.lit(1)).cast("long").alias("written"), nothing.alias("skipped"), nothing.alias("empty"), nothing.alias("errors")
+    )
+
+
 def with_status(planned: DataFrame, landed: DataFrame) -> DataFrame:
     """JN-5/JN-6: mark each planned path ``landed`` or ``missing``."""
     seen = landed.select("relative_path").distinct().withColumn("_landed", F.lit(True))
@@ -148,6 +158,12 @@ def _runs_by_catalog(runs: DataFrame, catalog: DataFrame, max_rows: int = MAX_BR
     return salted_runs.join(salted_cat, ["frequency", "_salt"]).drop("_salt")
 
 
+def run_requests(runs: DataFrame, catalog: DataFrame) -> DataFrame:
+    """What scheduled runs ask for: ``(as_of, frequency, series_id)``."""
+    pairs = _runs_by_catalog(runs.select("as_of", "frequency"), catalog.select("series_id", "frequency"))
+    return pairs.select("as_of", "frequency", "series_id")
+
+
 def ingest_outcomes(runs: DataFrame, catalog: DataFrame, landed: DataFrame, available: DataFrame, fetch_errors: DataFrame | None = None) -> DataFrame:
     """The scheduled ingest: for each run ``(as_of, frequency)``, every catalog series of
     that frequency targets the previous period; landed → skipped, else written when the
@@ -192,6 +208,31 @@ def run_summary(outs: DataFrame) -> DataFrame:
     )
 
 
+LIST_CHUNK = 10_000
+
+
+def run_lists(spark: SparkSession, outs: DataFrame, size: int = LIST_CHUNK) -> DataFrame:
+    """AGG-4 for catalogs of any size: the empty and failed series of each run as chunks of at
+    most ``size`` series, ``(as_of, frequency, outcome, chunk, series)``, each series with its
+    error. Chunk k of a run and outcome holds its series k * size to (k + 1) * size - 1 in id
+    order, so the chunks laid end to end are the lists of ``run_summary``.
+
+    Rows are dealt to ranges of (run, outcome, id), and a row's rank is its place in its
+    range plus what earlier ranges hold of its list; no task takes a run's catalog."""
+    told = outs.where(F.col("outcome").isin("empty", "error")).select("as_of", "frequency", "outcome", "series_id", "error")
+    whole = ["as_of", "frequency", "outcome"]
+    placed = told.repartitionByRange(*whole, "series_id", "error").withColumn("part", F.spark_partition_id())
+    placed = materialize(spark, placed, "run-lists")
+    per = placed.groupBy(*whole, "part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*whole).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    local = F.row_number().over(Window.partitionBy(*whole, "part").orderBy("series_id", "error")) - 1
+    ranked = placed.withColumn("local", local).join(per.select(*whole, "part", before.alias("before")), [*whole, "part"])
+    rank = F.col("before") + F.col("local")
+    chunked = ranked.withColumn("chunk", F.floor(rank / size).cast("long"))
+    series = F.sort_array(F.collect_list(F.struct("series_id", "error"))).alias("series")
+    return chunked.groupBy(*whole, "chunk").agg(series)
+
+
 def payloads_for_periods(source_obs: DataFrame, targets: DataFrame, description: str = "Success") -> DataFrame:
     """One payload per target period holding the source's observations of that period
     (one for a day, a month's for a month...), in date order: ``(relative_path, body)``.
@@ -253,7 +294,8 @@ def execute_ingest(
     )
     landed = existing_paths(spark, targets, landing_root)
     outs = ingest_outcomes(runs, catalog, landed, source_obs, fetch_errors)
-    first = Window.partitionBy("relative_path").orderBy("as_of")
+    # a failed request writes nothing, so the first run that does write comes first
+    first = Window.partitionBy("relative_path", "outcome").orderBy("as_of")
     outs = outs.withColumn(
         "outcome",
         F.when((F.col("outcome") == "written") & (F.row_number().over(first) > 1), F.lit("skipped")).otherwise(F.col("outcome")),

@@ -56,16 +56,40 @@ def freshness_report(obs: DataFrame, dim_series: DataFrame, as_of: dt.date | str
     ).orderBy(F.col("days_stale").desc(), F.col("series_id"))
 
 
-def series_coverage(catalog: DataFrame, obs: DataFrame, first: dt.date | str | Column, last: dt.date | str | Column) -> DataFrame:
-    """AGG-5: per catalog series, observations in [first, last] → OK (some) / EMPTY (none),
-    FAIL for a catalog row without a frequency. A run fails overall when any row is FAIL
-    (``coverage.where("status = 'FAIL'").isEmpty()`` is the exit check)."""
+def series_coverage(
+    catalog: DataFrame, obs: DataFrame, first: dt.date | str | Column, last: dt.date | str | Column, fetch_errors: DataFrame | None = None
+) -> DataFrame:
+    """AGG-5: per catalog series, observations in [first, last] → OK (some) / EMPTY (none) /
+    FAIL: its request failed, or it has no frequency. ``fetch_errors(series_id, error)`` are
+    the failed requests; with them each row carries ``error``, the least of a series' errors.
+    A failed series returned nothing, so it counts no observations."""
     window_obs = obs.where(F.col("observation_date").between(_date(first), _date(last)))
     counts = window_obs.groupBy("series_id").agg(F.count(F.lit(1)).cast("long").alias("observations"))
     joined = catalog.select("series_id", "frequency").join(counts, "series_id", "left")
-    n = F.coalesce(F.col("observations"), F.lit(0).cast("long"))
-    status = F.when(F.col("frequency").isNull(), F.lit("FAIL")).when(n > 0, F.lit("OK")).otherwise(F.lit("EMPTY"))
-    return joined.select("series_id", "frequency", n.alias("observations"), status.alias("status"))
+    failed, n = F.col("frequency").isNull(), F.coalesce(F.col("observations"), F.lit(0).cast("long"))
+    columns = []
+    if fetch_errors is not None:
+        told = F.coalesce(F.col("error").cast("string"), F.lit("unknown"))
+        joined = joined.join(fetch_errors.groupBy("series_id").agg(F.min(told).alias("error")), "series_id", "left")
+        failed, columns = failed | F.col("error").isNotNull(), [F.col("error")]
+        n = F.when(F.col("error").isNull(), n).otherwise(F.lit(0).cast("long"))
+    status = F.when(failed, F.lit("FAIL")).when(n > 0, F.lit("OK")).otherwise(F.lit("EMPTY"))
+    return joined.select("series_id", "frequency", n.alias("observations"), status.alias("status"), *columns)
+
+
+def coverage_state(coverage: DataFrame) -> DataFrame:
+    """AGG-5, the overall state of a validation: one row with the number of series, of each
+    status, and ``passed`` (no series failed; an empty series passes, as does an empty catalog).
+    The failed series themselves are the FAIL rows of ``coverage``."""
+    status = F.col("status")
+    failed = F.count_if(status == "FAIL")
+    return coverage.agg(
+        F.count(F.lit(1)).cast("long").alias("series"),
+        F.count_if(status == "OK").cast("long").alias("ok"),
+        F.count_if(status == "EMPTY").cast("long").alias("empty"),
+        failed.cast("long").alias("failed"),
+        (failed == 0).alias("passed"),
+    )
 
 
 def error_counts(load_outcomes: DataFrame) -> DataFrame:

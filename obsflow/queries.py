@@ -93,7 +93,7 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------- landing and payloads
 
 
-ROW_COLUMNS = ["series_id", "observation_date", "value", "status_code", "frequency"]
+ROW_COLUMNS = ["series_id", "observation_date", "value", "status_code", "frequency", "ingested_at"]
 LOAD_1 = "2026-01-01 00:00:00"
 LOAD_2 = "2026-02-01 00:00:00"
 
@@ -375,19 +375,55 @@ def q_backfill_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.dry_run_counts(planned)
 
 
+def q_backfill_dry_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    planned, _, _ = _plan_status(spark, sf_dir)
+    return B.dry_run_counters(planned)
+
+
 def q_backfill_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     planned, landed, obs = _plan_status(spark, sf_dir)
-    return B.counters(B.outcomes(B.with_status(planned, landed), obs))
+    return B.counters(B.outcomes(B.with_status(planned, landed), obs, _failed_chunks(spark, sf_dir, planned)))
 
 
-def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _failed_chunks(spark: SparkSession, sf_dir: str, planned: DataFrame) -> DataFrame:
+    """The fetches of a backfill that fail: a year of a daily series, a period of another."""
+    chunk = F.when(F.col("frequency") == "daily", F.year("first_date").cast("string")).otherwise(F.col("period_label"))
+    year_and_month = F.year("first_date") + F.when(F.col("frequency") == "daily", 0).otherwise(F.month("first_date"))
+    asked = planned.select("series_id", chunk.alias("chunk"), year_and_month.alias("n")).distinct()
+    return A.failed_requests(spark, sf_dir, asked, F.col("n")).select("series_id", "chunk")
+
+
+def _failed_runs(spark: SparkSession, sf_dir: str, runs: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The requests of scheduled runs that fail, ``(as_of, series_id, error)``."""
+    asked = B.run_requests(runs, catalog).select("as_of", "series_id")
+    return A.failed_requests(spark, sf_dir, asked, F.dayofmonth("as_of"))
+
+
+def _run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     obs = _fact(spark, sf_dir)
     runs = A.read_table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("as_of")).distinct()
     runs = runs.select("as_of", F.explode(_freqs()).alias("frequency"))
-    outs = B.ingest_outcomes(runs, _catalog(obs), _landed_paths(obs), obs)
-    return B.run_summary(outs)
+    errors = _failed_runs(spark, sf_dir, runs, _catalog(obs))
+    return B.ingest_outcomes(runs, _catalog(obs), _landed_paths(obs), obs, errors)
+
+
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _told(B.run_summary(_run_outcomes(spark, sf_dir)))
+
+
+def _told(summary: DataFrame) -> DataFrame:
+    """Failed series as text, ``id: error``."""
+    return summary.withColumn("errors", F.transform("errors", lambda e: F.concat(e["series_id"], F.lit(": "), e["error"])))
+
+
+def q_run_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists of ``run_summary`` in chunks of four series."""
+    lists = B.run_lists(spark, _run_outcomes(spark, sf_dir), size=4)
+    ids, errors = F.transform("series", lambda s: s["series_id"]), F.transform("series", lambda s: F.coalesce(s["error"], F.lit("")))
+    return lists.select("as_of", "frequency", "outcome", "chunk", ids.alias("ids"), errors.alias("errors"))
 
 
 def _catalog_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,7 +480,16 @@ def q_series_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     obs = _fact(spark, sf_dir)
     _, end = _bounds(obs)
-    return R.series_coverage(_catalog(obs), obs, F.date_sub(F.lit(end), 90), F.lit(end))
+    return R.series_coverage(_catalog(obs), obs, F.date_sub(F.lit(end), 90), F.lit(end), _failed_series(spark, sf_dir, obs))
+
+
+def _failed_series(spark: SparkSession, sf_dir: str, obs: DataFrame) -> DataFrame:
+    """The requests of a validation that fail: one a series, numbered by the id's length."""
+    return A.failed_requests(spark, sf_dir, _catalog(obs).select("series_id"), F.lit(1))
+
+
+def q_coverage_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.coverage_state(q_series_coverage(spark, sf_dir))
 
 
 def q_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -566,12 +611,15 @@ QUERIES.update(
         "backfill_dry_run": q_backfill_dry_run,
         "backfill_outcomes": q_backfill_outcomes,
         "run_summary": q_run_summary,
+        "run_lists": q_run_lists,
+        "backfill_dry_run_counters": q_backfill_dry_run_counters,
         "catalog_flatten": q_catalog_flatten,
         "catalog_by_frequency": q_catalog_by_frequency,
         "dim_frequency": q_dim_frequency,
         "load_inventory": q_load_inventory,
         "freshness_report": q_freshness_report,
         "series_coverage": q_series_coverage,
+        "coverage_state": q_coverage_state,
         "error_counts": q_error_counts,
         "alert_error_rate": q_alert_error_rate,
         "alert_silent_series": q_alert_silent_series,
@@ -671,7 +719,7 @@ def q_backfill_execute(spark: SparkSession, sf_dir: str) -> DataFrame:
         "relative_path", "left_semi"), root)
     planned = B.plan(ev.select("series_id", "frequency").distinct(), start, end + dt.timedelta(days=6))
     status = B.with_status(planned, LZ.list_landed(spark, root))
-    return B.counters(B.execute_backfill(spark, status, ev, root))
+    return B.counters(B.execute_backfill(spark, status, ev, root, _failed_chunks(spark, sf_dir, planned)))
 
 
 QUERIES["backfill_execute"] = q_backfill_execute
@@ -689,7 +737,8 @@ def q_ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = daily.select(F.date_add("observation_date", 1).alias("as_of")).distinct()
     runs = runs.select("as_of", F.explode(F.array(F.lit("daily"), F.lit("monthly"))).alias("frequency"))
     catalog = source.select("series_id", "frequency").distinct()
-    return B.execute_ingest(spark, runs, catalog, scratch_dir(spark, "ingest-landing"), source)
+    errors = _failed_runs(spark, sf_dir, runs, catalog)
+    return _told(B.execute_ingest(spark, runs, catalog, scratch_dir(spark, "ingest-landing"), source, errors))
 
 
 QUERIES["ingest_run"] = q_ingest_run

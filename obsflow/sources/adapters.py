@@ -142,3 +142,20 @@ DIM_SEED = [
 ]
 SEED_UPDATED_AT = "2026-01-01 00:00:00"
 DIM_COLUMNS = ["series_id", "name", "unit", "frequency", "description", "updated_at"]
+
+
+def failing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of the month on which more than a fifth of the events are errors, with both counts:
+    ``(day, errors, events)``, at most 31 rows. The source's requests fail on such days."""
+    per = read_table(spark, sf_dir, "events").groupBy(F.dayofmonth("ts").alias("day"))
+    counts = per.agg(F.count_if(F.col("event_type") == "error").alias("errors"), F.count(F.lit(1)).alias("events"))
+    return counts.where(F.col("errors") * 5 > F.col("events"))
+
+
+def failed_requests(spark: SparkSession, sf_dir: str, requests: DataFrame, day: Column) -> DataFrame:
+    """The rows of ``requests`` (with a ``series_id``) that fail, with their ``error``. A request's
+    day moves with its series: the remainder of ``day`` and the length of the series' id by 31."""
+    failing = failing_days(spark, sf_dir)
+    error = F.concat(F.lit("SourceError: "), F.col("errors").cast("string"), F.lit(" of "), F.col("events").cast("string"))
+    asked = requests.withColumn("day", F.pmod(day + F.length("series_id"), F.lit(31)).cast("int"))
+    return asked.join(failing, "day").select(*requests.columns, error.alias("error"))

@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 
 from obsflow import oracle as O
 from obsflow.operators.upsert import ensure_table, read_observations
+from obsflow.plans import backfill as B
 from obsflow.plans import reports as R
 from obsflow.plans.served import create_views
 from obsflow.plans.views import ensure_namespaces
-from obsflow.queries import LOAD_1, LOAD_2, _catalog, _fact, _seed, stored_observations
+from obsflow.queries import LOAD_1, LOAD_2, _catalog, _fact, _plan_status, _seed, stored_observations
 from obsflow.schema import DIM_FREQUENCY, DIM_SERIES, DIM_SERIES_COLUMNS, OBSERVATION_COLUMNS, OBSERVATIONS
 from obsflow.session import configure, scratch_dir
 from obsflow.sources import adapters as A
 from obsflow.sources import catalog as CT
 from obsflow.sources import landing_fixture as LF
 from obsflow.sources.landing import rewrite, write_if_absent
+from obsflow.sources.ledger import create_ledger, record
 from obsflow.sources.observations import scan_observations
 from obsflow.sources.tables import create_table, replace_table, upsert_table
 from obsflow.streaming.incremental import start_incremental_load
@@ -130,7 +132,20 @@ def q_stream_rewritten_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_observations(spark, target)
 
 
+def q_ledger_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The backfill plan against a ledger made from the first half of every month's landed
+    paths, with all of them recorded afterwards."""
+    configure(spark)
+    planned, landed, _ = _plan_status(spark, sf_dir)
+    ensure_namespaces(spark, ("raw",))
+    name = f"raw.ledger_{hashlib.sha1(scratch_dir(spark, 'ledger').encode()).hexdigest()[:10]}"
+    create_ledger(spark, name, 8, landed.where(F.col("relative_path").rlike("-(0[0-9]|1[0-5])[.]json$")))
+    record(spark, name, landed)
+    return B.with_status(planned, spark.table(name)).select("series_id", "frequency", "period_label", "relative_path", "status")
+
+
 QUERIES = {
+    "ledger_status": q_ledger_status,
     "alert_error_rate_sliding": q_alert_error_rate_sliding,
     "silent_intervals": q_silent_intervals,
     "stream_rewritten_file": q_stream_rewritten_file,
@@ -145,6 +160,7 @@ QUERIES = {
 
 _IDS = ", ".join("'" + i + "'" for i in _SCAN["series_ids"])
 SQL = {
+    "ledger_status": O.SQL["backfill_plan"],
     "alert_error_rate_sliding": """WITH starts AS (
   SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * unnest(range(12))) AS window_start, event_type FROM events
 ), w AS (SELECT window_start, count(*) AS events, count(*) FILTER (WHERE event_type = 'error') AS errors FROM starts GROUP BY 1)

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from obsflow.plans import backfill as B
+from obsflow.plans import reports as R
 from obsflow.sources import adapters as A
 from obsflow.sources import catalog as CT
+from obsflow.sources import landing as LZ
 from tests.conftest import SF_SMALL
 
 D = dt.date
@@ -158,3 +160,93 @@ def test_plan_refuses_a_reversed_range_and_takes_one_frequency(spark):
         B.plan(catalog, dt.date(2026, 1, 1), dt.date(2026, 2, 1), "weekly")
     rows = B.plan(catalog, dt.date(2026, 1, 1), dt.date(2026, 2, 1), "monthly").collect()
     assert {r.series_id for r in rows} == {"M"}
+
+
+def test_dry_run_has_the_shape_of_the_counters(spark):
+    planned = B.plan(_catalog(spark), "2023-11-15", "2024-02-05")
+    got = {r.series_id: (r.written, r.skipped, r.empty, r.errors) for r in B.dry_run_counters(planned).collect()}
+    assert got["S1"] == (83, 0, 0, 0) and got["M1"] == (4, 0, 0, 0)
+    assert got[None] == (planned.count(), 0, 0, 0)
+    none = B.dry_run_counters(planned.where("false")).collect()
+    assert sum(r.written for r in none) == 0
+
+
+def _outcome_rows(spark, n=1000):
+    # one run with half its series empty, one where all fail, an id that repeats
+    ids = F.concat(F.lit("S"), F.lpad(F.col("id").cast("string"), 5, "0"))
+    base = spark.range(n).select(F.lit("daily").alias("frequency"), ids.alias("series_id"), F.lit("2026-07-13").alias("period_label"), F.col("id"))
+    one = base.withColumn("as_of", F.lit("2026-07-14").cast("date")).withColumn("outcome", F.when(F.col("id") % 2 == 0, "empty").otherwise("written"))
+    two = base.withColumn("as_of", F.lit("2026-07-15").cast("date")).withColumn("outcome", F.lit("error"))
+    both = one.unionByName(two).withColumn("error", F.when(F.col("outcome") == "error", F.concat(F.lit("E"), "series_id")))
+    return both.unionByName(both.where("series_id = 'S00007'")).drop("id")
+
+
+def test_run_lists_are_the_summary_in_chunks(spark):
+    outs = _outcome_rows(spark)
+    whole = {r.as_of: r for r in B.run_summary(outs).collect()}
+    got = B.run_lists(spark, outs, size=64).collect()
+    assert all(len(r.series) <= 64 for r in got)
+    for as_of, kind in ((D(2026, 7, 14), "empty"), (D(2026, 7, 15), "error")):
+        chunks = sorted((r for r in got if (r.as_of, r.outcome) == (as_of, kind)), key=lambda r: r.chunk)
+        assert [r.chunk for r in chunks] == list(range(len(chunks))) and all(len(r.series) == 64 for r in chunks[:-1])
+        series = [(s.series_id, s.error) for r in chunks for s in r.series]
+        if kind == "empty":
+            assert [s for s, _ in series] == whole[as_of].empty
+        else:
+            assert series == [(e.series_id, e.error) for e in whole[as_of].errors]
+    assert B.run_lists(spark, outs.where("false")).count() == 0
+
+
+def test_a_failed_request_leaves_the_period_to_a_later_run(spark, tmp_root):
+    cat = spark.createDataFrame([("M", "monthly")], "series_id string, frequency string")
+    runs = spark.createDataFrame([(D(2026, 7, d), "monthly") for d in (1, 2, 3)], "as_of date, frequency string")
+    src = spark.createDataFrame([("M", "monthly", D(2026, 6, 1), 1.0, "OK")], "series_id string, frequency string, observation_date date, value double, status_code string")
+    errors = spark.createDataFrame([(D(2026, 7, 1), "M", "timeout")], "as_of date, series_id string, error string")
+    got = {r.as_of.day: r for r in B.execute_ingest(spark, runs, cat, tmp_root, src, errors).collect()}
+    assert [(got[d].processed, got[d].skipped, len(got[d].errors)) for d in (1, 2, 3)] == [(0, 0, 1), (1, 0, 0), (0, 1, 0)]
+    assert LZ.list_landed(spark, tmp_root).count() == 1
+
+
+def test_coverage_fails_by_fetch_errors(spark):
+    cat = spark.createDataFrame([("A", "daily"), ("B", "daily"), ("C", "daily"), ("D", None)], "series_id string, frequency string")
+    obs = spark.createDataFrame([("A", D(2026, 7, 1)), ("B", D(2026, 7, 1))], "series_id string, observation_date date")
+    errors = spark.createDataFrame([("B", "timeout"), ("B", "refused"), ("X", "unasked")], "series_id string, error string")
+    cov = R.series_coverage(cat, obs, "2026-07-01", "2026-07-31", errors)
+    assert {r.series_id: (r.observations, r.status, r.error) for r in cov.collect()} == {
+        "A": (1, "OK", None), "B": (0, "FAIL", "refused"), "C": (0, "EMPTY", None), "D": (0, "FAIL", None)
+    }
+    assert R.coverage_state(cov).first().asDict() == {"series": 4, "ok": 1, "empty": 1, "failed": 2, "passed": False}
+    assert R.coverage_state(R.series_coverage(cat.limit(0), obs, "2026-07-01", "2026-07-31")).first().passed
+    nameless = spark.createDataFrame([("A", None)], "series_id string, error string")
+    assert R.series_coverage(cat, obs, "2026-07-01", "2026-07-31", nameless).where("series_id = 'A'").first().status == "FAIL"
+
+
+def test_ledger_joins_without_exchange_of_its_paths(spark):
+    from obsflow.sources.ledger import bucket_count, create_ledger, record
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
+    planned = B.plan(_catalog(spark), "2023-11-15", "2024-02-05")
+    landed = planned.where("pmod(hash(relative_path), 3) > 0").select("relative_path")
+    name = "raw.ledger_test"
+    create_ledger(spark, name, 4)
+    assert spark.table(name).count() == 0 and bucket_count(spark, name) == 4
+    record(spark, name, landed.where("relative_path like '%daily%'"))
+    record(spark, name, landed.unionByName(landed).unionByName(spark.createDataFrame([(None,)], "relative_path string")))
+    ledger = spark.table(name)
+    with pytest.raises(ValueError, match="not a ledger"):
+        spark.range(1).createOrReplaceTempView("no_ledger")
+        bucket_count(spark, "no_ledger")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for fn in (B.missing_periods, B.landed_periods, B.with_status):
+            mine, plain = fn(planned, ledger), fn(planned, landed)
+            text = mine._jdf.queryExecution().executedPlan().toString()
+            scan = text.index("FileScan parquet spark_catalog.raw.ledger_test")
+            side = text[text.index("SortMergeJoin"):scan].split("Exchange")
+            # the one exchange before the ledger's scan is the plan's own: its subtree comes first
+            assert len(side) == 2 and "Scan" in side[1], text
+            assert sorted(mine.collect()) == sorted(plain.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql(f"DROP TABLE {name}")
