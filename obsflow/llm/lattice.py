@@ -6,16 +6,21 @@ and names its cell by the nearest point of the E8 lattice; the vector also probe
 other's cell or one of its probes, in any table, and are then compared by cosine in
 double precision.
 
-Equal vectors become one node first. Rows are dealt by cell; a cell of more than ``BLOCK``
-rows is split into blocks, and each pair of blocks is a group of its own. Links are
-counted inside the groups and never written as pairs: a pair counts only where it meets
-first (by table, then by kind), which both vectors' cells tell. Each group also hands on
-a star of every component of its links, and components are found by star contraction.
+Equal vectors become one node first, named by a row of theirs, so ids may repeat. Only
+nodes, cells and sketches of 128 signs of random projections travel to the cells. In cells of at most
+``BLOCK`` rows a node goes on only with a partner whose sketch differs in few enough signs:
+the count is binomial with the pair's angle over pi, and the bound is passed by a pair at
+the cosine asked for with probability 1 - ``miss``. Only then vectors are fetched. A cell of
+more than ``BLOCK`` rows is split into blocks, and each pair of blocks is a group of its own.
+Links are counted inside the groups and never written as pairs: a pair counts only where it
+meets first (by table, then by kind), which both vectors' cells tell. Each group also hands
+on a star of every component of its links, and components are found by star contraction.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
@@ -31,6 +36,7 @@ from obsflow.llm.textops import mix
 from obsflow.session import materialize
 
 BLOCK = 512
+SIGNS = 128
 
 
 @dataclass(frozen=True)
@@ -43,6 +49,7 @@ class Settings:
     probes: int = 4
     width: float = 1.0
     seed: int = 88
+    miss: float = 1e-6
 
 
 def e8_roots() -> np.ndarray:
@@ -92,6 +99,28 @@ def cells(unit: np.ndarray, s: Settings) -> np.ndarray:
     return out
 
 
+def sketches(unit: np.ndarray, s: Settings) -> np.ndarray:
+    """(vectors, 2) words of the signs of ``SIGNS`` random projections."""
+    planes = np.random.default_rng([s.seed, unit.shape[1], SIGNS]).normal(size=(unit.shape[1], SIGNS))
+    return np.packbits(unit @ planes >= 0, axis=1).view(np.int64)
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The number of bits in which words differ."""
+    return np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64)  # of a negative number it counts the magnitude's
+
+
+def most_signs(s: Settings) -> int:
+    """The least number of differing signs that a pair at the cosine asked for exceeds with
+    probability ``miss`` at most."""
+    p = math.acos(s.cosine) / math.pi
+    beyond, t = 1.0, -1
+    while beyond > s.miss:
+        t += 1
+        beyond -= math.comb(SIGNS, t) * p**t * (1 - p) ** (SIGNS - t)
+    return t
+
+
 def _unit(vectors: list[bytes], kind: str) -> list[tuple[np.ndarray, np.ndarray]]:
     """(row positions, unit vectors) for each dimension."""
     size = np.array([len(v) for v in vectors])
@@ -119,11 +148,53 @@ def _encode(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordB
 
 def _deal(batches: Iterator[pa.RecordBatch], kind: str, s: Settings) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys: list = [None] * batch.num_rows
+        n, width = batch.num_rows, s.tables * (1 + s.probes)
+        keys, signs = np.zeros((n, width), np.int64), np.zeros((n, 2), np.int64)
         for at, unit in _unit(batch.column("vec").to_pylist(), kind):
-            for i, key in zip(at, cells(unit, s).reshape(len(at), -1), strict=True):
-                keys[i] = key
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "copies", "vec")), pa.array(keys, pa.list_(pa.int64()))], names=["node", "copies", "vec", "keys"])
+            keys[at] = cells(unit, s).reshape(len(at), -1)
+            signs[at] = sketches(unit, s)
+        listed = pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(keys.ravel()))
+        columns = [*(batch.column(c) for c in ("node", "copies", "vec")), pa.array(signs[:, 0]), pa.array(signs[:, 1]), listed]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "copies", "vec", "s1", "s2", "keys"])
+
+
+def _whole(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Rows that arrive sorted by ``names``, in tables that end where a group ends."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held).combine_chunks()
+        cut = int(np.argmax(np.logical_and.reduce([table.column(c).to_numpy() == table.column(c)[-1].as_py() for c in names])))
+        if cut:
+            yield table.slice(0, cut).combine_chunks()
+        held = table.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _plausible(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    """The rows of small cells that have a partner of a near sketch; rows arrive sorted by key.
+    A partner meets where one of both is at home; rows of one node never pair."""
+    most = most_signs(s)
+    for rows in _whole(batches, ("key",)):
+        key, slot, node, s1, s2 = (rows.column(c).to_numpy() for c in ("key", "slot", "node", "s1", "s2"))
+        home = slot % (1 + s.probes) == 0
+        keep = np.zeros(len(key), bool)
+        left, lag = np.arange(len(key)), 1
+        while True:  # each row with the one ``lag`` places on, as long as the cell reaches
+            left = left[left + lag < len(key)]
+            left = left[key[left] == key[left + lag]]
+            if not len(left):
+                break
+            right = left + lag
+            differ = differing(s1[left], s1[right]) + differing(s2[left], s2[right])
+            near = (differ <= most) & (home[left] | home[right]) & (node[left] != node[right])
+            keep[left[near]] = keep[right[near]] = True
+            lag += 1
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (key, slot, node)], names=["key", "slot", "node"])
 
 
 def _first_meeting(a: np.ndarray, b: np.ndarray, table: int, event: np.ndarray) -> np.ndarray:
@@ -181,17 +252,8 @@ def _link(batches: Iterator[pa.RecordBatch], kind: str, s: Settings) -> Iterator
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["node", "label", "n"])
 
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        table = pa.Table.from_batches(held).combine_chunks()
-        tail = [table.column(c)[-1].as_py() for c in ("key", "i", "j")]
-        cut = int(np.argmax(np.logical_and.reduce([table.column(c).to_numpy() == v for c, v in zip(("key", "i", "j"), tail, strict=True)])))
-        if cut:
-            yield from groups(table.slice(0, cut).combine_chunks())
-        held = table.slice(cut).to_batches()
-    if held:
-        yield from groups(pa.Table.from_batches(held).combine_chunks())
+    for rows in _whole(batches, ("key", "i", "j")):
+        yield from groups(rows)
 
 
 def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -209,28 +271,35 @@ def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, settings: Se
     kind = "<f4" if element == "float" else "<f8"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{'float' if kind == '<f4' else 'double'}>").alias("embedding"))
     coded = rows.mapInArrow(partial(_encode, kind=kind), "vec_id long, vec binary")
+    coded = coded.withColumn("row", F.monotonically_increasing_id())
     coded = materialize(spark, coded.withColumn("f1", F.xxhash64("vec")).withColumn("f2", F.xxhash64(F.lit(s.seed), "vec")), "vectors")
     real = coded.where("vec is not null and vec_id is not null")
-    nodes = real.groupBy("f1", "f2").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    first = real.withColumnRenamed("vec_id", "node").join(nodes, ["f1", "f2", "node"]).dropDuplicates(["f1", "f2", "node"])
-    dealt = materialize(spark, first.select("node", "copies", "vec").mapInArrow(partial(_deal, kind=kind, s=s), "node long, copies long, vec binary, keys array<long>"), "cells")
-    at = dealt.select("node", "copies", "vec", F.posexplode("keys").alias("slot", "key"))
+    nodes = materialize(spark, real.groupBy("f1", "f2").agg(F.min("row").alias("node"), F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vector-nodes")
+    first = real.select(F.col("row").alias("node"), "vec").join(nodes.select("node", "copies"), "node").select("node", "copies", "vec")
+    dealt = materialize(spark, first.mapInArrow(partial(_deal, kind=kind, s=s), "node long, copies long, vec binary, s1 long, s2 long, keys array<long>"), "cells")
+    vectors_of = dealt.select("node", "copies", "vec")
+    at = dealt.select("node", "s1", "s2", F.posexplode("keys").alias("slot", "key"))
     own = (F.col("slot") % (1 + s.probes) == 0).cast("int")
     full = at.select("key", own.alias("own")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).where("n > 1 and own = 1")
-    met = at.join(full.select("key", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")), "key")
+    members = at.join(full.select("key", "n"), "key")
+    small = members.where(F.col("n") <= BLOCK).select("key", "slot", "node", "s1", "s2").repartition("key").sortWithinPartitions("key")
+    small = small.mapInArrow(partial(_plausible, s=s), "key long, slot int, node long")
+    small = small.withColumn("i", F.lit(0).cast("long")).withColumn("j", F.lit(0).cast("long")).withColumn("side", F.lit(0))
+    large = members.where(F.col("n") > BLOCK).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
     mine = F.pmod(F.xxhash64("node", F.lit(s.seed)), F.col("blocks"))
-    met = met.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    met = met.select(
-        "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"), "slot", "node", "copies", "vec",
+    large = large.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    large = large.select(
+        "key", "slot", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"),
     )
-    met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    met = materialize(spark, small.unionByName(large), "cell-members").join(vectors_of, "node")
+    met = met.select("key", "i", "j", "side", "slot", "node", "copies", "vec").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     found = materialize(spark, met.mapInArrow(partial(_link, kind=kind, s=s), "node long, label long, n long"), "vector-links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     comps = connected_components(spark, found.select(F.col("node").alias("a"), F.col("label").alias("b")))
-    named = nodes.join(counts, "node", "left").join(comps, "node", "left").select(
-        "f1", "f2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")
-    )
+    found = nodes.join(counts, "node", "left").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = found.groupBy("component").agg(F.min("id").alias("component_id"))  # components are named by their smallest id
+    named = found.join(least, "component").select("f1", "f2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     linked = real.join(named, ["f1", "f2"]).select("vec_id", "n_links", "component_id")
     alone = coded.where("vec is null or vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -293,6 +293,33 @@ def test_lattice_equals_brute_force(spark, monkeypatch):
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (501, 502, 503, 504, 505, None))
 
 
+def test_lattice_ids_may_repeat_under_different_vectors(spark):
+    rng = [[1.0, 0.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]]
+    rows = [(4, rng[0]), (4, rng[1]), (9, [1.0, 0.01, 0.0, 0.0]), (2, [0.0, 0.0, 1.0, 0.01]), (9, [1.0, 0.0, 0.0, 0.0]), (7, [0.0, 0.0, 0.0, -1.0])]
+    got = lattice.near_duplicate_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    # 4 and 9 share one direction (three rows), 4 and 2 the other (two rows)
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got.collect()) == [
+        (2, 1, 2, True), (4, 1, 2, False), (4, 2, 4, True), (7, 0, 7, True), (9, 2, 4, False), (9, 2, 4, False)
+    ]
+
+
+def test_lattice_sign_bound_keeps_near_pairs():
+    import numpy as np
+
+    s = lattice.Settings()
+    most = lattice.most_signs(s)
+    p = np.arccos(s.cosine) / np.pi
+    drawn = np.random.default_rng(2).binomial(lattice.SIGNS, p, 200_000)
+    assert p * lattice.SIGNS < most < lattice.SIGNS / 2 - 3 * np.sqrt(lattice.SIGNS / 4) and (drawn > most).sum() <= 2
+    unit = np.random.default_rng(3).normal(size=(2000, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    words = lattice.sketches(unit, s)
+    signs = lattice.differing(words[:-1, 0], words[1:, 0]) + lattice.differing(words[:-1, 1], words[1:, 1])
+    assert signs[0] == sum(bin(int(a) & (1 << 64) - 1).count("1") for a in words[0] ^ words[1])
+    angle = np.arccos((unit[:-1] * unit[1:]).sum(axis=1)) / np.pi
+    assert abs((signs / lattice.SIGNS - angle).mean()) < 0.01
+
+
 def test_lattice_recall_near_the_threshold(spark):
     import numpy as np
 
