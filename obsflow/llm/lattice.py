@@ -216,6 +216,13 @@ def _link(batches: Iterator[pa.RecordBatch], kind: str, s: Settings) -> Iterator
     def groups(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         key, i, j, side, slot, node, copies = (rows.column(c).to_numpy() for c in ("key", "i", "j", "side", "slot", "node", "copies"))
         vec = rows.column("vec").to_pylist()
+        # units and cells of the table's nodes, once for all its groups
+        _, at, u = np.unique(node, return_index=True, return_inverse=True)
+        kinds, place = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        cell_of, units = np.zeros((len(at), s.tables, 1 + s.probes), np.int64), []
+        for of, x in _unit([vec[k] for k in at], kind):
+            kinds[of], place[of], cell_of[of] = len(units), np.arange(len(of)), cells(x, s)
+            units.append(x)
         start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for a, b in zip(start, np.r_[start[1:], len(key)], strict=True):
@@ -224,7 +231,7 @@ def _link(batches: Iterator[pa.RecordBatch], kind: str, s: Settings) -> Iterator
             home = slot[a:b] % (1 + s.probes) == 0
             if not home.any():
                 continue
-            unit = _unit(vec[a:b], kind)[0][1]
+            unit = units[kinds[u[a]]][place[u[a:b]]]
             near = unit @ unit.T >= s.cosine
             near &= home[:, None] | home[None, :]
             if i[a] != j[a]:
@@ -235,7 +242,7 @@ def _link(batches: Iterator[pa.RecordBatch], kind: str, s: Settings) -> Iterator
             if not len(left):
                 continue
             own, back = np.unique(np.concatenate([left, right]), return_inverse=True)
-            cell = cells(unit[own], s)
+            cell = cell_of[u[a:b][own]]
             x, y = back[: len(left)], back[len(left) :]
             event = np.where(home[left] & home[right], 0, np.where(home[left], 1, 2))
             first = np.concatenate([_first_meeting(cell[x[k : k + 65536]], cell[y[k : k + 65536]], int(slot[a]) // (1 + s.probes), event[k : k + 65536]) for k in range(0, len(x), 65536)])
