@@ -51,6 +51,43 @@ def test_tokens_equal_the_library():
     assert got == [tokenizer.model.encode(t or "", add_special_tokens=False).ids + [7] for t in TEXTS]
 
 
+def test_tokens_of_marks_after_capitals_equal_the_library():
+    """The library composes before it lower-cases: T with U+0308 stays two characters, t becomes one."""
+    tokenizer = UnitTokenizer.of(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["T\u0308 t\u0308", "H\u0331 J\u030c", "aW\u030a.Y\u030a", "É\u0323 Éé×Ö ÀÞ"]
+    got = [ids[off[i] : off[i + 1]].tolist() for _, _, ids, off in tokenizer.encode(pa.array(texts), 7) for i in range(len(off) - 1)]
+    assert got == [tokenizer.model.encode(t, add_special_tokens=False).ids + [7] for t in texts]
+
+
+def test_tokens_of_random_texts_equal_the_library():
+    tokenizer = UnitTokenizer.of(public_tokenizers.path("word_bpe_49k.json"))
+    rng = np.random.default_rng(3)
+    parts = [*"aTs0 .,'$=-<>|_\"\n", "'s", "'LL", "<|endoftext|>", *"éÉß×÷İΣµÅ中\u0308\u0331\u0338\u00a0\u0085\u1c4e\u212a…", "word", "Über"]
+    texts = ["".join(rng.choice(parts, n)) for n in rng.integers(0, 12, 4000)]
+    got = [ids[off[i] : off[i + 1]].tolist() for _, _, ids, off in tokenizer.encode(pa.array(texts), 7) for i in range(len(off) - 1)]
+    wrong = [t for t, ids in zip(texts, got, strict=True) if ids != tokenizer.model.encode(t, add_special_tokens=False).ids + [7]]
+    assert wrong == []
+
+
+def test_words_beside_signs_and_capitals_are_encoded_once_and_many_to_a_text(monkeypatch):
+    """A word in quotes, brackets, with a sign or a Latin capital is no new unit, and none goes to the library alone."""
+    tokenizer = UnitTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    alone, words = [], [a + b for a in ("löwe", "hund", "katze") for b in ("n", "chen", "haus", "és")]
+    model = tokenizer.model
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            alone.extend(texts)
+            return model.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(tokenizer, "model", Counted())
+    forms = ['"%s"', "(%s)", "%s$$", "%s!", "[%s]-", "%s:", "#%s;"]
+    texts = [f % (w if k % 2 else w.upper()) for k, f in enumerate(forms) for w in words]
+    got = [ids[off[i] : off[i + 1]].tolist() for _, _, ids, off in tokenizer.encode(pa.array(texts), 7) for i in range(len(off) - 1)]
+    assert got == [model.encode(t, add_special_tokens=False).ids + [7] for t in texts]
+    assert len(alone) <= 11 and not any(c.isalpha() for c in "".join(alone))
+
+
 def test_dac_round_trip_and_access():
     rng = np.random.default_rng(0)
     for n in (0, 1, 511, 512, 5000):
